@@ -132,8 +132,22 @@ history AS (
   FROM events
 )"""
 
+CTES["uploads"] = """
+uploads AS (
+  SELECT o.o_orderkey AS upload_id,
+         CASE WHEN o.o_orderkey % 91 = 0 THEN 'g' || CAST(o.o_custkey AS VARCHAR) ELSE CAST(o.o_custkey AS VARCHAR) END
+           AS record_group_id,
+         CASE WHEN o.o_orderkey % 7 = 0 THEN r.filename
+              ELSE 'upload_' || CAST(o.o_orderkey AS VARCHAR) ||
+                   CASE o.o_orderkey % 5 WHEN 0 THEN '.pdf' WHEN 1 THEN '.TIF' WHEN 2 THEN '.jpg'
+                                         WHEN 3 THEN '.docx' ELSE '.png' END END AS upload_name
+  FROM orders o JOIN recs r ON r.record_id = o.o_orderkey
+  WHERE o.o_orderkey % 7 <= 1
+)"""
+
 DEPENDS = {
     "subs": ["attrs"],
+    "uploads": ["recs"],
 }
 
 

@@ -392,3 +392,25 @@ def load_model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "notes": load_notes(spark, sf_dir),
         "edits": load_edits(spark, sf_dir),
     }
+
+
+# fixed values: extensions given to new upload candidates, by o_orderkey % 5
+UPLOAD_EXTS = [".pdf", ".TIF", ".jpg", ".docx", ".png"]
+
+
+def load_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upload candidates derived from orders: every 7th record offers its
+    own stored filename again (a duplicate), the next one a new file; one
+    in 91 names a group that does not exist."""
+    o = table(spark, sf_dir, "orders")
+    recs = records_from(o, None).select("record_id", "filename")
+    m7 = F.pmod(F.col("o_orderkey"), F.lit(7))
+    ext = F.element_at(F.array(*[F.lit(e) for e in UPLOAD_EXTS]), (F.pmod(F.col("o_orderkey"), F.lit(5)) + 1).cast("int"))
+    cand = o.where(m7 <= 1).select(
+        "o_orderkey", m7.alias("_m7"),
+        F.when(F.pmod(F.col("o_orderkey"), F.lit(91)) == 0, F.concat(F.lit("g"), F.col("o_custkey").cast("string")))
+         .otherwise(F.col("o_custkey").cast("string")).alias("record_group_id"),
+        F.concat(F.lit("upload_"), F.col("o_orderkey").cast("string"), ext).alias("_new"))
+    j = cand.join(recs, cand.o_orderkey == recs.record_id)
+    return j.select(F.col("o_orderkey").alias("upload_id"), "record_group_id",
+                    F.when(F.col("_m7") == 0, F.col("filename")).otherwise(F.col("_new")).alias("upload_name"))
