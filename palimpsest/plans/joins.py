@@ -1,0 +1,22 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension side is broadcast only when it is proven to hold at most
+# this many rows; otherwise the join stays a shuffle join (and AQE may
+# still convert it at run time from real statistics).
+BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
+    ``max_rows + 1`` rows (a limit, not a full count)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only behind a checked row bound."""
+    return F.broadcast(df) if bounded_rows(df, max_rows) else df
