@@ -120,13 +120,14 @@ def _with_locks(sql, *views):
 
 
 @query("active_locks", _with_locks(f"""
-SELECT record_id, "user", "timestamp" + INTERVAL 120 SECOND AS expires_at,
+SELECT record_id, "user", strftime("timestamp" + INTERVAL 120 SECOND, '%Y-%m-%d %H:%M:%S.%f') AS expires_at,
        ("timestamp" + INTERVAL 120 SECOND >= TIMESTAMP '{AS_OF:%Y-%m-%d %H:%M:%S}') AS active
 FROM locks
 """, "recs"), ops=("F8",))
 def q_active_locks(spark, sf):
     out = FL.active_locks(M.load_locks(spark, sf), AS_OF)
-    return out.select("record_id", "user", "expires_at", "active")
+    return out.select("record_id", "user", F.date_format("expires_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("expires_at"),
+                      "active")
 
 
 @query("review_gate", _with_locks(f"""
