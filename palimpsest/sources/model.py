@@ -296,7 +296,7 @@ def load_roles(spark: SparkSession) -> DataFrame:
 def schema_array() -> Column:
     return F.array(*[
         F.struct(F.lit(n).alias("name"), _null("string").alias("alias"), F.lit(dt).alias("data_type"),
-                 F.lit("varchar").alias("database_data_type"), F.lit("single").alias("occurrence"),
+                 F.lit("table" if dt == "table" else "varchar").alias("database_data_type"), F.lit("single").alias("occurrence"),
                  _null("string").alias("grouping"), F.lit(pos).cast("double").alias("page_order_sort"),
                  F.lit(fn).alias("cleaning_function"))
         for n, dt, fn, pos in SCHEMA_ROWS
@@ -414,3 +414,16 @@ def load_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = cand.join(recs, cand.o_orderkey == recs.record_id)
     return j.select(F.col("o_orderkey").alias("upload_id"), "record_group_id",
                     F.when(F.col("_m7") == 0, F.col("filename")).otherwise(F.col("_new")).alias("upload_name"))
+
+
+def load_storage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored page images (path, length) as a storage listing would give
+    them: every valid page of every record, except the records with
+    ``o_orderkey % 17 = 0`` whose files are missing; sizes derived from
+    the order key and page position."""
+    recs = records_from(table(spark, sf_dir, "orders"), None)
+    pages = recs.where(F.pmod(F.col("record_id"), F.lit(17)) != 0).select(
+        "record_id", "record_group_id", F.posexplode(N.valid_images(F.col("image_files"))).alias("p", "f"))
+    return pages.select(
+        F.concat_ws("/", F.lit("uploads"), "record_group_id", F.col("record_id").cast("string"), "f").alias("path"),
+        (F.lit(1000) + F.pmod(F.col("record_id"), F.lit(1000)) * 10 + F.col("p")).cast("bigint").alias("length"))
