@@ -119,9 +119,11 @@ def new_records(uploads: DataFrame) -> DataFrame:
     page images, status ``processing``.  ``uploads`` has
     (record_id, record_group_id, upload_name, n_pages, contributor)."""
     fname = F.col("upload_name")
-    base = N.base_filename(fname)
-    ext = F.when(F.contains(fname, F.lit(".")),
-                 F.concat(F.lit("."), F.substring_index(fname, ".", -1))).otherwise(F.lit(""))
+    # split at the last dot, as os.path.splitext does (text before it is
+    # the record name; a name without a dot has no extension)
+    has_ext = fname.rlike(r"^.+\.[^.]*$")
+    base = F.when(has_ext, F.regexp_extract(fname, r"^(.+)(\.[^.]*)$", 1)).otherwise(fname)
+    ext = F.when(has_ext, F.regexp_extract(fname, r"^(.+)(\.[^.]*)$", 2)).otherwise(F.lit(""))
     stored = N.stored_extension(ext)
     raster = F.lower(ext).isin(*N.RASTERISED)
     return uploads.select(

@@ -427,3 +427,45 @@ def load_storage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select(
         F.concat_ws("/", F.lit("uploads"), "record_group_id", F.col("record_id").cast("string"), "f").alias("path"),
         (F.lit(1000) + F.pmod(F.col("record_id"), F.lit(1000)) * 10 + F.col("p")).cast("bigint").alias("length"))
+
+
+def load_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction-service responses derived from line items: one JSON
+    document per order listing its entities (type, mention text,
+    normalised text for dates, confidence, a five-vertex polygon, and two
+    properties for line 3).  Even orders use the ``{"attributes_list":
+    [...]}`` form; every 97th payload is not JSON at all."""
+    li = table(spark, sf_dir, "lineitem")
+    key = _attr_key(li.l_linenumber)
+    value = _attr_value(li)
+    is_date = F.pmod(li.l_partkey + li.l_linenumber, F.lit(5)) == 3
+    conf = F.round(F.lit(1.0) - li.l_discount, 2)
+    x = li.l_linenumber.cast("double") / 10.0
+    verts = F.array(*[F.struct((x + dx).alias("x"), F.lit(dy).alias("y"))
+                      for dx, dy in ((0.0, 0.1), (0.05, 0.1), (0.05, 0.2), (0.0, 0.2), (0.0, 0.15))])
+    page_anchor = F.struct(F.array(F.struct(F.lit(1).alias("page"),
+                                            F.struct(verts.alias("normalized_vertices")).alias("bounding_poly")))
+                           .alias("page_refs"))
+
+    def prop(t, v):
+        return F.struct(F.lit(t).alias("type"), v.alias("mention_text"),
+                        F.struct(v.alias("content")).alias("text_anchor"),
+                        F.struct(F.lit("").alias("text")).alias("normalized_value"),
+                        F.round(F.lit(1.0) - li.l_tax, 2).alias("confidence"), page_anchor.alias("page_anchor"))
+
+    props = F.when(li.l_linenumber == 3, F.array(
+        prop("Depth", li.l_extendedprice.cast("decimal(12,2)").cast("string")),
+        prop("Sec", li.l_suppkey.cast("string"))))
+    mention = F.when(is_date, F.regexp_replace(value, "-", "/")).otherwise(value)
+    entity = F.struct(
+        key.alias("type"), mention.alias("mention_text"), F.struct(mention.alias("content")).alias("text_anchor"),
+        F.struct(F.when(is_date, value).otherwise(F.lit("")).alias("text")).alias("normalized_value"),
+        conf.alias("confidence"), page_anchor.alias("page_anchor"), props.alias("properties"))
+    keyed = F.struct(*[li[c] for c in POSITION_ORDER], entity.alias("e"))
+    per = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(keyed)).alias("_s"))
+    ents = F.transform("_s", lambda s: s["e"])
+    oid = F.col("l_orderkey")
+    payload = (F.when(F.pmod(oid, F.lit(97)) == 0, F.lit("not json"))
+               .when(F.pmod(oid, F.lit(2)) == 0, F.to_json(F.struct(ents.alias("attributes_list"))))
+               .otherwise(F.to_json(ents)))
+    return per.select(oid.alias("record_id"), payload.alias("payload"))
