@@ -318,7 +318,11 @@ def load_processors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return history_from(table(spark, sf_dir, "events"))
+
+
+def history_from(e: DataFrame) -> DataFrame:
+    """History rows from an events frame (batch or streaming)."""
     action = (F.when(e.event_type == "click", F.lit("updateRecord"))
               .when(e.event_type == "purchase", F.lit("cleanRecord"))
               .otherwise(e.event_type))
