@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.model import ATTRS_TYPE, SUBS_TYPE
 
@@ -24,13 +25,22 @@ def safe_attrs(attrs="attributes") -> Column:
     return F.coalesce(col(attrs), F.array().cast(ATTRS_TYPE))
 
 
+def field(attrs, name: str) -> Column:
+    """``attrs.name`` as an array (empty when the list is NULL).  The
+    field is extracted from the column itself, so Parquet reads only that
+    nested field."""
+    return F.coalesce(col(attrs).getField(name), F.array().cast(
+        {"key": "array<string>", "value": "array<string>", "cleaning_error": "array<string>",
+         "cleaning_checked": "array<boolean>"}.get(name, "array<string>")))
+
+
 def all_subattributes(attrs="attributes") -> Column:
     """Every sub-attribute of every attribute, in order.
 
     ``flatten`` is NULL as soon as one inner list is NULL, so each inner
     list is coalesced to empty first."""
-    return F.flatten(F.transform(safe_attrs(attrs).getField("subattributes"),
-                                 lambda s: F.coalesce(s, F.array().cast(SUBS_TYPE))))
+    subs = F.coalesce(col(attrs).getField("subattributes"), F.array().cast(T.ArrayType(SUBS_TYPE)))
+    return F.flatten(F.transform(subs, lambda s: F.coalesce(s, F.array().cast(SUBS_TYPE))))
 
 
 def _any(arr: Column, pred) -> Column:
@@ -41,16 +51,15 @@ def _any(arr: Column, pred) -> Column:
 def has_errors(attrs="attributes") -> Column:
     """F3 (list view, lenient): some attribute or sub-attribute carries a
     non-empty cleaning error message."""
-    a = safe_attrs(attrs)
-    return (_any(a.getField("cleaning_error"), lambda e: F.length(e) > 0)
+    return (_any(field(attrs, "cleaning_error"), lambda e: F.length(e) > 0)
             | _any(all_subattributes(attrs).getField("cleaning_error"), lambda e: F.length(e) > 0))
 
 
 def has_errors_strict(attrs="attributes") -> Column:
     """F4 (statistics, strict): the error field is present and not False,
     i.e. the value was checked and a message (even ``''``) was stored."""
-    a = safe_attrs(attrs)
-    za = F.arrays_zip(a.getField("cleaning_checked"), a.getField("cleaning_error"))
+    za = F.arrays_zip(field(attrs, "cleaning_checked").alias("cleaning_checked"),
+                      field(attrs, "cleaning_error").alias("cleaning_error"))
     subs = all_subattributes(attrs)
     zs = F.arrays_zip(subs.getField("cleaning_checked"), subs.getField("cleaning_error"))
 
@@ -67,8 +76,7 @@ def attrs_with_key(key: str, attrs="attributes") -> Column:
 
 def first_value_of(key: str, attrs="attributes") -> Column:
     """Value of the first attribute with ``key``; NULL or absent -> ''."""
-    a = safe_attrs(attrs)
-    kv = F.arrays_zip(a.getField("key"), a.getField("value"))
+    kv = F.arrays_zip(field(attrs, "key").alias("key"), field(attrs, "value").alias("value"))
     hit = F.filter(kv, lambda z: z["key"] == F.lit(key))
     return F.coalesce(F.get(hit, 0)["value"], F.lit(""))
 

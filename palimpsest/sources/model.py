@@ -221,9 +221,23 @@ def records_from(orders: DataFrame, lineitem: DataFrame | None) -> DataFrame:
 
 
 def load_records(spark: SparkSession, sf_dir: str, with_attributes: bool = True) -> DataFrame:
+    """The records table.  With attributes it is the stored nested table
+    (built once per input fingerprint, see ``store``); without, the flat
+    record rows straight from orders."""
     orders = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem") if with_attributes else None
-    return records_from(orders, li)
+    if not with_attributes:
+        return records_from(orders, None)
+    from . import store
+    if not store.enabled():
+        return build_records(spark, sf_dir)
+    d = sf_dir.rstrip("/")
+    return store.stored_table(spark, "records", [f"{d}/orders.parquet", f"{d}/lineitem.parquet"],
+                              lambda: build_records(spark, sf_dir), store.cluster_by_group)
+
+
+def build_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derive the nested records from orders and lineitem (one shuffle)."""
+    return records_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
 
 
 # --------------------------------------------------------------------------
