@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import attrs as A
-from ..plans.joins import maybe_broadcast
+from .joins import maybe_broadcast
 from ..sources.model import ATTR_TYPE, ATTRS_TYPE, DEFAULT_PROCESSOR, SCHEMA_ATTR_TYPE
 
 SCHEMA_ARR = T.ArrayType(SCHEMA_ATTR_TYPE)
