@@ -127,7 +127,8 @@ def apply_edits(records: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFr
     new_records = out.withColumn("attributes", F.coalesce(F.col("_f.a"), F.col("attributes"))) \
                      .withColumn("edited_now", F.col("_edits").isNotNull()).drop("_f", "_edits")
     history = (out.where(F.col("_edits").isNotNull())
-                  .select("record_id", "record_group_id", F.inline("_f.h")))
+                  .select("record_id", "record_group_id", F.inline_outer("_f.h"))
+                  .where(F.col("seq").isNotNull()))
     return new_records, history
 
 

@@ -23,9 +23,10 @@ CELL_TYPE = T.StructType([T.StructField("col", T.StringType()), T.StructField("v
 
 
 def _last_wins(cells: Column) -> Column:
-    """Keep the last cell of each column name (dict semantics)."""
-    idx = F.transform(cells, lambda c, i: F.struct(c["col"].alias("k"), i.alias("i")))
-    return F.filter(cells, lambda c, i: ~F.exists(idx, lambda x: (x["k"] == c["col"]) & (x["i"] > i)))
+    """Keep the last cell of each column name (dict semantics).  ``cells``
+    should be a column reference: it is read once per element."""
+    return F.filter(cells, lambda c, i: ~F.exists(F.slice(cells, i + 2, F.size(cells)),
+                                                  lambda x: x["col"] == c["col"]))
 
 
 def export_cells(records: DataFrame, table_names: Column | None = None, selected: list[str] | None = None,
@@ -37,48 +38,59 @@ def export_cells(records: DataFrame, table_names: Column | None = None, selected
     when selected (all when ``selected`` is None) and it either has
     sub-attributes (-> ``name[sub]`` columns) or is not table-typed
     (-> ``name``).  Repeated names among emitted attributes get ``_2``,
-    ``_3`` ... in array order."""
-    a = A.safe_attrs("attributes")
+    ``_3`` ... in array order.
+
+    Built in stages (one projection each) so that every intermediate
+    array is computed once per record and referenced, not re-inlined
+    into the later lambdas."""
     tn = table_names if table_names is not None else F.array().cast("array<string>")
     sel = F.array(*[F.lit(s) for s in selected]) if selected else None
 
     def info(x):
         nm = F.regexp_replace(x["key"], " ", "")
         has_subs = F.coalesce(F.size(x["subattributes"]) > 0, F.lit(False))
-        is_table = F.array_contains(tn, nm)
         chosen = F.lit(True) if sel is None else F.array_contains(sel, nm)
         return F.struct(nm.alias("nm"), has_subs.alias("has_subs"),
-                        (chosen & (has_subs | ~is_table)).alias("emit"))
-
-    infos = F.transform(a, info)
-
-    def cells_of(x, i):
-        me = F.get(infos, i)
-        nm = me["nm"]
-        before = F.size(F.filter(F.slice(infos, 1, i), lambda y: y["emit"] & (y["nm"] == nm)))
-        col = F.when(before == 0, nm).otherwise(F.concat(nm, F.lit("_"), (before + 1).cast("string")))
-        subs = F.transform(F.coalesce(x["subattributes"], F.array().cast(SUBS_TYPE)),
-                           lambda s: F.struct(F.concat(col, F.lit("["), s["key"], F.lit("]")).alias("col"),
-                                              s["value"].alias("val"), F.lit(2).alias("kind"), i.alias("pos")))
-        plain = F.array(F.struct(col.alias("col"), x["value"].alias("val"), F.lit(1).alias("kind"), i.alias("pos")))
-        return F.when(~me["emit"], F.array().cast(T.ArrayType(CELL_TYPE))) \
-            .when(me["has_subs"], subs.cast(T.ArrayType(CELL_TYPE))).otherwise(plain.cast(T.ArrayType(CELL_TYPE)))
-
-    body = F.flatten(F.transform(a, cells_of))
+                        (chosen & (has_subs | ~F.array_contains(F.col("_tn"), nm))).alias("emit"),
+                        x["value"].alias("value"), x["subattributes"].alias("subs"))
+
+    s1 = records.select("record_id", "record_group_id", "filename", tn.alias("_tn"),
+                        F.transform(A.safe_attrs("attributes"), info).alias("_i"))
+
+    def named(y, i):
+        before = F.size(F.filter(F.slice(F.col("_i"), 1, i), lambda z: z["emit"] & (z["nm"] == y["nm"])))
+        col = F.when(before == 0, y["nm"]).otherwise(F.concat(y["nm"], F.lit("_"), (before + 1).cast("string")))
+        return y.withField("col", col).withField("pos", i)
+
+    s2 = s1.select("record_id", "record_group_id", "filename", F.transform("_i", named).alias("_n"))
+    cell_arr = T.ArrayType(CELL_TYPE)
+
+    def cells_of(y):
+        subs = F.transform(F.coalesce(y["subs"], F.array().cast(SUBS_TYPE)),
+                           lambda s: F.struct(F.concat(y["col"], F.lit("["), s["key"], F.lit("]")).alias("col"),
+                                              s["value"].alias("val"), F.lit(2).alias("kind"), y["pos"].alias("pos")))
+        plain = F.array(F.struct(y["col"].alias("col"), y["value"].alias("val"), F.lit(1).alias("kind"),
+                                 y["pos"].alias("pos")))
+        return F.when(~y["emit"], F.array().cast(cell_arr)).when(y["has_subs"], subs.cast(cell_arr)) \
+            .otherwise(plain.cast(cell_arr))
+
     file_cell = F.array(F.struct(F.lit("file").alias("col"), F.coalesce(F.col("filename"), F.lit("")).alias("val"),
                                  F.lit(0).alias("kind"), F.lit(-1).alias("pos")).cast(CELL_TYPE))
     url_cell = F.array(F.struct(F.lit("URL").alias("col"),
                                 F.concat(F.lit(origin + "/record/"), F.col("record_id").cast("string")).alias("val"),
                                 F.lit(3).alias("kind"), F.lit(-1).alias("pos")).cast(CELL_TYPE))
-    return records.select("record_id", "record_group_id",
-                          _last_wins(F.concat(file_cell, body, url_cell)).alias("cells"))
+    s3 = s2.select("record_id", "record_group_id",
+                   F.concat(file_cell, F.flatten(F.transform("_n", cells_of)), url_cell).alias("_c"))
+    return s3.select("record_id", "record_group_id", _last_wins(F.col("_c")).alias("cells"))
 
 
 def export_columns(cells: DataFrame) -> list[str]:
     """Column order = file, attributes in first-seen order, sub
     columns in first-seen order, URL.  First seen = smallest (record id,
     position).  The aggregate output is one row per distinct column."""
-    c = cells.select("record_id", F.inline("cells"))
+    # outer generator: the non-outer one makes Spark infer a size(cells) > 0
+    # filter that inlines the whole cell expression into the scan filter
+    c = cells.select("record_id", F.inline_outer("cells")).where(F.col("col").isNotNull())
     order = (c.groupBy("col").agg(F.min(F.struct("kind", "record_id", "pos")).alias("o"))
               .orderBy("o.kind", "o.record_id", "o.pos", "col"))
     return [r["col"] for r in order.select("col").collect()]
@@ -112,7 +124,7 @@ def export_manifest(records: DataFrame) -> DataFrame:
     files = F.array_distinct(F.coalesce("image_files", F.array().cast("array<string>")))
     pages = records.select("record_id", "record_group_id",
                            F.coalesce("name", F.col("record_id").cast("string")).alias("record_name"),
-                           F.explode(files).alias("f"))
+                           F.explode_outer(files).alias("f")).where(F.col("f").isNotNull())
     return pages.select(
         F.concat_ws("/", F.lit("uploads"), "record_group_id", F.col("record_id").cast("string"), "f").alias("blob_key"),
         F.concat(F.lit("documents/"), F.col("record_name"), F.lit("/"),

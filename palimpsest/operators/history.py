@@ -35,7 +35,7 @@ def history_long(history: DataFrame) -> DataFrame:
     for col in ("query", "previous_state"):
         m = F.try_variant_get(F.try_parse_json(F.col(col)), "$", "map<string,variant>")
         parts.append(history.select("history_id", "record_id", "action", "ts", F.lit(col).alias("field"),
-                                    F.explode(m).alias("path", "_v")))
+                                    F.explode_outer(m).alias("path", "_v")).where(F.col("path").isNotNull()))
     u = parts[0].unionByName(parts[1])
     vt = F.schema_of_variant("_v")
     numeric = vt.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | vt.startswith("DECIMAL") | vt.isin("DOUBLE", "FLOAT")

@@ -149,8 +149,9 @@ def navigate(df: DataFrame, target_id, scope: list[str], sort=("dateCreated", 1)
 def ordinal_names(attrs="attributes", strip_spaces: bool = True) -> Column:
     """Per attribute position the export name: key, key_2, key_3 ... in
     array order for repeated keys (spaces removed first when asked)."""
-    a = A.safe_attrs(attrs)
-    keys = a.getField("key")
+    keys = A.field(attrs, "key")
+    # regexp_replace on the whole array at once (array_join/split would
+    # break on keys holding the separator), then number repeats
     keys = F.transform(keys, lambda k: F.regexp_replace(k, " ", "")) if strip_spaces else keys
 
     def name(k, i):

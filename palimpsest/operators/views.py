@@ -75,7 +75,9 @@ def attributes_long(records: DataFrame, keep=("record_group_id",)) -> DataFrame:
         return F.concat(me, subs)
 
     flat = F.flatten(F.transform(A.safe_attrs("attributes"), rows))
-    return records.select("record_id", *keep, F.inline(flat))
+    # outer generator + filter: the plain one makes Spark infer a
+    # size(...) > 0 filter that re-inlines the whole array expression
+    return records.select("record_id", *keep, F.inline_outer(flat)).where(F.col("attr_pos").isNotNull())
 
 
 def column_catalog(record_groups: DataFrame, processors: DataFrame) -> DataFrame:

@@ -109,7 +109,8 @@ def _cleaned_long(spark, sf):
                            lambda s, j: row(s, j, s["uncleaned_value"]))
         return F.concat(me, subs)
 
-    return out.select("record_id", F.inline(F.flatten(F.transform("attributes", rows))))
+    return out.select("record_id", F.inline_outer(F.flatten(F.transform("attributes", rows)))) \
+        .where(F.col("attr_pos").isNotNull())
 
 
 @query("clean_records", CLEAN_SQL, ops=("C1", "C2", "C3", "A7", "J6"))
@@ -153,5 +154,5 @@ def q_clean_audit(spark, sf):
                                                  q["sa"]["value"].alias("value_after")))
         return F.concat(top, subs)
 
-    long = out.select("record_id", F.inline(F.flatten(F.transform(z, rows))))
+    long = out.select("record_id", F.inline_outer(F.flatten(F.transform(z, rows)))).where(F.col("attr_pos").isNotNull())
     return long.where(~F.col("value_before").eqNullSafe(F.col("value_after")))

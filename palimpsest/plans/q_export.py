@@ -61,7 +61,7 @@ cells AS (
 @query("export_cells", with_model(_CELLS_SQL + "SELECT record_id, col AS column_name, val AS value FROM cells",
                                   "recs", "subs", "groups", "processors", "schema"), ops=("X1", "W3", "P10", "Q-6"))
 def q_export_cells(spark, sf):
-    return _export_cells(spark, sf).select("record_id", F.inline("cells")) \
+    return _export_cells(spark, sf).select("record_id", F.inline_outer("cells")).where(F.col("col").isNotNull()) \
         .select("record_id", F.col("col").alias("column_name"), F.col("val").alias("value"))
 
 
@@ -95,7 +95,8 @@ def q_export_json(spark, sf):
     scoped = recs.join(groups.where(F.col("project_id") == EXPORT_PROJECT).select("record_group_id"),
                        "record_group_id", "left_semi")
     j = X.export_json(scoped)
-    kv = j.select("record_id", F.explode("entries").alias("key", "a")).select("record_id", "key",
+    kv = j.select("record_id", F.explode_outer("entries").alias("key", "a")).where(F.col("key").isNotNull()) \
+        .select("record_id", "key",
                                                                              F.col("a.value").alias("value"))
     return kv.unionByName(j.select("record_id", F.lit("file").alias("key"), F.col("file").alias("value")))
 

@@ -21,7 +21,7 @@ FROM attrs a WHERE a.record_id % 97 <> 0
 """, "attrs"), ops=("S4", "E1", "Q-1"))
 def q_extract_attributes(spark, sf):
     ex = E.extract_attributes(M.load_payloads(spark, sf))
-    rows = ex.select("record_id", F.posexplode("attributes").alias("attr_pos", "a"))
+    rows = ex.select("record_id", F.posexplode_outer("attributes").alias("attr_pos", "a")).where(F.col("a").isNotNull())
     sub0 = F.get(F.col("a.subattributes"), 0)
     return rows.select("record_id", F.col("attr_pos").cast("int").alias("attr_pos"), F.col("a.key").alias("key"),
                        F.col("a.value").alias("value"), F.col("a.raw_text").alias("raw_text"),
