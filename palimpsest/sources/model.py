@@ -448,6 +448,16 @@ def load_storage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extraction responses as stored files (derived once, see
+    ``store``); the service's output is a file per document in practice."""
+    from . import store
+    if not store.enabled():
+        return build_payloads(spark, sf_dir)
+    return store.stored_table(spark, "payloads", [f"{sf_dir.rstrip('/')}/lineitem.parquet"],
+                              lambda: build_payloads(spark, sf_dir))
+
+
+def build_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extraction-service responses derived from line items: one JSON
     document per order listing its entities (type, mention text,
     normalised text for dates, confidence, a five-vertex polygon, and two
