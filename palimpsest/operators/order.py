@@ -60,15 +60,11 @@ def page_records(df: DataFrame, page: int | None, per_page: int | None, sort=("d
     return out.offset(page * per_page).limit(per_page) if page else out.limit(per_page)
 
 
-def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secondary=None,
-                 id_col="record_id") -> DataFrame:
-    """Within each scope, ``rank`` (1-based), ``prev_id``, ``next_id``,
-    ``first_id``, ``last_id`` over the sorted selection.
-
-    Partitioned by the scope so no window runs over the whole table.  The
-    first/last ids come from an aggregate (partial + final, skew-safe)
-    joined back on the scope, rather than from an unbounded window frame
-    that would buffer a whole scope in one task."""
+def rank_records_window(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secondary=None,
+                        id_col="record_id") -> DataFrame:
+    """W1 with a window partitioned by the scope: simple, but a scope
+    holding a large share of all rows lands in one task.  Kept as the
+    reference form for tests; ``rank_records`` is the skew-safe one."""
     order = order_columns(sort, secondary, id_col)
     w = Window.partitionBy(*scope).orderBy(*order)
     ranked = (df.withColumn("rank", F.row_number().over(w))
@@ -78,6 +74,87 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
     return ranked.join(ends, scope, "left")
 
 
+def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secondary=None,
+                 id_col="record_id", partitions: int | None = None) -> DataFrame:
+    """Within each scope, ``rank`` (1-based), ``prev_id``, ``next_id``,
+    ``first_id``, ``last_id`` over the sorted selection -- skew-safe.
+
+    1. range-partition (scope, sort keys, id) and sort inside partitions:
+       a scope holding a third of all rows is spread over many tasks;
+    2. per partition (Arrow batches, pandas): running rank, prev / next and
+       first / last id of each scope *within* the partition;
+    3. only scopes cut by a partition boundary need a fix-up; each partition
+       has at most two (its first and last scope), so their per-partition
+       counts and end ids form a table of at most 2 x partitions rows,
+       turned into offsets with a small window and broadcast back (a
+       proven size bound).
+    Returns (id, scope..., rank, prev_id, next_id, first_id, last_id)."""
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    order = order_columns(sort, secondary, id_col)
+    keys = [sort_key(sort[0])] + ([sort_key(secondary)] if secondary else [])
+    desc = _dir(sort[1]) == -1
+    base = df.select(*scope, *[k.alias(f"_k{i}") for i, k in enumerate(keys)], F.col(id_col).alias("_id"))
+    korder = [(F.col(f"_k{i}").desc() if desc else F.col(f"_k{i}").asc()) for i in range(len(keys))]
+    full_order = [F.col(c).asc() for c in scope] + korder + [F.col("_id").asc()]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = base.repartitionByRange(n, *full_order).sortWithinPartitions(*full_order)
+    _ = order
+
+    scope_fields = [base.schema[c] for c in scope]
+    out_schema = T.StructType(scope_fields + [
+        T.StructField("_id", T.LongType()), T.StructField("_pid", T.IntegerType()),
+        T.StructField("_rank", T.LongType()), T.StructField("_prev", T.LongType()),
+        T.StructField("_next", T.LongType()), T.StructField("_pfirst", T.LongType()),
+        T.StructField("_plast", T.LongType()), T.StructField("_edge", T.BooleanType())])
+    scope_cols = list(scope)
+
+    def local(batches):
+        from pyspark import TaskContext
+        frames = [b for b in batches]
+        if not frames:
+            return
+        pdf = pd.concat(frames, ignore_index=True)
+        if pdf.empty:
+            return
+        # one group key per row (NULL scopes form a group of their own)
+        gkey = pdf[scope_cols].astype(object).where(pdf[scope_cols].notna(), "\x00<null>")
+        gk = gkey.apply(tuple, axis=1) if len(scope_cols) > 1 else gkey[scope_cols[0]]
+        g = pdf["_id"].groupby(gk, sort=False)
+        out = pdf[scope_cols].copy()
+        out["_id"] = pdf["_id"].astype("int64")
+        out["_pid"] = TaskContext.get().partitionId()
+        out["_rank"] = (g.cumcount() + 1).astype("int64")
+        out["_prev"] = g.shift(1).astype("Int64")
+        out["_next"] = g.shift(-1).astype("Int64")
+        out["_pfirst"] = g.transform("first").astype("int64")
+        out["_plast"] = g.transform("last").astype("int64")
+        out["_edge"] = (gk == gk.iloc[0]) | (gk == gk.iloc[-1])
+        yield out
+
+    loc = ranged.mapInPandas(local, out_schema)
+    edges = (loc.where("_edge").groupBy("_pid", *scope)
+                .agg(F.count(F.lit(1)).alias("_cnt"), F.first("_pfirst").alias("_bf"), F.first("_plast").alias("_bl")))
+    w = Window.partitionBy(*scope).orderBy("_pid")
+    wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    fix = edges.select(
+        F.col("_pid").alias("_fpid"), *[F.col(c).alias(f"_s_{c}") for c in scope],
+        F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.lag("_bl").over(w).alias("_pl"), F.lead("_bf").over(w).alias("_nf"),
+        F.first("_bf").over(wall).alias("_sf"), F.last("_bl").over(wall).alias("_sl"))
+    # at most two rows per range partition: broadcast is size-bounded
+    cond = [F.col("_pid") == F.col("_fpid")] + [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in scope]
+    j = loc.join(F.broadcast(fix), cond, "left")
+    return j.select(
+        F.col("_id").alias(id_col), *scope,
+        (F.col("_rank") + F.coalesce(F.col("_off"), F.lit(0))).alias("rank"),
+        F.coalesce(F.col("_prev"), F.col("_pl")).alias("prev_id"),
+        F.coalesce(F.col("_next"), F.col("_nf")).alias("next_id"),
+        F.coalesce(F.col("_sf"), F.col("_pfirst")).alias("first_id"),
+        F.coalesce(F.col("_sl"), F.col("_plast")).alias("last_id"))
+
+
 def _sort_struct(sort, secondary, id_col) -> tuple[Column, bool]:
     """A struct whose natural (ascending, nulls first) order is the sort
     order; for descending sorts the struct is compared reversed."""
