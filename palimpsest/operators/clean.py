@@ -18,10 +18,13 @@ from ..sources.model import SUBS_TYPE
 from .schema import schema_by_group
 
 
-def _prepare(x: Column, lookup_key: Column, fns: Column) -> Column:
+def _prepare(x: Column, lookup_key: Column, fns: Column, only=None) -> Column:
     """Pass 1 per element: look the function up and run it once."""
     fn = F.element_at(fns, lookup_key)
-    return F.struct(x.alias("x"), F.map_contains_key(fns, lookup_key).alias("in_schema"), fn.alias("fn"),
+    hit = F.map_contains_key(fns, lookup_key)
+    if only is not None:
+        hit = hit & only(x)
+    return F.struct(x.alias("x"), hit.alias("in_schema"), fn.alias("fn"),
                     run_cleaner(fn, x["value"]).alias("res"))
 
 
@@ -43,7 +46,7 @@ def _apply(p: Column, now: Column) -> Column:
              .withField("last_cleaned", F.when(ok, now).otherwise(x["last_cleaned"])))
 
 
-def clean_attributes(attrs: Column, fns: Column, now: Column | None = None) -> Column:
+def clean_attributes(attrs: Column, fns: Column, now: Column | None = None, only=None) -> Column:
     """C2 over one attribute array; ``fns`` is MAP<name, cleaning_function>.
 
     Two passes of ``transform``: the first runs each element's cleaner
@@ -52,8 +55,8 @@ def clean_attributes(attrs: Column, fns: Column, now: Column | None = None) -> C
 
     def prep(a):
         subs = F.transform(a["subattributes"], lambda s: _prepare(
-            s, F.concat(F.coalesce(s["top_level_attribute"], a["key"]), F.lit("::"), s["key"]), fns))
-        return F.struct(_prepare(a, a["key"], fns).alias("p"), subs.alias("subs"))
+            s, F.concat(F.coalesce(s["top_level_attribute"], a["key"]), F.lit("::"), s["key"]), fns, only))
+        return F.struct(_prepare(a, a["key"], fns, only).alias("p"), subs.alias("subs"))
 
     def fin(q):
         return _apply(q["p"], now).withField("subattributes", F.transform(q["subs"], lambda s: _apply(s, now)))

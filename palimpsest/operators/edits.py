@@ -44,8 +44,13 @@ def _set_sub(a: Column, sub_idx: Column, fn) -> Column:
                                                     .otherwise(s)))
 
 
-def _step(acc: Column, e: Column) -> Column:
-    """One edit applied to the accumulator (attrs, history)."""
+DIRTY = "\u0000edited"
+
+
+def _step(acc: Column, e: Column, fns: bool = False) -> Column:
+    """One edit applied to the accumulator (attrs, history).  With
+    ``fns`` (MAP<name, cleaning_function>) a replaced value is cleaned
+    before it is stored (M7)."""
     a, h = acc["a"], acc["h"]
     idx, sub = e["idx"], e["sub_idx"]
     n = F.size(a)
@@ -54,8 +59,11 @@ def _step(acc: Column, e: Column) -> Column:
     prev_val = F.when(is_sub, F.get(target["subattributes"], sub)["value"]).otherwise(target["value"])
 
     def replaced(x):
-        return (x.withField("value", e["payload"]).withField("edited", F.lit(True))
-                 .withField("last_updated", e["ts"]).withField("last_updated_user", e["user"]))
+        y = (x.withField("value", e["payload"]).withField("edited", F.lit(True))
+              .withField("last_updated", e["ts"]).withField("last_updated_user", e["user"]))
+        # M7: mark the value; it is cleaned after the fold (cleaning inside
+        # the fold lambda would copy the cleaner expressions per branch)
+        return y.withField("value_type", F.lit(DIRTY)) if fns else y
 
     def coords(x):
         return (x.withField("user_provided_coordinates", e["coords"]).withField("page", e["page"])
@@ -99,19 +107,22 @@ def _step(acc: Column, e: Column) -> Column:
     return F.struct(new_a.cast(ATTRS_TYPE).alias("a"), F.concat(h, rec).cast(PREV_TYPE).alias("h"))
 
 
-def fold_edits(attrs: Column, edits: Column) -> Column:
+def fold_edits(attrs: Column, edits: Column, mark: bool = False) -> Column:
     """Apply a sorted array of edit structs to one attribute array."""
     init = F.struct(A.safe_attrs(attrs).alias("a"), F.array().cast(PREV_TYPE).alias("h")).cast(ACC_TYPE)
-    return F.aggregate(edits, init, _step)
+    return F.aggregate(edits, init, lambda acc, e: _step(acc, e, mark))
 
 
 EDIT_COLS = ["seq", "op", "idx", "sub_idx", "payload", "user", "ts", "coords", "page"]
 
 
-def apply_edits(records: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """M1-M4, M8: (new records, history rows with previous values).
+def apply_edits(records: DataFrame, edits: DataFrame, clean_with: DataFrame | None = None
+                ) -> tuple[DataFrame, DataFrame]:
+    """M1-M4, M7, M8: (new records, history rows with previous values).
 
-    ``edits`` may omit ``sub_idx``, ``coords`` and ``page``."""
+    ``edits`` may omit ``sub_idx``, ``coords`` and ``page``.  With
+    ``clean_with`` = (record_group_id, fns) from ``clean.schema_functions``
+    replaced values are cleaned before they are stored (M7)."""
     e = edits
     for c, t in (("sub_idx", "int"), ("coords", "array<array<double>>"), ("page", "int")):
         if c not in e.columns:
@@ -121,11 +132,24 @@ def apply_edits(records: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFr
     batch = (e.groupBy("record_id")
               .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in EDIT_COLS]))).alias("_edits")))
     j = records.join(batch, "record_id", "left")
+    fns = None
+    if clean_with is not None:
+        j = j.join(clean_with.select("record_group_id", F.col("fns").alias("_fns")), "record_group_id", "left")
+        fns = F.coalesce(F.col("_fns"), F.create_map().cast("map<string,string>"))
     folded = fold_edits(F.col("attributes"), F.coalesce(F.col("_edits"), F.array().cast(
-        T.ArrayType(batch.schema["_edits"].dataType.elementType))))
+        T.ArrayType(batch.schema["_edits"].dataType.elementType))), fns is not None)
     out = j.withColumn("_f", F.when(F.col("_edits").isNotNull(), folded))
-    new_records = out.withColumn("attributes", F.coalesce(F.col("_f.a"), F.col("attributes"))) \
-                     .withColumn("edited_now", F.col("_edits").isNotNull()).drop("_f", "_edits")
+    new_records = out.withColumn("attributes", F.coalesce(F.col("_f.a"), F.col("attributes")))
+    if fns is not None:
+        from .clean import clean_attributes
+        marked = lambda x: F.coalesce(x["value_type"] == F.lit(DIRTY), F.lit(False))
+        new_records = new_records.withColumn("attributes", clean_attributes(F.col("attributes"), fns, only=marked))
+
+        def unmark(x):
+            return x.withField("value_type", F.when(marked(x), F.lit("string")).otherwise(x["value_type"]))
+        new_records = new_records.withColumn("attributes", F.transform("attributes", lambda a: unmark(a).withField(
+            "subattributes", F.transform(a["subattributes"], unmark))))
+    new_records = new_records.withColumn("edited_now", F.col("_edits").isNotNull()).drop("_f", "_edits", "_fns")
     history = (out.where(F.col("_edits").isNotNull())
                   .select("record_id", "record_group_id", F.inline_outer("_f.h"))
                   .where(F.col("seq").isNotNull()))

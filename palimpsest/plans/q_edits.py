@@ -251,3 +251,30 @@ def q_record_history(spark, sf):
 
 
 _ = Window
+
+
+@query("coordinate_edits", with_model("""
+SELECT record_id, pos AS attr_pos, CAST(l_linenumber AS INTEGER) AS page, CAST(4 AS INTEGER) AS n_coords,
+       TRUE AS edited, 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS last_updated_user
+FROM attrs WHERE l_partkey % 50 = 1
+""", "attrs"), ops=("M4",))
+def q_coordinate_edits(spark, sf):
+    li = M.table(spark, sf, "lineitem")
+    w = Window.partitionBy("l_orderkey").orderBy(*M.POSITION_ORDER)
+    pos = li.withColumn("pos", (F.row_number().over(w) - 1).cast("int"))
+    x = F.col("l_linenumber").cast("double") / 10.0
+    edits = pos.where(F.pmod("l_partkey", F.lit(50)) == 1).select(
+        F.col("l_orderkey").alias("record_id"), F.col("pos").alias("seq"), F.lit("coordinates").alias("op"),
+        F.col("pos").alias("idx"), F.lit(None).cast("string").alias("payload"),
+        M.user_email(F.col("l_suppkey")).alias("user"), F.col("l_shipdate").alias("ts"),
+        F.array(F.array(x, F.lit(0.1)), F.array(x + 0.1, F.lit(0.1)), F.array(x + 0.1, F.lit(0.2)),
+                F.array(x, F.lit(0.2))).alias("coords"),
+        F.col("l_linenumber").cast("int").alias("page"))
+    new, hist = ED.apply_edits(M.load_records(spark, sf), edits)
+    touched = hist.select("record_id", F.col("idx").alias("attr_pos")).distinct()
+    rows = new.where("edited_now").select("record_id", F.posexplode_outer("attributes").alias("attr_pos", "a")) \
+        .where(F.col("a").isNotNull())
+    return (rows.join(touched, ["record_id", "attr_pos"], "left_semi")
+                .select("record_id", F.col("attr_pos").cast("int").alias("attr_pos"), F.col("a.page").alias("page"),
+                        F.size("a.user_provided_coordinates").alias("n_coords"), F.col("a.edited").alias("edited"),
+                        F.col("a.last_updated_user").alias("last_updated_user")))

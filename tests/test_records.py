@@ -164,3 +164,17 @@ def test_skew_safe_rank_matches_window(spark):
         b = O.rank_records_window(df, ["scope"], sort=("dateCreated", direction))
         cols = ["record_id", "scope", "rank", "prev_id", "next_id", "first_id", "last_id"]
         assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+
+
+def test_edit_recleans_field_m7(spark, recs):
+    e = spark.createDataFrame([(1, 1, "replace", 0, None, "4,2 ft", "u"), (1, 2, "replace", 1, None, "abc", "u"),
+                               (1, 3, "replace", 2, 0, "7", "u")],
+                              "record_id long, seq long, op string, idx int, sub_idx int, payload string, user string")
+    e = e.withColumn("ts", F.current_timestamp())
+    fns = spark.createDataFrame([("g1", {"T": "string_to_int", "Sec": "string_to_float", "P::Sec": "clean_bool"})],
+                                "record_group_id string, fns map<string,string>")
+    new, _ = ED.apply_edits(recs, e, clean_with=fns)
+    a = new.where("record_id = 1").first()["attributes"]
+    assert (a[0]["value"], a[0]["value_type"], a[0]["cleaned"]) == ("42", "int", True)
+    assert a[1]["value"] == "abc" and a[1]["cleaning_error"].startswith("string_to_float")
+    assert a[2]["subattributes"][0]["cleaning_error"].startswith("clean_bool")
