@@ -184,7 +184,9 @@ def record_filter(spec: dict | None, schema: T.StructType) -> Column:
 def active_locks(locks, as_of: datetime, lifetime_s: int = 120):
     """F8: locks still valid at ``as_of`` (``timestamp + 120 s >= t``;
     expired is strict ``<``).  Returns every lock with its state."""
-    t = F.lit(as_of).cast("timestamp")
+    # as text -> the timestamp type of the lock column: independent of the
+    # session time zone (the stored times have no zone)
+    t = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     expires = F.col("timestamp") + F.expr(f"INTERVAL {int(lifetime_s)} SECONDS")
     return locks.select("*", expires.alias("expires_at"), (expires >= t).alias("active"))
 
