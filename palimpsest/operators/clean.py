@@ -95,3 +95,40 @@ def clean_records(records: DataFrame, record_groups: DataFrame, processors: Data
              .withColumn("attributes", new)
              .withColumn("audit_after", kv(F.col("attributes")))
              .drop("fns"))
+
+
+def clean_long(records: DataFrame, record_groups: DataFrame, processors: DataFrame,
+               now: Column | None = None) -> DataFrame:
+    """C2 in long form: one row per attribute and sub-attribute with its
+    cleaned state.  Same rules as ``clean_records``, but the cleaner runs on
+    a flat column (whole-stage code generation) instead of inside a
+    higher-order function, which Spark evaluates without codegen.  Use it
+    when rows are the answer (audits, summaries, exports)."""
+    from .views import attributes_long
+    now = F.current_timestamp() if now is None else now
+    fns = schema_functions(record_groups, processors)
+    long = attributes_long(records, keep=("record_group_id",), extra=("value_type", "cleaned"))
+    j = long.join(fns, "record_group_id", "left")
+    lookup = F.when(F.col("sub_pos").isNull(), F.col("key")) \
+        .otherwise(F.concat(F.col("top_level_attribute"), F.lit("::"), F.col("key")))
+    fmap = F.coalesce(F.col("fns"), F.create_map().cast("map<string,string>"))
+    # two projections: the cleaner result is computed once into a column,
+    # then read several times (one CASE per output column would otherwise
+    # repeat it)
+    j = j.select("*", F.element_at(fmap, lookup).alias("_fn"), F.map_contains_key(fmap, lookup).alias("_in"))
+    j = j.select("*", run_cleaner(F.col("_fn"), F.col("value")).alias("_res"))
+    fn, res = F.col("_fn"), F.col("_res")
+    st = clean_state(fn, F.col("value"), res)
+    act = F.col("_in") & (st != "skip")
+    ok = act & (st == "ok")
+    err = act & (st == "error")
+    return j.select(
+        "record_id", "record_group_id", "attr_pos", "sub_pos", "key",
+        F.col("value").alias("value_before"),
+        F.when(ok, res["value"]).otherwise(F.col("value")).alias("value"),
+        F.when(ok, res["value_type"]).otherwise(F.col("value_type")).alias("value_type"),
+        F.when(act, ok).otherwise(F.col("cleaned")).alias("cleaned"),
+        F.when(act, F.lit(True)).otherwise(F.col("cleaning_checked")).alias("cleaning_checked"),
+        F.when(err, error_message(fn, F.col("value"))).when(act, F.lit(None).cast("string"))
+         .otherwise(F.col("cleaning_error")).alias("cleaning_error"),
+        F.when(ok, now).alias("last_cleaned"))

@@ -52,7 +52,7 @@ def record_count(records: DataFrame, cond: Column | None = None) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("record_count"))
 
 
-def attributes_long(records: DataFrame, keep=("record_group_id",)) -> DataFrame:
+def attributes_long(records: DataFrame, keep=("record_group_id",), extra=()) -> DataFrame:
     """P10: one row per attribute and per sub-attribute.
 
     A single generator over one array per record (attribute row followed by
@@ -64,14 +64,16 @@ def attributes_long(records: DataFrame, keep=("record_group_id",)) -> DataFrame:
                               F.lit(None).cast("string").alias("top_level_attribute"),
                               a["cleaning_checked"].alias("cleaning_checked"),
                               a["cleaning_error"].alias("cleaning_error"),
-                              a["edited"].alias("edited"), a["user_added"].alias("user_added")))
+                              a["edited"].alias("edited"), a["user_added"].alias("user_added"),
+                              *[a[c].alias(c) for c in extra]))
         subs = F.transform(F.coalesce(a["subattributes"], F.array().cast(SUBS_TYPE)),
                            lambda s, j: F.struct(i.alias("attr_pos"), j.alias("sub_pos"),
                                                  s["key"].alias("key"), s["value"].alias("value"),
                                                  s["top_level_attribute"].alias("top_level_attribute"),
                                                  s["cleaning_checked"].alias("cleaning_checked"),
                                                  s["cleaning_error"].alias("cleaning_error"),
-                                                 s["edited"].alias("edited"), s["user_added"].alias("user_added")))
+                                                 s["edited"].alias("edited"), s["user_added"].alias("user_added"),
+                                                 *[s[c].alias(c) for c in extra]))
         return F.concat(me, subs)
 
     flat = F.flatten(F.transform(A.safe_attrs("attributes"), rows))

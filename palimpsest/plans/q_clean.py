@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..operators import clean as CL
 from ..sources import model as M
-from ..sources.model import SUBS_TYPE
 from .oracle_base import with_model
 from .registry import query
 
@@ -96,21 +95,8 @@ SELECT record_id, attr_pos, sub_pos, key, value, value_type, cleaned, cleaning_c
 
 
 def _cleaned_long(spark, sf):
-    out = CL.clean_records(M.load_records(spark, sf), M.load_record_groups(spark, sf), M.load_processors(spark, sf))
-
-    def rows(a, i):
-        def row(x, sub_pos, before):
-            return F.struct(i.alias("attr_pos"), sub_pos.alias("sub_pos"), x["key"].alias("key"),
-                            before.alias("value_before"), x["value"].alias("value"),
-                            x["value_type"].alias("value_type"), x["cleaned"].alias("cleaned"),
-                            x["cleaning_checked"].alias("cleaning_checked"), x["cleaning_error"].alias("cleaning_error"))
-        me = F.array(row(a, F.lit(None).cast("int"), a["uncleaned_value"]))
-        subs = F.transform(F.coalesce(a["subattributes"], F.array().cast(SUBS_TYPE)),
-                           lambda s, j: row(s, j, s["uncleaned_value"]))
-        return F.concat(me, subs)
-
-    return out.select("record_id", F.inline_outer(F.flatten(F.transform("attributes", rows)))) \
-        .where(F.col("attr_pos").isNotNull())
+    return CL.clean_long(M.load_records(spark, sf), M.load_record_groups(spark, sf), M.load_processors(spark, sf)) \
+        .drop("record_group_id", "last_cleaned")
 
 
 @query("clean_records", CLEAN_SQL, ops=("C1", "C2", "C3", "A7", "J6"))
@@ -140,8 +126,8 @@ FROM cleaned WHERE value IS DISTINCT FROM value_before
 
 @query("clean_audit", CLEAN_AUDIT_SQL, ops=("C2", "H1"))
 def q_clean_audit(spark, sf):
+    # the nested form (C2 on the record arrays) with its before/after lists
     out = CL.clean_records(M.load_records(spark, sf), M.load_record_groups(spark, sf), M.load_processors(spark, sf))
-    # audit arrays: (key, value, subattributes[(key, value)]) before / after
     z = F.arrays_zip(F.col("audit_before").alias("b"), F.col("audit_after").alias("a"))
 
     def rows(p, i):

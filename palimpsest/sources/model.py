@@ -453,8 +453,14 @@ def load_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import store
     if not store.enabled():
         return build_payloads(spark, sf_dir)
-    return store.stored_table(spark, "payloads", [f"{sf_dir.rstrip('/')}/lineitem.parquet"],
-                              lambda: build_payloads(spark, sf_dir))
+    return spark.read.parquet(payloads_path(spark, sf_dir))
+
+
+def payloads_path(spark: SparkSession, sf_dir: str) -> str:
+    """Directory of the stored payload files (a file-stream source)."""
+    from . import store
+    return store.stored_path(spark, "payloads", [f"{sf_dir.rstrip('/')}/lineitem.parquet"],
+                             lambda: build_payloads(spark, sf_dir))
 
 
 def build_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,6 +61,13 @@ def stored_table(spark: SparkSession, name: str, inputs: list[str], build: Calla
                  layout: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Return the stored table ``name`` derived from ``inputs``, building
     and writing it first when it does not exist yet."""
+    return spark.read.parquet(stored_path(spark, name, inputs, build, layout))
+
+
+def stored_path(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame],
+                layout: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """Path of the stored table (built first when missing); usable as a
+    file-stream source directory."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/palimpsest-store"
     final = f"{root}/{name}-{fingerprint(spark, inputs)}"
     if not _exists(spark, f"{final}/_SUCCESS"):
@@ -71,7 +78,7 @@ def stored_table(spark: SparkSession, name: str, inputs: list[str], build: Calla
         _, dst = _fs(spark, final)
         if not fs.rename(src, dst) and not _exists(spark, f"{final}/_SUCCESS"):
             raise RuntimeError(f"could not publish stored table {final}")
-    return spark.read.parquet(final)
+    return final
 
 
 def cluster_by_group(df: DataFrame, partitions: int | None = None) -> DataFrame:

@@ -108,12 +108,21 @@ def ingest_batch(payloads: DataFrame, base_records: DataFrame, record_groups: Da
     return SC.reconcile(cleaned, record_groups, processors, mode="ingest")
 
 
-def stream_ingest(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
-    """Payload files -> extract -> clean -> reconcile -> append."""
+def stream_ingest(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """Payload files -> extract -> clean -> reconcile -> append.
+
+    Reads the stored payload files as they are; with ``files`` the
+    payloads are first re-staged into that many files, fed one per
+    micro-batch (tests)."""
     payloads = M.load_payloads(spark, sf_dir)
     work = _work_dir(spark, "ingest")
-    src_path = stage(payloads, f"{work}/src", files)
-    src = spark.readStream.schema(payloads.schema).option("maxFilesPerTrigger", 1).parquet(src_path)
+    if files:
+        src_path = stage(payloads, f"{work}/src", files)
+        r = spark.readStream.schema(payloads.schema).option("maxFilesPerTrigger", 1)
+    else:
+        src_path = M.payloads_path(spark, sf_dir)
+        r = spark.readStream.schema(payloads.schema)
+    src = r.parquet(src_path)
     base = M.load_records(spark, sf_dir, with_attributes=False).select("record_id", "record_group_id", "name",
                                                                        "filename", "status")
     groups = M.load_record_groups(spark, sf_dir)
