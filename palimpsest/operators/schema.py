@@ -51,7 +51,9 @@ def read_schema_csv(spark, path: str) -> DataFrame:
     def c(name):
         return F.col(name) if name in have else F.lit(None).cast("string")
 
+    part = [F.col("processor_id")] if "processor_id" in renamed.columns else []   # folder partition column
     return renamed.select(
+        *part,
         c("name").alias("name"), c("alias").alias("alias"),
         F.coalesce(F.nullif(c("data_type"), F.lit("")), c("google_data_type")).alias("data_type"),
         c("database_data_type").alias("database_data_type"), c("occurrence").alias("occurrence"),
@@ -68,11 +70,12 @@ def read_schema_json(spark, path: str) -> DataFrame:
     fields = JSON_KEYS + JSON_TYPE_ALIASES
     st = T.StructType([T.StructField(k, T.StringType()) for k in fields])
     text = spark.read.option("wholetext", True).text(path)
+    part = [c for c in text.columns if c == "processor_id"]      # partition column of a folder of files
     items = F.from_json(F.col("value"), T.ArrayType(T.StringType()))
-    rows = text.select(F.explode(items).alias("item")).where(F.ltrim("item").startswith("{"))
-    parsed = rows.select(F.from_json("item", st).alias("s")).select("s.*")
+    rows = text.select(*part, F.explode(items).alias("item")).where(F.ltrim("item").startswith("{"))
+    parsed = rows.select(*part, F.from_json("item", st).alias("s")).select(*part, "s.*")
     return parsed.select(
-        "name", "alias",
+        *part, "name", "alias",
         F.coalesce(F.nullif(F.col("data_type"), F.lit("")), *[F.col(f"`{k}`") for k in JSON_TYPE_ALIASES])
          .alias("data_type"),
         "database_data_type", "occurrence", "grouping",
@@ -255,8 +258,8 @@ def apply_schema_edits(schema_rows: DataFrame, edits: DataFrame) -> tuple[DataFr
         new = F.when(has, F.nullif(v, F.lit(""))).otherwise(keep)
         return new.cast("double").alias(f) if f == "page_order_sort" else new.alias(f)
 
-    kept = j.where(exists & ~(ok & (F.col("op") == "delete")))
-    is_upd = ok & (F.col("op") == "update") & F.col("_first")
+    kept = j.where(exists & ~(ok & F.coalesce(F.col("op") == "delete", F.lit(False))))
+    is_upd = ok & F.coalesce((F.col("op") == "update") & F.col("_first"), F.lit(False))
     updated = kept.select("processor_id", "pos", *[
         F.when(is_upd, upd(f)).otherwise(F.col(f)).alias(f) if f != "page_order_sort"
         else F.when(is_upd, upd(f)).otherwise(F.col(f)).cast("double").alias(f)

@@ -103,7 +103,7 @@ role_perms AS (
 
 # schema shared by the four processors: one row per schema attribute
 CTES["schema"] = """
-schema AS (
+schema0 AS (
   SELECT * FROM (VALUES
     ('T', 'number', 'string_to_int', 9.0, 0),
     ('Sec', 'number', 'string_to_float', 8.0, 1),
@@ -114,7 +114,11 @@ schema AS (
     ('Field 9', 'text', 'llm_clean', 1.0, 6),
     ('Field 3::Depth', 'number', 'string_to_float', NULL, 7),
     ('Field 3::Sec', 'number', 'string_to_int', NULL, 8)
-  ) AS t(name, data_type, cleaning_function, page_order_sort, name_pos)
+  ) AS t(name, data_type, cleaning_function, page_order_sort_dec, name_pos)
+),
+schema AS (
+  SELECT name, data_type, cleaning_function, CAST(page_order_sort_dec AS DOUBLE) AS page_order_sort, name_pos
+  FROM schema0
 )"""
 
 CTES["processors"] = """

@@ -159,3 +159,139 @@ def q_reconcile_ingest(spark, sf):
 
 
 _ = A
+
+
+def _schema_files(spark, sf, fmt: str) -> str:
+    """Write each processor's schema as the upload files the reference
+    accepts (CSV with the legacy headers, or a JSON list of objects) under
+    the checkpoint directory, and return the folder."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    rows = M.load_processors(spark, sf).select("processor_id", F.posexplode("attributes").alias("pos", "a"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/schema-files/{fmt}-{uuid.uuid4().hex[:12]}"
+    if fmt == "csv":
+        out = rows.select("processor_id", F.col("a.name").alias("Name"),
+                          F.col("a.data_type").alias("Google Data Type"),
+                          F.col("a.database_data_type").alias("Database Data Type"),
+                          F.col("a.page_order_sort").cast("string").alias("Page Order Sort"),
+                          F.col("a.cleaning_function").alias("Cleaning Function"))
+        out.write.partitionBy("processor_id").option("header", True).csv(path)
+    else:
+        # one JSON array per processor, as a schema upload file holds
+        objs = rows.groupBy("processor_id").agg(F.to_json(F.transform(
+            F.array_sort(F.collect_list(F.struct("pos", "a"))), lambda x: x["a"])).alias("value"))
+        objs.select("processor_id", "value").write.partitionBy("processor_id").text(path)
+    return path
+
+
+_SCHEMA_FILE_SQL = with_model("""
+SELECT p.processor_id, s.name, s.data_type, s.page_order_sort, s.cleaning_function
+FROM processors p CROSS JOIN schema s
+""", "processors", "schema")
+
+
+@query("read_schema_csv", _SCHEMA_FILE_SQL, ops=("S2", "P12"))
+def q_read_schema_csv(spark, sf):
+    path = _schema_files(spark, sf, "csv")
+    return SC.read_schema_csv(spark, path).select("processor_id", "name", "data_type", "page_order_sort",
+                                                  "cleaning_function")
+
+
+@query("read_schema_json", _SCHEMA_FILE_SQL, ops=("S3",))
+def q_read_schema_json(spark, sf):
+    path = _schema_files(spark, sf, "json")
+    return SC.read_schema_json(spark, path).select("processor_id", "name", "data_type", "page_order_sort",
+                                                   "cleaning_function")
+
+
+def load_schema_edits(spark, sf):
+    """A batch of schema edits derived from ``part`` (every 97th part):
+    processor by ``(p_partkey / 97) % 4``; op by ``p_size % 3`` -- add a
+    new field (database type missing when ``p_size`` is odd), delete a
+    field (one of ten names, one of which does not exist), update a field
+    (drop its cleaning function and set an alias; an unknown field name
+    when ``p_partkey % 7 = 0``)."""
+    p = M.table(spark, sf, "part").where(F.pmod("p_partkey", F.lit(97)) == 0)
+    segs = F.array(*[F.lit(x) for x in M.PROCESSOR_SEGMENTS])
+    names = F.array(*[F.lit(r[0]) for r in M.SCHEMA_ROWS], F.lit("Field 8"))
+    m = F.pmod("p_size", F.lit(3))
+    k = F.col("p_partkey")
+    add_fields = F.create_map(F.lit("data_type"), F.lit("text"), F.lit("database_data_type"),
+                              F.when(F.pmod("p_size", F.lit(2)) == 0, F.lit("varchar")).otherwise(F.lit("")))
+    upd_fields = F.when(F.pmod(k, F.lit(7)) == 0, F.create_map(F.lit("bogus"), F.lit("x"))) \
+        .otherwise(F.create_map(F.lit("cleaning_function"), F.lit(""), F.lit("alias"), F.col("p_brand")))
+    return p.select(
+        F.element_at(segs, (F.pmod((k / 97).cast("bigint"), F.lit(4)) + 1).cast("int")).alias("processor_id"),
+        k.alias("seq"),
+        F.when(m == 0, F.lit("add")).when(m == 1, F.lit("delete")).otherwise(F.lit("update")).alias("op"),
+        F.when(m == 0, F.concat(F.lit("Field "), (F.lit(10) + F.pmod(k, F.lit(3))).cast("string")))
+         .when(m == 1, F.element_at(names, (F.pmod(k, F.lit(10)) + 1).cast("int")))
+         .otherwise(F.element_at(names, (F.pmod(k, F.lit(9)) + 1).cast("int"))).alias("name"),
+        F.when(m == 0, add_fields).when(m == 2, upd_fields)
+         .otherwise(F.create_map().cast("map<string,string>")).alias("fields"))
+
+
+def _schema_rows(spark, sf):
+    return M.load_processors(spark, sf).select("processor_id", F.posexplode("attributes").alias("pos", "a")) \
+        .select("processor_id", F.col("pos").cast("int").alias("pos"), "a.*")
+
+
+_SCHEMA_EDITS_SQL = """
+, sch AS (
+  SELECT p.processor_id, CAST(s.name_pos AS INTEGER) AS pos, s.name, CAST(NULL AS VARCHAR) AS alias, s.data_type,
+         CASE WHEN s.data_type = 'table' THEN 'table' ELSE 'varchar' END AS database_data_type,
+         s.page_order_sort, s.cleaning_function
+  FROM processors p CROSS JOIN schema s),
+ed0 AS (
+  SELECT p_partkey AS seq,
+         (['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'])[(p_partkey // 97) % 4 + 1] AS processor_id,
+         CASE p_size % 3 WHEN 0 THEN 'add' WHEN 1 THEN 'delete' ELSE 'update' END AS op,
+         CASE p_size % 3 WHEN 0 THEN 'Field ' || CAST(10 + p_partkey % 3 AS VARCHAR)
+              WHEN 1 THEN (['T', 'Sec', 'Field 3', 'Field 4', 'Field 5', 'Field 6', 'Field 9', 'Field 3::Depth',
+                            'Field 3::Sec', 'Field 8'])[p_partkey % 10 + 1]
+              ELSE (['T', 'Sec', 'Field 3', 'Field 4', 'Field 5', 'Field 6', 'Field 9', 'Field 3::Depth',
+                     'Field 3::Sec'])[p_partkey % 9 + 1] END AS name,
+         p_size % 2 = 0 AS has_dbt, p_partkey % 7 = 0 AS bogus, p_brand
+  FROM part WHERE p_partkey % 97 = 0),
+ed AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY processor_id, name ORDER BY seq) AS rn FROM ed0)
+       WHERE rn = 1),
+dec AS (
+  SELECT e.*, EXISTS (SELECT 1 FROM sch s WHERE s.processor_id = e.processor_id AND s.name = e.name) AS ex,
+         CASE WHEN e.op = 'add' AND EXISTS (SELECT 1 FROM sch s WHERE s.processor_id = e.processor_id AND s.name = e.name)
+                   THEN 'name already exists'
+              WHEN e.op = 'add' AND NOT e.has_dbt THEN 'data_type and database_data_type are required'
+              WHEN e.op IN ('delete', 'update')
+                   AND NOT EXISTS (SELECT 1 FROM sch s WHERE s.processor_id = e.processor_id AND s.name = e.name)
+                   THEN 'no attribute with that name'
+              WHEN e.op = 'update' AND e.bogus THEN 'field not allowed' END AS reason
+  FROM ed e)
+"""
+
+
+@query("apply_schema_edits", with_model(_SCHEMA_EDITS_SQL + """
+SELECT s.processor_id, s.pos, s.name,
+       CASE WHEN d.op = 'update' AND d.reason IS NULL THEN d.p_brand ELSE s.alias END AS alias,
+       s.data_type, s.database_data_type, s.page_order_sort,
+       CASE WHEN d.op = 'update' AND d.reason IS NULL THEN NULL ELSE s.cleaning_function END AS cleaning_function
+FROM sch s LEFT JOIN dec d ON d.processor_id = s.processor_id AND d.name = s.name
+WHERE NOT (coalesce(d.op, '') = 'delete' AND d.reason IS NULL)
+UNION ALL
+SELECT d.processor_id,
+       CAST((SELECT max(pos) FROM sch s WHERE s.processor_id = d.processor_id)
+            + row_number() OVER (PARTITION BY d.processor_id ORDER BY d.seq) AS INTEGER),
+       d.name, NULL, 'text', 'varchar', NULL, NULL
+FROM dec d WHERE d.op = 'add' AND d.reason IS NULL
+""", "processors", "schema").replace("\\n, sch AS", ",\\nsch AS"), ops=("R3", "U3"))
+def q_apply_schema_edits(spark, sf):
+    new, _ = SC.apply_schema_edits(_schema_rows(spark, sf), load_schema_edits(spark, sf))
+    return new.select("processor_id", "pos", "name", "alias", "data_type", "database_data_type", "page_order_sort",
+                      "cleaning_function")
+
+
+@query("schema_edit_rejections", with_model(_SCHEMA_EDITS_SQL + """
+SELECT processor_id, seq, op, name, reason FROM dec WHERE reason IS NOT NULL
+""", "processors", "schema").replace("\\n, sch AS", ",\\nsch AS"), ops=("R3", "U3"))
+def q_schema_edit_rejections(spark, sf):
+    _, rej = SC.apply_schema_edits(_schema_rows(spark, sf), load_schema_edits(spark, sf))
+    return rej.select("processor_id", "seq", "op", "name", "reason")
