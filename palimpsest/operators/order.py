@@ -92,7 +92,11 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
     import pandas as pd
     from pyspark.sql import types as T
 
-    order = order_columns(sort, secondary, id_col)
+    if not scope:
+        # one total order over the whole selection (the reference's list
+        # view): same plan with a constant scope
+        out = rank_records(df.withColumn("_all", F.lit(0)), ["_all"], sort, secondary, id_col, partitions)
+        return out.drop("_all")
     keys = [sort_key(sort[0])] + ([sort_key(secondary)] if secondary else [])
     desc = _dir(sort[1]) == -1
     base = df.select(*scope, *[k.alias(f"_k{i}") for i, k in enumerate(keys)], F.col(id_col).alias("_id"))
@@ -100,7 +104,6 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
     full_order = [F.col(c).asc() for c in scope] + korder + [F.col("_id").asc()]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = base.repartitionByRange(n, *full_order).sortWithinPartitions(*full_order)
-    _ = order
 
     scope_fields = [base.schema[c] for c in scope]
     out_schema = T.StructType(scope_fields + [

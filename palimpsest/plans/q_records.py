@@ -75,8 +75,8 @@ SELECT r.record_id, r.record_group_id,
        (e.record_id IS NOT NULL) AS has_errors_strict
 FROM recs r LEFT JOIN err_strict e ON e.record_id = r.record_id
             LEFT JOIN err_lenient l ON l.record_id = r.record_id
-""").replace("err_strict AS (", "err_strict AS (", 1)
-HAS_ERRORS_SQL = HAS_ERRORS_SQL.replace(ERR_STRICT.strip(), ERR_STRICT.strip())
+""")
+
 
 
 @query("has_errors", HAS_ERRORS_SQL, ops=("F3", "F4", "Q-2"))
@@ -323,3 +323,52 @@ def q_project_nested(spark, sf):
                     F.array_join(F.transform("attributes", lambda a: F.concat_ws("=", a["key"], a["value"])), "|")
                     .alias("attr_kv"),
                     F.array_join(subs, "|").alias("sub_keys"))
+
+
+# ---- the list view as one lazy plan: scope -> filter -> sort -> rank -> page
+TABLE_PROJECT = "5"
+TABLE_SPEC = {"review_status": {"$in": ["reviewed", "defective", "incomplete"]}}
+
+
+def _table_view_sql() -> str:
+    base = with_model("SELECT 1", "recs", "subs", "groups")
+    head = base[: base.rindex("SELECT 1")].rstrip()
+    return head + ",\n" + T_NUMBER.strip() + """
+, sel AS (
+  SELECT t.record_id, t.sort_key FROM tnum t JOIN recs r ON r.record_id = t.record_id
+  JOIN groups g ON g.record_group_id = r.record_group_id
+  WHERE g.project_id = '5' AND r.review_status IN ('reviewed', 'defective', 'incomplete')),
+ranked AS (
+  SELECT record_id, row_number() OVER w AS rank, lag(record_id) OVER w AS prev_id, lead(record_id) OVER w AS next_id
+  FROM sel WINDOW w AS (ORDER BY sort_key DESC NULLS LAST, record_id)),
+kv AS (
+  SELECT record_id, pos AS attr_pos, -1 AS sub_pos, key, value FROM attrs
+  UNION ALL SELECT record_id, attr_pos, sub_pos, key, value FROM subs),
+last_kv AS (
+  SELECT record_id, key, arg_max(value, attr_pos * 1000 + sub_pos) AS value
+  FROM kv WHERE key IN ('T', 'Sec') GROUP BY record_id, key),
+lenient AS (
+  SELECT DISTINCT record_id FROM (
+    SELECT record_id FROM attrs WHERE length(cleaning_error) > 0
+    UNION ALL SELECT record_id FROM subs WHERE length(cleaning_error) > 0))
+SELECT k.record_id, k.rank, k.prev_id, k.next_id, (l.record_id IS NOT NULL) AS has_errors,
+       t.value AS "T", s.value AS "Sec"
+FROM ranked k LEFT JOIN lenient l ON l.record_id = k.record_id
+LEFT JOIN last_kv t ON t.record_id = k.record_id AND t.key = 'T'
+LEFT JOIN last_kv s ON s.record_id = k.record_id AND s.key = 'Sec'
+WHERE k.rank > 20 AND k.rank <= 40
+"""
+
+
+@query("table_view", _table_view_sql(), ops=("F7", "F1", "O2", "W1", "O4", "F3", "P6"))
+def q_table_view(spark, sf):
+    recs = M.load_records(spark, sf)
+    groups = S.groups_for("project", TABLE_PROJECT, M.load_teams(spark, sf), M.load_projects(spark, sf),
+                          M.load_record_groups(spark, sf))
+    sel = S.records_in_scope(recs, groups)
+    sel = sel.where(FL.record_filter(TABLE_SPEC, sel.schema))
+    ranked = O.rank_records(sel, [], sort=("attributesList.T", -1))
+    page = ranked.where((F.col("rank") > 20) & (F.col("rank") <= 40)).select("record_id", "rank", "prev_id", "next_id")
+    view = sel.select("record_id", A.has_errors().alias("has_errors"), *A.hoist_keys(("T", "Sec")))
+    return page.join(view, "record_id").select("record_id", F.col("rank").cast("bigint").alias("rank"),
+                                               "prev_id", "next_id", "has_errors", "T", "Sec")
