@@ -85,9 +85,10 @@ def delete_group(record_group_id: str, record_groups: DataFrame, records: DataFr
     g = record_groups.where(F.col("record_group_id") == record_group_id).select("record_group_id")
     kept_g, arch_g = delete_records(record_groups, g, "record_group_id", deleted_by)
     kept_r, arch_r = delete_records(records, g, "record_group_id", deleted_by)
-    new_projects = projects.withColumn("record_groups", F.array_remove("record_groups", F.lit(record_group_id)))
+    # the project -> group link is the group row's project_id: archiving
+    # the group row unlinks it (no per-project array to rewrite)
     return {"record_groups": kept_g, "deleted_record_groups": arch_g, "records": kept_r,
-            "deleted_records": arch_r, "projects": new_projects}
+            "deleted_records": arch_r, "projects": projects}
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

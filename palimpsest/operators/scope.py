@@ -12,12 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def scope_groups(teams: DataFrame, projects: DataFrame) -> DataFrame:
-    """(team, project_id, record_group_id) reachable through
-    team.project_list -> project.record_groups.  Projects that do not exist
-    are skipped (inner join); duplicates collapse."""
+def scope_groups(teams: DataFrame, projects: DataFrame, record_groups: DataFrame) -> DataFrame:
+    """(team, project_id, record_group_id) reachable through the team's
+    project list and the groups' project.  Projects that do not exist are
+    skipped (inner join); duplicates collapse.
+
+    The project -> groups side is the flat ``record_groups.project_id``
+    relation (a hash join), never an array of all of a project's groups, so
+    a project holding a third of all groups is never one row."""
     tp = teams.select(F.col("name").alias("team"), F.explode("project_list").alias("project_id"))
-    pg = projects.select("project_id", F.explode("record_groups").alias("record_group_id"))
+    tp = tp.join(projects.select("project_id"), "project_id", "left_semi")
+    pg = record_groups.select("project_id", "record_group_id")
     return tp.join(pg, "project_id").select("team", "project_id", "record_group_id").distinct()
 
 
@@ -32,28 +37,31 @@ def groups_for(level: str, key: str, teams: DataFrame, projects: DataFrame,
                record_groups: DataFrame) -> DataFrame:
     """Record groups of one team, project or record group (F7's scope)."""
     if level == "team":
-        return scope_groups(teams, projects).where(F.col("team") == key).select("record_group_id").distinct()
+        return (scope_groups(teams.where(F.col("name") == key), projects, record_groups)
+                .select("record_group_id").distinct())
     if level == "project":
-        return (projects.where(F.col("project_id") == key)
-                .select(F.explode("record_groups").alias("record_group_id")).distinct())
+        ok = projects.where(F.col("project_id") == key).select("project_id")
+        return record_groups.join(ok, "project_id", "left_semi").select("record_group_id")
     if level in ("record_group", "recordGroup"):
         return record_groups.where(F.col("record_group_id") == key).select("record_group_id")
     raise ValueError(f"unknown scope level {level!r}")
 
 
-def visible_groups(users: DataFrame, teams: DataFrame, projects: DataFrame) -> DataFrame:
+def visible_groups(users: DataFrame, teams: DataFrame, projects: DataFrame,
+                   record_groups: DataFrame) -> DataFrame:
     """User -> default team -> its projects -> their record groups.
     A user without a default team sees nothing (inner joins)."""
     u = users.where(F.col("default_team").isNotNull()).select("email", F.col("default_team").alias("team"))
-    tg = scope_groups(teams, projects)
+    tg = scope_groups(teams, projects, record_groups)
     return u.join(tg, "team").select("email", "team", "project_id", "record_group_id")
 
 
-def accessible_records(records: DataFrame, users: DataFrame, teams: DataFrame,
-                       projects: DataFrame, email: str, allowed: bool = True) -> DataFrame:
+def accessible_records(records: DataFrame, users: DataFrame, teams: DataFrame, projects: DataFrame,
+                       record_groups: DataFrame, email: str, allowed: bool = True) -> DataFrame:
     """Records of ``email``'s visible groups (left-semi), or with
     ``allowed=False`` the ones the user may not open (left-anti)."""
-    vis = visible_groups(users.where(F.col("email") == email), teams, projects).select("record_group_id")
+    vis = visible_groups(users.where(F.col("email") == email), teams, projects, record_groups) \
+        .select("record_group_id")
     return records.join(vis, "record_group_id", "left_semi" if allowed else "left_anti")
 
 
@@ -81,9 +89,16 @@ def team_users(users: DataFrame, caller_email: str) -> DataFrame:
     return users.join(team, users.default_team == team._t, "left_semi")
 
 
-def user_teams(teams: DataFrame, email: str) -> DataFrame:
-    """Teams whose member list holds ``email``."""
-    return teams.where(F.array_contains("users", email))
+def user_teams(teams: DataFrame, users: DataFrame, email: str) -> DataFrame:
+    """Teams the user belongs to -- the default team and every team in
+    which the user holds roles (membership read from the user's row, not
+    from a per-team member array)."""
+    u = users.where(F.col("email") == email)
+    names = u.select(F.explode_outer(F.array_union(
+        F.coalesce(F.map_keys("roles_team"), F.array().cast("array<string>")),
+        F.when(F.col("default_team").isNotNull(), F.array("default_team"))
+         .otherwise(F.array().cast("array<string>")))).alias("_t")).where(F.col("_t").isNotNull())
+    return teams.join(names, teams.name == names._t, "left_semi")
 
 
 def roles_in(roles: DataFrame, categories) -> DataFrame:

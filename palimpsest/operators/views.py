@@ -108,15 +108,10 @@ def obsolete_counts(records: DataFrame, schema_by_group: DataFrame, threshold: i
 
 
 def enrich_records(records: DataFrame, record_groups: DataFrame, projects: DataFrame) -> DataFrame:
-    """Record + group name + project (name, id).  The project is
-    found by reverse lookup in ``projects.record_groups`` (first match by
-    project id); both lookups are left joins on dimension tables."""
-    owner = (projects.select("project_id", F.col("name").alias("project_name"),
-                             F.explode("record_groups").alias("record_group_id"))
-                     .groupBy("record_group_id")
-                     .agg(F.min_by(F.struct("project_id", "project_name"), F.col("project_id")).alias("_p")))
-    g = record_groups.select("record_group_id", F.col("name").alias("record_group_name"))
+    """Record + group name + project (name, id), through the group's
+    project (left joins on the group id, then the project id)."""
+    g = record_groups.select("record_group_id", F.col("name").alias("record_group_name"), "project_id")
+    p = projects.select("project_id", F.col("name").alias("project_name"))
     return (records.join(g, "record_group_id", "left")
-                   .join(owner, "record_group_id", "left")
-                   .select(*records.columns, "record_group_name",
-                           F.col("_p.project_name").alias("project_name"), F.col("_p.project_id").alias("project_id")))
+                   .join(p, "project_id", "left")
+                   .select(*records.columns, "record_group_name", "project_name", "project_id"))

@@ -21,7 +21,8 @@ SELECT u.email, u.default_team AS team, g.project_id, g.record_group_id
 FROM users u JOIN groups g ON g.team = u.default_team
 """, "users", "groups"), ops=("J2", "J1", "U1"))
 def q_visible_groups(spark, sf):
-    return S.visible_groups(M.load_users(spark, sf), M.load_teams(spark, sf), M.load_projects(spark, sf))
+    return S.visible_groups(M.load_users(spark, sf), M.load_teams(spark, sf), M.load_projects(spark, sf),
+                            M.load_record_groups(spark, sf))
 
 
 @query("accessible_records", with_model(f"""
@@ -31,7 +32,8 @@ WHERE r.record_group_id IN (SELECT g.record_group_id FROM groups g JOIN users u
 """, "recs", "groups", "users"), ops=("J3",))
 def q_accessible_records(spark, sf):
     r = M.load_records(spark, sf, with_attributes=False)
-    out = S.accessible_records(r, M.load_users(spark, sf), M.load_teams(spark, sf), M.load_projects(spark, sf), CALLER)
+    out = S.accessible_records(r, M.load_users(spark, sf), M.load_teams(spark, sf), M.load_projects(spark, sf),
+                               M.load_record_groups(spark, sf), CALLER)
     return out.select("record_id", "record_group_id")
 
 
@@ -43,7 +45,7 @@ WHERE r.record_group_id NOT IN (SELECT g.record_group_id FROM groups g JOIN user
 def q_denied_records(spark, sf):
     r = M.load_records(spark, sf, with_attributes=False)
     out = S.accessible_records(r, M.load_users(spark, sf), M.load_teams(spark, sf), M.load_projects(spark, sf),
-                               CALLER, allowed=False)
+                               M.load_record_groups(spark, sf), CALLER, allowed=False)
     return out.agg(F.count(F.lit(1)).alias("denied"))
 
 
@@ -91,7 +93,7 @@ def q_team_users(spark, sf):
 SELECT DISTINCT u.default_team AS name FROM users u WHERE u.email = '{CALLER}' AND u.default_team IS NOT NULL
 """, "users"), ops=("J9",))
 def q_user_teams(spark, sf):
-    return S.user_teams(M.load_teams(spark, sf), CALLER).select("name")
+    return S.user_teams(M.load_teams(spark, sf), M.load_users(spark, sf), CALLER).select("name")
 
 
 @query("roles_in", with_model("""

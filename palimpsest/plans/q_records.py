@@ -107,7 +107,7 @@ SELECT DISTINCT team, project_id, record_group_id FROM groups WHERE team IS NOT
 
 @query("scope_groups", SCOPE_GROUPS_SQL, ops=("J1", "U1"))
 def q_scope_groups(spark, sf):
-    return S.scope_groups(M.load_teams(spark, sf), M.load_projects(spark, sf))
+    return S.scope_groups(M.load_teams(spark, sf), M.load_projects(spark, sf), M.load_record_groups(spark, sf))
 
 
 # ---------------------------------------------------------------- filters

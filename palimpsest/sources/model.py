@@ -259,30 +259,25 @@ def load_record_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Projects from nation.  The project -> groups link is kept flat, as
+    ``record_groups.project_id`` (never gathered into one row per project)."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    c = table(spark, sf_dir, "customer")
-    groups = (c.groupBy("c_nationkey")
-               .agg(F.array_sort(F.collect_list(F.col("c_custkey").cast("string"))).alias("record_groups")))
     return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
-             .join(groups, n.n_nationkey == groups.c_nationkey, "left")
              .select(n.n_nationkey.cast("string").alias("project_id"), n.n_name.alias("name"),
-                     F.col("r_name").alias("team"),
-                     F.coalesce("record_groups", F.array().cast("array<string>")).alias("record_groups")))
+                     F.col("r_name").alias("team")))
 
 
 def load_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Teams from region with their project list (a team document's list:
+    the nations of the region).  Membership is read from ``users``
+    (default team, team roles), not from a per-team member array."""
     r = table(spark, sf_dir, "region")
     n = table(spark, sf_dir, "nation")
-    s = table(spark, sf_dir, "supplier")
     plist = n.groupBy(F.col("n_regionkey").alias("_pr")).agg(
         F.array_sort(F.collect_list(F.col("n_nationkey").cast("string"))).alias("project_list"))
-    ulist = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-              .groupBy(F.col("n_regionkey").alias("_ur")).agg(F.array_sort(F.collect_list("s_name")).alias("users")))
     return (r.join(plist, r.r_regionkey == plist._pr, "left")
-             .join(ulist, r.r_regionkey == ulist._ur, "left")
              .select(F.col("r_name").alias("name"), F.col("r_name").alias("display_name"),
-                     F.coalesce("users", F.array().cast("array<string>")).alias("users"),
                      F.coalesce("project_list", F.array().cast("array<string>")).alias("project_list")))
 
 
