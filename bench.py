@@ -23,7 +23,7 @@ HEADLINE = [
     "group_progress", "group_stats", "has_errors", "attributes_long", "filter_records", "hoist_keys",
     "sort_by_attribute", "page_records", "rank_records", "navigate_all", "navigate_target", "visible_groups",
     "review_gate", "reconcile_read", "clean_records", "apply_edits", "export_wide", "export_manifest",
-    "history_long", "white_share_luma", "extract_attributes", "pending_uploads", "status_edits",
+    "history_long", "white_share_luma", "extract_attributes", "pending_uploads", "status_edits", "table_view",
 ]
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import attrs as A
-from ..sources.model import ATTR_TYPE, ATTRS_TYPE, NOTE_TYPE, SUB_TYPE, SUBS_TYPE
+from ..sources.model import ATTR_TYPE, ATTRS_TYPE, NOTE_TYPE, SUB_TYPE
 
 PREV_TYPE = T.ArrayType(T.StructType([T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()),
                                       T.StructField("idx", T.IntegerType()),
@@ -286,6 +286,3 @@ def upsert_dimension(table: DataFrame, changes: DataFrame, key: str) -> DataFram
     j = table.join(ch, key, "left")
     return j.select(*[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in cols else F.col(c)
                       for c in table.columns])
-
-
-_ = SUBS_TYPE

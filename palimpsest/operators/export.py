@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import attrs as A
-from ..functions import names as N
 from ..sources.model import SUBS_TYPE
 
 CELL_TYPE = T.StructType([T.StructField("col", T.StringType()), T.StructField("val", T.StringType()),
@@ -167,6 +166,3 @@ def write_json_export(df: DataFrame, path: str, partition_col: str | None = "doc
     """JSON lines; timestamps written as ISO dates."""
     w = df.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd").option("dateFormat", "yyyy-MM-dd")
     (w.partitionBy(partition_col) if partition_col else w).json(path)
-
-
-_ = N

@@ -250,8 +250,6 @@ def q_record_history(spark, sf):
              .select("history_id", "record_id", "action", F.date_format("ts", TS_FMT).alias("ts")))
 
 
-_ = Window
-
 
 @query("coordinate_edits", with_model("""
 SELECT record_id, pos AS attr_pos, CAST(l_linenumber AS INTEGER) AS page, CAST(4 AS INTEGER) AS n_coords,

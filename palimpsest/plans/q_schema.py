@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import attrs as A
 from ..operators import schema as SC
 from ..operators import views as V
 from ..sources import model as M
@@ -158,8 +157,6 @@ def q_reconcile_ingest(spark, sf):
     return _recon_out(out, lambda x: x["ai_confidence"].isNull())
 
 
-_ = A
-
 
 def _schema_files(spark, sf, fmt: str) -> str:
     """Write each processor's schema as the upload files the reference

@@ -313,6 +313,17 @@ def schema_array() -> Column:
 
 
 def load_processors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processor catalogue (stored once: it is a small table that many
+    queries join, and its row-count check before a broadcast then reads
+    one small file instead of re-deriving it)."""
+    from . import store
+    if not store.enabled():
+        return build_processors(spark, sf_dir)
+    return store.stored_table(spark, "processors", [f"{sf_dir.rstrip('/')}/customer.parquet"],
+                              lambda: build_processors(spark, sf_dir).coalesce(1))
+
+
+def build_processors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One processor per market segment present in customer, except
     MACHINERY (the fallback case)."""
     c = table(spark, sf_dir, "customer")
