@@ -33,6 +33,20 @@ from ..session import ensure_checkpoint_dir
 STORE_ENV = "PALIMPSEST_STORE"
 
 
+def _code_version() -> str:
+    """Hash of the model builder's source: a change to how tables are
+    derived gives new stored tables, never stale ones."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    h = hashlib.sha1()
+    for f in ("model.py", "store.py", os.path.join("..", "functions", "names.py")):
+        with open(os.path.join(here, f), "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:10]
+
+
+CODE_VERSION = _code_version()
+
+
 def enabled() -> bool:
     return os.environ.get(STORE_ENV, "1") != "0"
 
@@ -69,7 +83,7 @@ def stored_path(spark: SparkSession, name: str, inputs: list[str], build: Callab
     """Path of the stored table (built first when missing); usable as a
     file-stream source directory."""
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/palimpsest-store"
-    final = f"{root}/{name}-{fingerprint(spark, inputs)}"
+    final = f"{root}/{name}-{fingerprint(spark, inputs)}-{CODE_VERSION}"
     if not _exists(spark, f"{final}/_SUCCESS"):
         tmp = f"{root}/_tmp-{name}-{uuid.uuid4().hex[:12]}"
         df = build()
