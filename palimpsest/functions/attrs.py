@@ -88,11 +88,14 @@ def leading_number(value: Column) -> Column:
 
 def key_values(attrs="attributes") -> Column:
     """(key, value) of every attribute followed by its sub-attributes, in
-    document order."""
-    a = safe_attrs(attrs)
-    return F.flatten(F.transform(a, lambda x: F.concat(
+    document order.  Built from ``attrs.key``, ``attrs.value`` and
+    ``attrs.subattributes`` so a Parquet scan reads only those fields."""
+    z = F.arrays_zip(field(attrs, "key").alias("key"), field(attrs, "value").alias("value"),
+                     F.coalesce(col(attrs).getField("subattributes"),
+                                F.array().cast(T.ArrayType(SUBS_TYPE))).alias("subs"))
+    return F.flatten(F.transform(z, lambda x: F.concat(
         F.array(F.struct(x["key"].alias("key"), x["value"].alias("value"))),
-        F.transform(F.coalesce(x["subattributes"], F.array().cast(SUBS_TYPE)),
+        F.transform(F.coalesce(x["subs"], F.array().cast(SUBS_TYPE)),
                     lambda s: F.struct(s["key"].alias("key"), s["value"].alias("value"))))))
 
 
