@@ -6,6 +6,10 @@ last wins) into one map, and the wide row is ``map[column]`` for the
 given column list.  Only the column list needs a pass over the data: a
 ``groupBy(column)`` aggregate whose output is the (small, schema-bound)
 catalogue of export columns; it is the one thing collected to the driver.
+
+O5 (download mode drops sort and window stages): the export functions take
+the scoped selection as it is and never sort or rank it; row order of the
+files is not part of the contract.
 """
 
 from __future__ import annotations

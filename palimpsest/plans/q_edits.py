@@ -276,3 +276,51 @@ def q_coordinate_edits(spark, sf):
                 .select("record_id", F.col("attr_pos").cast("int").alias("attr_pos"), F.col("a.page").alias("page"),
                         F.size("a.user_provided_coordinates").alias("n_coords"), F.col("a.edited").alias("edited"),
                         F.col("a.last_updated_user").alias("last_updated_user")))
+
+
+_RECLEAN_REC = """
+, ed AS (
+  SELECT record_id, pos AS seq,
+         CASE l_linenumber % 3 WHEN 0 THEN 'replace' WHEN 1 THEN 'insert' ELSE 'delete' END AS op,
+         pos AS idx, 'edited_' || CAST(l_partkey AS VARCHAR) AS payload
+  FROM attrs WHERE l_partkey % 50 = 0),
+ek AS (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY seq) AS k FROM ed),
+fns AS (
+  SELECT r.record_id, s.name, s.cleaning_function FROM recs r JOIN groups g ON g.record_group_id = r.record_group_id
+  JOIN processors p ON p.processor_id = g.processor_id CROSS JOIN schema s),
+base AS (
+  SELECT record_id, list(key ORDER BY pos) AS keys, list(coalesce(cleaning_error, '~') ORDER BY pos) AS errs
+  FROM attrs WHERE record_id IN (SELECT record_id FROM ed) GROUP BY record_id),
+r AS (
+  SELECT record_id, CAST(0 AS BIGINT) AS k, keys, errs FROM base
+  UNION ALL
+  SELECT r.record_id, r.k + 1,
+    CASE WHEN e.op = 'insert' THEN list_concat(r.keys[1:e.idx + 1], [e.payload], r.keys[e.idx + 2:])
+         WHEN e.op = 'delete' AND e.idx < len(r.keys) THEN list_concat(r.keys[1:e.idx], r.keys[e.idx + 2:])
+         ELSE r.keys END,
+    CASE WHEN e.op = 'insert' THEN list_concat(r.errs[1:e.idx + 1], ['~'], r.errs[e.idx + 2:])
+         WHEN e.op = 'delete' AND e.idx < len(r.errs) THEN list_concat(r.errs[1:e.idx], r.errs[e.idx + 2:])
+         WHEN e.op = 'replace' AND e.idx < len(r.errs) THEN list_concat(r.errs[1:e.idx], [
+              coalesce((SELECT CASE WHEN f.cleaning_function IS NULL OR f.cleaning_function = '' THEN '~'
+                                    WHEN f.cleaning_function = 'llm_clean' THEN 'llm_clean: not available'
+                                    ELSE f.cleaning_function || ': could not clean ''' || e.payload || '''' END
+                        FROM fns f WHERE f.record_id = r.record_id AND f.name = r.keys[e.idx + 1]), r.errs[e.idx + 1])],
+              r.errs[e.idx + 2:])
+         ELSE r.errs END
+  FROM r JOIN ek e ON e.record_id = r.record_id AND e.k = r.k + 1)
+"""
+
+
+@query("edit_reclean", with_model(_RECLEAN_REC + """
+SELECT record_id, len(keys) AS n_attrs, array_to_string(errs, '|') AS error_seq
+FROM r WHERE k = (SELECT max(k) FROM r r2 WHERE r2.record_id = r.record_id)
+""", "recs", "attrs", "groups", "processors", "schema").replace("WITH ", "WITH RECURSIVE ", 1), ops=("M7", "C1"))
+def q_edit_reclean(spark, sf):
+    from ..operators.clean import schema_functions
+    fns = schema_functions(M.load_record_groups(spark, sf), M.load_processors(spark, sf))
+    new, _ = ED.apply_edits(M.load_records(spark, sf), M.load_edits(spark, sf), clean_with=fns)
+    a = F.col("attributes")
+    return new.where("edited_now").select(
+        "record_id", F.size(a).cast("bigint").alias("n_attrs"),
+        F.array_join(F.transform(a.getField("cleaning_error"), lambda e: F.coalesce(e, F.lit("~"))), "|")
+        .alias("error_seq"))

@@ -76,7 +76,7 @@ def q_export_columns(spark, sf):
 
 
 @query("export_wide", with_model(_CELLS_SQL + "SELECT * FROM (PIVOT cells ON col USING first(val) GROUP BY record_id)",
-                                 "recs", "subs", "groups", "processors", "schema"), ops=("X1", "X2", "X4", "S7"))
+                                 "recs", "subs", "groups", "processors", "schema"), ops=("X1", "X2", "X4", "S7", "O5"))
 def q_export_wide(spark, sf):
     return X.export_wide(_export_cells(spark, sf))
 
