@@ -20,10 +20,12 @@ def scope_groups(teams: DataFrame, projects: DataFrame, record_groups: DataFrame
     The project -> groups side is the flat ``record_groups.project_id``
     relation (a hash join), never an array of all of a project's groups, so
     a project holding a third of all groups is never one row."""
-    tp = teams.select(F.col("name").alias("team"), F.explode("project_list").alias("project_id"))
+    # duplicates can only come from a team listing a project twice: collapse
+    # them on the small (team, project) side, not on the joined output
+    tp = teams.select(F.col("name").alias("team"), F.explode("project_list").alias("project_id")).distinct()
     tp = tp.join(projects.select("project_id"), "project_id", "left_semi")
     pg = record_groups.select("project_id", "record_group_id")
-    return tp.join(pg, "project_id").select("team", "project_id", "record_group_id").distinct()
+    return tp.join(pg, "project_id").select("team", "project_id", "record_group_id")
 
 
 def records_in_scope(records: DataFrame, groups: DataFrame) -> DataFrame:
