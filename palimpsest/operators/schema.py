@@ -20,64 +20,79 @@ from ..sources.model import ATTR_TYPE, ATTRS_TYPE, DEFAULT_PROCESSOR, SCHEMA_ATT
 
 SCHEMA_ARR = T.ArrayType(SCHEMA_ATTR_TYPE)
 
-# fixed values: legacy schema-file headers -> field names
-LEGACY_HEADERS = {
+# fixed values: legacy header renames (P12); headers not listed are kept
+LEGACY_KEY_MAP = {
+    "Page Order Sort": "page_order_sort",
     "Name": "name",
     "Alias": "alias",
-    "Data Type": "data_type",
     "Google Data Type": "google_data_type",
+    "Occurrence": "occurrence",
+    "Database Data Type": "database_data_type",
+    "Cleaning Function": "cleaning_function",
+    "Model Enabled": "model_enabled",
+}
+# fixed values: CSV schema upload headers that are kept (S2); data_type comes
+# from "Data Type" when that column exists, else from "Google Data Type"
+CSV_KEY_MAP = {
+    "Name": "name",
     "Database Data Type": "database_data_type",
     "Occurrence": "occurrence",
     "Grouping": "grouping",
     "Page Order Sort": "page_order_sort",
     "Cleaning Function": "cleaning_function",
 }
-# keys accepted in JSON schema files (S3)
-JSON_KEYS = ["name", "alias", "data_type", "database_data_type", "occurrence", "grouping",
-             "page_order_sort", "cleaning_function"]
-# alternative keys for data_type in JSON schema files
-JSON_TYPE_ALIASES = ["google_data_type", "Google Data Type"]
+CSV_TYPE_HEADERS = ["Data Type", "Google Data Type"]
+# fixed values: keys kept from JSON schema files (S3) and the alternative
+# keys read for data_type when it is absent
+JSON_KEYS = ["name", "data_type", "database_data_type", "occurrence", "grouping", "page_order_sort",
+             "cleaning_function"]
+JSON_TYPE_ALIASES = ["google_data_type", "Google Data type"]
+SCHEMA_FIELDS = ["name", "alias", "data_type", "database_data_type", "occurrence", "grouping",
+                 "page_order_sort", "cleaning_function"]
+
+
+def remap_legacy_keys(df: DataFrame) -> DataFrame:
+    """Rename legacy headers; unknown columns are kept."""
+    return df.withColumnsRenamed({k: v for k, v in LEGACY_KEY_MAP.items() if k in df.columns})
 
 
 # ---------------------------------------------------------------- sources
 def read_schema_csv(spark, path: str) -> DataFrame:
-    """S2 (+P12): schema rows from CSV files; the first row is the header.
-    ``data_type`` comes from ``Data Type``, else ``Google Data Type``;
-    other columns are dropped."""
+    """Schema rows from CSV files; the first row is the header.  Only
+    the mapped headers are kept (no alias); ``data_type`` from ``Data
+    Type`` when present, else ``Google Data Type``."""
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    renamed = raw.withColumnsRenamed({k: v for k, v in LEGACY_HEADERS.items() if k in raw.columns})
-    have = set(renamed.columns)
+    have = set(raw.columns)
+    src = {v: k for k, v in CSV_KEY_MAP.items()}
+    type_col = next((h for h in CSV_TYPE_HEADERS if h in have), None)
 
     def c(name):
-        return F.col(name) if name in have else F.lit(None).cast("string")
-
-    part = [F.col("processor_id")] if "processor_id" in renamed.columns else []   # folder partition column
-    return renamed.select(
-        *part,
-        c("name").alias("name"), c("alias").alias("alias"),
-        F.coalesce(F.nullif(c("data_type"), F.lit("")), c("google_data_type")).alias("data_type"),
-        c("database_data_type").alias("database_data_type"), c("occurrence").alias("occurrence"),
-        c("grouping").alias("grouping"),
-        c("page_order_sort").try_cast("double").alias("page_order_sort"),
-        c("cleaning_function").alias("cleaning_function"),
-    )
+        h = src.get(name)
+        if name == "data_type":
+            h = type_col
+        return F.col(f"`{h}`") if h in have else F.lit(None).cast("string")
+
+    part = [F.col("processor_id")] if "processor_id" in have else []   # folder partition column
+    return raw.select(*part, *[
+        (c(f).try_cast("double") if f == "page_order_sort" else c(f)).alias(f) for f in SCHEMA_FIELDS])
 
 
 def read_schema_json(spark, path: str) -> DataFrame:
-    """S3: a JSON file holding a list of objects; non-objects are skipped,
-    only the allowed keys are kept, ``data_type`` falls back to the alias
-    keys."""
+    """S3: a JSON file holding a list of objects (anything else is an
+    error); non-objects are skipped, only the allowed keys are kept,
+    ``data_type`` falls back to the alias keys when absent."""
     fields = JSON_KEYS + JSON_TYPE_ALIASES
     st = T.StructType([T.StructField(k, T.StringType()) for k in fields])
     text = spark.read.option("wholetext", True).text(path)
     part = [c for c in text.columns if c == "processor_id"]      # partition column of a folder of files
     items = F.from_json(F.col("value"), T.ArrayType(T.StringType()))
-    rows = text.select(*part, F.explode(items).alias("item")).where(F.ltrim("item").startswith("{"))
+    checked = F.when(items.isNull(), F.raise_error(F.lit("schema json must be a list of objects"))) \
+        .otherwise(items)
+    rows = text.select(*part, F.explode(checked).alias("item")).where(F.ltrim("item").startswith("{"))
     parsed = rows.select(*part, F.from_json("item", st).alias("s")).select(*part, "s.*")
     return parsed.select(
-        *part, "name", "alias",
-        F.coalesce(F.nullif(F.col("data_type"), F.lit("")), *[F.col(f"`{k}`") for k in JSON_TYPE_ALIASES])
-         .alias("data_type"),
+        *part, "name", F.lit(None).cast("string").alias("alias"),
+        F.coalesce(F.col("data_type"), *[F.col(f"`{k}`") for k in JSON_TYPE_ALIASES]).alias("data_type"),
         "database_data_type", "occurrence", "grouping",
         F.col("page_order_sort").try_cast("double").alias("page_order_sort"),
         "cleaning_function",

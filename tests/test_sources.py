@@ -23,6 +23,9 @@ def test_schema_csv(spark):
     assert rows["Depth"]["data_type"] == "number" and rows["Depth"]["page_order_sort"] == 2.0
     assert rows["Well Name"]["page_order_sort"] is None
     assert "Extra" not in SC.read_schema_csv(spark, d).columns
+    assert rows["Depth"]["alias"] is None
+    legacy = SC.remap_legacy_keys(spark.read.option("header", True).csv(d))
+    assert {"name", "google_data_type", "Extra"} <= set(legacy.columns)
 
 
 def test_schema_json(spark):
