@@ -172,7 +172,7 @@ raked AS (SELECT source, lang, topic, tokens, w, w / tokens AS ratio FROM ipf WH
 sorted AS (
   SELECT *, coalesce(sum(tokens) OVER (ORDER BY ratio DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above,
     sum(w) OVER (ORDER BY ratio ASC ROWS UNBOUNDED PRECEDING) AS rest FROM raked),
-factor AS (SELECT coalesce(min(({BUDGET} * n - above) / rest) FILTER (WHERE ({BUDGET} * n - above) / rest * ratio <= 1),
+factor AS (SELECT coalesce(arg_max(({BUDGET} * n - above) / rest, ratio) FILTER (WHERE ({BUDGET} * n - above) / rest * ratio <= 1),
   max(1 / ratio)) AS x FROM sorted, total),
 p AS (SELECT source, lang, topic, w, least(1.0, x * ratio) AS p FROM raked, factor)
 SELECT f.doc_id, f.source, f.lang, f.topic, f.tokens AS n_tokens, coalesce(p.w, 0.0) AS cell_share,
