@@ -19,8 +19,10 @@ Spark then does the matching:
    of at least ``threshold``.
 5. Verified links give components; buckets that still hold several components
    are compared once more, members outside the bucket's largest component
-   against all of its blocks, and every similar pair across components is
-   verified.  So no link between components of any size is lost.
+   against all of its blocks, and every similar pair across components that a
+   block hasn't joined yet is verified there, on texts sent to the block.  So
+   no link between components of any size is lost, and no pairs are joined to
+   texts that a group of near copies would multiply.
 6. The final component's smallest doc_id is the class of its documents.
 
 Defined cases: null text counts as empty; all texts without words are copies
@@ -48,6 +50,7 @@ M = ROWS * BANDS
 #: of M registers, so many must agree before a pair is verified: five standard deviations under the threshold
 CUTOFF = int(M * (THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / M) ** 0.5))
 BLOCK = 512
+BAND_SHIFT = 56
 
 _GOLDEN = 0x9E3779B97F4A7C15
 _G = np.uint64(_GOLDEN)
@@ -82,7 +85,7 @@ def shingles(words: list[str], memo: _Words, k: int = SHINGLE) -> tuple[np.ndarr
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = np.fromiter((memo[w] for w in words), np.uint64, n)
+    h = np.fromiter(map(memo.__getitem__, words), np.uint64, n)
     k = min(k, n)
     s = np.full(n - k + 1, np.uint64(k))
     for i in range(k):
@@ -94,37 +97,44 @@ def weights(counts: np.ndarray) -> np.ndarray:
     return 1.0 + np.log(counts)
 
 
-def signature(hashes: np.ndarray, w: np.ndarray, m: int = M) -> np.ndarray:
-    """ProbMinHash registers (uint64; all zero for an empty set).
-
-    Arrivals up to a horizon are drawn in vectorised rounds (round r holds
-    every shingle's r-th arrival before the horizon).  If a register is still
-    open the horizon doubles; arrivals are functions of (shingle, r), so a
-    later horizon repeats the earlier ones exactly."""
-    if not len(hashes):
-        return np.zeros(m, np.uint64)
-    horizon = m * (np.log(m) + 3.0) / w.sum()
-    while True:
-        at, reg, who = [], [], []
-        h, rate, t, r = hashes, w, np.zeros(len(hashes)), 0
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int = M) -> np.ndarray:
+    """ProbMinHash registers of several (hashes, weights), a row each (uint64;
+    all zero for an empty set).
+
+    Arrivals up to a horizon are drawn in rounds for all sets at once (round r
+    holds every shingle's r-th arrival before its set's horizon).  Where a
+    register is still open the horizon doubles; arrivals are functions of
+    (shingle, r), so a later horizon repeats the earlier ones exactly."""
+    out = np.zeros((len(sets), m), np.uint64)
+    total = np.array([w.sum() for _, w in sets])
+    todo = np.flatnonzero(total > 0)
+    spread = np.log(m) + 3.0
+    while len(todo):
+        h = np.concatenate([sets[i][0] for i in todo])
+        rate = np.concatenate([sets[i][1] for i in todo])
+        row = np.repeat(np.arange(len(todo)), [len(sets[i][0]) for i in todo])
+        stop = (m * spread / total[todo])[row]
+        t, r = np.zeros(len(h)), 0
+        at, slot, who = [], [], []
         while len(h):
             u = _mix(h + _odd(2 * r + 1))
             t = t - np.log(((u >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / rate
-            on = t <= horizon
-            h, rate, t = h[on], rate[on], t[on]
+            on = t <= stop
+            h, rate, t, row, stop = h[on], rate[on], t[on], row[on], stop[on]
             at.append(t)
             who.append(h)
-            reg.append((_mix(h ^ _odd(2 * r + 2)) % np.uint64(m)).astype(np.int64))
+            slot.append(row * m + (_mix(h ^ _odd(2 * r + 2)) % np.uint64(m)).astype(np.int64))
             r += 1
-        at, reg, who = np.concatenate(at), np.concatenate(reg), np.concatenate(who)
-        order = np.argsort(-at, kind="stable")
-        out = np.zeros(m, np.uint64)
-        first = np.full(m, -1)
-        first[reg[order]] = order  # the last write, the earliest arrival, stays
-        if (first >= 0).all():
-            out[:] = who[first]
-            return out
-        horizon *= 2
+        at, slot, who = np.concatenate(at), np.concatenate(slot), np.concatenate(who)
+        first = np.full(len(todo) * m, np.inf)
+        np.minimum.at(first, slot, at)
+        won = at == first[slot]
+        got = np.zeros(len(todo) * m, np.uint64)
+        got[slot[won]] = who[won]
+        full = np.isfinite(first).reshape(-1, m).all(1)
+        out[todo[full]] = got.reshape(-1, m)[full]
+        todo, spread = todo[~full], spread * 2
+    return out
 
 
 def similarity(a: tuple, b: tuple) -> tuple[float, float]:
@@ -149,22 +159,25 @@ def sketches(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without text, plus node (16 bytes of content hash)
     and sig (M x 2 bytes; null for texts without words)."""
     def run(texts):
-        memo, node, sig = _Words(), [], []
+        memo, node, sets = _Words(), [], []
         for t in texts:
             w = words_of(t)
             node.append(hashlib.blake2b(" ".join(w).encode("utf-8", "surrogatepass"), digest_size=16).digest())
             s, c = shingles(w, memo)
-            sig.append((signature(s, weights(c)) >> np.uint64(48)).astype("<u2").tobytes() if len(s) else None)
-        return {"node": node, "sig": sig}
+            sets.append((s, weights(c)))
+        short = (signatures(sets) >> np.uint64(48)).astype("<u2")
+        return {"node": node, "sig": [short[i].tobytes() if len(s) else None for i, (s, _) in enumerate(sets)]}
 
-    return map_text(docs, [c for c in docs.columns if c != "text"], run, "node binary, sig binary")
+    return map_text(docs, [c for c in docs.columns if c != "text"], run, "node binary, sig binary", budget=1_500_000)
 
 
 def _band_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node) for every band of every node: 24 bytes a row, no signature."""
+    """(key, node) for every band of every node: 24 bytes a row, no signature.
+    The key's top bits are the band."""
     width = 2 * ROWS
-    bands = F.array(*(F.xxhash64(F.lit(b), F.substring("sig", 1 + b * width, width)) for b in range(BANDS)))
-    return nodes.where(F.col("sig").isNotNull()).select(F.explode(bands).alias("key"), "node")
+    band = lambda b: (F.lit(b << BAND_SHIFT).cast("long").bitwiseOR(
+        F.shiftrightunsigned(F.xxhash64(F.substring("sig", 1 + b * width, width)), 64 - BAND_SHIFT)))
+    return nodes.where(F.col("sig").isNotNull()).select(F.explode(F.array(*map(band, range(BANDS)))).alias("key"), "node")
 
 
 def _agreeing(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,20 +225,46 @@ def _forest_pairs(t, starts):
     return out
 
 
-def _cross_pairs(t, starts):
-    """Similar pairs of a probe and a member of another component, by block."""
-    node, label, s = t.column("node").to_pylist(), t.column("label").to_pylist(), _sigs(t.column("sig"))
-    probe = t.column("probe").to_numpy()
-    found = set()
+def _cross_links(t, starts, threshold: float):
+    """Verified links between a probe and a member of another component.
+
+    A pair is looked at in the first band that it shares only, so once over
+    all buckets; links of a block are a spanning forest of the components in
+    it, best estimates first, so nothing is verified between components that
+    the block has joined already."""
+    node, label, text = (t.column(c).to_pylist() for c in ("node", "label", "text"))
+    s, probe, key = _sigs(t.column("sig")), t.column("probe").to_numpy(), t.column("key").to_numpy()
+    memo, out = _Words(), {"a": [], "b": []}
     for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
         p, q = lo + np.flatnonzero(probe[lo:hi]), lo + np.flatnonzero(~probe[lo:hi])
         if not len(p) or not len(q):
             continue
-        a, b, _ = _agreeing(s[p], s[q])
-        for i, j in zip(p[a], q[b], strict=True):
-            if label[i] != label[j]:
-                found.add((min(node[i], node[j]), max(node[i], node[j])))
-    return {"a": [x for x, _ in found], "b": [x for _, x in found]}
+        a, b, n = _agreeing(s[p], s[q])
+        a, b = p[a], q[b]
+        first = (s[a] == s[b]).reshape(len(a), BANDS, ROWS).all(2).argmax(1) if len(a) else a
+        here = first == key[lo] >> BAND_SHIFT
+        a, b, n = a[here], b[here], n[here]
+        sets: dict[bytes, tuple] = {}
+        root: dict[bytes, bytes] = {}
+
+        def find(x, root=root):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        def parts(i, sets=sets):
+            if node[i] not in sets:
+                sets[node[i]] = shingles(words_of(text[i]), memo)
+            return sets[node[i]]
+
+        for k in np.argsort(-n, kind="stable"):
+            i, j = a[k], b[k]
+            x, y = find(label[i]), find(label[j])
+            if x != y and max(similarity(parts(i), parts(j))) >= threshold:
+                root[x] = y
+                out["a"].append(node[i])
+                out["b"].append(node[j])
+    return out
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -315,9 +354,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     probes = again.where("label <> main").select("key", every.alias("block"), "node", "label", F.lit(True).alias("probe"))
     base = again.select("key", own_block.alias("block"), "node", "label", F.lit(False).alias("probe"))
-    more = map_groups(probes.union(base).join(sig, "node"), ["key", "block"], _cross_pairs, "a binary, b binary")
-    more = stage(more.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = stage(links.union(_verified(more, text, threshold)), "verified")
+    # texts travel to the blocks (bounded by BLOCK and the probes), pairs don't leave them
+    more = map_groups(probes.union(base).join(sig, "node").join(text, "node"), ["key", "block"],
+                      lambda t, starts: _cross_links(t, starts, threshold), "a binary, b binary")
+    links = stage(links.union(more), "verified")
     label = components(links)
 
     degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
