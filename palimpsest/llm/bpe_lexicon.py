@@ -1,7 +1,7 @@
 """Operator 6, BPE encoding and decoding with a minimal acyclic transducer.
 
 1. Spark counts the words of the whole corpus (native, map-side combined) and
-   takes the ``LEXICON`` most frequent ones.
+   takes the most frequent ones, ``LEXICON`` at most.
 2. These words and their token ids are compiled into a minimal acyclic
    automaton: equal suffixes share states, and the numbers on the arcs of a
    word add up to its place in the id table.  The automaton is a few flat
@@ -40,7 +40,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_text, query, shared_path, stage, table, text_or_empty
+from .common import map_text, most_frequent, query, shared_path, stage, table, text_or_empty
 
 LEXICON = 131_072
 VOCABULARY = "word_bpe_49k.json"
@@ -233,10 +233,11 @@ def _lexicon(name: str) -> Lexicon:
 
 
 def frequent_words(docs: DataFrame, size: int = LEXICON, text_col: str = "text") -> DataFrame:
-    """The most frequent words of all texts (word, n); ties by word."""
+    """The most frequent words of all texts (word, n), ``size`` at most."""
     pattern = r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(text_or_empty(text_col)), F.lit(pattern), F.lit(0))).alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    counts = stage(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    return most_frequent(counts, "word", "n", size)
 
 
 def build_lexicon(docs: DataFrame, spec: str, size: int = LEXICON, text_col: str = "text") -> str:
@@ -254,8 +255,7 @@ def build_lexicon(docs: DataFrame, spec: str, size: int = LEXICON, text_col: str
             yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in words], pa.binary()),
                                               pa.array([bpe.merge(w) for w in words], pa.list_(pa.int32()))], names=["word", "ids"])
 
-    ranked = stage(frequent_words(docs, size, text_col), "frequent-words")
-    got = ranked.select("word").repartition(12).mapInArrow(run, "word binary, ids array<int>").toArrow()  # ``size`` words at most
+    got = frequent_words(docs, size, text_col).select("word").repartition(12).mapInArrow(run, "word binary, ids array<int>").toArrow()  # ``size`` words at most
     pairs = sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True))
     raw = compile_lexicon(pairs)
     path = shared_path(spark, f"lexicon-{hashlib.sha1(raw).hexdigest()[:16]}") + ".fst"

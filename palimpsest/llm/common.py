@@ -155,3 +155,17 @@ def map_groups(df: DataFrame, keys: list[str], fn, fields: str) -> DataFrame:
             yield out(rest, np.zeros(1, np.int64))
 
     return ordered.mapInArrow(run, new)
+
+
+def most_frequent(counts: DataFrame, word: str, n: str, size: int) -> DataFrame:
+    """Rows of a table of counts whose words are among the most frequent:
+    whole steps of the count (a sixteenth of a power of two each), as many as
+    hold ``size`` rows at most.  A histogram of the steps, a few hundred rows,
+    finds the limit, so no task sorts or gathers candidates of all others."""
+    step = F.floor(F.log2(F.col(n).cast("double")) * 16).cast("int")
+    least, total = None, 0
+    for s, k in sorted(counts.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):
+        if total + k > size:
+            break
+        least, total = s, total + k
+    return counts.where(F.lit(False) if least is None else step >= least).select(word, n)

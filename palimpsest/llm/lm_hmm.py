@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, map_text, query, slices, stage, table, text_or_empty
+from .common import crc_fold, map_text, most_frequent, query, slices, stage, table, text_or_empty
 
 FOLDS, HELD_OUT = 7, 2
 OWN, SHARED, FREQUENT = 2048, 1024, 131_072
@@ -80,8 +80,9 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     """``counts`` as staged by ``word_counts``; ``texts``: training texts."""
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
-    words, c = top.column(0).to_pylist(), top.column(1).to_pylist()
+    top = most_frequent(counts, "word", "c", FREQUENT).toArrow()
+    ranked = sorted(zip(top.column(1).to_pylist(), top.column(0).to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
+    words, c = [w for _, w in ranked], [n for n, _ in ranked]
     frequent = {w: (i if i < OWN else shared_class(w), float(np.log10(n + 1))) for i, (w, n) in enumerate(zip(words, c, strict=True))}
     own = [w for w, (k, _) in frequent.items() if k < OWN]
     lot = F.lit(OWN) + F.xxhash64(F.col("word").cast("string")).bitwiseAND(F.lit(SHARED - 1))
