@@ -29,7 +29,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_schema, query, slices, stage, table, text_or_empty
@@ -150,8 +150,14 @@ def fingerprints(texts: list[str]) -> list[tuple[int, np.ndarray]]:
     return out
 
 
-def as_text(fp: tuple[int, np.ndarray]) -> str:
-    return f"{fp[0]:016x}-{fp[1].astype('>u4').tobytes().hex()}"
+def as_bytes(fp: tuple[int, np.ndarray]) -> bytes:
+    return fp[0].to_bytes(8, "big") + fp[1].astype(">u4").tobytes()
+
+
+def as_text(c: str) -> Column:
+    """``root-sketch`` of a fingerprint's bytes."""
+    digits = F.lower(F.hex(c))
+    return F.concat(F.substring(digits, 1, 16), F.lit("-"), F.substr(digits, F.lit(17)))
 
 
 def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
@@ -176,7 +182,7 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
-RESULT = ("n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+RESULT = ("n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double")
 
 
 def _compare(texts: list[str]) -> dict[str, list]:
@@ -186,8 +192,8 @@ def _compare(texts: list[str]) -> dict[str, list]:
     efp = fingerprints(new)
     return {
         "n_chars": [len(t) for t in texts[:-1]],
-        "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in new],
-        "fingerprint": [as_text(f) for f in fp[:-1]], "edited_fingerprint": [as_text(f) for f in efp],
+        "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in new],
+        "fingerprint": [as_bytes(f) for f in fp[:-1]], "edited_fingerprint": [as_bytes(f) for f in efp],
         "near_edited": [likeness(a, b) for a, b in zip(fp, efp, strict=False)],
         "near_next": [likeness(a, b) for a, b in zip(fp, fp[1:], strict=False)]}
 
@@ -248,14 +254,17 @@ def _edges(batches, schema):
 
 
 def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id and the fields of ``RESULT``."""
+    """One row per document: doc_id and the fields of ``RESULT``, digests and
+    fingerprints as hexadecimal text (staged as bytes)."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     ordered = src.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     one, two = arrow_schema(_FIELDS), arrow_schema(_ENDS)
     parts = stage(ordered.mapInArrow(lambda b: _partition(b, one), _FIELDS), "fingerprints")
     edges = parts.where(F.col("kind") != DONE).select("doc_id", "kind", "text")  # two rows a partition
     ends = edges.coalesce(1).sortWithinPartitions("doc_id", "kind").mapInArrow(lambda b: _edges(b, two), _ENDS)
-    return parts.where(F.col("kind") == DONE).drop("kind", "text").unionByName(ends)
+    every = parts.where(F.col("kind") == DONE).drop("kind", "text").unionByName(ends)
+    return every.select("doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), as_text("fingerprint").alias("fingerprint"),
+                        as_text("edited_fingerprint").alias("edited_fingerprint"), "near_edited", "near_next")
 
 
 @query("op9_lcp_fingerprints")
