@@ -25,6 +25,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
