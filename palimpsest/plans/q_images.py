@@ -49,7 +49,7 @@ def _spark(mode: str):
     return build
 
 
-for _mode in I.MODES:
+for _mode in I.REDUCTIONS:
     query(f"white_share_{_mode}", _sql(_mode), ops=("I1", "I2"))(_spark(_mode))
 
 
