@@ -255,9 +255,15 @@ def build_lexicon(docs: DataFrame, spec: str, size: int = LEXICON, text_col: str
             yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in words], pa.binary()),
                                               pa.array([bpe.merge(w) for w in words], pa.list_(pa.int32()))], names=["word", "ids"])
 
-    got = frequent_words(docs, size, text_col).select("word").repartition(12).mapInArrow(run, "word binary, ids array<int>").toArrow()  # ``size`` words at most
-    pairs = sorted(zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True))
-    raw = compile_lexicon(pairs)
+    def compiled(batches):
+        import pyarrow as pa
+
+        pairs = [x for rb in batches for x in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([compile_lexicon(sorted(pairs))], pa.binary())], names=["raw"])
+
+    coded = frequent_words(docs, size, text_col).select("word").repartition(12).mapInArrow(run, "word binary, ids array<int>")
+    # ``size`` words at most meet in one task, away from the driver's memory
+    raw = bytes(coded.coalesce(1).mapInArrow(compiled, "raw binary").first()["raw"])
     path = shared_path(spark, f"lexicon-{hashlib.sha1(raw).hexdigest()[:16]}") + ".fst"
     jvm = spark.sparkContext._jvm
     to = jvm.org.apache.hadoop.fs.Path(path)

@@ -185,12 +185,14 @@ def train(docs: DataFrame, labels: DataFrame, in_fold: Column | None = None,
     lab = stage(lab, "quality-labels")
     one = F.broadcast(lab)
     rows = document_stats(docs.select("doc_id", "text").join(one, "doc_id").select("__y", "text"), ["__y"])
-    got = rows.toPandas()
-    if not len(got):
+    got = rows.toArrow().combine_chunks()
+    if not got.num_rows:
         return fit(np.zeros((0, len(STATS))), np.zeros(0))
-    x = np.array(got["stats"].tolist())
+    stats = got.column("stats").combine_chunks()
+    x = np.asarray(stats.flatten()).reshape(-1, len(STATS))
+    y = np.asarray(got.column("__y").combine_chunks())
     order = np.lexsort(x.T)  # the fit doesn't depend on the order of arrival
-    return fit(x[order], (got["__y"].to_numpy()[order] >= 0.5).astype(float))
+    return fit(x[order], (y[order] >= 0.5).astype(float))
 
 
 def score(docs: DataFrame, forest: Forest, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
