@@ -275,13 +275,15 @@ def apply_note_edits(notes: Column, ops: Column) -> Column:
 # ---------------------------------------------------------------- dimensions
 def upsert_dimension(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Field-level update of dimension rows; a change row gives new
-    values for some columns (NULL = keep).  One change per key (the last
-    by ``seq`` when present)."""
+    values for some columns (NULL = keep).  Of several changes of a key each
+    column takes its own last non-null value by ``seq`` (its largest value
+    where the changes have no ``seq``)."""
     cols = [c for c in changes.columns if c not in (key, "seq") and c in table.columns]
-    if "seq" in changes.columns:
-        ch = changes.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("seq")).alias("_c")).select(key, "_c.*")
-    else:
-        ch = changes.select(key, *cols)
+
+    def newest(c):
+        return F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))) if "seq" in changes.columns else F.max(c)
+
+    ch = changes.groupBy(key).agg(*(newest(c).alias(c) for c in cols))
     ch = ch.select(key, *[F.col(c).alias(f"_new_{c}") for c in cols])
     j = table.join(ch, key, "left")
     return j.select(*[F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c) if c in cols else F.col(c)

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from .order import first_n_per_group
 
-DEFAULT_CAP = 30
-
 
 def classify_documents(uploads: DataFrame, name_col: str = "upload_name") -> DataFrame:
     """the upload type of each file (first matching substring of the
@@ -27,10 +25,10 @@ def existing_bases(uploads: DataFrame, records: DataFrame, name_col: str = "uplo
 
 
 def pending_uploads(uploads: DataFrame, records: DataFrame, name_col: str = "upload_name",
-                    cap: int = DEFAULT_CAP, by_base_name: bool = False) -> DataFrame:
+                    cap: int | None = None, by_base_name: bool = False) -> DataFrame:
     """Accepted files not yet in their group (exact stored
-    filename, or base name with ``by_base_name`` -- Q-13), at most ``cap``
-    per group in name order (the cap is the feature: one upload call)."""
+    filename, or base name with ``by_base_name`` -- Q-13); all of them, or
+    at most ``cap`` per group in name order where a caller asks for one."""
     typed = classify_documents(uploads, name_col).where(F.col("doc_type").isNotNull())
     if by_base_name:
         left = typed.withColumn("_k", N.base_filename(F.col(name_col)))
@@ -39,4 +37,7 @@ def pending_uploads(uploads: DataFrame, records: DataFrame, name_col: str = "upl
         left = typed.withColumn("_k", F.col(name_col))
         right = records.select("record_group_id", F.col("filename").alias("_k"))
     new = left.join(right, ["record_group_id", "_k"], "left_anti").drop("_k")
-    return first_n_per_group(new, ["record_group_id"], [F.col(name_col).asc()], cap)
+    if cap is None:
+        return new
+    ties = [F.col("upload_id").asc()] if "upload_id" in new.columns else []
+    return first_n_per_group(new, ["record_group_id"], [F.col(name_col).asc(), *ties], cap)

@@ -242,11 +242,11 @@ def q_activity_summary(spark, sf):
 
 @query("record_history", with_model(f"""
 SELECT history_id, record_id, action, strftime(ts, '{SQL_TS_FMT}') AS ts FROM history
-ORDER BY ts DESC, history_id DESC LIMIT 50
+ORDER BY ts DESC, history_id DESC
 """, "history"), ops=("O6", "H2"))
 def q_record_history(spark, sf):
     h = M.load_history(spark, sf)
-    return (h.orderBy(F.col("ts").desc(), F.col("history_id").desc()).limit(50)
+    return (h.orderBy(F.col("ts").desc(), F.col("history_id").desc())
              .select("history_id", "record_id", "action", F.date_format("ts", TS_FMT).alias("ts")))
 
 

@@ -184,7 +184,7 @@ def q_existing_bases(spark, sf):
     return U.existing_bases(M.load_uploads(spark, sf), M.load_records(spark, sf, with_attributes=False))
 
 
-@query("pending_uploads", with_model("""
+PENDING = """
 , typed AS (
   SELECT * FROM uploads
   WHERE contains(lower(upload_name), '.pdf') OR contains(lower(upload_name), '.tif')
@@ -193,9 +193,21 @@ def q_existing_bases(spark, sf):
 new AS (
   SELECT t.* FROM typed t
   WHERE NOT EXISTS (SELECT 1 FROM recs r WHERE r.record_group_id = t.record_group_id AND r.filename = t.upload_name))
-SELECT upload_id, record_group_id, upload_name FROM (
-  SELECT *, row_number() OVER (PARTITION BY record_group_id ORDER BY upload_name) AS rn FROM new) WHERE rn <= 30
-""", "uploads").replace("\\n, typed AS", ",\\ntyped AS"), ops=("J11", "U4", "O8", "Q-13"))
+"""
+
+
+def _pending_sql(select: str) -> str:
+    return with_model(PENDING + select, "uploads").replace("\n, typed AS", ",\ntyped AS")
+
+
+@query("pending_uploads", _pending_sql("SELECT upload_id, record_group_id, upload_name FROM new"), ops=("J11", "U4", "Q-13"))
 def q_pending_uploads(spark, sf):
     out = U.pending_uploads(M.load_uploads(spark, sf), M.load_records(spark, sf, with_attributes=False))
     return out.select("upload_id", "record_group_id", "upload_name")
+
+
+@query("pending_uploads_capped", _pending_sql("""SELECT upload_id, record_group_id, upload_name FROM (
+  SELECT *, row_number() OVER (PARTITION BY record_group_id ORDER BY upload_name, upload_id) AS rn FROM new) WHERE rn <= 2"""), ops=("J11", "O8"))
+def q_pending_uploads_capped(spark, sf):
+    out = U.pending_uploads(M.load_uploads(spark, sf), M.load_records(spark, sf, with_attributes=False), cap=2)
+    return out.select("upload_id", "record_group_id", "upload_name")

@@ -178,3 +178,15 @@ def test_edit_recleans_field_m7(spark, recs):
     assert (a[0]["value"], a[0]["value_type"], a[0]["cleaned"]) == ("42", "int", True)
     assert a[1]["value"] == "abc" and a[1]["cleaning_error"].startswith("string_to_float")
     assert a[2]["subattributes"][0]["cleaning_error"].startswith("clean_bool")
+
+
+def test_upsert_keeps_each_columns_last_change(spark):
+    from palimpsest.operators.edits import upsert_dimension
+
+    table = spark.createDataFrame([("g1", "old", "p0"), ("g2", "b", "p0")], "id string, name string, processor string")
+    changes = spark.createDataFrame([("g1", "new", None, 1), ("g1", None, "p1", 2), ("g1", None, "p2", 3)],
+                                    "id string, name string, processor string, seq int")
+    got = {r.id: (r.name, r.processor) for r in upsert_dimension(table, changes, "id").collect()}
+    assert got == {"g1": ("new", "p2"), "g2": ("b", "p0")}
+    plain = upsert_dimension(table, changes.drop("seq"), "id").collect()
+    assert sorted((r.id, r.name, r.processor) for r in plain) == [("g1", "new", "p2"), ("g2", "b", "p0")]
