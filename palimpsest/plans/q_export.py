@@ -75,10 +75,18 @@ def q_export_columns(spark, sf):
     return spark.createDataFrame([(c, i + 1) for i, c in enumerate(cols)], "column_name string, column_pos int")
 
 
-@query("export_wide", with_model(_CELLS_SQL + "SELECT * FROM (PIVOT cells ON col USING first(val) GROUP BY record_id)",
-                                 "recs", "subs", "groups", "processors", "schema"), ops=("X1", "X2", "X4", "S7", "O5"))
+def _selected_columns(repeats: int = 5) -> list[str]:
+    """The caller's choice of wide columns: every key and its first repeats."""
+    nth = ["", *(f"_{i}" for i in range(2, repeats + 1))]
+    flat = [f"{k}{n}" for k in ("T", "Sec", "Field4", "Field5", "Field6", "Field7") for n in nth]
+    return ["file", *flat, *(f"Field3{n}[{sub}]" for n in nth for sub in ("Depth", "Sec")), "URL"]
+
+
+@query("export_wide", with_model(
+    _CELLS_SQL + "SELECT record_id, " + ", ".join(f"max(val) FILTER (WHERE col = '{c}') AS \"{c}\"" for c in _selected_columns())
+    + " FROM cells GROUP BY record_id", "recs", "subs", "groups", "processors", "schema"), ops=("X1",))
 def q_export_wide(spark, sf):
-    return X.export_wide(_export_cells(spark, sf))
+    return X.export_wide(_export_cells(spark, sf), _selected_columns())
 
 
 @query("export_json", with_model("""
