@@ -94,6 +94,13 @@ def map_text(docs: DataFrame, keep: list[str], fn: Callable[[list[str]], dict],
     return src.mapInArrow(run, schema)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """Side of a join on text or binary keys whose other side holds no whole
+    texts: it is shuffled and merged at every size.  A broadcast of such keys
+    makes the driver build a map in pages of 64 MB however few rows it has."""
+    return df.hint("merge")
+
+
 def arrow_schema(fields: str):
     """Arrow schema of a DDL string (made on the driver, tasks have no session)."""
     from pyspark.sql.pandas.types import to_arrow_schema

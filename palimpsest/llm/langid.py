@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_text, query, stage, table, text_or_empty
+from .common import by_shuffle, map_text, query, stage, table, text_or_empty
 
 LANGUAGES = ("de", "en", "es", "fr")
 SLOTS = 1 << 14
@@ -85,9 +85,9 @@ def train_text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "l
         yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(s, pa.int32()), pa.array(total[i, s])],
                                          names=["lang", "slot", "n"])
 
-    got = (src.mapInArrow(run, "lang int, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))).toPandas()
+    got = (src.mapInArrow(run, "lang int, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n"))).toArrow()
     counts = np.full((len(names), SLOTS), SMOOTH)
-    counts[got["lang"], got["slot"]] += got["n"]
+    counts[got.column("lang").to_numpy(), got.column("slot").to_numpy()] += got.column("n").to_numpy()
     return np.log(counts / counts.sum(1, keepdims=True))
 
 
@@ -141,9 +141,9 @@ def fuse(ev: DataFrame, declared: Column, address: dict[str, Column]) -> DataFra
     votes = [first.groupBy(*levels[: n + 1]).agg(*(F.sum(o).alias(f"{lv}{i}") for i, o in enumerate(own)))
              for n, lv in enumerate(levels)]
     # hosts meet their domain and suffix as summed rows, pages meet their host once
-    tree = votes[2].join(votes[1], levels[:2]).join(votes[0], levels[:1])
+    tree = votes[2].join(by_shuffle(votes[1]), levels[:2]).join(by_shuffle(votes[0]), levels[:1])
     overall = [float(x or 0.0) for x in first.agg(*(F.sum(o) for o in own)).first()]  # one number a language
-    page = first.join(tree, levels)
+    page = first.join(by_shuffle(tree), levels)
 
     def smoothed(above: list[Column], lv: str, kappa: float) -> list[Column]:
         c = [F.greatest(F.col(f"{lv}{i}") - F.col(own[i]), F.lit(0.0)) for i in range(k)]

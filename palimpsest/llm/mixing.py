@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import query, stage, table, text_or_empty
+from .common import by_shuffle, query, stage, table, text_or_empty
 
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 DIMS = ("source", "lang", "topic")
@@ -81,7 +81,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataF
     for dim in DIMS:
         goal = (targets or {}).get(dim)
         goal = default_targets(cells, dim) if goal is None else goal
-        w = w.join(goal.select(F.col("value").alias(f"__{dim}"), F.col("weight").cast("double").alias(f"__goal_{dim}")), f"__{dim}", "left")
+        goal = goal.select(F.col("value").alias(f"__{dim}"), F.col("weight").cast("double").alias(f"__goal_{dim}"))
+        w = w.join(by_shuffle(goal), f"__{dim}", "left")
         w = w.withColumn(f"__goal_{dim}", F.coalesce(f"__goal_{dim}", F.lit(0.0)))
     w = w.where(" and ".join(["__tokens > 0", *(f"__goal_{d} > 0" for d in DIMS)]))
     for dim in DIMS:  # one value's goal as a share of the goals that have documents

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_groups, map_text, query, row_key, stage, table
+from .common import by_shuffle, map_groups, map_text, query, row_key, stage, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -269,8 +269,8 @@ def _cross_links(t, starts, threshold: float):
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose whole texts are similar enough."""
-    got = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-           .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    got = (pairs.join(by_shuffle(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))), "a")
+           .join(by_shuffle(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))), "b")
            .select("a", "b", "text_a", "text_b"))
 
     def run(batches):
@@ -303,9 +303,9 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
         # large star: neighbours above a node move to the node's lowest; then small star: the rest, with the node itself
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        large = both.where("b > a").join(by_shuffle(low), "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         small_low = large.groupBy("a").agg(F.min("b").alias("low"))
-        small = (large.join(small_low, "a")
+        small = (large.join(by_shuffle(small_low), "a")
                  .select(F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("low").alias("y")),
                                            F.struct(F.col("b").alias("x"), F.col("low").alias("y")))).alias("e"))
                  .select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).where("a <> b").distinct())
@@ -333,20 +333,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
               .groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"))
     member = stage(keys.join(shared, "key").select("key", "n", "node"), "members")
     busy = member.select("node").distinct()
-    sig = stage(nodes.join(busy, "node").select("node", "row", "sig"), "busy")
+    sig = stage(nodes.join(by_shuffle(busy), "node").select("node", "row", "sig"), "busy")
     # one text for each node that shares a bucket
-    text = stage(docs.select("row", "text").join(sig.select("row", "node"), "row")
+    text = stage(docs.select("row", "text").join(by_shuffle(sig.select("row", "node")), "row")
                  .groupBy("node").agg(F.min("text").alias("text")), "texts")
     sig = sig.select("node", "sig")
 
     member = member.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     own_block = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
-    first = member.select("key", own_block.alias("block"), "node").join(sig, "node")
+    first = member.select("key", own_block.alias("block"), "node").join(by_shuffle(sig), "node")
     tried = stage(map_groups(first, ["key", "block"], _forest_pairs, "a binary, b binary").distinct(), "pairs")
     links = stage(_verified(tried, text, threshold), "verified")
     label = stage(components(links), "labels")
 
-    labelled = member.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = member.join(by_shuffle(label), "node", "left").withColumn("label", F.coalesce("label", "node"))
     main = (labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("key").agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("parts"))
             .where("parts > 1").drop("parts"))
@@ -355,19 +355,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     probes = again.where("label <> main").select("key", every.alias("block"), "node", "label", F.lit(True).alias("probe"))
     base = again.select("key", own_block.alias("block"), "node", "label", F.lit(False).alias("probe"))
     # texts travel to the blocks (bounded by BLOCK and the probes), pairs don't leave them
-    more = map_groups(probes.union(base).join(sig, "node").join(text, "node"), ["key", "block"],
+    more = map_groups(probes.union(base).join(by_shuffle(sig), "node").join(by_shuffle(text), "node"), ["key", "block"],
                       lambda t, starts: _cross_links(t, starts, threshold), "a binary, b binary")
     links = stage(links.union(more), "verified")
     label = components(links)
 
     degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
               .agg(F.count(F.lit(1)).alias("n_links")))
-    full = (nodes.select("node", "rep", "copies").join(label, "node", "left").join(degree, "node", "left")
+    full = (nodes.select("node", "rep", "copies").join(by_shuffle(label), "node", "left").join(by_shuffle(degree), "node", "left")
             .withColumn("label", F.coalesce("label", "node")).withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))))
     full = stage(full, "nodes-labelled")
     classes = full.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("n_class"))
-    full = full.join(classes, "label").select("node", "class_id", "n_class", "n_links")
-    return sketch.select("doc_id", "row", "node").join(full, "node").select("doc_id", "row", "class_id", "n_class", "n_links")
+    full = full.join(by_shuffle(classes), "label").select("node", "class_id", "n_class", "n_links")
+    return sketch.select("doc_id", "row", "node").join(by_shuffle(full), "node").select("doc_id", "row", "class_id", "n_class", "n_links")
 
 
 @query("op4_probminhash")
