@@ -193,42 +193,43 @@ def reset_records(records: DataFrame, cond: Column | None = None) -> DataFrame:
 
 # ---------------------------------------------------------------- status
 def status_edits(records: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """M5: apply a batch of status changes (one per record, lowest seq
-    wins).  ``changes``: (record_id, seq, update_type, review_status,
+    """M5: apply a batch of status changes, any number per record, in
+    ``seq`` order (ties by type and status).  ``changes``: (record_id, seq, update_type, review_status,
     verification_status, defective_categories, defective_description).
 
     Returns (records, decisions) where decisions has ``accepted`` and a
     ``reason`` for rejected changes.  ``reviewed`` arrives only through
     ``verification_status``; ``unreviewed`` resets the record (M6)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("record_id").orderBy("seq")
-    c = changes.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
     ut, rs = F.col("update_type"), F.col("review_status")
     reason = (F.when((ut == "verification_status") & rs.isNull(), F.lit("verification_status needs review_status"))
               .when((ut == "review_status") & ~F.coalesce(rs.isin("unreviewed", "incomplete", "defective"), F.lit(False)),
                     F.lit("invalid review_status"))
               .when(~ut.isin("verification_status", "review_status"), F.lit("invalid update type")))
-    dec = c.withColumn("reason", reason).withColumn("accepted", reason.isNull())
-    ok = dec.where("accepted").select(
-        "record_id", F.col("update_type").alias("_ut"), F.col("review_status").alias("_rs"),
-        F.col("verification_status").alias("_vs"), F.col("defective_categories").alias("_dc"),
-        F.col("defective_description").alias("_dd"))
+    dec = changes.withColumn("reason", reason).withColumn("accepted", reason.isNull())
+    # a rejected change leaves the record as it is, so no change depends on an earlier one: every column
+    # takes its last accepted writer, which is a plain aggregate
+    is_v = ut == "verification_status"
+    clears = ~is_v & rs.isin("incomplete", "unreviewed")
+    defect = ~is_v & (rs == "defective")
+
+    def last(value, cond=None):
+        at = F.struct("seq", "update_type", "review_status")
+        return F.max_by(F.struct(*value), at if cond is None else F.when(cond, at))
+
+    ok = dec.where("accepted").groupBy("record_id").agg(
+        last([rs.alias("v")]).alias("_rs"),
+        last([F.when(is_v, F.col("verification_status")).alias("v")], is_v | clears).alias("_vs"),
+        last([F.coalesce("defective_categories", F.array().cast("array<string>")).alias("c"),
+              F.col("defective_description").alias("d")], defect).alias("_de"),
+        F.bool_or(~is_v & (rs == "unreviewed")).alias("_reset"))
     j = records.join(ok, "record_id", "left")
-    is_v = F.col("_ut") == "verification_status"
-    is_r = F.col("_ut") == "review_status"
-    reset = is_r & (F.col("_rs") == "unreviewed")
     out = j.select(
         *[c_ for c_ in records.columns if c_ not in ("review_status", "verification_status", "attributes",
                                                       "defective_categories", "defective_description")],
-        F.when(is_v | is_r, F.col("_rs")).otherwise(F.col("review_status")).alias("review_status"),
-        F.when(is_v, F.col("_vs")).when(is_r & F.col("_rs").isin("incomplete", "unreviewed"),
-                                        F.lit(None).cast("string"))
-         .otherwise(F.col("verification_status")).alias("verification_status"),
-        F.when(is_r & (F.col("_rs") == "defective"), F.coalesce("_dc", F.array().cast("array<string>")))
-         .otherwise(F.col("defective_categories")).alias("defective_categories"),
-        F.when(is_r & (F.col("_rs") == "defective"), F.col("_dd"))
-         .otherwise(F.col("defective_description")).alias("defective_description"),
-        F.when(F.coalesce(reset, F.lit(False)), reset_attributes(F.col("attributes")))
+        *[F.when(F.col(new).isNotNull(), F.col(new)[f]).otherwise(F.col(c_)).alias(c_)
+          for c_, new, f in (("review_status", "_rs", "v"), ("verification_status", "_vs", "v"),
+                             ("defective_categories", "_de", "c"), ("defective_description", "_de", "d"))],
+        F.when(F.coalesce("_reset", F.lit(False)), reset_attributes(F.col("attributes")))
          .otherwise(F.col("attributes")).alias("attributes"),
     )
     return out, dec.select("record_id", "seq", "update_type", "accepted", "reason")

@@ -40,8 +40,8 @@ def export_cells(records: DataFrame, table_names: Column | None = None, selected
     whose database type is ``table`` (parents).  An attribute is emitted
     when selected (all when ``selected`` is None) and it either has
     sub-attributes (-> ``name[sub]`` columns) or is not table-typed
-    (-> ``name``).  Repeated names among emitted attributes get ``_2``,
-    ``_3`` ... in array order.
+    (-> ``name``).  Repeated names among emitted attributes get the
+    first of ``_2``, ``_3`` ... that no earlier attribute has.
 
     Built in stages (one projection each) so that every intermediate
     array is computed once per record and referenced, not re-inlined
@@ -60,10 +60,19 @@ def export_cells(records: DataFrame, table_names: Column | None = None, selected
     s1 = records.select("record_id", "record_group_id", "filename", tn.alias("_tn"),
                         F.transform(A.safe_attrs("attributes"), info).alias("_i"))
 
+    def used(taken, name):
+        return F.coalesce(F.array_contains(taken, name), F.lit(False))
+
+    def take(taken, z):
+        tries = F.transform(F.sequence(F.lit(2), F.size(taken) + 2), lambda k: F.concat(z["nm"], F.lit("_"), k.cast("string")))
+        free = F.get(F.filter(tries, lambda n: ~used(taken, n)), 0)
+        return F.concat(taken, F.array(F.when(z["emit"], F.when(used(taken, z["nm"]), free).otherwise(z["nm"]))))
+
+    names = F.aggregate("_i", F.array().cast("array<string>"), take)
+    s1 = s1.select("*", names.alias("_names"))
+
     def named(y, i):
-        before = F.size(F.filter(F.slice(F.col("_i"), 1, i), lambda z: z["emit"] & (z["nm"] == y["nm"])))
-        col = F.when(before == 0, y["nm"]).otherwise(F.concat(y["nm"], F.lit("_"), (before + 1).cast("string")))
-        return y.withField("col", col).withField("pos", i)
+        return y.withField("col", F.get(F.col("_names"), i)).withField("pos", i)
 
     s2 = s1.select("record_id", "record_group_id", "filename", F.transform("_i", named).alias("_n"))
     cell_arr = T.ArrayType(CELL_TYPE)

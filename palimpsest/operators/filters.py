@@ -67,31 +67,47 @@ def _leaf(c: Column, dt: T.DataType, op: str, v, opts: str = "") -> Column:
     if op == "$exists":
         return c.isNotNull() if v else c.isNull()
     if op == "$regex":
-        pat = v
-        if "i" in opts:
-            pat = "(?i)" + pat
+        pat = f"(?{opts})" + v if opts else v
         return F.coalesce(c.rlike(pat), F.lit(False))
     if op == "$size":
         return F.coalesce(F.size(c) == _lit(v), F.lit(False))
     raise ValueError(f"unsupported filter operator {op!r}")
 
 
-def _resolve(c: Column | None, dt: T.DataType, parts: list[str], pred) -> Column:
-    """Walk a dotted path; arrays of structs give any-element semantics."""
+def _regex(v, opts: str = "") -> tuple[str, str]:
+    """Pattern text and inline flags of a string or compiled pattern."""
+    if isinstance(v, re.Pattern):
+        for flag, letter in ((re.I, "i"), (re.M, "m"), (re.S, "s"), (re.X, "x")):
+            opts += letter if v.flags & flag else ""
+        if v.flags & (re.A | re.L):
+            raise ValueError("unsupported regex flag")
+        v = v.pattern
+    if set(opts) - set("imsx"):
+        raise ValueError(f"unsupported regex options {opts!r}")
+    return v, "".join(sorted(set(opts)))
+
+
+def _asks_null(op: str, v) -> bool:
+    return v is None if op == "$eq" else op == "$in" and any(x is None for x in v)
+
+
+def _resolve(c: Column | None, dt: T.DataType, parts: list[str], pred, missing: bool = False) -> Column:
+    """Walk a dotted path; arrays of structs give any-element semantics.
+    ``missing``: the answer where an array on the way is NULL."""
     if not parts:
         return pred(c, dt)
     head, rest = parts[0], parts[1:]
     if isinstance(dt, T.ArrayType):
         if head.isdigit():
-            return _resolve(F.get(c, int(head)), dt.elementType, rest, pred)
-        return F.coalesce(F.exists(c, lambda e: _resolve(e, dt.elementType, parts, pred)), F.lit(False))
+            return _resolve(F.get(c, int(head)), dt.elementType, rest, pred, missing)
+        return F.coalesce(F.exists(c, lambda e: _resolve(e, dt.elementType, parts, pred, missing)), F.lit(missing))
     if isinstance(dt, T.StructType):
         name = FIELD_NAMES.get(head, head)
         if name not in dt.fieldNames():
             raise ValueError(f"unknown field {head!r}")
         f = dt[name]
         sub = F.col(name) if c is None else c.getField(name)
-        return _resolve(sub, f.dataType, rest, pred)
+        return _resolve(sub, f.dataType, rest, pred, missing)
     raise ValueError(f"cannot descend into {head!r}")
 
 
@@ -104,26 +120,32 @@ def _field_pred(path: str, cond, schema: T.StructType, base: Column | None) -> C
             if op == "$options":
                 continue
             if op == "$not":
-                inner = v if isinstance(v, dict) else {"$regex": v.pattern if hasattr(v, "pattern") else v}
+                inner = v if isinstance(v, dict) else {"$regex": v}
                 preds.append(~_field_pred(path, inner, schema, base))
             elif op == "$elemMatch":
                 preds.append(_resolve(base, schema, parts, lambda c, dt: _elem_match(c, dt, v)))
             elif op in ("$ne", "$nin"):
                 # negative operators hold when no element / value matches
                 pos = "$eq" if op == "$ne" else "$in"
-                preds.append(~_resolve(base, schema, parts, lambda c, dt, _p=pos, _v=v: _leaf(c, dt, _p, _v, opts)))
+                preds.append(~_resolve(base, schema, parts, lambda c, dt, _p=pos, _v=v: _leaf(c, dt, _p, _v),
+                                       _asks_null(pos, v)))
+            elif op == "$exists":
+                there = _resolve(base, schema, parts, lambda c, dt: c.isNotNull())
+                preds.append(there if v else ~there)
+            elif op == "$regex":
+                pat, flags = _regex(v, opts)
+                preds.append(_resolve(base, schema, parts, lambda c, dt, _p=pat, _f=flags: _leaf(c, dt, "$regex", _p, _f)))
             else:
-                preds.append(_resolve(base, schema, parts, lambda c, dt, _o=op, _v=v: _leaf(c, dt, _o, _v, opts)))
+                preds.append(_resolve(base, schema, parts, lambda c, dt, _o=op, _v=v: _leaf(c, dt, _o, _v, opts),
+                                      _asks_null(op, v)))
         out = preds[0]
         for p in preds[1:]:
             out = out & p
         return out
     if isinstance(cond, re.Pattern):
-        return _resolve(base, schema, parts, lambda c, dt: _leaf(c, dt, "$regex", cond.pattern))
-    if cond is None:
-        # {field: null} matches null and missing: no element may be non-null
-        return ~_resolve(base, schema, parts, lambda c, dt: c.isNotNull())
-    return _resolve(base, schema, parts, lambda c, dt: _leaf(c, dt, "$eq", cond))
+        return _field_pred(path, {"$regex": cond}, schema, base)
+    # {field: null} is {field: {$eq: null}}: some element (or the path itself) is null or missing
+    return _resolve(base, schema, parts, lambda c, dt: _leaf(c, dt, "$eq", cond), _asks_null("$eq", cond))
 
 
 def _elem_match(c: Column, dt: T.DataType, spec: dict) -> Column:
@@ -138,7 +160,10 @@ def _elem_match(c: Column, dt: T.DataType, spec: dict) -> Column:
 def _field_ops_scalar(e: Column, dt: T.DataType, spec: dict) -> Column:
     out = F.lit(True)
     for op, v in spec.items():
-        out = out & _leaf(e, dt, op, v, spec.get("$options", "")) if op != "$options" else out
+        if op == "$options":
+            continue
+        v, opts = _regex(v, spec.get("$options", "")) if op == "$regex" else (v, "")
+        out = out & _leaf(e, dt, op, v, opts)
     return out
 
 

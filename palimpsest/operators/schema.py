@@ -3,9 +3,9 @@
 The declared schema is data (``processors.attributes``); it is joined to
 records at run time so one job handles every document type at once.
 Records reach their schema through their group: records -> groups is a
-join on the group id (both large: shuffle, or AQE's choice), groups ->
-processors goes to the processor table, which is broadcast only behind
-a checked row bound (``maybe_broadcast``).
+join on the group id (both large: shuffle, or AQE's choice), and so is
+groups -> processors: Spark broadcasts the processors where their size in
+bytes allows it.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import attrs as A
-from .joins import maybe_broadcast
 from ..sources.model import ATTR_TYPE, ATTRS_TYPE, DEFAULT_PROCESSOR, SCHEMA_ATTR_TYPE
 
 SCHEMA_ARR = T.ArrayType(SCHEMA_ATTR_TYPE)
@@ -103,8 +102,8 @@ def read_schema_json(spark, path: str) -> DataFrame:
 def resolve_processor(record_groups: DataFrame, processors: DataFrame) -> DataFrame:
     """Processor of each group, falling back to the built-in default
     processor when the group's processor is unknown."""
-    p = maybe_broadcast(processors.select("processor_id", F.col("name").alias("_pname"), F.col("model_id").alias("_mid"),
-                                          F.lit(True).alias("_found")))
+    p = processors.select("processor_id", F.col("name").alias("_pname"), F.col("model_id").alias("_mid"),
+                          F.lit(True).alias("_found"))
     d_id, d_name, d_model, _ = DEFAULT_PROCESSOR
     j = record_groups.join(p, "processor_id", "left")
     found = F.coalesce("_found", F.lit(False))
@@ -120,7 +119,7 @@ def resolve_processor(record_groups: DataFrame, processors: DataFrame) -> DataFr
 def schema_by_group(record_groups: DataFrame, processors: DataFrame) -> DataFrame:
     """Each group with its processor's schema array; a group without
     processor gets an empty schema."""
-    p = maybe_broadcast(processors.select("processor_id", F.col("attributes").alias("schema")))
+    p = processors.select("processor_id", F.col("attributes").alias("schema"))
     return (record_groups.select("record_group_id", "processor_id").join(p, "processor_id", "left")
             .select("record_group_id", "processor_id", (F.col("schema").isNotNull()).alias("has_processor"),
                     F.coalesce("schema", F.array().cast(SCHEMA_ARR)).alias("schema")))

@@ -50,21 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is
-    unset (local runs, tests) do we pick a scratch folder of our own.
+    unset on a ``local`` master do we pick a scratch folder of our own; on a
+    cluster an unset one is an error, as executors couldn't see that folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="palimpsest-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
-
-
-def cut_lineage(df):
-    """Materialise ``df`` into the shared checkpoint directory (reliable
-    checkpoint, survives executor loss; never the local variant)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -1,6 +1,9 @@
 """Operators over hand-written nested records (F1, F3, F4, P4-P6, R1, R2,
 M1-M6, W1-W3, X1-X3) and the Q-n decisions."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -190,3 +193,62 @@ def test_upsert_keeps_each_columns_last_change(spark):
     assert got == {"g1": ("new", "p2"), "g2": ("b", "p0")}
     plain = upsert_dimension(table, changes.drop("seq"), "id").collect()
     assert sorted((r.id, r.name, r.processor) for r in plain) == [("g1", "new", "p2"), ("g2", "b", "p0")]
+
+
+def test_filter_null_exists_and_flags(spark):
+    rows = [(1, None, None, None, [attr("a", None), attr("b", "x")]), (2, None, None, None, [attr("c", "x"), attr("d", "y\nA")]),
+            (3, None, None, None, [attr("e", None)]), (4, None, None, None, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    q = lambda spec: col_of(df.where(FL.record_filter(spec, df.schema)).select("record_id"), "record_id")
+    p = "attributesList.value"
+    assert q({p: None}) == q({p: {"$eq": None}}) == q({p: {"$in": [None]}}) == [1, 3, 4]
+    assert q({p: {"$ne": None}}) == [2]
+    assert q({p: {"$exists": True}}) == [1, 2] and q({p: {"$exists": False}}) == [3, 4]
+    assert q({p: re.compile("^X", re.I)}) == q({p: {"$regex": "^X", "$options": "i"}}) == [1, 2]
+    assert q({p: re.compile("^X")}) == [] and q({p: re.compile("^A", re.M)}) == [2] and q({p: re.compile("^A")}) == []
+    assert q({p: {"$not": re.compile("^X", re.I)}}) == [3, 4]
+    with pytest.raises(ValueError):
+        q({p: {"$regex": "x", "$options": "g"}})
+
+
+def test_export_name_is_free(spark):
+    df = spark.createDataFrame([(1, "g", "f", [attr("X", "1"), attr("X_2", "2"), attr("X", "3"), attr("X", "4"), attr("X_2", "5")])],
+                               "record_id long, record_group_id string, filename string, attributes "
+                               + ATTRS_TYPE.simpleString())
+    cells = X.export_cells(df).select(F.inline("cells")).collect()
+    assert {c["col"]: c["val"] for c in cells if c["kind"] == 1} == {"X": "1", "X_2": "2", "X_3": "3", "X_4": "4", "X_2_2": "5"}
+
+
+def test_status_changes_in_order(spark):
+    rng, kinds = random.Random(5), ("verification_status", "review_status", "other")
+    states = ("unreviewed", "incomplete", "defective", "reviewed", None)
+    changes = [(r, s, rng.choice(kinds), rng.choice(states), rng.choice(("required", "verified", None)),
+                rng.choice((["tear"], None)), rng.choice(("d1", "d2", None))) for r in range(1, 40) for s in range(rng.randint(0, 5))]
+    want = {r: ["reviewed", "required", ["old"], "old", 2] for r in range(1, 40)}
+    bad = 0
+    for r, _, kind, rs, vs, dc, dd in changes:
+        w = want[r]
+        if kind == "verification_status" and rs is not None:
+            w[:2] = rs, vs
+        elif kind == "review_status" and rs in states[:3]:
+            w[0] = rs
+            if rs == "defective":
+                w[2:4] = dc or [], dd
+            else:
+                w[1] = None
+            if rs == "unreviewed":
+                w[4] = 1
+        else:
+            bad += 1
+    recs = spark.createDataFrame([(r, "reviewed", "required", ["old"], "old", [attr("a"), attr("b", user_added=True)]) for r in want],
+                                 "record_id int, review_status string, verification_status string, "
+                                 "defective_categories array<string>, defective_description string, attributes "
+                                 + ATTRS_TYPE.simpleString())
+    rng.shuffle(changes)
+    ch = spark.createDataFrame(changes, "record_id int, seq int, update_type string, review_status string, verification_status string, "
+                                        "defective_categories array<string>, defective_description string")
+    out, dec = ED.status_edits(recs, ch)
+    got = {r["record_id"]: [r["review_status"], r["verification_status"], r["defective_categories"], r["defective_description"],
+                            len(r["attributes"])] for r in out.collect()}
+    assert got == want
+    assert dec.count() == len(changes) and dec.where("not accepted").count() == bad
