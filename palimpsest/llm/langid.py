@@ -27,11 +27,11 @@ empty training table gives flat likelihoods; other columns stay untouched.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import by_shuffle, map_text, query, stage, table, text_or_empty
 
@@ -44,6 +44,7 @@ KAPPA = (4.0, 4.0, 8.0)  # pseudo-counts drawn from the level above: suffix, dom
 TRUST = 0.9        # P(declared = language | declared at all)
 LEAST = 0.6        # posterior needed for a decision
 LETTERS = 8        # letters needed before a text counts as evidence
+LEVELS = ["__suffix", "__domain", "__host"]  # of the address, coarse to fine
 
 _TAG = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z#0-9]{1,10};")
 
@@ -109,11 +110,63 @@ def text_log_likelihood(docs: DataFrame, model: np.ndarray, keep: list[str], tex
     return map_text(docs, keep, run, "__ll array<double>, __grams long", text_col)
 
 
-def _softmax(scores: list[Column]) -> list[Column]:
-    top = F.greatest(*scores)
-    parts = [F.exp(s - top) for s in scores]
-    total = reduce(lambda a, b: a + b, parts)
-    return [p / total for p in parts]
+def _softmax(x: np.ndarray) -> np.ndarray:
+    e = np.exp(x - x.max(1, keepdims=True))
+    return e / e.sum(1, keepdims=True)
+
+
+def _matrix(column) -> np.ndarray:
+    """Rows x languages of an Arrow column of arrays, one number a language."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(LANGUAGES))
+
+
+def _computed(df: DataFrame, fn, fields: str) -> DataFrame:
+    """``df`` plus ``fields`` that ``fn`` computes from an Arrow batch as a
+    dict of numpy arrays (two dimensions: an array column).  The numbers of a
+    row meet in numpy as one expression tree over all languages and levels
+    would cost the driver hundreds of MB to plan."""
+    new = T.StructType.fromDDL(fields)
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        kinds = [to_arrow_type(f.dataType) for f in new.fields]
+
+        def column(v, kind):
+            if v.ndim < 2:
+                return pa.array(v, kind)
+            at = pa.array(np.arange(0, v.size + 1, v.shape[1], dtype=np.int32))
+            return pa.ListArray.from_arrays(at, pa.array(v.ravel()), type=kind)
+
+        for rb in batches:
+            if rb.num_rows:
+                got = fn(rb)
+                yield pa.RecordBatch.from_arrays([*rb.columns, *(column(got[f.name], k) for f, k in zip(new.fields, kinds, strict=True))],
+                                                 names=[*rb.schema.names, *new.names])
+
+    return df.mapInArrow(run, T.StructType(df.schema.fields + new.fields))
+
+
+def _evidence(rb) -> dict:
+    """The text's and the markup's log likelihoods, and the vote they give."""
+    said = np.array([LANGUAGES.index(x) if x else -1 for x in rb.column("__said").to_pylist()])
+    local = _matrix(rb.column("__ll")).copy()
+    told = np.flatnonzero(said >= 0)
+    local[told] += np.log((1 - TRUST) / (len(LANGUAGES) - 1))
+    local[told, said[told]] += np.log(TRUST) - np.log((1 - TRUST) / (len(LANGUAGES) - 1))
+    spoken = (rb.column("__grams").to_numpy() > 0) | (said >= 0)
+    return {"__local": local, "__own": _softmax(local) * spoken[:, None]}
+
+
+def _posterior(rb, overall: np.ndarray) -> dict:
+    """Every level's votes without the page's own, smoothed towards the level
+    above; the host's prior and the page's evidence give the posterior."""
+    own, prior = _matrix(rb.column("__own")), overall
+    for lv, kappa in zip(LEVELS, KAPPA, strict=True):
+        c = np.maximum(_matrix(rb.column(f"{lv}_votes")) - own, 0.0)
+        prior = (c + kappa * prior) / (c.sum(1, keepdims=True) + kappa)
+    return {"__prior": prior, "__post": _softmax(_matrix(rb.column("__local")) + np.log(np.maximum(prior, 1e-12)))}
 
 
 def fuse(ev: DataFrame, declared: Column, address: dict[str, Column]) -> DataFrame:
@@ -122,49 +175,27 @@ def fuse(ev: DataFrame, declared: Column, address: dict[str, Column]) -> DataFra
     ``address``: suffix, domain and host columns, from coarse to fine.  Adds
     ``language``, ``confidence``, ``posterior`` (by language) and
     ``host_prior`` (by language)."""
-    levels = ["__suffix", "__domain", "__host"]
     k = len(LANGUAGES)
     said = F.lower(F.regexp_extract(F.coalesce(declared, F.lit("")), r"^\s*([A-Za-z]{2,3})", 1))
-    known = said.isin(list(LANGUAGES))
-    first = ev.select(
-        "*", *(F.coalesce(c, F.lit("")).alias(n) for n, c in zip(levels, address.values(), strict=True)),
-        F.when(known, said).alias("__said"))
-    markup = [F.when(F.col("__said").isNull(), 0.0).when(F.col("__said") == lang, float(np.log(TRUST)))
-              .otherwise(float(np.log((1 - TRUST) / (k - 1)))) for lang in LANGUAGES]
-    local = [F.col("__ll")[i] + m for i, m in enumerate(markup)]
-    spoken = (F.col("__grams") > 0) | F.col("__said").isNotNull()
-    first = first.select("*", *(c.alias(f"__local{i}") for i, c in enumerate(local)),
-                         *(F.when(spoken, p).otherwise(0.0).alias(f"__own{i}") for i, p in enumerate(_softmax(local))))
-    first = stage(first, "langid-evidence")
-
-    own = [f"__own{i}" for i in range(k)]
-    votes = [first.groupBy(*levels[: n + 1]).agg(*(F.sum(o).alias(f"{lv}{i}") for i, o in enumerate(own)))
-             for n, lv in enumerate(levels)]
+    first = ev.select("*", *(F.coalesce(c, F.lit("")).alias(n) for n, c in zip(LEVELS, address.values(), strict=True)),
+                      F.when(said.isin(list(LANGUAGES)), said).alias("__said"))
+    first = stage(_computed(first, _evidence, "__local array<double>, __own array<double>"), "langid-evidence")
+
+    sums = [F.sum(F.col("__own")[i]) for i in range(k)]
+    votes = [first.groupBy(*LEVELS[: n + 1]).agg(F.array(*sums).alias(f"{lv}_votes")) for n, lv in enumerate(LEVELS)]
     # hosts meet their domain and suffix as summed rows, pages meet their host once
-    tree = votes[2].join(by_shuffle(votes[1]), levels[:2]).join(by_shuffle(votes[0]), levels[:1])
-    overall = [float(x or 0.0) for x in first.agg(*(F.sum(o) for o in own)).first()]  # one number a language
-    page = first.join(by_shuffle(tree), levels)
-
-    def smoothed(above: list[Column], lv: str, kappa: float) -> list[Column]:
-        c = [F.greatest(F.col(f"{lv}{i}") - F.col(own[i]), F.lit(0.0)) for i in range(k)]
-        n = reduce(lambda a, b: a + b, c)
-        return [(c[i] + kappa * above[i]) / (n + kappa) for i in range(k)]
-
-    prior = [F.lit((n + 1.0) / (sum(overall) + k)) for n in overall]
-    for lv, kappa in zip(levels, KAPPA, strict=True):
-        page = page.select("*", *(p.alias(f"__p{lv}{i}") for i, p in enumerate(smoothed(prior, lv, kappa))))
-        prior = [F.col(f"__p{lv}{i}") for i in range(k)]
-    post = _softmax([F.col(f"__local{i}") + F.log(F.greatest(p, F.lit(1e-12))) for i, p in enumerate(prior)])
-    page = page.select("*", *(p.alias(f"__post{i}") for i, p in enumerate(post)))
-    post = [F.col(f"__post{i}") for i in range(k)]
-    best = F.greatest(*post)
-    lang = F.coalesce(*(F.when(post[i] == best, lang) for i, lang in enumerate(LANGUAGES)))
-    by_lang = lambda cols: F.create_map(*(x for i, lang in enumerate(LANGUAGES) for x in (F.lit(lang), cols[i])))
+    tree = votes[2].join(by_shuffle(votes[1]), LEVELS[:2]).join(by_shuffle(votes[0]), LEVELS[:1])
+    total = np.array([x or 0.0 for x in first.agg(*sums).first()])  # one number a language
+    overall = (total + 1.0) / (total.sum() + k)
+    page = _computed(first.join(by_shuffle(tree), LEVELS), lambda rb: _posterior(rb, overall),
+                     "__prior array<double>, __post array<double>")
+    best, names = F.array_max("__post"), F.array(*map(F.lit, LANGUAGES))
     voted = (F.col("__grams") > 0) | F.col("__said").isNotNull() | (F.col("__host") != "")
     return page.select(
         *[c for c in ev.columns if c not in ("__ll", "__grams")], F.col("__grams").alias("n_grams"), F.col("__said").alias("declared"),
-        F.when(voted & (best >= LEAST), lang).otherwise("und").alias("language"), best.alias("confidence"),
-        by_lang(post).alias("posterior"), by_lang(prior).alias("host_prior"))
+        F.when(voted & (best >= LEAST), names[F.array_position("__post", best).cast("int") - 1]).otherwise("und").alias("language"),
+        best.alias("confidence"), F.map_from_arrays(names, "__post").alias("posterior"),
+        F.map_from_arrays(names, "__prior").alias("host_prior"))
 
 
 def address_parts(url: Column) -> dict[str, Column]:
