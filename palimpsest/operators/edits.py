@@ -21,7 +21,8 @@ from ..sources.model import ATTR_TYPE, ATTRS_TYPE, NOTE_TYPE, SUB_TYPE
 
 PREV_TYPE = T.ArrayType(T.StructType([T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()),
                                       T.StructField("idx", T.IntegerType()),
-                                      T.StructField("previous_value", T.StringType())]))
+                                      T.StructField("previous_value", T.StringType()),
+                                      T.StructField("reason", T.StringType())]))
 ACC_TYPE = T.StructType([T.StructField("a", ATTRS_TYPE), T.StructField("h", PREV_TYPE)])
 
 
@@ -92,9 +93,13 @@ def _step(acc: Column, e: Column, fns: bool = False) -> Column:
     del_sub = F.transform(a, lambda x, i: F.when(i == idx, x.withField(
         "subattributes", F.filter(x["subattributes"], lambda s, j: j != sub))).otherwise(x))
     op = e["op"]
-    in_range = idx < n
-    new_a = (F.when(~in_range & (op != "insert"), a)
-             .when((op == "insert") & is_sub & ~in_range, a)      # missing parent: rejected
+    in_range = (idx >= 0) & (idx < n)
+    has_sub = (sub >= 0) & (sub < F.coalesce(F.size(target["subattributes"]), F.lit(0)))
+    # M8: what is rejected changes nothing and gets no history row
+    reason = (F.when(~op.isin("replace", "coordinates", "insert", "delete"), F.lit("unknown operation"))
+              .when(~in_range & (is_sub | (op != "insert")), F.lit("no attribute at that position"))
+              .when(is_sub & (op != "insert") & ~has_sub, F.lit("no sub-attribute at that position")))
+    new_a = (F.when(reason.isNotNull(), a)
              .when(op == "replace", replace)
              .when(op == "coordinates", coord)
              .when((op == "insert") & is_sub, ins_sub)
@@ -103,7 +108,8 @@ def _step(acc: Column, e: Column, fns: bool = False) -> Column:
              .when(op == "delete", dele)
              .otherwise(a))
     rec = F.array(F.struct(e["seq"].cast("bigint").alias("seq"), op.alias("op"), idx.alias("idx"),
-                           F.when((op == "replace") & in_range, prev_val).alias("previous_value")))
+                           F.when((op == "replace") & in_range, prev_val).alias("previous_value"),
+                           reason.alias("reason")))
     return F.struct(new_a.cast(ATTRS_TYPE).alias("a"), F.concat(h, rec).cast(PREV_TYPE).alias("h"))
 
 
@@ -119,10 +125,39 @@ EDIT_COLS = ["seq", "op", "idx", "sub_idx", "payload", "user", "ts", "coords", "
 def apply_edits(records: DataFrame, edits: DataFrame, clean_with: DataFrame | None = None
                 ) -> tuple[DataFrame, DataFrame]:
     """M1-M4, M7, M8: (new records, history rows with previous values).
+    Rejected edits change nothing; ``rejected_edits`` lists them.
 
     ``edits`` may omit ``sub_idx``, ``coords`` and ``page``.  With
     ``clean_with`` = (record_group_id, fns) from ``clean.schema_functions``
     replaced values are cleaned before they are stored (M7)."""
+    out, fns = _folded(records, edits, clean_with)
+    new_records = out.withColumn("attributes", F.coalesce(F.col("_f.a"), F.col("attributes")))
+    if fns is not None:
+        from .clean import clean_attributes
+        marked = lambda x: F.coalesce(x["value_type"] == F.lit(DIRTY), F.lit(False))
+        new_records = new_records.withColumn("attributes", clean_attributes(F.col("attributes"), fns, only=marked))
+
+        def unmark(x):
+            return x.withField("value_type", F.when(marked(x), F.lit("string")).otherwise(x["value_type"]))
+        new_records = new_records.withColumn("attributes", F.transform("attributes", lambda a: unmark(a).withField(
+            "subattributes", F.transform(a["subattributes"], unmark))))
+    new_records = new_records.withColumn("edited_now", F.col("_edits").isNotNull()).drop("_f", "_edits", "_fns")
+    return new_records, _outcomes(out).where(F.col("reason").isNull()).drop("reason")
+
+
+def rejected_edits(records: DataFrame, edits: DataFrame) -> DataFrame:
+    """M8: (record_id, record_group_id, seq, op, idx, reason) of the edits
+    that ``apply_edits`` rejects, judged in their turn."""
+    return _outcomes(_folded(records, edits)[0]).where(F.col("reason").isNotNull()).drop("previous_value")
+
+
+def _outcomes(folded: DataFrame) -> DataFrame:
+    return (folded.where(F.col("_edits").isNotNull())
+            .select("record_id", "record_group_id", F.inline_outer("_f.h")).where(F.col("seq").isNotNull()))
+
+
+def _folded(records: DataFrame, edits: DataFrame, clean_with: DataFrame | None = None) -> tuple[DataFrame, Column | None]:
+    """Records with their batch (_edits) and its fold (_f), and the cleaning functions' column."""
     e = edits
     for c, t in (("sub_idx", "int"), ("coords", "array<array<double>>"), ("page", "int")):
         if c not in e.columns:
@@ -138,22 +173,7 @@ def apply_edits(records: DataFrame, edits: DataFrame, clean_with: DataFrame | No
         fns = F.coalesce(F.col("_fns"), F.create_map().cast("map<string,string>"))
     folded = fold_edits(F.col("attributes"), F.coalesce(F.col("_edits"), F.array().cast(
         T.ArrayType(batch.schema["_edits"].dataType.elementType))), fns is not None)
-    out = j.withColumn("_f", F.when(F.col("_edits").isNotNull(), folded))
-    new_records = out.withColumn("attributes", F.coalesce(F.col("_f.a"), F.col("attributes")))
-    if fns is not None:
-        from .clean import clean_attributes
-        marked = lambda x: F.coalesce(x["value_type"] == F.lit(DIRTY), F.lit(False))
-        new_records = new_records.withColumn("attributes", clean_attributes(F.col("attributes"), fns, only=marked))
-
-        def unmark(x):
-            return x.withField("value_type", F.when(marked(x), F.lit("string")).otherwise(x["value_type"]))
-        new_records = new_records.withColumn("attributes", F.transform("attributes", lambda a: unmark(a).withField(
-            "subattributes", F.transform(a["subattributes"], unmark))))
-    new_records = new_records.withColumn("edited_now", F.col("_edits").isNotNull()).drop("_f", "_edits", "_fns")
-    history = (out.where(F.col("_edits").isNotNull())
-                  .select("record_id", "record_group_id", F.inline_outer("_f.h"))
-                  .where(F.col("seq").isNotNull()))
-    return new_records, history
+    return j.withColumn("_f", F.when(F.col("_edits").isNotNull(), folded)), fns
 
 
 # ---------------------------------------------------------------- reset

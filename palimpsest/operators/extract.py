@@ -20,18 +20,18 @@ def project_records(records: DataFrame, top_level: list[str] | None = None,
                     attribute_fields: list[str] | None = None,
                     sub_fields: list[str] | None = None, id_col: str = "record_id") -> DataFrame:
     """Keep listed top-level fields (the id always), listed fields
-    of every attribute (the list is dropped when none are listed) and of
-    every sub-attribute (NULL list -> []; without a list, sub-attributes
-    pass through whole)."""
+    of every attribute (the list is dropped when none are listed).
+    Sub-attributes appear only where ``subattributes`` is one of the listed
+    fields: with ``sub_fields`` of each (NULL list -> []), else whole."""
     cols = [F.col(id_col)] + [F.col(c) for c in (top_level or []) if c not in (id_col, "attributes")]
     if attribute_fields:
         def attr(a):
             fields = [a[f].alias(f) for f in attribute_fields if f != "subattributes"]
-            if sub_fields:
+            if "subattributes" in attribute_fields and sub_fields:
                 subs = F.transform(F.coalesce(a["subattributes"], F.array().cast(SUBS_TYPE)),
                                    lambda s: F.struct(*[s[f].alias(f) for f in sub_fields]))
                 fields.append(subs.alias("subattributes"))
-            elif "subattributes" in attribute_fields or sub_fields is None:
+            elif "subattributes" in attribute_fields:
                 fields.append(a["subattributes"].alias("subattributes"))
             return F.struct(*fields)
         cols.append(F.transform(F.coalesce("attributes", F.array().cast(ATTRS_TYPE)), attr).alias("attributes"))

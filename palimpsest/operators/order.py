@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import attrs as A
+from ..session import ensure_checkpoint_dir
 
 ATTR_PREFIXES = ("attributesList.", "attributes.")
 
@@ -79,19 +80,17 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
     """Within each scope, ``rank`` (1-based), ``prev_id``, ``next_id``,
     ``first_id``, ``last_id`` over the sorted selection -- skew-safe.
 
-    1. range-partition (scope, sort keys, id) and sort inside partitions:
-       a scope holding a third of all rows is spread over many tasks;
-    2. per partition (Arrow batches, pandas): running rank, prev / next and
-       first / last id of each scope *within* the partition;
+    1. range-partition (scope, sort keys, id): a scope holding a third of all
+       rows is spread over many partitions.  The partition's number is written
+       down with the row (a checkpoint in the shared folder), so every later
+       use sees the same split, whatever Spark reuses or plans anew;
+    2. windows by (scope, partition) give the rank, neighbours and ends inside
+       the partition; they spill, and none holds more than one partition;
     3. only scopes cut by a partition boundary need a fix-up; each partition
-       has at most two (its first and last scope), so their per-partition
-       counts and end ids form a table of at most 2 x partitions rows,
-       turned into offsets with a small window and broadcast back (a
-       proven size bound).
+       has at most two (its first and last scope), so their counts and end
+       ids form a table of at most 2 x partitions rows, turned into offsets
+       with a small window and broadcast back (a proven size bound).
     Returns (id, scope..., rank, prev_id, next_id, first_id, last_id)."""
-    import pandas as pd
-    from pyspark.sql import types as T
-
     if not scope:
         # one total order over the whole selection (the reference's list
         # view): same plan with a constant scope
@@ -100,45 +99,30 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
     keys = [sort_key(sort[0])] + ([sort_key(secondary)] if secondary else [])
     desc = _dir(sort[1]) == -1
     base = df.select(*scope, *[k.alias(f"_k{i}") for i, k in enumerate(keys)], F.col(id_col).alias("_id"))
-    korder = [(F.col(f"_k{i}").desc() if desc else F.col(f"_k{i}").asc()) for i in range(len(keys))]
-    full_order = [F.col(c).asc() for c in scope] + korder + [F.col("_id").asc()]
+    korder = [(F.col(f"_k{i}").desc() if desc else F.col(f"_k{i}").asc()) for i in range(len(keys))] + [F.col("_id").asc()]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = base.repartitionByRange(n, *full_order).sortWithinPartitions(*full_order)
-
-    scope_fields = [base.schema[c] for c in scope]
-    out_schema = T.StructType(scope_fields + [
-        T.StructField("_id", T.LongType()), T.StructField("_pid", T.IntegerType()),
-        T.StructField("_rank", T.LongType()), T.StructField("_prev", T.LongType()),
-        T.StructField("_next", T.LongType()), T.StructField("_pfirst", T.LongType()),
-        T.StructField("_plast", T.LongType()), T.StructField("_edge", T.BooleanType())])
-    scope_cols = list(scope)
-
-    def local(batches):
-        from pyspark import TaskContext
-        frames = [b for b in batches]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        if pdf.empty:
-            return
-        # one group key per row (NULL scopes form a group of their own)
-        gkey = pdf[scope_cols].astype(object).where(pdf[scope_cols].notna(), "\x00<null>")
-        gk = gkey.apply(tuple, axis=1) if len(scope_cols) > 1 else gkey[scope_cols[0]]
-        g = pdf["_id"].groupby(gk, sort=False)
-        out = pdf[scope_cols].copy()
-        out["_id"] = pdf["_id"].astype("int64")
-        out["_pid"] = TaskContext.get().partitionId()
-        out["_rank"] = (g.cumcount() + 1).astype("int64")
-        out["_prev"] = g.shift(1).astype("Int64")
-        out["_next"] = g.shift(-1).astype("Int64")
-        out["_pfirst"] = g.transform("first").astype("int64")
-        out["_plast"] = g.transform("last").astype("int64")
-        out["_edge"] = (gk == gk.iloc[0]) | (gk == gk.iloc[-1])
-        yield out
-
-    loc = ranged.mapInPandas(local, out_schema)
-    edges = (loc.where("_edge").groupBy("_pid", *scope)
-                .agg(F.count(F.lit(1)).alias("_cnt"), F.first("_pfirst").alias("_bf"), F.first("_plast").alias("_bl")))
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = (base.repartitionByRange(n, *[F.col(c).asc() for c in scope], *korder)
+              .withColumn("_pid", F.spark_partition_id()).checkpoint())
+
+    part = Window.partitionBy("_pid", *scope)
+    w = part.orderBy(*korder)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    loc = ranged.select(
+        "_id", "_pid", *scope, F.row_number().over(w).cast("long").alias("_rank"),
+        F.lag("_id").over(w).alias("_prev"), F.lead("_id").over(w).alias("_next"),
+        F.first("_id").over(whole).alias("_pfirst"), F.last("_id").over(whole).alias("_plast"))
+
+    # the first and the last scope of each partition, with their rows and end ids
+    scopes = F.struct(*scope)
+    ends = ranged.groupBy("_pid").agg(F.min(scopes).alias("lo"), F.max(scopes).alias("hi"))
+    ends = ends.select("_pid", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_s")) \
+        .select(F.col("_pid").alias("_epid"), *[F.col("_s")[c].alias(f"_e_{c}") for c in scope])
+    same = lambda pid, pre: [F.col("_pid") == F.col(pid)] + [F.col(c).eqNullSafe(F.col(f"{pre}{c}")) for c in scope]
+    pos = F.struct(*[F.col(f"_k{i}") for i in range(len(keys))], (-F.col("_id") if desc else F.col("_id")).alias("_i"))
+    low, high = F.min_by("_id", pos), F.max_by("_id", pos)
+    edges = (ranged.join(F.broadcast(ends), same("_epid", "_e_")).groupBy("_pid", *scope)
+             .agg(F.count(F.lit(1)).alias("_cnt"), (high if desc else low).alias("_bf"), (low if desc else high).alias("_bl")))
     w = Window.partitionBy(*scope).orderBy("_pid")
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     fix = edges.select(
@@ -147,8 +131,7 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
         F.lag("_bl").over(w).alias("_pl"), F.lead("_bf").over(w).alias("_nf"),
         F.first("_bf").over(wall).alias("_sf"), F.last("_bl").over(wall).alias("_sl"))
     # at most two rows per range partition: broadcast is size-bounded
-    cond = [F.col("_pid") == F.col("_fpid")] + [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in scope]
-    j = loc.join(F.broadcast(fix), cond, "left")
+    j = loc.join(F.broadcast(fix), same("_fpid", "_s_"), "left")
     return j.select(
         F.col("_id").alias(id_col), *scope,
         (F.col("_rank") + F.coalesce(F.col("_off"), F.lit(0))).alias("rank"),
@@ -195,30 +178,31 @@ def navigate_all(df: DataFrame, scope: list[str], sort=("dateCreated", 1), id_co
 def navigate(df: DataFrame, target_id, scope: list[str], sort=("dateCreated", 1),
              id_col="record_id") -> DataFrame:
     """W2 for one target, without a window: one aggregate per scope
-    compares every record's (key, id) with the target's.  Struct
-    comparison puts NULL first, matching the ascending sort.
+    compares every record's (key, id) with the target's, in either
+    direction.  An empty ``scope`` navigates the whole selection; a NULL
+    scope is a scope of its own.  Ids are integers.
 
     Returns one row per scope that contains the target."""
+    if not scope:
+        return navigate(df.withColumn("_all", F.lit(0)), target_id, ["_all"], sort, id_col).drop("_all")
     field, direction = sort
-    if _dir(direction) == -1:
-        raise NotImplementedError("descending navigation: use navigate_all")
-    key = sort_key(field)
-    idc = F.col(id_col)
-    base = df.select(*scope, idc.alias("_id"), key.alias("_k"))
+    desc = _dir(direction) == -1
+    # rows in sort order have ascending positions, or descending ones with the id's sign turned (ties stay by id)
+    pos = F.struct(sort_key(field).alias("k"), (-F.col(id_col) if desc else F.col(id_col)).alias("i"))
+    base = df.select(*scope, F.col(id_col).alias("_id"), pos.alias("_p"))
     tgt = base.where(F.col("_id") == F.lit(target_id)).select(
-        *[F.col(c).alias(f"_t_{c}") for c in scope], F.col("_k").alias("_tk"), F.col("_id").alias("_tid"))
-    cond = [base[c] == tgt[f"_t_{c}"] for c in scope]
+        *[F.col(c).alias(f"_t_{c}") for c in scope], F.col("_p").alias("_tp"), F.col("_id").alias("_tid"))
     # the target side holds one row (ids are unique): a proven size bound
-    j = base.join(F.broadcast(tgt), cond)
-    order_s = F.struct(F.col("_k").alias("k"), F.col("_id").alias("i"))
-    it = F.struct(F.col("_tk").alias("k"), F.col("_tid").alias("i"))
-    before, after = order_s < it, order_s > it
+    j = base.join(F.broadcast(tgt), [base[c].eqNullSafe(tgt[f"_t_{c}"]) for c in scope])
+    low, high = F.col("_p") < F.col("_tp"), F.col("_p") > F.col("_tp")
+    before, after = (high, low) if desc else (low, high)
+    nearest, farthest = (F.min_by, F.max_by) if desc else (F.max_by, F.min_by)
     agg = j.groupBy(*scope, "_tid").agg(
         (F.lit(1) + F.count_if(before)).alias("rank"),
-        F.max_by(F.when(before, F.col("_id")), F.when(before, order_s)).alias("prev_id"),
-        F.min_by(F.when(after, F.col("_id")), F.when(after, order_s)).alias("next_id"),
-        F.min_by(F.col("_id"), order_s).alias("first_id"),
-        F.max_by(F.col("_id"), order_s).alias("last_id"),
+        nearest(F.when(before, F.col("_id")), F.when(before, F.col("_p"))).alias("prev_id"),
+        farthest(F.when(after, F.col("_id")), F.when(after, F.col("_p"))).alias("next_id"),
+        farthest(F.col("_id"), F.col("_p")).alias("first_id"),
+        nearest(F.col("_id"), F.col("_p")).alias("last_id"),
     )
     return agg.select(F.col("_tid").alias(id_col), *scope, "rank",
                       F.coalesce("prev_id", "last_id").alias("prev_id"),

@@ -26,7 +26,8 @@ base AS (
   FROM attrs WHERE record_id IN (SELECT record_id FROM ed) GROUP BY record_id),
 r AS (
   SELECT record_id, CAST(0 AS BIGINT) AS k, keys, vals, CAST(NULL AS VARCHAR) AS prev,
-         CAST(NULL AS VARCHAR) AS op, CAST(NULL AS INTEGER) AS idx, CAST(NULL AS BIGINT) AS seq
+         CAST(NULL AS VARCHAR) AS op, CAST(NULL AS INTEGER) AS idx, CAST(NULL AS BIGINT) AS seq,
+         false AS accepted
   FROM base
   UNION ALL
   SELECT r.record_id, r.k + 1,
@@ -38,7 +39,7 @@ r AS (
          WHEN e.op = 'replace' AND e.idx < len(r.vals) THEN list_concat(r.vals[1:e.idx], [e.payload], r.vals[e.idx + 2:])
          ELSE r.vals END,
     CASE WHEN e.op = 'replace' AND e.idx < len(r.vals) THEN r.vals[e.idx + 1] END,
-    e.op, e.idx, e.seq
+    e.op, e.idx, e.seq, e.op = 'insert' OR e.idx < len(r.keys)
   FROM r JOIN ek e ON e.record_id = r.record_id AND e.k = r.k + 1)
 """
 
@@ -60,13 +61,22 @@ def q_apply_edits(spark, sf):
 
 
 @query("edit_history", _recursive("""
-SELECT record_id, seq, op, idx, prev AS previous_value FROM r WHERE k > 0
-"""), ops=("M8", "H1", "S9"))
+SELECT record_id, seq, op, idx, prev AS previous_value FROM r WHERE k > 0 AND accepted
+"""), ops=("M8",))
 def q_edit_history(spark, sf):
     _, hist = ED.apply_edits(M.load_records(spark, sf), M.load_edits(spark, sf))
     return hist.select("record_id", "seq", "op", "idx", "previous_value")
 
 
+@query("edit_rejections", _recursive("""
+SELECT record_id, seq, op, idx, 'no attribute at that position' AS reason FROM r WHERE k > 0 AND NOT accepted
+""").replace("pos AS idx", "CAST(pos + 2 AS INTEGER) AS idx"), ops=("M8",))
+def q_edit_rejections(spark, sf):
+    """The batch with every position two further on, so that some lie past the end."""
+    edits = M.load_edits(spark, sf).withColumn("idx", F.col("idx") + 2)
+    return ED.rejected_edits(M.load_records(spark, sf), edits).select("record_id", "seq", "op", "idx", "reason")
+
+
 @query("reset_records", with_model("""
 SELECT r.record_id,
        count(a.key) FILTER (WHERE NOT a.user_added) AS n_attrs,

@@ -316,7 +316,7 @@ FROM recs r
 @query("project_nested", PROJECT_NESTED_SQL, ops=("P1", "P2", "P3"))
 def q_project_nested(spark, sf):
     from ..operators import extract as E
-    r = E.project_records(M.load_records(spark, sf), top_level=["name"], attribute_fields=["key", "value"],
+    r = E.project_records(M.load_records(spark, sf), top_level=["name"], attribute_fields=["key", "value", "subattributes"],
                           sub_fields=["key"])
     subs = F.flatten(F.transform("attributes", lambda a: a["subattributes"].getField("key")))
     return r.select("record_id", "name",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from palimpsest.functions import attrs as A
 from palimpsest.operators import edits as ED
 from palimpsest.operators import export as X
+from palimpsest.operators import extract as EX
 from palimpsest.operators import filters as FL
 from palimpsest.operators import order as O
 from palimpsest.operators import schema as SC
@@ -252,3 +253,50 @@ def test_status_changes_in_order(spark):
                             len(r["attributes"])] for r in out.collect()}
     assert got == want
     assert dec.count() == len(changes) and dec.where("not accepted").count() == bad
+
+
+def test_rejected_edits_leave_no_history(spark, recs):
+    e = spark.createDataFrame([(1, 1, "replace", 0, None, "5", "u"), (1, 2, "delete", 9, None, None, "u"),
+                               (1, 3, "replace", 0, 7, "6", "u"), (1, 4, "insert", 9, 0, "K", "u"), (1, 5, "odd", 0, None, "K", "u")],
+                              "record_id long, seq long, op string, idx int, sub_idx int, payload string, user string")
+    e = e.withColumn("ts", F.current_timestamp())
+    new, hist = ED.apply_edits(recs, e)
+    attrs = new.where("record_id = 1").first()["attributes"]
+    assert [h["seq"] for h in hist.collect()] == [1] and attrs[0]["value"] == "5" and len(attrs) == 3
+    got = {r["seq"]: r["reason"] for r in ED.rejected_edits(recs, e).collect()}
+    assert got == {2: "no attribute at that position", 3: "no sub-attribute at that position",
+                   4: "no attribute at that position", 5: "unknown operation"}
+
+
+def test_sub_attributes_only_where_listed(spark, recs):
+    fields = lambda **k: EX.project_records(recs, attribute_fields=k["fields"], sub_fields=k.get("subs")) \
+        .schema["attributes"].dataType.elementType.fieldNames()
+    assert fields(fields=["key"], subs=["key"]) == ["key"] and fields(fields=["key"]) == ["key"]
+    assert fields(fields=["key", "subattributes"], subs=["key"]) == ["key", "subattributes"]
+
+
+NAV = ["record_id", "rank", "prev_id", "next_id", "first_id", "last_id"]
+
+
+@pytest.mark.parametrize("direction", [1, -1])
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_rank_holds_without_exchange_reuse(spark, direction, reuse):
+    df = spark.range(3000).selectExpr("id as record_id", "case when id % 3 = 0 then null when id % 3 = 1 then 'a' else concat('g', id % 50) end as g",
+                                      "case when id % 11 = 0 then null else (id * 7919) % 40 end as date_created")
+    want = {r[0]: tuple(r) for r in O.rank_records_window(df.fillna("?", ["g"]), ["g"], ("dateCreated", direction)).select(*NAV).collect()}
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        got = {r[0]: tuple(r) for r in O.rank_records(df, ["g"], ("dateCreated", direction), partitions=7).select(*NAV).collect()}
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    assert got == want
+
+
+@pytest.mark.parametrize("direction", [1, -1])
+def test_navigate_any_scope_and_direction(spark, direction):
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else "a", None if i % 4 == 0 else i % 5) for i in range(30)],
+                               "record_id long, g string, date_created long")
+    for scope in (["g"], []):
+        every = {r[0]: tuple(r) for r in O.navigate_all(df, scope, ("dateCreated", direction)).select(*NAV).collect()}
+        for t in (0, 3, 7):
+            assert tuple(O.navigate(df, t, scope, ("dateCreated", direction)).select(*NAV).first()) == every[t]
