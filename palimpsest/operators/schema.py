@@ -220,13 +220,26 @@ def invalid_schema_updates(edits: DataFrame) -> DataFrame:
         "bad_fields", F.array_except(F.map_keys(F.col("fields")), allowed)).where(F.size("bad_fields") > 0)
 
 
+def _edit_reason(op: str, fields: dict, taken: bool) -> str | None:
+    """Why an edit is rejected, or None."""
+    if op == "add":
+        if taken:
+            return "name already exists"
+        return None if fields.get("data_type") and fields.get("database_data_type") else "data_type and database_data_type are required"
+    if op not in ("delete", "update"):
+        return "unknown operation"
+    if not taken:
+        return "no attribute with that name"
+    return "field not allowed" if op == "update" and set(fields) - set(EDITABLE) else None
+
+
 def apply_schema_edits(schema_rows: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Apply a batch of attribute edits to flat schema rows.
 
     ``schema_rows``: (processor_id, pos, name, <EDITABLE fields>).
     ``edits``: (processor_id, seq, op in add/delete/update, name,
-    fields MAP<STRING,STRING>).  One edit per (processor, name) per batch
-    is applied (the lowest ``seq``).
+    fields MAP<STRING,STRING>).  All edits of a processor are applied in the
+    order of ``seq``, each to what the earlier ones left.
 
     * add: needs ``data_type`` and ``database_data_type`` and a name not in
       use; empty values are dropped; appended after the last position.
@@ -234,56 +247,42 @@ def apply_schema_edits(schema_rows: DataFrame, edits: DataFrame) -> tuple[DataFr
     * update: first row with that name; a NULL/"" value removes the field;
       may rename; fields outside the allowed set are rejected (U3).
 
-    Returns (new schema rows, rejected edits with a reason).  A full outer
-    join of schema and edits on (processor, name): no per-edit lookups."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("processor_id", "name").orderBy("seq")
-    e = edits.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    first = schema_rows.withColumn("_first", F.row_number().over(
-        Window.partitionBy("processor_id", "name").orderBy("pos")) == 1)
-    j = first.join(e.withColumnRenamed("name", "_ename"),
-                   (first.processor_id == e.processor_id) & (first.name == F.col("_ename")), "full_outer") \
-        .select(F.coalesce(first.processor_id, e.processor_id).alias("processor_id"),
-                *[first[c] for c in schema_rows.columns if c != "processor_id"], "_first",
-                "seq", "op", "_ename", "fields")
-    allowed = F.array(*[F.lit(f) for f in EDITABLE])
-    bad = F.size(F.array_except(F.map_keys(F.coalesce("fields", F.create_map().cast("map<string,string>"))), allowed)) > 0
-    exists = F.col("name").isNotNull()
-    reason = (F.when(F.col("op") == "add",
-                     F.when(exists & F.col("_first"), F.lit("name already exists"))
-                      .when(F.nullif(F.col("fields")["data_type"], F.lit("")).isNull()
-                            | F.nullif(F.col("fields")["database_data_type"], F.lit("")).isNull(),
-                            F.lit("data_type and database_data_type are required")))
-              .when(F.col("op") == "delete", F.when(~exists, F.lit("no attribute with that name")))
-              .when(F.col("op") == "update",
-                    F.when(~exists, F.lit("no attribute with that name"))
-                     .when(bad, F.lit("field not allowed")))
-              .when(F.col("op").isNotNull(), F.lit("unknown operation")))
-    j = j.withColumn("reason", reason)
-    # only the first row of a name is the target of an add-conflict / update
-    rejected = j.where(F.col("reason").isNotNull() & (F.col("_first") | F.col("_first").isNull())) \
-        .select("processor_id", "seq", "op", F.col("_ename").alias("name"), "reason").distinct()
-    ok = F.col("reason").isNull()
-
-    def upd(f):
-        v = F.col("fields")[f]
-        keep = F.col(f).cast("string")
-        has = F.map_contains_key(F.coalesce("fields", F.create_map().cast("map<string,string>")), F.lit(f))
-        new = F.when(has, F.nullif(v, F.lit(""))).otherwise(keep)
-        return new.cast("double").alias(f) if f == "page_order_sort" else new.alias(f)
-
-    kept = j.where(exists & ~(ok & F.coalesce(F.col("op") == "delete", F.lit(False))))
-    is_upd = ok & F.coalesce((F.col("op") == "update") & F.col("_first"), F.lit(False))
-    updated = kept.select("processor_id", "pos", *[
-        F.when(is_upd, upd(f)).otherwise(F.col(f)).alias(f) if f != "page_order_sort"
-        else F.when(is_upd, upd(f)).otherwise(F.col(f)).cast("double").alias(f)
-        for f in EDITABLE])
-    maxpos = schema_rows.groupBy("processor_id").agg(F.max("pos").alias("_mp"))
-    adds = (j.where(ok & (F.col("op") == "add") & ~exists).join(maxpos, "processor_id", "left")
-             .withColumn("pos", (F.coalesce("_mp", F.lit(-1)) + F.row_number().over(
-                 Window.partitionBy("processor_id").orderBy("seq"))).cast(schema_rows.schema["pos"].dataType))
-             .select("processor_id", "pos", *[
-                 (F.coalesce(F.nullif(F.col("fields")[f], F.lit("")), F.col("_ename")) if f == "name"
-                  else F.nullif(F.col("fields")[f], F.lit(""))).cast("double" if f == "page_order_sort" else "string")
-                 .alias(f) for f in EDITABLE]))
-    return updated.unionByName(adds), rejected
+    Returns (new schema rows, rejected edits with a reason).  Edits depend on
+    one another within a processor only, so each processor's schema and batch
+    (bounded by one document type) is folded in one group, many in parallel."""
+    import pandas as pd
+
+    text = [f for f in EDITABLE if f != "page_order_sort"]
+    plain = schema_rows.select("processor_id", F.col("pos").cast("int").alias("pos"), *[F.col(f).cast("string") for f in text],
+                               F.col("page_order_sort").cast("double"))
+    batch = edits.select("processor_id", F.col("seq").cast("bigint").alias("seq"), "op", "name",
+                         F.coalesce("fields", F.create_map().cast("map<string,string>")).alias("fields"))
+    # a row holds a field or a rejected edit, so every column can be null
+    out = T.StructType([T.StructField(f.name, f.dataType) for f in plain.schema.fields]
+                       + [T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()), T.StructField("reason", T.StringType())])
+
+    def value(f, v):
+        return None if v in (None, "") else float(v) if f == "page_order_sort" else v
+
+    def fold(key, schema, todo):
+        rows = [{c: None if pd.isna(v) else v for c, v in r.items()} for r in schema.sort_values("pos").to_dict("records")]
+        rejected, last = [], max((r["pos"] for r in rows), default=-1)
+        for e in todo.sort_values(["seq", "op", "name"]).to_dict("records"):
+            op, name, fields = e["op"], e["name"], dict(e["fields"])
+            at = [i for i, r in enumerate(rows) if r["name"] == name]
+            reason = _edit_reason(op, fields, bool(at))
+            if reason:
+                rejected.append({"processor_id": key[0], "seq": e["seq"], "op": op, "name": name, "reason": reason})
+            elif op == "add":
+                last += 1
+                row = {f: value(f, fields.get(f)) for f in EDITABLE}
+                rows.append(row | {"processor_id": key[0], "pos": last, "name": row["name"] or name})
+            elif op == "delete":
+                rows = [r for r in rows if r["name"] != name]
+            else:
+                rows[at[0]].update({f: value(f, v) for f, v in fields.items()})
+        return pd.DataFrame(rows + rejected, columns=out.names, dtype=object)
+
+    both = plain.groupBy("processor_id").cogroup(batch.groupBy("processor_id")).applyInPandas(fold, out)
+    new = both.where(F.col("reason").isNull()).select("processor_id", "pos", *EDITABLE)
+    return new, both.where(F.col("reason").isNotNull()).select("processor_id", "seq", "op", "name", "reason")

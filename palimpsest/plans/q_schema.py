@@ -202,14 +202,14 @@ def q_read_schema_json(spark, sf):
                                                    "cleaning_function")
 
 
-def load_schema_edits(spark, sf):
-    """A batch of schema edits derived from ``part`` (every 97th part):
+def load_schema_edits(spark, sf, one_in=97):
+    """A batch of schema edits derived from ``part`` (one part in ``one_in``):
     processor by ``(p_partkey / 97) % 4``; op by ``p_size % 3`` -- add a
     new field (database type missing when ``p_size`` is odd), delete a
     field (one of ten names, one of which does not exist), update a field
     (drop its cleaning function and set an alias; an unknown field name
     when ``p_partkey % 7 = 0``)."""
-    p = M.table(spark, sf, "part").where(F.pmod("p_partkey", F.lit(97)) == 0)
+    p = M.table(spark, sf, "part").where(F.pmod("p_partkey", F.lit(one_in)) == 0)
     segs = F.array(*[F.lit(x) for x in M.PROCESSOR_SEGMENTS])
     names = F.array(*[F.lit(r[0]) for r in M.SCHEMA_ROWS], F.lit("Field 8"))
     m = F.pmod("p_size", F.lit(3))
@@ -251,44 +251,69 @@ ed0 AS (
                      'Field 3::Sec'])[p_partkey % 9 + 1] END AS name,
          p_size % 2 = 0 AS has_dbt, p_partkey % 7 = 0 AS bogus, p_brand
   FROM part WHERE p_partkey % 97 = 0),
-ed AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY processor_id, name ORDER BY seq) AS rn FROM ed0)
-       WHERE rn = 1),
-dec AS (
-  SELECT e.*, EXISTS (SELECT 1 FROM sch s WHERE s.processor_id = e.processor_id AND s.name = e.name) AS ex,
-         CASE WHEN e.op = 'add' AND EXISTS (SELECT 1 FROM sch s WHERE s.processor_id = e.processor_id AND s.name = e.name)
-                   THEN 'name already exists'
-              WHEN e.op = 'add' AND NOT e.has_dbt THEN 'data_type and database_data_type are required'
-              WHEN e.op IN ('delete', 'update')
-                   AND NOT EXISTS (SELECT 1 FROM sch s WHERE s.processor_id = e.processor_id AND s.name = e.name)
-                   THEN 'no attribute with that name'
-              WHEN e.op = 'update' AND e.bogus THEN 'field not allowed' END AS reason
-  FROM ed e)
+ed AS (SELECT *, row_number() OVER (PARTITION BY processor_id ORDER BY seq) AS k FROM ed0),
+f AS (
+  SELECT processor_id, CAST(0 AS BIGINT) AS k, max(pos) + 1 AS next_pos, list(struct_pack(pos := pos, name := name, alias := alias,
+           data_type := data_type, dbt := database_data_type, po := page_order_sort, cf := cleaning_function) ORDER BY pos) AS fields,
+         CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS op, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS reason
+  FROM sch GROUP BY processor_id
+  UNION ALL
+  SELECT processor_id, k, CASE WHEN reason IS NULL AND op = 'add' THEN next_pos + 1 ELSE next_pos END,
+    CASE WHEN reason IS NOT NULL THEN fields
+         WHEN op = 'add' THEN list_concat(fields, [struct_pack(pos := next_pos, name := name, alias := CAST(NULL AS VARCHAR),
+           data_type := 'text', dbt := 'varchar', po := CAST(NULL AS DOUBLE), cf := CAST(NULL AS VARCHAR))])
+         WHEN op = 'delete' THEN [x FOR x IN fields IF x.name <> name]
+         ELSE [CASE WHEN x.name = name THEN struct_pack(pos := x.pos, name := x.name, alias := p_brand, data_type := x.data_type,
+           dbt := x.dbt, po := x.po, cf := CAST(NULL AS VARCHAR)) ELSE x END FOR x IN fields] END,
+    seq, op, name, reason
+  FROM (
+    SELECT f.processor_id, e.k, f.next_pos, f.fields, e.seq, e.op, e.name, e.p_brand,
+      CASE WHEN e.op = 'add' AND list_contains([x.name FOR x IN f.fields], e.name) THEN 'name already exists'
+           WHEN e.op = 'add' AND NOT e.has_dbt THEN 'data_type and database_data_type are required'
+           WHEN e.op <> 'add' AND NOT list_contains([x.name FOR x IN f.fields], e.name) THEN 'no attribute with that name'
+           WHEN e.op = 'update' AND e.bogus THEN 'field not allowed' END AS reason
+    FROM f JOIN ed e ON e.processor_id = f.processor_id AND e.k = f.k + 1))
 """
 
 
-@query("apply_schema_edits", with_model(_SCHEMA_EDITS_SQL + """
-SELECT s.processor_id, s.pos, s.name,
-       CASE WHEN d.op = 'update' AND d.reason IS NULL THEN d.p_brand ELSE s.alias END AS alias,
-       s.data_type, s.database_data_type, s.page_order_sort,
-       CASE WHEN d.op = 'update' AND d.reason IS NULL THEN NULL ELSE s.cleaning_function END AS cleaning_function
-FROM sch s LEFT JOIN dec d ON d.processor_id = s.processor_id AND d.name = s.name
-WHERE NOT (coalesce(d.op, '') = 'delete' AND d.reason IS NULL)
-UNION ALL
-SELECT d.processor_id,
-       CAST((SELECT max(pos) FROM sch s WHERE s.processor_id = d.processor_id)
-            + row_number() OVER (PARTITION BY d.processor_id ORDER BY d.seq) AS INTEGER),
-       d.name, NULL, 'text', 'varchar', NULL, NULL
-FROM dec d WHERE d.op = 'add' AND d.reason IS NULL
-""", "processors", "schema").replace("\\n, sch AS", ",\\nsch AS"), ops=("R3", "U3"))
+def _schema_edits_sql(select: str, one_in: int = 97) -> str:
+    sql = with_model(_SCHEMA_EDITS_SQL.replace("p_partkey % 97 = 0", f"p_partkey % {one_in} = 0") + select, "processors", "schema")
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_EDITED_ROWS = """
+SELECT processor_id, x.pos AS pos, x.name AS name, x.alias AS alias, x.data_type AS data_type, x.dbt AS database_data_type,
+       x.po AS page_order_sort, x.cf AS cleaning_function
+FROM (SELECT processor_id, unnest(fields) AS x FROM f WHERE k = (SELECT max(k) FROM f g WHERE g.processor_id = f.processor_id))
+"""
+_EDITED_COLS = ["processor_id", "pos", "name", "alias", "data_type", "database_data_type", "page_order_sort", "cleaning_function"]
+
+
+@query("apply_schema_edits", _schema_edits_sql(_EDITED_ROWS), ops=("R3", "U3"))
 def q_apply_schema_edits(spark, sf):
     new, _ = SC.apply_schema_edits(_schema_rows(spark, sf), load_schema_edits(spark, sf))
-    return new.select("processor_id", "pos", "name", "alias", "data_type", "database_data_type", "page_order_sort",
-                      "cleaning_function")
+    return new.select(*_EDITED_COLS)
+
+
+@query("apply_schema_edits_multi", _schema_edits_sql(_EDITED_ROWS, 5), ops=("R3", "U3"))
+def q_apply_schema_edits_multi(spark, sf):
+    """Many edits a name: re-added, updated twice, updated once deleted."""
+    new, _ = SC.apply_schema_edits(_schema_rows(spark, sf), load_schema_edits(spark, sf, 5))
+    return new.select(*_EDITED_COLS)
+
+
+_REJECTED = """
+SELECT processor_id, seq, op, name, reason FROM f WHERE reason IS NOT NULL
+"""
+
+
+@query("schema_edit_rejections_multi", _schema_edits_sql(_REJECTED, 5), ops=("R3", "U3"))
+def q_schema_edit_rejections_multi(spark, sf):
+    _, rej = SC.apply_schema_edits(_schema_rows(spark, sf), load_schema_edits(spark, sf, 5))
+    return rej.select("processor_id", "seq", "op", "name", "reason")
 
 
-@query("schema_edit_rejections", with_model(_SCHEMA_EDITS_SQL + """
-SELECT processor_id, seq, op, name, reason FROM dec WHERE reason IS NOT NULL
-""", "processors", "schema").replace("\\n, sch AS", ",\\nsch AS"), ops=("R3", "U3"))
+@query("schema_edit_rejections", _schema_edits_sql(_REJECTED), ops=("R3", "U3"))
 def q_schema_edit_rejections(spark, sf):
     _, rej = SC.apply_schema_edits(_schema_rows(spark, sf), load_schema_edits(spark, sf))
     return rej.select("processor_id", "seq", "op", "name", "reason")
