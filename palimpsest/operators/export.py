@@ -108,6 +108,15 @@ def export_columns(cells: DataFrame) -> list[str]:
     return [r["col"] for r in order.select("col").collect()]
 
 
+def with_occurring(columns: list[str], cells: DataFrame) -> list[str]:
+    """``columns`` and all others that occur in ``cells``, such as further
+    repeats of a name: file, attributes, sub columns, URL."""
+    def kind(c):
+        return {"file": 0, "URL": 3}.get(c, 2 if c.endswith("]") else 1)
+
+    return sorted(dict.fromkeys([*columns, *export_columns(cells)]), key=kind)
+
+
 def export_wide(cells: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One wide row per record with the given column list (computed
     by ``export_columns`` when omitted); absent cells are NULL."""

@@ -16,7 +16,7 @@ EXPORT_PROJECT = "5"
 ORIGIN = "https://example.org"
 
 
-def _export_cells(spark, sf):
+def _export_cells(spark, sf, selected=None):
     recs = M.load_records(spark, sf)
     groups = M.load_record_groups(spark, sf)
     scoped = recs.join(groups.where(F.col("project_id") == EXPORT_PROJECT).select("record_group_id"),
@@ -26,7 +26,7 @@ def _export_cells(spark, sf):
         F.transform(F.filter("schema", lambda s: F.lower(s["database_data_type"]) == "table"),
                     lambda s: F.regexp_replace(s["name"], " ", "")).alias("table_names"))
     j = scoped.join(sg, "record_group_id", "left")
-    return X.export_cells(j, F.coalesce(F.col("table_names"), F.array().cast("array<string>")), None, ORIGIN)
+    return X.export_cells(j, F.coalesce(F.col("table_names"), F.array().cast("array<string>")), selected, ORIGIN)
 
 
 _CELLS_SQL = f"""
@@ -75,8 +75,13 @@ def q_export_columns(spark, sf):
     return spark.createDataFrame([(c, i + 1) for i, c in enumerate(cols)], "column_name string, column_pos int")
 
 
+#: the caller's choice: attribute names, each with all of its repeats and sub-attributes
+SELECTED = ["T", "Sec", "Field3", "Field4", "Field5", "Field6", "Field7"]
+
+
 def _selected_columns(repeats: int = 5) -> list[str]:
-    """The caller's choice of wide columns: every key and its first repeats."""
+    """Columns that the wide export has at any rate: every key and its first
+    repeats (the columns of the SQL, which can't name what the data hold)."""
     nth = ["", *(f"_{i}" for i in range(2, repeats + 1))]
     flat = [f"{k}{n}" for k in ("T", "Sec", "Field4", "Field5", "Field6", "Field7") for n in nth]
     return ["file", *flat, *(f"Field3{n}[{sub}]" for n in nth for sub in ("Depth", "Sec")), "URL"]
@@ -86,7 +91,19 @@ def _selected_columns(repeats: int = 5) -> list[str]:
     _CELLS_SQL + "SELECT record_id, " + ", ".join(f"max(val) FILTER (WHERE col = '{c}') AS \"{c}\"" for c in _selected_columns())
     + " FROM cells GROUP BY record_id", "recs", "subs", "groups", "processors", "schema"), ops=("X1",))
 def q_export_wide(spark, sf):
-    return X.export_wide(_export_cells(spark, sf), _selected_columns())
+    cells = _export_cells(spark, sf, SELECTED)
+    return X.export_wide(cells, X.with_occurring(_selected_columns(), cells))
+
+
+@query("export_wide_cells", with_model(
+    _CELLS_SQL + "SELECT record_id, col AS column_name, max(val) AS value FROM cells GROUP BY record_id, col HAVING max(val) IS NOT NULL",
+    "recs", "subs", "groups", "processors", "schema"), ops=("X1",))
+def q_export_wide_cells(spark, sf):
+    """The wide rows turned back into (column, value): its SQL has no list of
+    columns, so a cell that the wide rows lack shows."""
+    wide = q_export_wide(spark, sf)
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value")) for c in wide.columns if c != "record_id"])
+    return wide.select("record_id", F.inline(cells)).where(F.col("value").isNotNull())
 
 
 @query("export_json", with_model("""

@@ -158,6 +158,18 @@ def test_export_cells_and_json(spark, recs):
     assert j["entries"]["T"]["value"] == "20"                # last wins, raw key
 
 
+def test_export_wide_has_every_repeat(spark, monkeypatch):
+    from palimpsest.plans import q_export as Q
+    df = spark.createDataFrame([(1, "g", "1", None, [attr("T", str(i)) for i in range(7)] + [attr("Field 3", subs=[sub("Else", "s")])])], SCHEMA)
+    df = df.withColumn("filename", F.lit("f.png"))
+    monkeypatch.setattr(Q, "_export_cells", lambda spark, sf, selected=None: X.export_cells(df, None, selected, "https://o"))
+    wide = Q.q_export_wide(spark, "")
+    assert wide.first().asDict()["T_7"] == "6" and wide.first().asDict()["Field3[Else]"] == "s"
+    assert wide.columns[1] == "file" and wide.columns[-1] == "URL" and wide.columns.index("T_7") < wide.columns.index("Field3[Depth]")
+    cells = {r["column_name"]: r["value"] for r in Q.q_export_wide_cells(spark, "").collect()}
+    assert cells == {"file": "f.png", "URL": "https://o/record/1", "T": "0", "Field3[Else]": "s", **{f"T_{i}": str(i - 1) for i in range(2, 8)}}
+
+
 def test_skew_safe_rank_matches_window(spark):
     # one scope holds most rows and is cut by many range partitions
     rows = [(i, "hot" if i % 10 else f"g{i % 7}", (i * 7919) % 101 if i % 13 else None) for i in range(3000)]
