@@ -18,10 +18,12 @@ Spark then does the matching:
 4. Pairs are verified on the whole texts: set Jaccard or probability Jaccard
    of at least ``threshold``.
 5. Verified links give components; buckets that still hold several components
-   are compared once more, members outside the bucket's largest component
-   against all of its blocks, and every similar pair across components that a
-   block hasn't joined yet is verified there, on texts sent to the block.  So
-   no link between components of any size is lost, and no pairs are joined to
+   are compared once more, members outside the bucket's largest component, in
+   lots of bounded size, against all of its blocks: first by signatures alone;
+   then texts are sent to the (lot, block) groups for the members that are in a
+   similar pair across components, and every such pair that its group hasn't
+   joined yet is verified there.  So no link between components of any size is
+   lost, no group is larger than a lot and a block, and no pairs are joined to
    texts that a group of near copies would multiply.
 6. The final component's smallest doc_id is the class of its documents.
 
@@ -225,25 +227,50 @@ def _forest_pairs(t, starts):
     return out
 
 
-def _cross_links(t, starts, threshold: float):
-    """Verified links between a probe and a member of another component.
+def _cross_pairs(t, starts):
+    """Per group the index pairs (probe, member, registers in common) that are
+    similar and of different components.
 
     A pair is looked at in the first band that it shares only, so once over
-    all buckets; links of a block are a spanning forest of the components in
-    it, best estimates first, so nothing is verified between components that
-    the block has joined already."""
-    node, label, text = (t.column(c).to_pylist() for c in ("node", "label", "text"))
-    s, probe, key = _sigs(t.column("sig")), t.column("probe").to_numpy(), t.column("key").to_numpy()
-    memo, out = _Words(), {"a": [], "b": []}
+    all buckets, and a pair of two probes from one side."""
+    node, label = t.column("node").to_pylist(), t.column("label").to_pylist()
+    s, key = _sigs(t.column("sig")), t.column("key").to_numpy()
+    probe, apart = t.column("probe").to_numpy(), t.column("apart").to_numpy()
     for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(node)], strict=True):
         p, q = lo + np.flatnonzero(probe[lo:hi]), lo + np.flatnonzero(~probe[lo:hi])
         if not len(p) or not len(q):
             continue
-        a, b, n = _agreeing(s[p], s[q])
-        a, b = p[a], q[b]
-        first = (s[a] == s[b]).reshape(len(a), BANDS, ROWS).all(2).argmax(1) if len(a) else a
-        here = first == key[lo] >> BAND_SHIFT
-        a, b, n = a[here], b[here], n[here]
+        numbers = lambda c: {x: i for i, x in enumerate(sorted(set(c)))}
+        nodes, labels = numbers(node[lo:hi]), numbers(label[lo:hi])
+        who, part = np.array([nodes[x] for x in node[lo:hi]]), np.array([labels[x] for x in label[lo:hi]])
+        members, a, b, n = s[q], [], [], []
+        for i in p:
+            same = members == s[i]
+            count = np.count_nonzero(same, axis=1)
+            j = np.flatnonzero((count >= CUTOFF) & (part[q - lo] != part[i - lo]) & ~(apart[q] & (who[q - lo] < who[i - lo])))
+            j = j[same[j].reshape(len(j), BANDS, ROWS).all(2).argmax(1) == key[lo] >> BAND_SHIFT]
+            a.append(np.full(len(j), i))
+            b.append(q[j])
+            n.append(count[j])
+        yield np.concatenate(a), np.concatenate(b), np.concatenate(n)
+
+
+def _in_pairs(t, starts):
+    """The rows of every group that are in one of its ``_cross_pairs``."""
+    rows = [np.unique(np.concatenate([a, b])) for a, b, _ in _cross_pairs(t, starts)]
+    got = t.take(np.concatenate(rows) if rows else np.zeros(0, np.int64))
+    return {c: got.column(c).to_pylist() for c in got.column_names}
+
+
+def _cross_links(t, starts, threshold: float):
+    """Verified links between a probe and a member of another component.
+
+    Links of a group are a spanning forest of the components in it, best
+    estimates first, so nothing is verified between components that the group
+    has joined already."""
+    node, label, text = (t.column(c).to_pylist() for c in ("node", "label", "text"))
+    memo, out = _Words(), {"a": [], "b": []}
+    for a, b, n in _cross_pairs(t, starts):
         sets: dict[bytes, tuple] = {}
         root: dict[bytes, bytes] = {}
 
@@ -348,14 +375,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     labelled = member.join(by_shuffle(label), "node", "left").withColumn("label", F.coalesce("label", "node"))
     main = (labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("key").agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("parts"))
+            .groupBy("key").agg(F.max(F.struct("c", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("parts"),
+                                F.ceil((F.sum("c") - F.max("c")) / BLOCK).cast("int").alias("lots"))
             .where("parts > 1").drop("parts"))
-    again = stage(labelled.join(main, "key"), "again")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    probes = again.where("label <> main").select("key", every.alias("block"), "node", "label", F.lit(True).alias("probe"))
-    base = again.select("key", own_block.alias("block"), "node", "label", F.lit(False).alias("probe"))
-    # texts travel to the blocks (bounded by BLOCK and the probes), pairs don't leave them
-    more = map_groups(probes.union(base).join(by_shuffle(sig), "node").join(by_shuffle(text), "node"), ["key", "block"],
+    again = labelled.join(main, "key").withColumn("apart", F.expr("label <> main"))
+    again = stage(again.select("key", "blocks", "lots", "node", "label", "apart").join(by_shuffle(sig), "node"), "again")
+    row = ["node", "label", "apart", "sig"]
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own_lot = F.pmod(F.xxhash64("key", "node"), F.col("lots")).cast("int")
+    probes = again.where("apart").select("key", own_lot.alias("lot"), every("blocks").alias("block"), F.lit(True).alias("probe"), *row)
+    base = again.select("key", every("lots").alias("lot"), own_block.alias("block"), F.lit(False).alias("probe"), *row)
+    # a group is a lot of probes and a block of members; texts come to those that the signatures leave
+    group = ["key", "lot", "block"]
+    found = stage(map_groups(probes.union(base), group, _in_pairs,
+                             "key long, lot int, block int, probe boolean, node binary, label binary, apart boolean, sig binary"), "found")
+    more = map_groups(found.join(by_shuffle(text), "node"), group,
                       lambda t, starts: _cross_links(t, starts, threshold), "a binary, b binary")
     links = stage(links.union(more), "verified")
     label = components(links)

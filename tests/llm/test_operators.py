@@ -75,6 +75,29 @@ def test_neardup_stage_keeps_one_of_each(spark, docs):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "4", "5", "9", "10", "11", "12", "None"])
 
 
+def test_near_duplicate_groups_are_bounded(spark, monkeypatch):
+    """A family of texts just below the threshold: nearly all members are components of their own."""
+    rng = np.random.default_rng(11)
+    form, texts = prose(20, 160).split(), []
+    for k in range(120):
+        w = list(form)
+        for i in rng.choice(160, 3, replace=False):
+            w[i] = f"own{k}at{i}"
+        texts.append(" ".join(w))
+    texts += [t.rsplit(" ", 1)[0] + " end" for t in texts[:20]]
+    sizes, plain = [], neardup.map_groups
+
+    def seen(df, keys, fn, fields):
+        sizes.append(df.groupBy(*keys).count().agg({"count": "max"}).first()[0] or 0)
+        return plain(df, keys, fn, fields)
+
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    monkeypatch.setattr(neardup, "map_groups", seen)
+    got = neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == dict(enumerate(near_brute(texts)))
+    assert len({r.class_id for r in got}) > 60 and max(sizes) <= 5 * 8
+
+
 def test_components_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.label for r in neardup.components(links).collect()}
