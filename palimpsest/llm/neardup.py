@@ -29,7 +29,8 @@ Spark then does the matching:
 
 Defined cases: null text counts as empty; all texts without words are copies
 of one another; texts of fewer than five words are one shingle; null ids are
-kept (a class of null ids only has class null); repeated rows each get a
+kept (a class of null ids only has class null; of it the stage keeps the
+smallest row key); repeated rows each get a
 result; empty tables give empty results; ties don't matter (classes are
 components); other columns are left out.
 """
@@ -348,10 +349,12 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, row (see ``row_key``), class_id, n_class
-    (documents of the class) and n_links (links verified for its text)."""
+    (documents of the class), n_links (links verified for its text) and keeper
+    (the row key of the class's first document: smallest id, then row key,
+    null ids last)."""
     docs = docs.select("doc_id", "text", row_key().alias("row"))
     sketch = stage(sketches(docs), "sketch")  # one row per document, read several times below
-    nodes = stage(sketch.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("row").alias("row"),
+    nodes = stage(sketch.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("rep"), F.min("row").alias("row"),
                                              F.max("sig").alias("sig"), F.count(F.lit(1)).alias("copies")), "nodes")
     keys = _band_keys(nodes)
     # buckets of the same members (count and two xors of member hashes) are kept once
@@ -399,9 +402,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     full = (nodes.select("node", "rep", "copies").join(by_shuffle(label), "node", "left").join(by_shuffle(degree), "node", "left")
             .withColumn("label", F.coalesce("label", "node")).withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long"))))
     full = stage(full, "nodes-labelled")
-    classes = full.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("n_class"))
-    full = full.join(by_shuffle(classes), "label").select("node", "class_id", "n_class", "n_links")
-    return sketch.select("doc_id", "row", "node").join(by_shuffle(full), "node").select("doc_id", "row", "class_id", "n_class", "n_links")
+    classes = (full.groupBy("label").agg(F.min("rep").alias("rep"), F.sum("copies").alias("n_class"))
+               .select("label", F.col("rep.doc_id").alias("class_id"), F.col("rep.row").alias("keeper"), "n_class"))
+    full = full.join(by_shuffle(classes), "label").select("node", "class_id", "n_class", "n_links", "keeper")
+    return sketch.select("doc_id", "row", "node").join(by_shuffle(full), "node").select("doc_id", "row", "class_id", "n_class", "n_links", "keeper")
 
 
 @query("op4_probminhash")
@@ -412,10 +416,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class the document with the smallest id stays
-    (once, where that very row repeats)."""
+    (once, where that very row repeats; null ids last, equal ids by row key)."""
     cols = docs.columns
-    got = stage(near_duplicates(docs).select("doc_id", "row", "class_id", "n_class"), "classes")
-    gone = stage(got.where("n_class > 1 and not (doc_id <=> class_id)").select("row").distinct(), "dropped")
+    got = stage(near_duplicates(docs).select("row", "keeper", "n_class"), "classes")
+    gone = stage(got.where("n_class > 1 and row <> keeper").select("row").distinct(), "dropped")
     repeated = stage(got.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row"), "repeated")
     kept = docs.withColumn("row", row_key()) if "row" not in cols else docs.withColumn("__row", row_key())
     r = "row" if "row" not in cols else "__row"

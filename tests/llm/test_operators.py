@@ -75,6 +75,14 @@ def test_neardup_stage_keeps_one_of_each(spark, docs):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "4", "5", "9", "10", "11", "12", "None"])
 
 
+def test_neardup_stage_keeps_one_of_null_and_equal_ids(spark):
+    near = lambda k, end: prose(k, 80).rsplit(" ", 1)[0] + end
+    rows = [(None, near(31, " one")), (None, near(31, " two")), (7, near(32, " one")), (7, near(32, " two")), (8, near(32, " three")),
+            (None, near(33, " one")), (9, near(33, " two"))]
+    kept = neardup.stage_neardup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["7", "9", "None"]
+
+
 def test_near_duplicate_groups_are_bounded(spark, monkeypatch):
     """A family of texts just below the threshold: nearly all members are components of their own."""
     rng = np.random.default_rng(11)
