@@ -10,7 +10,9 @@ diagonal the votes are a bit mask of template positions.
 * A longer notice is found by merging neighbouring diagonals (a few words
   inserted or left out move the rest to the next diagonals): diagonals of at
   least ``SEED`` votes no more than ``GAP`` apart form a span, which is
-  verified by its coverage of the template and its length in the text.
+  verified by its coverage of the template and its length in the text.  A span
+  that is too long (a tail repeated nearby) is replaced by its best run of
+  neighbouring diagonals that is short enough.
 
 Only hits (and one row a text) are shuffled, once, by a key made from id and
 text, so the word tables of large texts never move and all later grouping
@@ -115,6 +117,21 @@ def spans(voted: DataFrame, templates, coverage: float = COVERAGE) -> DataFrame:
                    F.min("low").alias("low"), F.max("high").alias("high"))
               .withColumn("coverage", F.expr("bit_count(mask)") / F.col("grams"))
               .where(F.col("coverage") >= coverage).where(F.expr(f"high - low + 1 <= grams * {STRETCH}")))
+    # a span that is too long stands for its best run of neighbouring diagonals that isn't
+    whole = Window.partitionBy("row", "doc_id", "template", "span")
+    ahead = whole.orderBy("diagonal").rangeBetween(0, 3 * MOST_WORDS)  # no run that fits reaches further
+    part = (seeds.withColumn("reach", F.max("high").over(whole) - F.min("low").over(whole) + 1)
+            .where(F.expr(f"reach > grams * {STRETCH}")).withColumn("run", F.collect_list(F.struct("mask", "low", "high")).over(ahead))
+            .withColumn("run", F.expr("""transform(sequence(1, size(run)), k -> named_struct(
+                'bits', bit_count(aggregate(slice(run, 1, k), 0L, (m, x) -> m | x.mask)),
+                'low', array_min(transform(slice(run, 1, k), x -> x.low)), 'high', array_max(transform(slice(run, 1, k), x -> x.high))))"""))
+            .withColumn("best", F.expr(f"""array_max(transform(filter(run, x -> x.high - x.low + 1 <= grams * {STRETCH}),
+                x -> named_struct('bits', x.bits, 'less', x.low - x.high, 'low', x.low, 'high', x.high)))"""))
+            .groupBy("row", "doc_id", "template", "span")
+            .agg(F.first("label").alias("label"), F.first("grams").alias("grams"), F.max("best").alias("best"))
+            .select("row", "doc_id", "template", "label", F.col("best.low").alias("low"), F.col("best.high").alias("high"),
+                    (F.col("best.bits") / F.col("grams")).alias("coverage")).where(F.col("coverage") >= coverage))
+    merged = merged.select(*part.columns).unionByName(part)
     return full.unionByName(merged.select("row", "doc_id", "template", "label", F.lit(False).alias("base"),
                                           F.col("low").alias("start"), (F.col("high") + 1).alias("stop"), "coverage"))
 

@@ -123,6 +123,13 @@ def test_licence_scan(docs, spark):
     assert (r.n_base, r.first_word, r.last_word, r.labels) == (2, 1, 6, "cc-by,mit-text")
 
 
+def test_licence_notice_with_repeated_tail(spark):
+    rows = [(1, "released under the mit license the mit license"), (None, "so released under the mit license the mit license"),
+            (2, "released under the nice mit license the mit license"), (3, "the mit license the mit license")]
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == got[None] == ("mit,mit-notice", 1.0) and got[3] == ("mit", 1.0)
+
+
 def test_bpe_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
