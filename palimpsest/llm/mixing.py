@@ -3,7 +3,10 @@ fitting, with DataFrame functions only.
 
 Documents are summed into cells (source, language, topic) of tokens; the
 cells' weights are raked to the three marginals in turn until every marginal
-is met; the ratio of a cell's raked weight to its tokens, times one common
+is met, or for ``MOST_ROUNDS`` rounds: marginals that conflict (a language found
+in one source only, which holds only that language) can't all be met.  Then the
+last round's weights are used, which meet the topics, raked last, and the largest
+error of every marginal is logged as a warning; the ratio of a cell's raked weight to its tokens, times one common
 factor, is the probability with which its documents are kept.  The factor is
 set so that the kept tokens are ``budget`` of all tokens in expectation; a
 cell whose probability would pass 1 is kept whole and the factor solved anew
@@ -31,6 +34,8 @@ or kept (the stage).
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +47,8 @@ BUDGET = 0.5
 CLOSE = 1e-10
 MOST_ROUNDS = 200
 
+log = logging.getLogger(__name__)
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -74,6 +81,15 @@ def default_targets(cells: DataFrame, dim: str) -> DataFrame:
     return by.select(F.col(f"__{dim}").alias("value"), F.when(F.col("t") > 0, F.pow("t", F.lit(TEMPER[dim]))).otherwise(0.0).alias("weight"))
 
 
+def marginal_errors(w: DataFrame) -> dict[str, float]:
+    """Largest difference of share and goal in every dimension."""
+    out = {}
+    for dim in DIMS:
+        by = w.groupBy(f"__{dim}").agg(F.abs(F.sum("__w") - F.first(f"__goal_{dim}")).alias("e"))
+        out[dim] = float(by.agg(F.max("e")).first()[0] or 0.0)
+    return out
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
     """Cells plus __w, the raked share of all tokens."""
     total = float(cells.agg(F.sum("__tokens")).first()[0] or 0)
@@ -103,6 +119,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataF
         if (w.agg(F.max("__off")).first()[0] or 0.0) < CLOSE:
             break
         w = w.drop("__off")
+    else:
+        log.warning("marginals not met after %d rounds; largest error of a share: %s", MOST_ROUNDS, marginal_errors(w))
     return w.select(*(f"__{d}" for d in DIMS), "__tokens", "__w")
 
 

@@ -270,6 +270,17 @@ def test_mixing_meets_marginals(spark):
     assert got["__kept"].equals(got["__draw"] < got["__p"])
 
 
+def test_mixing_reports_marginals_that_conflict(spark, caplog, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_ROUNDS", 3)
+    rows = [("s0", "a", "prose", 900), ("s1", "b", "prose", 100)]
+    cells = spark.createDataFrame(rows, "__source string, __lang string, __topic string, __tokens long")
+    w = {r["__source"]: r["__w"] for r in mixing.rake(cells).collect()}
+    said = [r.args for r in caplog.records if "marginals not met" in r.msg]
+    goal = 900**0.5 / (900**0.5 + 100**0.5)
+    assert len(said) == 1 and math.isclose(said[0][1]["source"], abs(w["s0"] - goal), rel_tol=1e-6) and said[0][1]["source"] > 0.01
+    assert said[0][1]["topic"] < 1e-9
+
+
 def test_mixing_edge_rows(spark, docs):
     assert mixing.mix(docs, ["doc_id"]).count() == docs.count()
     assert mixing.stage_mixing(spark, docs, "").columns == docs.columns
