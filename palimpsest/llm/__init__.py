@@ -8,11 +8,14 @@ from . import (  # noqa: F401
     ann_collision,
     bpe_lexicon,
     fingerprint_lcp,
+    gnat_codes,
+    hard_negatives,
     langid,
     license_scan,
     lm_hmm,
     mixing,
     neardup,
+    packing,
     quality_gbt,
     warc,
 )
