@@ -172,7 +172,8 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     first = kept.orderBy("id", "x").select(F.size("x").alias("n")).first()
     width = (first.n if first and first.n % parts == 0 else 0) // parts
     kept = stage(kept.where(F.size("x") == width * parts if width else F.lit(False)), "integer-vectors")
-    seeds = np.array([r.x for r in kept.orderBy("id", "x").limit(entries).select("x").collect()], np.int64).reshape(-1, parts, width)
+    seeds = kept.orderBy("id", "x").limit(entries).select("x").collect()
+    seeds = np.array([r.x for r in seeds], np.int64).reshape(len(seeds), parts, width)
     kind = vectors.schema["label"].dataType
     out = T.StructType([T.StructField("id", T.LongType()), T.StructField("label", kind), T.StructField("code", T.StringType()), T.StructField("error", T.LongType())])
     if not len(seeds):
