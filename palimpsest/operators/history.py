@@ -1,9 +1,13 @@
-"""History and deletion."""
+"""History and deletion (H1-H3, D1-D3).  Logs that history rows and archives
+are appended to (S9, S10) are in ``log``; nested payloads in ``typed_history``."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import work_folder
 
 TAGGED_ACTIONS = ["updateRecord", "cleanRecord"]
 
@@ -54,25 +58,42 @@ def activity_summary(history: DataFrame, by=("action", "user")) -> DataFrame:
                                     F.max("ts").alias("last_ts"))
 
 
-def delete_records(records: DataFrame, doomed_keys: DataFrame, key: str, deleted_by: str
-                   ) -> tuple[DataFrame, DataFrame]:
-    """Split into (kept, archived) with one semi and one anti join
-    against the doomed keys; archived rows carry ``deleted_by``."""
-    k = doomed_keys.select(key).distinct()
-    archived = records.join(k, key, "left_semi").withColumn("deleted_by", F.lit(deleted_by))
-    kept = records.join(k, key, "left_anti")
-    return kept, archived
+def tag_deleted(rows: DataFrame, doomed_keys: DataFrame, key: str, deleted_by: str) -> DataFrame:
+    """``rows`` plus ``deleted_by``, null for those that stay.  One join
+    with the doomed keys; null keys stay."""
+    k = doomed_keys.select(F.col(key).alias("_doomed")).where(F.col("_doomed").isNotNull()).distinct()
+    tagged = rows.join(k, F.col(key) == F.col("_doomed"), "left")
+    return tagged.withColumn("deleted_by", F.when(F.col("_doomed").isNotNull(), F.lit(deleted_by))).drop("_doomed")
+
+
+def split(tagged: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(kept, archived) of tagged rows.  The tagged rows are computed once and
+    written to two folders of the shared file system in that pass; both
+    results read their own folder only."""
+    spark = tagged.sparkSession
+    path = path or work_folder(spark, "split")
+    tagged.withColumn("_deleted", F.col("deleted_by").isNotNull()).write.mode("overwrite").partitionBy("_deleted").parquet(path)
+    both = spark.read.schema(T.StructType([*tagged.schema.fields, T.StructField("_deleted", T.BooleanType())])).parquet(path)
+    return (both.where(~F.col("_deleted")).drop("_deleted", "deleted_by"), both.where("_deleted").drop("_deleted"))
+
+
+def delete_records(records: DataFrame, doomed_keys: DataFrame, key: str, deleted_by: str) -> tuple[DataFrame, DataFrame]:
+    """(kept, archived); archived rows carry ``deleted_by``."""
+    return split(tag_deleted(records, doomed_keys, key, deleted_by))
+
+
+def _delete_where(rows: DataFrame, doomed: Column, deleted_by: str) -> tuple[DataFrame, DataFrame]:
+    return split(rows.withColumn("deleted_by", F.when(F.coalesce(doomed, F.lit(False)), F.lit(deleted_by))))
 
 
 def delete_cascade(project_id: str, projects: DataFrame, record_groups: DataFrame, records: DataFrame,
                    teams: DataFrame, deleted_by: str) -> dict[str, DataFrame]:
     """Delete a project, its groups and their records (archived with
     ``deleted_by``), and unlink the project from its team."""
-    p = projects.where(F.col("project_id") == project_id).select("project_id")
-    kept_p, arch_p = delete_records(projects, p, "project_id", deleted_by)
-    groups = record_groups.join(p, "project_id", "left_semi").select("record_group_id")
-    kept_g, arch_g = delete_records(record_groups, groups, "record_group_id", deleted_by)
-    kept_r, arch_r = delete_records(records, groups, "record_group_id", deleted_by)
+    mine = F.col("project_id") == F.lit(project_id)
+    kept_p, arch_p = _delete_where(projects, mine, deleted_by)
+    kept_g, arch_g = _delete_where(record_groups, mine, deleted_by)
+    kept_r, arch_r = delete_records(records, arch_g, "record_group_id", deleted_by)
     new_teams = teams.withColumn("project_list", F.array_remove("project_list", F.lit(project_id)))
     return {"projects": kept_p, "deleted_projects": arch_p, "record_groups": kept_g,
             "deleted_record_groups": arch_g, "records": kept_r, "deleted_records": arch_r, "teams": new_teams}
@@ -82,15 +103,10 @@ def delete_group(record_group_id: str, record_groups: DataFrame, records: DataFr
                  deleted_by: str) -> dict[str, DataFrame]:
     """D3: delete a group, archive it and its records (by the right key,
     Q-5), unlink it from its project."""
-    g = record_groups.where(F.col("record_group_id") == record_group_id).select("record_group_id")
-    kept_g, arch_g = delete_records(record_groups, g, "record_group_id", deleted_by)
-    kept_r, arch_r = delete_records(records, g, "record_group_id", deleted_by)
-    # the project -> group link is the group row's project_id: archiving
-    # the group row unlinks it (no per-project array to rewrite)
+    mine = F.col("record_group_id") == F.lit(record_group_id)
+    kept_g, arch_g = _delete_where(record_groups, mine, deleted_by)
+    kept_r, arch_r = _delete_where(records, mine, deleted_by)
+    # the project -> group and team -> group links are columns of the group row:
+    # archiving it unlinks it (no per-project array to rewrite)
     return {"record_groups": kept_g, "deleted_record_groups": arch_g, "records": kept_r,
             "deleted_records": arch_r, "projects": projects}
-
-
-def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append rows (history, archives) to a table path."""
-    df.write.mode("append").format(fmt).save(path)

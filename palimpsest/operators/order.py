@@ -6,11 +6,14 @@ Every order ends in the record id, so ties are never left to chance
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import attrs as A
-from ..session import ensure_checkpoint_dir
 
 ATTR_PREFIXES = ("attributesList.", "attributes.")
 
@@ -75,63 +78,104 @@ def rank_records_window(df: DataFrame, scope: list[str], sort=("dateCreated", 1)
     return ranked.join(ends, scope, "left")
 
 
+def _reversed(id_col: Column, kind) -> Column:
+    """A value that sorts the other way round than the id (integers, texts)."""
+    if isinstance(kind, T.StringType):
+        # the bytes' complement in hex; the last sign, above all digits, puts a longer text before its prefix
+        return F.concat(F.translate(F.hex(id_col.cast("binary")), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("~"))
+    if isinstance(kind, T.IntegralType):
+        return -id_col.cast("decimal(20,0)")
+    raise TypeError(f"ids must be integers or texts, not {kind.simpleString()}")
+
+
+SAMPLE_PER_BUCKET = 32
+
+
+def _boundaries(base: DataFrame, n: int) -> list:
+    """At most n - 1 positions that cut the rows into about equal buckets:
+    quantiles of the rows with the smallest id hashes, about 32 a bucket."""
+    total = base.count()
+    share = min(1.0, SAMPLE_PER_BUCKET * n / max(total, 1))
+    some = base.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    found = some.agg(F.array_sort(F.collect_list("_pos"))).first()[0]
+    return list(dict.fromkeys(found[len(found) * i // n] for i in range(1, n))) if found else []
+
+
 def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secondary=None,
                  id_col="record_id", partitions: int | None = None) -> DataFrame:
     """Within each scope, ``rank`` (1-based), ``prev_id``, ``next_id``,
-    ``first_id``, ``last_id`` over the sorted selection -- skew-safe.
-
-    1. range-partition (scope, sort keys, id): a scope holding a third of all
-       rows is spread over many partitions.  The partition's number is written
-       down with the row (a checkpoint in the shared folder), so every later
-       use sees the same split, whatever Spark reuses or plans anew;
-    2. windows by (scope, partition) give the rank, neighbours and ends inside
-       the partition; they spill, and none holds more than one partition;
-    3. only scopes cut by a partition boundary need a fix-up; each partition
-       has at most two (its first and last scope), so their counts and end
-       ids form a table of at most 2 x partitions rows, turned into offsets
-       with a small window and broadcast back (a proven size bound).
+    ``first_id``, ``last_id`` over the sorted selection -- skew-safe, with one
+    exchange of the rows and no table written.
+
+    1. bucket boundaries, as positions (scope, sort keys, id), come from a
+       small sample by id hash.  A row's bucket is a plain function of the row
+       and these constants, so every use of it sees the same split, whatever
+       Spark reuses or plans anew; a scope holding a third of all rows is
+       spread over a third of the buckets;
+    2. scopes cut by a boundary (at most one a boundary) are counted by
+       bucket, with their end ids: a table of at most 2 x buckets rows, made
+       into offsets by a small window and broadcast (a proven size bound);
+    3. rows meet by bucket, windows by (bucket, scope) give the rank,
+       neighbours and ends inside a bucket, and the offsets do the rest.
+    Ids are integers or texts.
     Returns (id, scope..., rank, prev_id, next_id, first_id, last_id)."""
     if not scope:
         # one total order over the whole selection (the reference's list
         # view): same plan with a constant scope
         out = rank_records(df.withColumn("_all", F.lit(0)), ["_all"], sort, secondary, id_col, partitions)
         return out.drop("_all")
+    spark = df.sparkSession
     keys = [sort_key(sort[0])] + ([sort_key(secondary)] if secondary else [])
+    ks = [f"_k{i}" for i in range(len(keys))]
     desc = _dir(sort[1]) == -1
-    base = df.select(*scope, *[k.alias(f"_k{i}") for i, k in enumerate(keys)], F.col(id_col).alias("_id"))
-    korder = [(F.col(f"_k{i}").desc() if desc else F.col(f"_k{i}").asc()) for i in range(len(keys))] + [F.col("_id").asc()]
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (base.repartitionByRange(n, *[F.col(c).asc() for c in scope], *korder)
-              .withColumn("_pid", F.spark_partition_id()).checkpoint())
-
-    part = Window.partitionBy("_pid", *scope)
-    w = part.orderBy(*korder)
+    base = df.select(*scope, *[k.alias(c) for c, k in zip(ks, keys, strict=True)], F.col(id_col).alias("_id"))
+    # positions ascend inside a scope in sort order, or against it where the sort descends
+    last = _reversed(F.col("_id"), base.schema["_id"].dataType) if desc else F.col("_id")
+    base = base.withColumn("_pos", F.struct(*[F.col(c).alias(f"s{i}") for i, c in enumerate(scope)], *ks, last.alias("i")))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = _boundaries(base, n)
+    if cuts:
+        step = max(1, int(len(cuts) ** 0.5))
+        fields = base.schema["_pos"].dataType.fields
+        const = lambda rows: F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for r in rows])
+        fine, coarse = const(cuts), const(cuts[::step])
+        upto = lambda a: F.size(F.filter(a, lambda x: x <= F.col("_pos")))
+        base = base.withColumn("_c", upto(coarse))
+        base = base.withColumn("_b", F.when(F.col("_c") == 0, 0).otherwise(
+            (F.col("_c") - 1) * step + upto(F.slice(fine, (F.col("_c") - 1) * step + 1, F.lit(step))))).drop("_c")
+    else:
+        base = base.withColumn("_b", F.lit(0))
+    dealt = base.repartition(n, "_b") if cuts else base
+
+    korder = [F.col(c).desc() if desc else F.col(c).asc() for c in ks] + [F.col("_id").asc()]
+    w = Window.partitionBy("_b", *scope).orderBy(*korder)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    loc = ranged.select(
-        "_id", "_pid", *scope, F.row_number().over(w).cast("long").alias("_rank"),
+    loc = dealt.select(
+        "_id", "_b", *scope, F.row_number().over(w).cast("long").alias("_rank"),
         F.lag("_id").over(w).alias("_prev"), F.lead("_id").over(w).alias("_next"),
         F.first("_id").over(whole).alias("_pfirst"), F.last("_id").over(whole).alias("_plast"))
+    if not cuts:
+        return loc.select(F.col("_id").alias(id_col), *scope, F.col("_rank").alias("rank"), F.col("_prev").alias("prev_id"),
+                          F.col("_next").alias("next_id"), F.col("_pfirst").alias("first_id"), F.col("_plast").alias("last_id"))
+
+    def at_cut(i):  # whether the i-th boundary lies in the row's scope
+        x = F.get(fine, i)
+        return F.coalesce((i >= 0) & (i < len(cuts)), F.lit(False)) & reduce(
+            and_, (x[f"s{j}"].eqNullSafe(F.col(c)) for j, c in enumerate(scope)))
 
-    # the first and the last scope of each partition, with their rows and end ids
-    scopes = F.struct(*scope)
-    ends = ranged.groupBy("_pid").agg(F.min(scopes).alias("lo"), F.max(scopes).alias("hi"))
-    ends = ends.select("_pid", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_s")) \
-        .select(F.col("_pid").alias("_epid"), *[F.col("_s")[c].alias(f"_e_{c}") for c in scope])
-    same = lambda pid, pre: [F.col("_pid") == F.col(pid)] + [F.col(c).eqNullSafe(F.col(f"{pre}{c}")) for c in scope]
-    pos = F.struct(*[F.col(f"_k{i}") for i in range(len(keys))], (-F.col("_id") if desc else F.col("_id")).alias("_i"))
-    low, high = F.min_by("_id", pos), F.max_by("_id", pos)
-    edges = (ranged.join(F.broadcast(ends), same("_epid", "_e_")).groupBy("_pid", *scope)
+    low, high = F.min_by("_id", "_pos"), F.max_by("_id", "_pos")
+    edges = (base.where(at_cut(F.col("_b") - 1) | at_cut(F.col("_b"))).groupBy("_b", *scope)
              .agg(F.count(F.lit(1)).alias("_cnt"), (high if desc else low).alias("_bf"), (low if desc else high).alias("_bl")))
-    w = Window.partitionBy(*scope).orderBy("_pid")
+    w = Window.partitionBy(*scope).orderBy(F.col("_b").desc() if desc else F.col("_b").asc())
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     fix = edges.select(
-        F.col("_pid").alias("_fpid"), *[F.col(c).alias(f"_s_{c}") for c in scope],
+        F.col("_b").alias("_fb"), *[F.col(c).alias(f"_s_{c}") for c in scope],
         F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.lag("_bl").over(w).alias("_pl"), F.lead("_bf").over(w).alias("_nf"),
         F.first("_bf").over(wall).alias("_sf"), F.last("_bl").over(wall).alias("_sl"))
-    # at most two rows per range partition: broadcast is size-bounded
-    j = loc.join(F.broadcast(fix), same("_fpid", "_s_"), "left")
+    # at most one scope a boundary, in at most two buckets more than its boundaries: broadcast is size-bounded
+    same = [F.col("_b") == F.col("_fb")] + [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in scope]
+    j = loc.join(F.broadcast(fix), same, "left")
     return j.select(
         F.col("_id").alias(id_col), *scope,
         (F.col("_rank") + F.coalesce(F.col("_off"), F.lit(0))).alias("rank"),
@@ -141,6 +185,22 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
         F.coalesce(F.col("_sl"), F.col("_plast")).alias("last_id"))
 
 
+def ranked_page(df: DataFrame, first: int, n: int, sort=("dateCreated", 1), secondary=None, id_col="record_id") -> DataFrame:
+    """W1 over a whole selection for one page: rows of rank ``first`` + 1 to
+    ``first`` + n with their neighbours, by a top-k of one row more than the
+    page's end (no sort or rank of the rest)."""
+    keys = df.select(F.col(id_col).alias("_id"), F.struct(*[c.alias(f"k{i}") for i, c in enumerate(
+        [sort_key(sort[0])] + ([sort_key(secondary)] if secondary else []))]).alias("_k"))
+    names = [f"_k.k{i}" for i in range(2 if secondary else 1)]
+    desc = _dir(sort[1]) == -1
+    order = [F.col(c).desc() if desc else F.col(c).asc() for c in names] + [F.col("_id").asc()]
+    w = Window.orderBy(*order)
+    top = keys.orderBy(*order).limit(first + n + 1)
+    got = top.select(F.col("_id").alias(id_col), F.row_number().over(w).cast("long").alias("rank"),
+                     F.lag("_id").over(w).alias("prev_id"), F.lead("_id").over(w).alias("next_id"))
+    return got.where((F.col("rank") > first) & (F.col("rank") <= first + n))
+
+
 def _sort_struct(sort, secondary, id_col) -> tuple[Column, bool]:
     """A struct whose natural (ascending, nulls first) order is the sort
     order; for descending sorts the struct is compared reversed."""
@@ -161,7 +221,7 @@ def scope_ends(df: DataFrame, scope: list[str], sort=("dateCreated", 1), seconda
     else:
         # descending key (nulls last), id ascending: the first row has the
         # largest key and, among equals, the smallest id
-        o = F.struct(s.alias("s"), (-idc).alias("i"))
+        o = F.struct(s.alias("s"), _reversed(idc, df.schema[id_col].dataType).alias("i"))
         first, last = F.max_by(idc, o), F.min_by(idc, o)
     return df.groupBy(*scope).agg(first.alias("first_id"), last.alias("last_id"))
 
@@ -180,7 +240,7 @@ def navigate(df: DataFrame, target_id, scope: list[str], sort=("dateCreated", 1)
     """W2 for one target, without a window: one aggregate per scope
     compares every record's (key, id) with the target's, in either
     direction.  An empty ``scope`` navigates the whole selection; a NULL
-    scope is a scope of its own.  Ids are integers.
+    scope is a scope of its own.  Ids are integers or texts.
 
     Returns one row per scope that contains the target."""
     if not scope:
@@ -188,7 +248,8 @@ def navigate(df: DataFrame, target_id, scope: list[str], sort=("dateCreated", 1)
     field, direction = sort
     desc = _dir(direction) == -1
     # rows in sort order have ascending positions, or descending ones with the id's sign turned (ties stay by id)
-    pos = F.struct(sort_key(field).alias("k"), (-F.col(id_col) if desc else F.col(id_col)).alias("i"))
+    last = _reversed(F.col(id_col), df.schema[id_col].dataType) if desc else F.col(id_col)
+    pos = F.struct(sort_key(field).alias("k"), last.alias("i"))
     base = df.select(*scope, F.col(id_col).alias("_id"), pos.alias("_p"))
     tgt = base.where(F.col("_id") == F.lit(target_id)).select(
         *[F.col(c).alias(f"_t_{c}") for c in scope], F.col("_p").alias("_tp"), F.col("_id").alias("_tid"))
@@ -212,17 +273,19 @@ def navigate(df: DataFrame, target_id, scope: list[str], sort=("dateCreated", 1)
 
 def ordinal_names(attrs="attributes", strip_spaces: bool = True) -> Column:
     """Per attribute position the export name: key, key_2, key_3 ... in
-    array order for repeated keys (spaces removed first when asked)."""
+    array order for repeated keys (spaces removed first when asked); a number
+    that makes a name already taken is passed over."""
     keys = A.field(attrs, "key")
     # regexp_replace on the whole array at once (array_join/split would
     # break on keys holding the separator), then number repeats
     keys = F.transform(keys, lambda k: F.regexp_replace(k, " ", "")) if strip_spaces else keys
 
-    def name(k, i):
-        before = F.size(F.filter(F.slice(keys, 1, i), lambda x: x == k))
-        return F.when(before == 0, k).otherwise(F.concat(k, F.lit("_"), (before + 1).cast("string")))
+    def take(taken, k):
+        tries = F.transform(F.sequence(F.lit(2), F.size(taken) + 2), lambda i: F.concat(k, F.lit("_"), i.cast("string")))
+        free = F.get(F.filter(tries, lambda t: ~F.coalesce(F.array_contains(taken, t), F.lit(False))), 0)
+        return F.concat(taken, F.array(F.when(F.coalesce(F.array_contains(taken, k), F.lit(False)), free).otherwise(k)))
 
-    return F.transform(keys, name)
+    return F.aggregate(keys, F.array().cast("array<string>"), take)
 
 
 def first_n_per_group(df: DataFrame, group_cols: list[str], order: list[Column], n: int) -> DataFrame:

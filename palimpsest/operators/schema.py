@@ -10,12 +10,14 @@ bytes allows it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import attrs as A
+from ..session import work_folder
 from ..sources.model import ATTR_TYPE, ATTRS_TYPE, DEFAULT_PROCESSOR, SCHEMA_ATTR_TYPE
+from .graph import components
 
 SCHEMA_ARR = T.ArrayType(SCHEMA_ATTR_TYPE)
 
@@ -220,20 +222,72 @@ def invalid_schema_updates(edits: DataFrame) -> DataFrame:
         "bad_fields", F.array_except(F.map_keys(F.col("fields")), allowed)).where(F.size("bad_fields") > 0)
 
 
-def _edit_reason(op: str, fields: dict, taken: bool) -> str | None:
-    """Why an edit is rejected, or None."""
-    if op == "add":
-        if taken:
-            return "name already exists"
-        return None if fields.get("data_type") and fields.get("database_data_type") else "data_type and database_data_type are required"
-    if op not in ("delete", "update"):
-        return "unknown operation"
-    if not taken:
-        return "no attribute with that name"
-    return "field not allowed" if op == "update" and set(fields) - set(EDITABLE) else None
+#: fixed values: why a schema edit is rejected
+UNKNOWN_PROCESSOR, UNKNOWN_OPERATION, NO_NAME = "unknown processor", "unknown operation", "name is required"
+NAME_TAKEN, NO_ATTRIBUTE = "name already exists", "no attribute with that name"
+TYPES_NEEDED, BAD_FIELD, BAD_ORDER = "data_type and database_data_type are required", "field not allowed", "page_order_sort is not a number"
 
+_TEXT_FIELDS = [f for f in EDITABLE if f != "page_order_sort"]
+ROW_TYPE = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("added", T.LongType())]
+                        + [T.StructField(f, T.DoubleType() if f == "page_order_sort" else T.StringType()) for f in EDITABLE])
+EDIT_TYPE = T.StructType([T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()), T.StructField("name", T.StringType()),
+                          T.StructField("fields", T.MapType(T.StringType(), T.StringType()))])
+LOG_TYPE = T.ArrayType(T.StructType([T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()),
+                                     T.StructField("name", T.StringType()), T.StructField("reason", T.StringType())]))
+FOLD_TYPE = T.StructType([T.StructField("rows", T.ArrayType(ROW_TYPE)), T.StructField("log", LOG_TYPE)])
 
-def apply_schema_edits(schema_rows: DataFrame, edits: DataFrame) -> tuple[DataFrame, DataFrame]:
+
+def _given(text: Column) -> Column:
+    """The text, null where empty."""
+    return F.when(text != "", text)
+
+
+def _target(e) -> Column:
+    """The name that an edit looks for: an added field's own, else the edit's."""
+    return F.when(e["op"] == "add", F.coalesce(_given(F.try_element_at(e["fields"], F.lit("name"))), _given(e["name"]))).otherwise(_given(e["name"]))
+
+
+def _order_value(fields: Column) -> Column:
+    return _given(F.try_element_at(fields, F.lit("page_order_sort"))).try_cast("double")
+
+
+def _schema_step(acc: Column, e: Column) -> Column:
+    """One edit applied to (rows, log)."""
+    rows, op, fields, target = acc["rows"], e["op"], e["fields"], _target(e)
+    taken = F.exists(rows, lambda r: F.coalesce(r["name"] == target, F.lit(False)))
+    has = lambda f: F.coalesce(_given(F.try_element_at(fields, F.lit(f))).isNotNull(), F.lit(False))
+    known = op.isin("add", "delete", "update") & op.isNotNull()
+    bad_field = F.exists(F.map_keys(fields), lambda k: ~k.isin(*EDITABLE))
+    bad_order = has("page_order_sort") & _order_value(fields).isNull()
+    reason = (F.when(~F.coalesce(known, F.lit(False)), F.lit(UNKNOWN_OPERATION))
+              .when(target.isNull(), F.lit(NO_NAME))
+              .when((op == "add") & taken, F.lit(NAME_TAKEN))
+              .when((op == "add") & ~(has("data_type") & has("database_data_type")), F.lit(TYPES_NEEDED))
+              .when((op != "add") & ~taken, F.lit(NO_ATTRIBUTE))
+              .when((op != "delete") & bad_field, F.lit(BAD_FIELD))
+              .when((op != "delete") & bad_order, F.lit(BAD_ORDER)))
+
+    def value(f):
+        return _order_value(fields) if f == "page_order_sort" else _given(F.try_element_at(fields, F.lit(f)))
+
+    new = F.struct(F.lit(None).cast("int").alias("pos"), e["seq"].alias("added"),
+                   *[(target if f == "name" else value(f)).alias(f) for f in EDITABLE]).cast(ROW_TYPE)
+    # the first row of that name; the others stay
+    at = F.array_position(F.transform(rows, lambda r: F.coalesce(r["name"] == target, F.lit(False))), F.lit(True)) - 1
+
+    def updated(r):
+        return F.struct(r["pos"].alias("pos"), r["added"].alias("added"),
+                        *[F.when(F.map_contains_key(fields, F.lit(f)), value(f)).otherwise(r[f]).alias(f) for f in EDITABLE]).cast(ROW_TYPE)
+
+    done = (F.when(op == "add", F.concat(rows, F.array(new)))
+            .when(op == "delete", F.filter(rows, lambda r: ~F.coalesce(r["name"] == target, F.lit(False))))
+            .otherwise(F.transform(rows, lambda r, i: F.when(i == at, updated(r)).otherwise(r))))
+    line = F.array(F.struct(e["seq"].alias("seq"), op.alias("op"), e["name"].alias("name"), reason.alias("reason")))
+    return F.struct(F.when(reason.isNotNull(), rows).otherwise(done).cast(T.ArrayType(ROW_TYPE)).alias("rows"),
+                    F.concat(acc["log"], line).cast(LOG_TYPE).alias("log"))
+
+
+def apply_schema_edits(schema_rows: DataFrame, edits: DataFrame, processors: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Apply a batch of attribute edits to flat schema rows.
 
     ``schema_rows``: (processor_id, pos, name, <EDITABLE fields>).
@@ -241,48 +295,111 @@ def apply_schema_edits(schema_rows: DataFrame, edits: DataFrame) -> tuple[DataFr
     fields MAP<STRING,STRING>).  All edits of a processor are applied in the
     order of ``seq``, each to what the earlier ones left.
 
-    * add: needs ``data_type`` and ``database_data_type`` and a name not in
-      use; empty values are dropped; appended after the last position.
+    * add: the new name is that in ``fields``, else the edit's; needs
+      ``data_type`` and ``database_data_type`` and a name not in use; empty
+      values are dropped; appended after the last position.
     * delete: removes every row with that name; error when there is none.
     * update: first row with that name; a NULL/"" value removes the field;
-      may rename; fields outside the allowed set are rejected (U3).
-
-    Returns (new schema rows, rejected edits with a reason).  Edits depend on
-    one another within a processor only, so each processor's schema and batch
-    (bounded by one document type) is folded in one group, many in parallel."""
-    import pandas as pd
-
-    text = [f for f in EDITABLE if f != "page_order_sort"]
-    plain = schema_rows.select("processor_id", F.col("pos").cast("int").alias("pos"), *[F.col(f).cast("string") for f in text],
-                               F.col("page_order_sort").cast("double"))
-    batch = edits.select("processor_id", F.col("seq").cast("bigint").alias("seq"), "op", "name",
-                         F.coalesce("fields", F.create_map().cast("map<string,string>")).alias("fields"))
-    # a row holds a field or a rejected edit, so every column can be null
-    out = T.StructType([T.StructField(f.name, f.dataType) for f in plain.schema.fields]
-                       + [T.StructField("seq", T.LongType()), T.StructField("op", T.StringType()), T.StructField("reason", T.StringType())])
-
-    def value(f, v):
-        return None if v in (None, "") else float(v) if f == "page_order_sort" else v
-
-    def fold(key, schema, todo):
-        rows = [{c: None if pd.isna(v) else v for c, v in r.items()} for r in schema.sort_values("pos").to_dict("records")]
-        rejected, last = [], max((r["pos"] for r in rows), default=-1)
-        for e in todo.sort_values(["seq", "op", "name"]).to_dict("records"):
-            op, name, fields = e["op"], e["name"], dict(e["fields"])
-            at = [i for i, r in enumerate(rows) if r["name"] == name]
-            reason = _edit_reason(op, fields, bool(at))
-            if reason:
-                rejected.append({"processor_id": key[0], "seq": e["seq"], "op": op, "name": name, "reason": reason})
-            elif op == "add":
-                last += 1
-                row = {f: value(f, fields.get(f)) for f in EDITABLE}
-                rows.append(row | {"processor_id": key[0], "pos": last, "name": row["name"] or name})
-            elif op == "delete":
-                rows = [r for r in rows if r["name"] != name]
-            else:
-                rows[at[0]].update({f: value(f, v) for f, v in fields.items()})
-        return pd.DataFrame(rows + rejected, columns=out.names, dtype=object)
-
-    both = plain.groupBy("processor_id").cogroup(batch.groupBy("processor_id")).applyInPandas(fold, out)
-    new = both.where(F.col("reason").isNull()).select("processor_id", "pos", *EDITABLE)
-    return new, both.where(F.col("reason").isNotNull()).select("processor_id", "seq", "op", "name", "reason")
+      may rename.
+    * fields outside the allowed set (U3), an order that is no number, an
+      unknown processor, operation or no name at all are rejected.
+      ``processors`` (processor_id) are the known ones, by default those with
+      schema rows.
+
+    Returns (new schema rows, rejected edits with a reason).
+
+    Edits depend on one another only through names: a batch falls into chains,
+    the components of names that renames link within a processor.  Each chain
+    is folded on its own by a native ordered aggregate, so one processor's
+    batch is as many groups as it has unrelated names, and a group holds one
+    chain's edits.  New rows are numbered after the folds."""
+    spark = schema_rows.sparkSession
+    rows = schema_rows.select("processor_id", F.col("name").alias("node"), F.struct(
+        F.col("pos").cast("int").alias("pos"), F.lit(None).cast("long").alias("added"),
+        *[F.col(f).cast("double" if f == "page_order_sort" else "string").alias(f) for f in EDITABLE]).cast(ROW_TYPE).alias("row"))
+    edits = edits.select("processor_id", F.struct(
+        F.col("seq").cast("bigint").alias("seq"), "op", "name",
+        F.coalesce("fields", F.create_map().cast("map<string,string>")).alias("fields")).cast(EDIT_TYPE).alias("e"))
+    known = (schema_rows if processors is None else processors).select("processor_id").distinct()
+    known = known.select("processor_id", F.lit(True).alias("known"))
+    work = work_folder(spark, "schema-edits")
+    edits.join(known, "processor_id", "left").withColumn("node", _target(F.col("e"))).write.parquet(f"{work}/edits")
+    batch = spark.read.parquet(f"{work}/edits")
+    lost = batch.where("known is null").select("processor_id", "e.seq", "e.op", "e.name", F.lit(UNKNOWN_PROCESSOR).alias("reason"))
+    batch = batch.where("known").drop("known")
+    operation = F.coalesce(F.col("e.op").isin("add", "delete", "update"), F.lit(False))
+    lost = lost.unionByName(batch.where("node is null").select(
+        "processor_id", "e.seq", "e.op", "e.name", F.when(operation, F.lit(NO_NAME)).otherwise(F.lit(UNKNOWN_OPERATION)).alias("reason")))
+    batch = batch.where("node is not null")
+    new_name = _given(F.try_element_at(F.col("e.fields"), F.lit("name")))
+    renames = batch.where((F.col("e.op") == "update") & (new_name != F.col("node")))
+    both = lambda a, b: (F.struct("processor_id", a.alias("name")).alias("a"), F.struct("processor_id", b.alias("name")).alias("b"))
+    chain = components(renames.select(*both(F.col("node"), new_name)))
+    chain = chain.select(F.col("node.processor_id").alias("processor_id"), F.col("node.name").alias("node"), F.col("label.name").alias("chain"))
+    chained = lambda df: df.join(chain, ["processor_id", "node"], "left").withColumn("chain", F.coalesce("chain", "node"))
+    # one list a chain; rows without a name are a chain that no edit reaches
+    parts = (chained(rows).select("processor_id", "chain", "row", F.lit(None).cast(EDIT_TYPE).alias("e"))
+             .unionByName(chained(batch).select("processor_id", "chain", F.lit(None).cast(ROW_TYPE).alias("row"), "e")))
+    order = F.collect_list(F.when(F.col("e").isNotNull(), F.struct(
+        F.col("e.seq").alias("seq"), F.col("e.op").alias("op"), F.col("e.name").alias("name"), F.map_entries("e.fields").alias("f"))))
+    lists = parts.groupBy("processor_id", "chain").agg(F.array_sort(F.collect_list("row")).alias("rows"), F.array_sort(order).alias("edits"))
+    init = F.struct(F.col("rows").alias("rows"), F.array().cast(LOG_TYPE).alias("log")).cast(FOLD_TYPE)
+    step = lambda acc, x: _schema_step(acc, F.struct(x["seq"].alias("seq"), x["op"].alias("op"), x["name"].alias("name"),
+                                                     F.map_from_entries(x["f"]).alias("fields")))
+    lists.select("processor_id", F.aggregate("edits", init, step).alias("f")).write.parquet(f"{work}/folded")
+    folded = spark.read.parquet(f"{work}/folded")
+    log = folded.select("processor_id", F.inline("f.log"))
+    rejected = log.where("reason is not null").unionByName(lost)
+    # a new row stands after all old ones, in the order in which rows were added (deleted ones keep their place)
+    last = schema_rows.groupBy("processor_id").agg(F.max("pos").alias("last"))
+    w = Window.partitionBy("processor_id").orderBy("seq", "op", "name")
+    added = log.where("op = 'add' and reason is null").withColumn("nth", F.row_number().over(w)).select(
+        "processor_id", F.col("seq").alias("added"), "nth")
+    flat = folded.select("processor_id", F.inline("f.rows"))
+    new = (flat.where("added is not null").join(added, ["processor_id", "added"]).join(last, "processor_id", "left")
+           .withColumn("pos", (F.coalesce("last", F.lit(-1)) + F.col("nth")).cast("int")))
+    cols = ["processor_id", "pos", *EDITABLE]
+    return flat.where("added is null").select(*cols).unionByName(new.select(*cols)), rejected.select("processor_id", "seq", "op", "name", "reason")
+
+
+# ---------------------------------------------------------------- whole processors
+PROCESSOR_FIELDS = ["model_id", "document_type", "attributes"]
+
+
+def edit_processors(processors: DataFrame, changes: DataFrame, key: str = "name") -> tuple[DataFrame, DataFrame]:
+    """R3 on whole processors: (new processors, outcome of every change).
+
+    ``changes``: (name, seq, op in upsert/update/delete and some of the other
+    columns of ``processors``), any number a name, applied by ``seq``; a null
+    column is left as it is.  An upsert makes the processor where it is absent;
+    an update or a delete of an absent one changes nothing, with a reason.
+
+    A name exists before a change if its last upsert or delete before was an
+    upsert (or if there was none and it existed at first), and a column ends as
+    its last accepted writer since the last delete left it: both are native
+    windows and aggregates by name, no list is gathered."""
+    cols = [c for c in processors.columns if c != key and c in changes.columns]
+    first = processors.select(key, F.lit(True).alias("_first"))
+    c = changes.join(first, key, "left").withColumn("_first", F.coalesce("_first", F.lit(False)))
+    before = Window.partitionBy(key).orderBy("seq", "op").rowsBetween(Window.unboundedPreceding, -1)
+    makes = F.when(F.col("op") == "upsert", F.lit(True)).when(F.col("op") == "delete", F.lit(False))
+    there = F.coalesce(F.last(makes, ignorenulls=True).over(before), F.col("_first"))
+    known = F.coalesce(F.col("op").isin("upsert", "update", "delete"), F.lit(False))
+    c = c.withColumn("reason", F.when(F.col(key).isNull(), F.lit(NO_NAME)).when(~known, F.lit(UNKNOWN_OPERATION))
+                     .when((F.col("op") != "upsert") & ~there, F.lit(UNKNOWN_PROCESSOR)))
+    gone = F.sum(F.when((F.col("op") == "delete") & F.col("reason").isNull(), 1).otherwise(0)).over(
+        Window.partitionBy(key).orderBy(F.col("seq").desc(), F.col("op").desc()))
+    work = work_folder(processors.sparkSession, "processor-edits")
+    c.select(key, "seq", "op", "reason", *cols, (gone == 0).alias("_holds")).write.parquet(work)
+    c = processors.sparkSession.read.parquet(work)
+    at = F.struct("seq", "op")
+    writes = F.col("_holds") & F.col("reason").isNull() & F.col("op").isin("upsert", "update")
+    end = c.where(F.col("reason").isNull()).groupBy(key).agg(
+        F.bool_or(F.col("op") == "delete").alias("_cleared"), F.bool_or(writes).alias("_there"),
+        *[F.max_by(x, F.when(writes & F.col(x).isNotNull(), at)).alias(f"_new_{x}") for x in cols])
+    j = processors.withColumn("_old", F.lit(True)).join(end, key, "full")
+    cleared = F.coalesce("_cleared", F.lit(False))
+    keeps = (F.col("_old").isNotNull() & ~cleared) | F.coalesce("_there", F.lit(False))
+    out = j.where(keeps).select(*[F.col(x) if x == key else F.coalesce(F.col(f"_new_{x}"), F.when(~cleared, F.col(x))).alias(x) if x in cols
+                                  else F.when(~cleared, F.col(x)).alias(x) for x in processors.columns])
+    return out, c.select(key, "seq", "op", F.col("reason").isNull().alias("accepted"), "reason")

@@ -367,8 +367,7 @@ def q_table_view(spark, sf):
                           M.load_record_groups(spark, sf))
     sel = S.records_in_scope(recs, groups)
     sel = sel.where(FL.record_filter(TABLE_SPEC, sel.schema))
-    ranked = O.rank_records(sel, [], sort=("attributesList.T", -1))
-    page = ranked.where((F.col("rank") > 20) & (F.col("rank") <= 40)).select("record_id", "rank", "prev_id", "next_id")
+    page = O.ranked_page(sel, 20, 20, sort=("attributesList.T", -1))
     view = sel.select("record_id", A.has_errors().alias("has_errors"), *A.hoist_keys(("T", "Sec")))
     return page.join(view, "record_id").select("record_id", F.col("rank").cast("bigint").alias("rank"),
                                                "prev_id", "next_id", "has_errors", "T", "Sec")

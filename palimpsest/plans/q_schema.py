@@ -317,3 +317,140 @@ def q_schema_edit_rejections_multi(spark, sf):
 def q_schema_edit_rejections(spark, sf):
     _, rej = SC.apply_schema_edits(_schema_rows(spark, sf), load_schema_edits(spark, sf))
     return rej.select("processor_id", "seq", "op", "name", "reason")
+
+
+# ---- many processors: one a customer, edits by orders
+
+def _customer_schema(spark, sf):
+    """Each customer's processor: one to seven fields."""
+    c = M.table(spark, sf, "customer")
+    rows = c.select(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("processor_id"),
+                    F.explode(F.sequence(F.lit(0), F.pmod("c_custkey", F.lit(7)).cast("int"))).alias("pos"))
+    text = F.lit(None).cast("string")
+    return rows.select("processor_id", "pos", F.concat(F.lit("F"), F.col("pos").cast("string")).alias("name"), text.alias("alias"),
+                       F.lit("text").alias("data_type"), F.lit("varchar").alias("database_data_type"), text.alias("occurrence"), text.alias("grouping"),
+                       F.col("pos").cast("double").alias("page_order_sort"), F.lit("clean_date").alias("cleaning_function"))
+
+
+def load_order_schema_edits(spark, sf):
+    """An edit an order, to its customer's processor: adds (some by a name of
+    their own, some without types, some with an order that is no number),
+    deletes, updates (some of fields that don't exist), renames, operations
+    that don't exist, edits without a name, processors that don't exist."""
+    o = M.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    fifth = (k - F.pmod(k, F.lit(5))) / 5
+    nth = lambda d: F.concat(F.lit("F"), F.pmod(F.floor(k / d), F.lit(9)).cast("string"))
+    m = F.pmod(k, F.lit(5))
+    when = lambda mod: F.pmod(k, F.lit(mod)) == 0
+    order = F.when(when(35), F.lit("abc")).otherwise(F.pmod(F.floor(k / 45), F.lit(9)).cast("string"))
+    add = F.map_concat(F.create_map(F.lit("data_type"), F.lit("text"), F.lit("database_data_type"), F.when(when(15), F.lit("")).otherwise(F.lit("varchar")),
+                                    F.lit("page_order_sort"), order),
+                       F.when(F.pmod(fifth.cast("bigint"), F.lit(2)) == 0, F.create_map(F.lit("name"), nth(45))).otherwise(F.create_map().cast("map<string,string>")))
+    change = F.map_concat(F.create_map(F.lit("alias"), F.col("o_orderpriority"), F.lit("cleaning_function"), F.lit("")),
+                          F.when(when(7), F.create_map(F.lit("bogus"), F.lit("x"))).otherwise(F.create_map().cast("map<string,string>")))
+    return o.select(
+        F.concat(F.when(when(101), F.lit("X")).otherwise(F.lit("P")), F.col("o_custkey").cast("string")).alias("processor_id"), k.alias("seq"),
+        F.when(m == 0, F.lit("add")).when(m == 1, F.lit("delete")).when(F.pmod(k, F.lit(10)) == 4, F.lit("patch")).otherwise(F.lit("update")).alias("op"),
+        F.when(F.pmod(k, F.lit(10)) == 9, F.lit(None)).otherwise(nth(5)).alias("name"),
+        F.when(m == 0, add).when(m == 2, change).when(m == 3, F.create_map(F.lit("name"), nth(45))).alias("fields"))
+
+
+_ORDER_EDITS_SQL = """WITH RECURSIVE
+ed0 AS (
+  SELECT CASE WHEN o_orderkey % 101 = 0 THEN 'X' ELSE 'P' END || o_custkey AS processor_id, o_orderkey AS seq, o_orderpriority AS clerk,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'add' WHEN o_orderkey % 5 = 1 THEN 'delete' WHEN o_orderkey % 10 = 4 THEN 'patch' ELSE 'update' END AS op,
+    CASE WHEN o_orderkey % 10 = 9 THEN NULL ELSE 'F' || (o_orderkey // 5) % 9 END AS name, 'F' || (o_orderkey // 45) % 9 AS other,
+    o_orderkey % 5 = 3 AS renames, o_orderkey % 5 = 0 AND (o_orderkey // 5) % 2 = 0 AS own_name, o_orderkey % 15 <> 0 AS typed,
+    o_orderkey % 5 = 2 AND o_orderkey % 7 = 0 AS bogus, o_orderkey % 35 = 0 AS no_number, CAST((o_orderkey // 45) % 9 AS DOUBLE) AS ord
+  FROM orders),
+ed AS (SELECT *, CASE WHEN own_name THEN other ELSE name END AS target, row_number() OVER (PARTITION BY processor_id ORDER BY seq) AS k FROM ed0),
+f AS (
+  SELECT 'P' || c_custkey AS processor_id, CAST(0 AS BIGINT) AS k, c_custkey % 7 + 1 AS next_pos,
+    [struct_pack(pos := p, name := 'F' || p, alias := CAST(NULL AS VARCHAR), ord := CAST(p AS DOUBLE), cf := CAST('clean_date' AS VARCHAR)) FOR p IN range(0, c_custkey % 7 + 1)] AS fields,
+    CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS op, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS reason
+  FROM customer
+  UNION ALL
+  SELECT processor_id, k, CASE WHEN reason IS NULL AND op = 'add' THEN next_pos + 1 ELSE next_pos END,
+    CASE WHEN reason IS NOT NULL THEN fields
+      WHEN op = 'add' THEN list_concat(fields, [struct_pack(pos := next_pos, name := target, alias := CAST(NULL AS VARCHAR), ord := ord, cf := CAST(NULL AS VARCHAR))])
+      WHEN op = 'delete' THEN [x FOR x IN fields IF x.name <> target]
+      ELSE list_concat(list_concat(fields[1:found - 1], [CASE WHEN renames THEN struct_pack(pos := fields[found].pos, name := other, alias := fields[found].alias, ord := fields[found].ord, cf := fields[found].cf)
+        ELSE struct_pack(pos := fields[found].pos, name := fields[found].name, alias := clerk, ord := fields[found].ord, cf := CAST(NULL AS VARCHAR)) END]), fields[found + 1:]) END,
+    seq, op, name, reason
+  FROM (
+    SELECT f.processor_id, e.k, f.next_pos, f.fields, e.seq, e.op, e.name, e.target, e.other, e.renames, e.clerk, e.ord,
+      list_position([x.name FOR x IN f.fields], e.target) AS found,
+      CASE WHEN e.op = 'patch' THEN 'unknown operation' WHEN e.target IS NULL THEN 'name is required'
+           WHEN e.op = 'add' AND list_contains([x.name FOR x IN f.fields], e.target) THEN 'name already exists'
+           WHEN e.op = 'add' AND NOT e.typed THEN 'data_type and database_data_type are required'
+           WHEN e.op <> 'add' AND NOT list_contains([x.name FOR x IN f.fields], e.target) THEN 'no attribute with that name'
+           WHEN e.bogus THEN 'field not allowed' WHEN e.op = 'add' AND e.no_number THEN 'page_order_sort is not a number' END AS reason
+    FROM f JOIN ed e ON e.processor_id = f.processor_id AND e.k = f.k + 1))
+"""
+
+
+@query("processor_edits", _ORDER_EDITS_SQL + """
+SELECT processor_id, CAST(x.pos AS INTEGER) AS pos, x.name AS name, x.alias AS alias, x.ord AS page_order_sort, x.cf AS cleaning_function
+FROM (SELECT processor_id, unnest(arg_max(fields, k)) AS x FROM f GROUP BY processor_id)
+""", ops=("R3", "U3"))
+def q_processor_edits(spark, sf):
+    new, _ = SC.apply_schema_edits(_customer_schema(spark, sf), load_order_schema_edits(spark, sf))
+    return new.select("processor_id", "pos", "name", "alias", "page_order_sort", "cleaning_function")
+
+
+@query("processor_edit_rejections", _ORDER_EDITS_SQL + """
+SELECT processor_id, seq, op, name, reason FROM f WHERE reason IS NOT NULL
+UNION ALL SELECT processor_id, seq, op, name, 'unknown processor' FROM ed WHERE processor_id LIKE 'X%'
+""", ops=("R3", "U3"))
+def q_processor_edit_rejections(spark, sf):
+    return SC.apply_schema_edits(_customer_schema(spark, sf), load_order_schema_edits(spark, sf))[1]
+
+
+def _processor_changes(spark, sf):
+    """Processors of two customers in three, and a change an order."""
+    c = M.table(spark, sf, "customer").where(F.pmod("c_custkey", F.lit(3)) != 0)
+    name = lambda k: F.concat(F.lit("P"), F.col(k).cast("string"))
+    have = c.select(name("c_custkey").alias("name"), F.lit("m0").alias("model_id"), F.col("c_mktsegment").alias("document_type"))
+    k = F.col("o_orderkey")
+    m = F.pmod(k, F.lit(4))
+    changes = M.table(spark, sf, "orders").select(
+        name("o_custkey").alias("name"), k.alias("seq"), F.when(m == 0, F.lit("upsert")).when(m == 2, F.lit("delete")).otherwise(F.lit("update")).alias("op"),
+        F.when(F.pmod(k, F.lit(7)) != 0, F.concat(F.lit("m"), k.cast("string"))).alias("model_id"),
+        F.when(F.pmod(k, F.lit(3)) == 0, F.col("o_orderpriority")).alias("document_type"))
+    return have, changes
+
+
+_PROCESSORS_SQL = """WITH RECURSIVE
+ch AS (
+  SELECT 'P' || o_custkey AS name, o_orderkey AS seq, CASE o_orderkey % 4 WHEN 0 THEN 'upsert' WHEN 2 THEN 'delete' ELSE 'update' END AS op,
+    CASE WHEN o_orderkey % 7 <> 0 THEN 'm' || o_orderkey END AS model_id, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS document_type,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k FROM orders),
+f AS (
+  SELECT n.name, CAST(0 AS BIGINT) AS k, c_custkey IS NOT NULL AS there, CASE WHEN c_custkey IS NOT NULL THEN 'm0' END AS model_id, c_mktsegment AS document_type,
+    CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS op, true AS accepted
+  FROM (SELECT name FROM ch UNION SELECT 'P' || c_custkey FROM customer WHERE c_custkey % 3 <> 0) n
+  LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) c ON n.name = 'P' || c_custkey
+  UNION ALL
+  SELECT f.name, ch.k, CASE ch.op WHEN 'upsert' THEN true WHEN 'delete' THEN false ELSE f.there END,
+    CASE WHEN ch.op = 'delete' THEN NULL WHEN ch.op = 'update' AND NOT f.there THEN NULL ELSE coalesce(ch.model_id, f.model_id) END,
+    CASE WHEN ch.op = 'delete' THEN NULL WHEN ch.op = 'update' AND NOT f.there THEN NULL ELSE coalesce(ch.document_type, f.document_type) END,
+    ch.seq, ch.op, ch.op = 'upsert' OR f.there
+  FROM f JOIN ch ON ch.name = f.name AND ch.k = f.k + 1)
+"""
+
+
+@query("whole_processor_edits", _PROCESSORS_SQL + """
+SELECT name, model_id, document_type FROM (
+  SELECT name, arg_max(there, k) AS there, max_by(struct_pack(m := model_id), k).m AS model_id, max_by(struct_pack(d := document_type), k).d AS document_type
+  FROM f GROUP BY name) WHERE there
+""", ops=("R3",))
+def q_whole_processor_edits(spark, sf):
+    return SC.edit_processors(*_processor_changes(spark, sf))[0]
+
+
+@query("whole_processor_outcomes", _PROCESSORS_SQL + """
+SELECT name, seq, op, accepted, CASE WHEN NOT accepted THEN 'unknown processor' END AS reason FROM f WHERE k > 0
+""", ops=("R3",))
+def q_whole_processor_outcomes(spark, sf):
+    return SC.edit_processors(*_processor_changes(spark, sf))[1]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +65,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the session's own file system layer."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for files of this application; the
+    application's folder is deleted when its driver ends."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/palimpsest-work/{spark.sparkContext.applicationId}"
+    fs, p = hadoop_path(spark, root)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it
+    (a cluster that ships it with --py-files finds it there as well)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
