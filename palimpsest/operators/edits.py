@@ -23,6 +23,7 @@ PREV_TYPE = T.ArrayType(T.StructType([T.StructField("seq", T.LongType()), T.Stru
                                       T.StructField("idx", T.IntegerType()),
                                       T.StructField("previous_value", T.StringType()),
                                       T.StructField("reason", T.StringType())]))
+OPERATIONS = ("replace", "coordinates", "insert", "delete", "attribute")
 ACC_TYPE = T.StructType([T.StructField("a", ATTRS_TYPE), T.StructField("h", PREV_TYPE)])
 
 
@@ -48,10 +49,11 @@ def _set_sub(a: Column, sub_idx: Column, fn) -> Column:
 DIRTY = "\u0000edited"
 
 
-def _step(acc: Column, e: Column, fns: bool = False) -> Column:
+def _step(acc: Column, e: Column, fns: bool = False, whole: bool = False) -> Column:
     """One edit applied to the accumulator (attrs, history).  With
     ``fns`` (MAP<name, cleaning_function>) a replaced value is cleaned
-    before it is stored (M7)."""
+    before it is stored (M7); with ``whole`` edits carry an ``attribute``
+    that the operation of that name puts in place of an element."""
     a, h = acc["a"], acc["h"]
     idx, sub = e["idx"], e["sub_idx"]
     n = F.size(a)
@@ -80,43 +82,53 @@ def _step(acc: Column, e: Column, fns: bool = False) -> Column:
                         .otherwise(coords(x)))
     # insert after idx; past the end appends (array_insert pads with NULLs
     # beyond size + 1, so the position is clamped)
-    ins_top = F.array_insert(a, F.least(idx + 2, n + 1), blank_user_attribute(e["payload"], e["ts"], e["user"]))
+    ins_top = F.array_insert(a, F.greatest(F.lit(1), F.least(idx + 2, n + 1)), blank_user_attribute(e["payload"], e["ts"], e["user"]))
 
     def ins_sub_one(x):
         subs = x["subattributes"]
         new = blank_user_attribute(e["payload"], e["ts"], e["user"], x["key"])
         return x.withField("subattributes", F.when(subs.isNull(), F.array(new))
-                           .otherwise(F.array_insert(subs, F.least(sub + 2, F.size(subs) + 1), new)))
+                           .otherwise(F.array_insert(subs, F.greatest(F.lit(1), F.least(sub + 2, F.size(subs) + 1)), new)))
 
     ins_sub = F.transform(a, lambda x, i: F.when(i == idx, ins_sub_one(x)).otherwise(x))
     dele = F.filter(a, lambda x, i: i != idx)
     del_sub = F.transform(a, lambda x, i: F.when(i == idx, x.withField(
         "subattributes", F.filter(x["subattributes"], lambda s, j: j != sub))).otherwise(x))
     op = e["op"]
-    in_range = (idx >= 0) & (idx < n)
+    in_range = F.coalesce((idx >= 0) & (idx < n), F.lit(False))
     has_sub = (sub >= 0) & (sub < F.coalesce(F.size(target["subattributes"]), F.lit(0)))
     # M8: what is rejected changes nothing and gets no history row
-    reason = (F.when(~op.isin("replace", "coordinates", "insert", "delete"), F.lit("unknown operation"))
-              .when(~in_range & (is_sub | (op != "insert")), F.lit("no attribute at that position"))
-              .when(is_sub & (op != "insert") & ~has_sub, F.lit("no sub-attribute at that position")))
+    reason = (F.when(~F.coalesce(op.isin(*OPERATIONS[:None if whole else -1]), F.lit(False)), F.lit("unknown operation"))
+              .when(~in_range & (is_sub | (op != "insert") | F.coalesce(idx < 0, F.lit(True))), F.lit("no attribute at that position"))
+              .when(is_sub & F.when(op == "insert", sub < 0).otherwise(~has_sub), F.lit("no sub-attribute at that position")))
+    if whole:
+        reason = reason.when((op == "attribute") & e["attribute"].isNull(), F.lit("no attribute given"))
     new_a = (F.when(reason.isNotNull(), a)
              .when(op == "replace", replace)
              .when(op == "coordinates", coord)
              .when((op == "insert") & is_sub, ins_sub)
              .when(op == "insert", ins_top)
              .when((op == "delete") & is_sub, del_sub)
-             .when(op == "delete", dele)
-             .otherwise(a))
+             .when(op == "delete", dele))
+    before = F.when((op == "replace") & in_range, prev_val)
+    if whole:
+        new = e["attribute"]
+        new_sub = F.struct(*[new[f].alias(f) for f in SUB_TYPE.fieldNames()]).cast(SUB_TYPE)
+        new_a = new_a.when(is_sub, F.transform(a, lambda x, i: F.when(i == idx, _set_sub(x, sub, lambda _: new_sub)).otherwise(x))) \
+                     .otherwise(F.transform(a, lambda x, i: F.when(i == idx, new).otherwise(x)))
+        before = before.when((op == "attribute") & in_range, F.when(
+            is_sub, F.to_json(F.get(target["subattributes"], sub))).otherwise(F.to_json(target)))
+    else:
+        new_a = new_a.otherwise(a)
     rec = F.array(F.struct(e["seq"].cast("bigint").alias("seq"), op.alias("op"), idx.alias("idx"),
-                           F.when((op == "replace") & in_range, prev_val).alias("previous_value"),
-                           reason.alias("reason")))
+                           before.alias("previous_value"), reason.alias("reason")))
     return F.struct(new_a.cast(ATTRS_TYPE).alias("a"), F.concat(h, rec).cast(PREV_TYPE).alias("h"))
 
 
-def fold_edits(attrs: Column, edits: Column, mark: bool = False) -> Column:
+def fold_edits(attrs: Column, edits: Column, mark: bool = False, whole: bool = False) -> Column:
     """Apply a sorted array of edit structs to one attribute array."""
     init = F.struct(A.safe_attrs(attrs).alias("a"), F.array().cast(PREV_TYPE).alias("h")).cast(ACC_TYPE)
-    return F.aggregate(edits, init, lambda acc, e: _step(acc, e, mark))
+    return F.aggregate(edits, init, lambda acc, e: _step(acc, e, mark, whole))
 
 
 EDIT_COLS = ["seq", "op", "idx", "sub_idx", "payload", "user", "ts", "coords", "page"]
@@ -127,11 +139,20 @@ def apply_edits(records: DataFrame, edits: DataFrame, clean_with: DataFrame | No
     """M1-M4, M7, M8: (new records, history rows with previous values).
     Rejected edits change nothing; ``rejected_edits`` lists them.
 
-    ``edits`` may omit ``sub_idx``, ``coords`` and ``page``.  With
+    ``edits`` may omit ``sub_idx``, ``coords`` and ``page``.  Edits with the
+    columns ``attribute`` (a whole attribute, its fields typed) and
+    ``review_status`` may replace an attribute or, with ``sub_idx``, a
+    sub-attribute as a whole (operation ``attribute``): the history row holds
+    the element that stood there as JSON, and an accepted edit that was made on
+    an ``unreviewed`` record makes it ``incomplete``.  With
     ``clean_with`` = (record_group_id, fns) from ``clean.schema_functions``
     replaced values are cleaned before they are stored (M7)."""
     out, fns = _folded(records, edits, clean_with)
     new_records = out.withColumn("attributes", F.coalesce(F.col("_f.a"), F.col("attributes")))
+    if "attribute" in edits.columns:
+        began = F.zip_with("_edits", F.col("_f.h"), lambda e, h: (e["op"] == "attribute") & (e["review_status"] == "unreviewed") & h["reason"].isNull())
+        new_records = new_records.withColumn("review_status", F.when(F.coalesce(F.array_contains(began, True), F.lit(False)), F.lit("incomplete"))
+                                             .otherwise(F.col("review_status")))
     if fns is not None:
         from .clean import clean_attributes
         marked = lambda x: F.coalesce(x["value_type"] == F.lit(DIRTY), F.lit(False))
@@ -158,21 +179,22 @@ def _outcomes(folded: DataFrame) -> DataFrame:
 
 def _folded(records: DataFrame, edits: DataFrame, clean_with: DataFrame | None = None) -> tuple[DataFrame, Column | None]:
     """Records with their batch (_edits) and its fold (_f), and the cleaning functions' column."""
-    e = edits
-    for c, t in (("sub_idx", "int"), ("coords", "array<array<double>>"), ("page", "int")):
+    e, whole = edits, "attribute" in edits.columns
+    for c, t in (("sub_idx", "int"), ("coords", "array<array<double>>"), ("page", "int"), *([("review_status", "string")] if whole else [])):
         if c not in e.columns:
             e = e.withColumn(c, F.lit(None).cast(t))
+    cols = [*EDIT_COLS, *(["attribute", "review_status"] if whole else [])]
     e = e.withColumn("idx", F.col("idx").cast("int")).withColumn("sub_idx", F.col("sub_idx").cast("int")) \
          .withColumn("seq", F.col("seq").cast("bigint"))
     batch = (e.groupBy("record_id")
-              .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in EDIT_COLS]))).alias("_edits")))
+              .agg(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in cols]))).alias("_edits")))
     j = records.join(batch, "record_id", "left")
     fns = None
     if clean_with is not None:
         j = j.join(clean_with.select("record_group_id", F.col("fns").alias("_fns")), "record_group_id", "left")
         fns = F.coalesce(F.col("_fns"), F.create_map().cast("map<string,string>"))
     folded = fold_edits(F.col("attributes"), F.coalesce(F.col("_edits"), F.array().cast(
-        T.ArrayType(batch.schema["_edits"].dataType.elementType))), fns is not None)
+        T.ArrayType(batch.schema["_edits"].dataType.elementType))), fns is not None, whole)
     return j.withColumn("_f", F.when(F.col("_edits").isNotNull(), folded)), fns
 
 
@@ -224,7 +246,7 @@ def status_edits(records: DataFrame, changes: DataFrame) -> tuple[DataFrame, Dat
     reason = (F.when((ut == "verification_status") & rs.isNull(), F.lit("verification_status needs review_status"))
               .when((ut == "review_status") & ~F.coalesce(rs.isin("unreviewed", "incomplete", "defective"), F.lit(False)),
                     F.lit("invalid review_status"))
-              .when(~ut.isin("verification_status", "review_status"), F.lit("invalid update type")))
+              .when(~F.coalesce(ut.isin("verification_status", "review_status"), F.lit(False)), F.lit("invalid update type")))
     dec = changes.withColumn("reason", reason).withColumn("accepted", reason.isNull())
     # a rejected change leaves the record as it is, so no change depends on an earlier one: every column
     # takes its last accepted writer, which is a plain aggregate
@@ -255,6 +277,50 @@ def status_edits(records: DataFrame, changes: DataFrame) -> tuple[DataFrame, Dat
     return out, dec.select("record_id", "seq", "update_type", "accepted", "reason")
 
 
+# ---------------------------------------------------------------- whole lists and records
+def replace_lists(records: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """M5 with a whole attribute list: (records, history of every change).
+
+    ``changes``: (record_id, seq, attributes, user, ts), any number a record,
+    in the order of ``seq``; a null list is an empty one.  History has a row
+    for every position at which a change differs from the list before it
+    (that of the change before, or the record's own): ``change`` (added,
+    removed or changed), ``idx``, and the elements ``before`` and ``after`` as
+    JSON.  One join; a record's changes meet in one row, like its edits."""
+    empty = F.array().cast(ATTRS_TYPE)
+    per = changes.groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("seq").cast("bigint").alias("seq"), F.coalesce("attributes", empty).cast(ATTRS_TYPE).alias("attributes"), "user", "ts"))).alias("_c"))
+    j = records.join(per, "record_id", "left")
+    out = j.select(*[F.coalesce(F.element_at("_c", -1)["attributes"], F.col(c)).alias(c) if c == "attributes" else F.col(c) for c in records.columns])
+    steps = F.transform("_c", lambda x, i: F.struct(
+        x["seq"].alias("seq"), x["user"].alias("user"), x["ts"].alias("ts"), x["attributes"].alias("new"),
+        F.when(i == 0, A.safe_attrs("attributes")).otherwise(F.get(F.col("_c"), i - 1)["attributes"]).alias("old")))
+    rows = j.where(F.col("_c").isNotNull()).select("record_id", "record_group_id", F.inline(steps))
+    rows = rows.withColumn("before", F.transform("old", lambda x: F.to_json(x))).withColumn("after", F.transform("new", lambda x: F.to_json(x)))
+    pairs = rows.select("record_id", "record_group_id", "seq", "user", "ts", F.posexplode(F.arrays_zip("before", "after")).alias("idx", "p"),
+                        F.size("old").alias("_n"), F.size("new").alias("_m"))
+    what = (F.when(F.col("idx") >= F.col("_n"), F.lit("added")).when(F.col("idx") >= F.col("_m"), F.lit("removed"))
+            .when(~F.col("p.before").eqNullSafe(F.col("p.after")), F.lit("changed")))
+    history = pairs.select("record_id", "record_group_id", "seq", "user", "ts", "idx", what.alias("change"), "p.before", "p.after")
+    return out, history.where(F.col("change").isNotNull())
+
+
+def set_fields(records: DataFrame, changes: DataFrame) -> DataFrame:
+    """M5 ``record``: top-level fields of records set as given.  ``changes``:
+    (record_id, seq, fields to set and, for each, ``set_<field>`` where a null
+    value is meant as null); each field takes its last change by ``seq``."""
+    cols = [c for c in changes.columns if c not in ("record_id", "seq") and c in records.columns]
+
+    def given(c):
+        flag = f"set_{c}"
+        return F.coalesce(F.col(flag), F.lit(False)) if flag in changes.columns else F.col(c).isNotNull()
+
+    last = changes.groupBy("record_id").agg(*[F.max_by(F.struct(F.col(c).alias("v")), F.when(given(c), F.col("seq"))).alias(f"_new_{c}") for c in cols])
+    j = records.join(last, "record_id", "left")
+    return j.select(*[F.when(F.col(f"_new_{c}").isNotNull(), F.col(f"_new_{c}")["v"]).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
+                      for c in records.columns])
+
+
 # ---------------------------------------------------------------- notes
 NOTES_TYPE = T.ArrayType(NOTE_TYPE)
 

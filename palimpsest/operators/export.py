@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import attrs as A
-from ..sources.model import SUBS_TYPE
+from ..session import hadoop_path, work_folder
+from . import schema as SC
+from .extract import project_records
+from .scope import records_in_scope
 
 CELL_TYPE = T.StructType([T.StructField("col", T.StringType()), T.StructField("val", T.StringType()),
                           T.StructField("kind", T.IntegerType()), T.StructField("pos", T.IntegerType())])
@@ -33,8 +36,8 @@ def _last_wins(cells: Column) -> Column:
 
 
 def export_cells(records: DataFrame, table_names: Column | None = None, selected: list[str] | None = None,
-                 origin: str = "") -> DataFrame:
-    """X1 + W3: per record an array of (column, value, kind, position).
+                 origin: str = "", carry: tuple[str, ...] = ()) -> DataFrame:
+    """X1 + W3: per record an array of (column, value, kind, position); columns named in ``carry`` pass.
 
     ``table_names``: ARRAY<STRING> column of space-stripped schema names
     whose database type is ``table`` (parents).  An attribute is emitted
@@ -57,8 +60,8 @@ def export_cells(records: DataFrame, table_names: Column | None = None, selected
                         (chosen & (has_subs | ~F.array_contains(F.col("_tn"), nm))).alias("emit"),
                         x["value"].alias("value"), x["subattributes"].alias("subs"))
 
-    s1 = records.select("record_id", "record_group_id", "filename", tn.alias("_tn"),
-                        F.transform(A.safe_attrs("attributes"), info).alias("_i"))
+    s1 = records.select("record_id", "record_group_id", "filename", *carry, tn.alias("_tn"),
+                        F.transform(F.coalesce(F.col("attributes"), F.array()), info).alias("_i"))
 
     def used(taken, name):
         return F.coalesce(F.array_contains(taken, name), F.lit(False))
@@ -74,11 +77,11 @@ def export_cells(records: DataFrame, table_names: Column | None = None, selected
     def named(y, i):
         return y.withField("col", F.get(F.col("_names"), i)).withField("pos", i)
 
-    s2 = s1.select("record_id", "record_group_id", "filename", F.transform("_i", named).alias("_n"))
+    s2 = s1.select("record_id", "record_group_id", "filename", *carry, F.transform("_i", named).alias("_n"))
     cell_arr = T.ArrayType(CELL_TYPE)
 
     def cells_of(y):
-        subs = F.transform(F.coalesce(y["subs"], F.array().cast(SUBS_TYPE)),
+        subs = F.transform(y["subs"],  # null only where has_subs is false
                            lambda s: F.struct(F.concat(y["col"], F.lit("["), s["key"], F.lit("]")).alias("col"),
                                               s["value"].alias("val"), F.lit(2).alias("kind"), y["pos"].alias("pos")))
         plain = F.array(F.struct(y["col"].alias("col"), y["value"].alias("val"), F.lit(1).alias("kind"),
@@ -91,9 +94,9 @@ def export_cells(records: DataFrame, table_names: Column | None = None, selected
     url_cell = F.array(F.struct(F.lit("URL").alias("col"),
                                 F.concat(F.lit(origin + "/record/"), F.col("record_id").cast("string")).alias("val"),
                                 F.lit(3).alias("kind"), F.lit(-1).alias("pos")).cast(CELL_TYPE))
-    s3 = s2.select("record_id", "record_group_id",
+    s3 = s2.select("record_id", "record_group_id", *carry,
                    F.concat(file_cell, F.flatten(F.transform("_n", cells_of)), url_cell).alias("_c"))
-    return s3.select("record_id", "record_group_id", _last_wins(F.col("_c")).alias("cells"))
+    return s3.select("record_id", "record_group_id", *carry, _last_wins(F.col("_c")).alias("cells"))
 
 
 def export_columns(cells: DataFrame) -> list[str]:
@@ -117,24 +120,37 @@ def with_occurring(columns: list[str], cells: DataFrame) -> list[str]:
     return sorted(dict.fromkeys([*columns, *export_columns(cells)]), key=kind)
 
 
-def export_wide(cells: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def export_wide(cells: DataFrame, columns: list[str] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """One wide row per record with the given column list (computed
     by ``export_columns`` when omitted); absent cells are NULL."""
     cols = columns if columns is not None else export_columns(cells)
     m = F.map_from_entries(F.transform("cells", lambda c: F.struct(c["col"], c["val"])))
-    return cells.select("record_id", *[F.element_at(m, F.lit(c)).alias(c) for c in cols])
+    return cells.select("record_id", *carry, *[F.element_at(m, F.lit(c)).alias(c) for c in cols])
 
 
-def export_json(records: DataFrame) -> DataFrame:
-    """Per record a map raw key -> whole attribute (last wins) plus
-    ``file``, and its JSON text (dates as ISO dates)."""
-    a = A.safe_attrs("attributes")
+#: fixed values: the fields of a record, an attribute and a sub-attribute that a download holds
+EXPORT_FIELDS = ["name", "filename", "image_files", "record_group_id"]
+EXPORT_ATTRIBUTE_FIELDS = ["key", "value", "normalized_vertices", "subattributes", "page"]
+EXPORT_SUB_FIELDS = ["key", "value", "normalized_vertices", "page"]
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd", "dateFormat": "yyyy-MM-dd", "ignoreNullFields": "false"}
+
+
+def export_json(records: DataFrame, selected: list[str] | None = None) -> DataFrame:
+    """Per record a map raw key -> attribute (last wins; all keys or the
+    ``selected`` ones), ``file``, and the record's JSON text: one object with
+    the keys and ``file`` side by side (an attribute of that name gives way to
+    it), nulls written out, dates as ISO dates."""
+    a = F.coalesce(F.col("attributes"), F.array())
     idx = F.transform(a, lambda x, i: F.struct(x["key"].alias("k"), i.alias("i")))
-    last = F.filter(a, lambda x, i: ~F.exists(idx, lambda y: (y["k"] == x["key"]) & (y["i"] > i)))
+    last = F.filter(a, lambda x, i: (x["key"] != "file") & ~F.exists(idx, lambda y: (y["k"] == x["key"]) & (y["i"] > i)))
+    if selected:
+        last = F.filter(last, lambda x: x["key"].isin(*selected))
     m = F.map_from_entries(F.transform(last, lambda x: F.struct(x["key"], x)))
-    return records.select("record_id", F.coalesce(F.col("filename"), F.lit("")).alias("file"), m.alias("entries")) \
-        .withColumn("json", F.to_json(F.struct(F.col("entries").alias("attributes"), F.col("file")),
-                                      {"timestampFormat": "yyyy-MM-dd", "dateFormat": "yyyy-MM-dd"}))
+    got = records.select("record_id", F.coalesce(F.col("filename"), F.lit("")).alias("file"), m.alias("entries"))
+    file, body = F.to_json(F.struct("file")), F.to_json("entries", JSON_OPTIONS)
+    # two objects joined: {keys} and {file}
+    return got.withColumn("json", F.when(F.size("entries") == 0, file).otherwise(
+        F.concat(F.substring(body, F.lit(1), F.length(body) - 1), F.lit(","), F.substring(file, 2, 1 << 30))))
 
 
 def export_manifest(records: DataFrame) -> DataFrame:
@@ -188,3 +204,97 @@ def write_json_export(df: DataFrame, path: str, partition_col: str | None = "doc
     """JSON lines; timestamps written as ISO dates."""
     w = df.write.mode("overwrite").option("timestampFormat", "yyyy-MM-dd").option("dateFormat", "yyyy-MM-dd")
     (w.partitionBy(partition_col) if partition_col else w).json(path)
+
+
+# ---------------------------------------------------------------- the whole export
+MARKER = "_EXPORTED"
+FORMATS = ("csv", "json", "images")
+MANIFEST = "kind string, document_type string, file string, rows long, bytes long"
+_LOCATIONS = {"project": "project_id", "record_group": "record_group_id", "team": "team"}
+
+
+def export_job(records: DataFrame, record_groups: DataFrame, processors: DataFrame, path: str, location: str, key: str,
+               formats: tuple[str, ...] = FORMATS, columns: list[str] | None = None, origin: str = "",
+               condition: Column | None = None, listing: DataFrame | None = None) -> DataFrame:
+    """Download a project, a record group or a team as files below ``path``.
+
+    1. scope: the records of the location's groups, ``condition`` on them (F1),
+       the exported fields only (P1-P3), each with its document type (A5); read
+       once from the record table and kept in the shared work folder;
+    2. ``csv/document_type=.../``: one wide row a record (X1, X2), the same
+       header everywhere: ``columns`` with all their repeats, or every column;
+    3. ``json/``: one object a line (X3);
+    4. ``images/``: the image files by archive name (J13), with their sizes
+       where ``listing`` (path, length) has them;
+    5. the files are read back: ``manifest/`` says what each really holds;
+    6. ``_EXPORTED`` is made last.  A reader (``read_export``) takes nothing
+       without it, so an export that was cut off, or is being made again, never
+       counts; a retry starts over below the same path.
+
+    Returns the manifest.  No sort or rank is done on the way (O5)."""
+    if location not in _LOCATIONS:
+        raise ValueError(f"location must be one of {', '.join(_LOCATIONS)}")
+    if wrong := set(formats) - set(FORMATS):
+        raise ValueError(f"unknown formats: {', '.join(sorted(wrong))}")
+    spark, path = records.sparkSession, path.rstrip("/")
+    fs, root = hadoop_path(spark, path)
+    fs.delete(hadoop_path(spark, f"{path}/{MARKER}")[1], False)
+    fs.delete(root, True)
+
+    groups = record_groups.where(F.col(_LOCATIONS[location]) == F.lit(key))
+    scoped = records_in_scope(records if condition is None else records.where(condition), groups)
+    kept = project_records(scoped, EXPORT_FIELDS, EXPORT_ATTRIBUTE_FIELDS, EXPORT_SUB_FIELDS)
+    tables = SC.schema_by_group(groups, processors).select(
+        "record_group_id", F.transform(F.filter("schema", lambda x: F.lower(x["database_data_type"]) == "table"),
+                                       lambda x: F.regexp_replace(x["name"], " ", "")).alias("table_names"))
+    kept = by_document_type(kept, SC.resolve_processor(groups, processors)).join(tables, "record_group_id", "left")
+    work = work_folder(spark, "export")
+    kept.write.parquet(work)
+    kept = spark.read.parquet(work)
+
+    if "csv" in formats:
+        names = [c.replace(" ", "") for c in columns] if columns else None
+        cells = export_cells(kept, F.coalesce("table_names", F.array().cast("array<string>")), names, origin, ("document_type",))
+        write_csv_export(export_wide(cells, export_columns(cells), ("document_type",)).drop("record_id"), f"{path}/csv")
+    if "json" in formats:
+        export_json(kept, columns).select(F.col("json").alias("value")).write.text(f"{path}/json")
+    if "images" in formats:
+        files = export_manifest(kept)
+        if listing is not None:
+            files = files.join(listing.select(F.col("path").alias("blob_key"), F.col("length").alias("bytes")), "blob_key", "left")
+        files.write.json(f"{path}/images")
+    manifest = written_files(spark, path, formats)
+    manifest.write.json(f"{path}/manifest")
+    fs.create(hadoop_path(spark, f"{path}/{MARKER}")[1], False).close()
+    return read_export(spark, path, "manifest")
+
+
+def written_files(spark, path: str, formats: tuple[str, ...]) -> DataFrame:
+    """(kind, document_type, file, rows, bytes) of every file of an export, counted by reading it."""
+    found = spark.createDataFrame([], MANIFEST)
+    meta = F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("bytes")
+    for kind in formats:
+        folder = f"{path}/{kind}"
+        if kind == "csv":
+            # rows as CSV has them: a quoted cell may hold line ends
+            lines = spark.read.option("header", True).option("multiLine", True).csv(folder).select(*meta)
+        else:
+            lines = spark.read.text(folder).select(*meta)
+        got = lines.groupBy("p", "bytes").agg(F.count(F.lit(1)).alias("rows"))
+        found = found.unionByName(got.select(
+            F.lit(kind).alias("kind"), F.nullif(F.url_decode(F.regexp_extract("p", "/document_type=([^/]*)/", 1)), F.lit("")).alias("document_type"),
+            F.concat(F.lit(f"{kind}/"), F.regexp_extract("p", f"/{kind}/((?:document_type=[^/]*/)?[^/]*)$", 1)).alias("file"), "rows", "bytes"))
+    return found
+
+
+def read_export(spark, path: str, kind: str) -> DataFrame:
+    """What an export holds: ``csv`` rows, ``json`` texts (value), ``images``
+    or the ``manifest``.  An error where the export isn't complete."""
+    fs, mark = hadoop_path(spark, f"{path.rstrip('/')}/{MARKER}")
+    if not fs.exists(mark):
+        raise ValueError(f"no complete export at {path}")
+    if kind == "csv":
+        return spark.read.option("header", True).option("multiLine", True).csv(f"{path}/csv")
+    if kind == "json":
+        return spark.read.text(f"{path}/json")
+    return spark.read.schema(MANIFEST if kind == "manifest" else "blob_key string, arcname string, record_id long, bytes long").json(f"{path}/{kind}")

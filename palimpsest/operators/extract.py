@@ -102,16 +102,26 @@ def entities_to_attributes(entities: Column) -> Column:
     return F.transform(entities, attr)
 
 
-def extract_attributes(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
+def extract_attributes(payloads: DataFrame, payload_col: str = "payload", default_processor: Column | bool = False) -> DataFrame:
     """S4 + E1: parse each payload (list form or ``{attributes_list}`` form)
-    into ``attributes``; ``parse_ok`` is false when neither form parses."""
+    into ``attributes``; ``parse_ok`` is false when neither form parses.
+
+    ``default_processor`` tells which payloads come from the general processor:
+    their fields are the properties of the first entity (none without one)."""
     raw = F.col(payload_col)
     as_list = F.from_json(raw, PAYLOAD_LIST_TYPE)
     as_obj = F.from_json(raw, PAYLOAD_OBJ_TYPE)
     ents = F.when(F.ltrim(raw).startswith("["), as_list).otherwise(
         F.coalesce(as_obj["attributes_list"], as_obj["entities"]))
-    return payloads.withColumn("parse_ok", ents.isNotNull()) \
-                   .withColumn("attributes", F.coalesce(entities_to_attributes(ents), F.array().cast(ATTRS_TYPE)))
+    parsed = payloads.withColumn("_ents", ents).withColumn("parse_ok", F.col("_ents").isNotNull())
+    fields = F.col("_ents")
+    if default_processor is not False:
+        own = [F.lit(None).cast("array<" + PROPERTY_TYPE.simpleString() + ">").alias("properties")]
+        first = F.transform(F.coalesce(F.get("_ents", 0)["properties"], F.array().cast(T.ArrayType(PROPERTY_TYPE))),
+                            lambda p: F.struct(*[p[f.name].alias(f.name) for f in _ENTITY_FIELDS], *own).cast(ENTITY_TYPE))
+        general = F.lit(True) if default_processor is True else F.coalesce(default_processor, F.lit(False))
+        fields = F.when(general & F.col("parse_ok"), first).otherwise(fields)
+    return parsed.withColumn("attributes", F.coalesce(entities_to_attributes(fields), F.array().cast(ATTRS_TYPE))).drop("_ents")
 
 
 def new_records(uploads: DataFrame) -> DataFrame:

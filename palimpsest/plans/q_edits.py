@@ -334,3 +334,194 @@ def q_edit_reclean(spark, sf):
         "record_id", F.size(a).cast("bigint").alias("n_attrs"),
         F.array_join(F.transform(a.getField("cleaning_error"), lambda e: F.coalesce(e, F.lit("~"))), "|")
         .alias("error_seq"))
+
+
+# ---- whole attributes, whole lists, many changes a record, edits that must not pass
+
+def _positions(spark, sf):
+    """Line items with their position in the record."""
+    w = Window.partitionBy("l_orderkey").orderBy(*M.POSITION_ORDER)
+    return M.table(spark, sf, "lineitem").withColumn("pos", (F.row_number().over(w) - 1).cast("int"))
+
+
+def load_whole_edits(spark, sf):
+    """Attributes replaced as a whole (line 3: its second sub-attribute), one
+    record in four at a position that doesn't exist."""
+    li = _positions(spark, sf).where(F.pmod("l_partkey", F.lit(50)) == 2)
+    key = F.concat(F.lit("New "), F.col("l_linenumber").cast("string"))
+    value = F.concat(F.lit("w"), F.col("l_suppkey").cast("string"))
+    sub = F.struct(*[{"key": F.lit("S"), "value": F.lit("x")}.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in ED.SUB_TYPE.fields])
+    made = {"key": key, "value": value, "value_type": F.lit("string"), "edited": F.lit(True),
+            "subattributes": F.when(F.col("l_linenumber") == 5, F.array(sub))}
+    attr = F.struct(*[made.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in ED.ATTR_TYPE.fields]).cast(ED.ATTR_TYPE)
+    return li.select(
+        F.col("l_orderkey").alias("record_id"), F.col("pos").alias("seq"), F.lit("attribute").alias("op"),
+        F.when(F.pmod("l_orderkey", F.lit(4)) == 0, F.col("pos") + 50).otherwise(F.col("pos")).alias("idx"),
+        F.when(F.col("l_linenumber") == 3, 1).alias("sub_idx"), F.lit(None).cast("string").alias("payload"),
+        M.user_email(F.col("l_suppkey")).alias("user"), F.col("l_shipdate").alias("ts"), attr.alias("attribute"),
+        F.when(F.pmod("l_orderkey", F.lit(2)) == 1, F.lit("unreviewed")).otherwise(F.lit("reviewed")).alias("review_status"))
+
+
+_WHOLE = """
+, e AS (SELECT record_id, pos, l_linenumber, l_suppkey FROM attrs WHERE l_partkey % 50 = 2 AND record_id % 4 <> 0),
+a AS (
+  SELECT t.record_id, t.pos, e.pos IS NOT NULL AND t.l_linenumber <> 3 AS whole, e.pos IS NOT NULL AND t.l_linenumber = 3 AS sub,
+    t.l_linenumber, t.l_suppkey, t.key, t.value FROM attrs t LEFT JOIN e ON e.record_id = t.record_id AND e.pos = t.pos),
+b AS (
+  SELECT record_id, pos, CASE WHEN whole THEN 'New ' || l_linenumber ELSE key END AS key, CASE WHEN whole THEN 'w' || l_suppkey ELSE value END AS value,
+    CASE WHEN whole AND l_linenumber = 5 THEN 'S=x' WHEN whole OR l_linenumber <> 3 THEN ''
+      ELSE 'Depth=' || (SELECT s.value FROM subs s WHERE s.record_id = a.record_id AND s.attr_pos = a.pos AND s.sub_pos = 0) ||
+        CASE WHEN sub THEN ',New 3=w' || l_suppkey ELSE ',Sec=' || l_suppkey END END AS sub
+  FROM a)
+"""
+
+
+@query("edit_whole_attribute", with_model(_WHOLE + """
+SELECT b.record_id, any_value(CASE WHEN b.record_id % 2 = 1 AND b.record_id IN (SELECT record_id FROM e) THEN 'incomplete' ELSE r.review_status END) AS review_status,
+  string_agg(b.key, '|' ORDER BY pos) AS key_seq, string_agg(b.value, '|' ORDER BY pos) AS value_seq, string_agg(b.sub, '|' ORDER BY pos) AS sub_seq
+FROM b JOIN recs r ON r.record_id = b.record_id WHERE b.record_id IN (SELECT record_id FROM attrs WHERE l_partkey % 50 = 2) GROUP BY b.record_id
+""", "recs", "subs"), ops=("M1",))
+def q_edit_whole_attribute(spark, sf):
+    new, _ = ED.apply_edits(M.load_records(spark, sf), load_whole_edits(spark, sf))
+    a = F.col("attributes")
+    subs = F.transform(a, lambda x: F.coalesce(F.array_join(F.transform(x["subattributes"], lambda s: F.concat_ws("=", s["key"], s["value"])), ","), F.lit("")))
+    return new.where("edited_now").select(
+        "record_id", "review_status", F.array_join(a.getField("key"), "|").alias("key_seq"),
+        F.array_join(a.getField("value"), "|").alias("value_seq"), F.array_join(subs, "|").alias("sub_seq"))
+
+
+@query("whole_attribute_history", with_model("""
+SELECT record_id, pos AS seq, pos AS idx, CASE WHEN l_linenumber = 3 THEN 'Sec' ELSE key END AS previous_key,
+  CASE WHEN l_linenumber = 3 THEN CAST(l_suppkey AS VARCHAR) ELSE value END AS previous_value
+FROM attrs WHERE l_partkey % 50 = 2 AND record_id % 4 <> 0
+""", "attrs"), ops=("M1", "M8"))
+def q_whole_attribute_history(spark, sf):
+    _, hist = ED.apply_edits(M.load_records(spark, sf), load_whole_edits(spark, sf))
+    return hist.select("record_id", F.col("seq").cast("int").alias("seq"), "idx", F.get_json_object("previous_value", "$.key").alias("previous_key"),
+                       F.get_json_object("previous_value", "$.value").alias("previous_value"))
+
+
+def _list_changes(spark, sf):
+    """Records whose list is replaced twice: by itself without its first
+    element, then by that turned round with the last element given twice."""
+    r = M.load_records(spark, sf).where(F.pmod("record_id", F.lit(13)) == 5).select("record_id", "attributes")
+    rest = F.slice("attributes", 2, F.greatest(F.lit(1), F.size("attributes")))
+    second = F.concat(F.reverse(rest), F.slice(rest, 1, 1))
+    stamp = [F.lit("lists@example.org").alias("user"), F.lit("2024-01-02 03:04:05").cast("timestamp").alias("ts")]
+    return r.select("record_id", F.lit(1).alias("seq"), rest.alias("attributes"), *stamp).unionByName(
+        r.select("record_id", F.lit(2).alias("seq"), second.alias("attributes"), *stamp))
+
+
+_LISTS = """
+, l0 AS (SELECT record_id, list(pos ORDER BY pos) AS v, list(key ORDER BY pos) AS keys, list(value ORDER BY pos) AS vals
+  FROM attrs WHERE record_id % 13 = 5 GROUP BY record_id),
+l1 AS (SELECT record_id, keys, vals, v, v[2:] AS w, list_concat(list_reverse(v[2:]), v[2:2]) AS x FROM l0),
+steps AS (SELECT record_id, 1 AS seq, v AS old, w AS new, keys, vals FROM l1 UNION ALL SELECT record_id, 2, w, x, keys, vals FROM l1),
+pairs AS (SELECT *, CAST(unnest(range(0, greatest(len(old), len(new)))) AS INTEGER) AS idx FROM steps)
+"""
+
+
+@query("status_attributes_list", with_model(_LISTS + """
+SELECT record_id, seq, idx, CASE WHEN idx >= len(old) THEN 'added' WHEN idx >= len(new) THEN 'removed' ELSE 'changed' END AS change,
+  keys[old[idx + 1] + 1] AS before_key, vals[old[idx + 1] + 1] AS before_value, keys[new[idx + 1] + 1] AS after_key, vals[new[idx + 1] + 1] AS after_value
+FROM pairs WHERE old[idx + 1] IS DISTINCT FROM new[idx + 1]
+""", "attrs"), ops=("M5", "M8"))
+def q_status_attributes_list(spark, sf):
+    _, hist = ED.replace_lists(M.load_records(spark, sf), _list_changes(spark, sf))
+    get = F.get_json_object
+    return hist.select("record_id", F.col("seq").cast("int").alias("seq"), "idx", "change", get("before", "$.key").alias("before_key"), get("before", "$.value").alias("before_value"),
+                       get("after", "$.key").alias("after_key"), get("after", "$.value").alias("after_value"))
+
+
+@query("replaced_lists", with_model(_LISTS + """
+SELECT r.record_id, CASE WHEN l1.record_id IS NULL THEN coalesce((SELECT string_agg(key, '|' ORDER BY pos) FROM attrs a WHERE a.record_id = r.record_id), '')
+  ELSE array_to_string([keys[i + 1] FOR i IN x], '|') END AS key_seq
+FROM recs r LEFT JOIN l1 ON l1.record_id = r.record_id
+""", "recs", "attrs"), ops=("M5",))
+def q_replaced_lists(spark, sf):
+    new, _ = ED.replace_lists(M.load_records(spark, sf), _list_changes(spark, sf))
+    return new.select("record_id", F.array_join(F.col("attributes").getField("key"), "|").alias("key_seq"))
+
+
+@query("record_fields", with_model("""
+, ch AS (SELECT record_id, pos AS seq, l_suppkey, l_linenumber FROM attrs),
+last AS (
+  SELECT record_id, arg_max('renamed ' || l_suppkey, seq) FILTER (WHERE l_linenumber <> 2) AS name, count(*) FILTER (WHERE l_linenumber <> 2) AS n_name,
+    arg_max(struct_pack(d := CASE WHEN l_linenumber = 4 THEN NULL ELSE 'd' || l_suppkey END), seq) FILTER (WHERE l_linenumber IN (2, 4)).d AS d,
+    count(*) FILTER (WHERE l_linenumber IN (2, 4)) AS n_d FROM ch GROUP BY record_id)
+SELECT r.record_id, CASE WHEN n_name > 0 THEN l.name ELSE r.name END AS name, CASE WHEN n_d > 0 THEN l.d END AS defective_description
+FROM recs r LEFT JOIN last l ON l.record_id = r.record_id
+""", "recs", "attrs"), ops=("M5",))
+def q_record_fields(spark, sf):
+    """Every line item sets fields of its record: the name (not line 2), the
+    description (line 2 a text, line 4 null)."""
+    n = F.col("l_linenumber")
+    supp = F.col("l_suppkey").cast("string")
+    changes = _positions(spark, sf).select(
+        F.col("l_orderkey").alias("record_id"), F.col("pos").alias("seq"), F.when(n != 2, F.concat(F.lit("renamed "), supp)).alias("name"),
+        F.when(n == 2, F.concat(F.lit("d"), supp)).alias("defective_description"), n.isin(2, 4).alias("set_defective_description"))
+    return ED.set_fields(M.load_records(spark, sf, with_attributes=False), changes).select("record_id", "name", "defective_description")
+
+
+@query("edit_rejections_bad", with_model("""
+SELECT record_id, pos AS seq, CASE WHEN record_id % 6 = 3 THEN NULL ELSE 'insert' END AS op,
+  CASE record_id % 6 WHEN 0 THEN -2 WHEN 1 THEN -5 WHEN 2 THEN NULL ELSE pos END AS idx,
+  CASE record_id % 6 WHEN 3 THEN 'unknown operation' WHEN 4 THEN 'no sub-attribute at that position' ELSE 'no attribute at that position' END AS reason
+FROM attrs WHERE l_partkey % 50 = 0 AND record_id % 6 <> 5
+""", "attrs"), ops=("M2", "M8"))
+def q_edit_rejections_bad(spark, sf):
+    """Negative and null positions, null operations, a negative sub-position."""
+    m = F.pmod("l_orderkey", F.lit(6))
+    edits = _positions(spark, sf).where(F.pmod("l_partkey", F.lit(50)) == 0).select(
+        F.col("l_orderkey").alias("record_id"), F.col("pos").alias("seq"), F.when(m != 3, F.lit("insert")).alias("op"),
+        F.when(m == 0, -2).when(m == 1, -5).when(m != 2, F.col("pos")).alias("idx"), F.when(m == 4, -1).alias("sub_idx"),
+        F.lit("new").alias("payload"), F.lit("u").alias("user"), F.col("l_shipdate").alias("ts"))
+    return ED.rejected_edits(M.load_records(spark, sf), edits).select("record_id", F.col("seq").cast("int").alias("seq"), "op", "idx", "reason")
+
+
+def load_status_batches(spark, sf):
+    """A status change for each line item, in list order, of every kind: two
+    that don't hold (reviewed, no type at all) among them."""
+    m = F.pmod("l_partkey", F.lit(6))
+    return _positions(spark, sf).select(
+        F.col("l_orderkey").alias("record_id"), F.col("pos").alias("seq"),
+        F.when(m == 0, F.lit("verification_status")).when(m != 5, F.lit("review_status")).alias("update_type"),
+        F.when(m == 1, F.lit("incomplete")).when(m == 2, F.lit("defective")).when(m == 4, F.lit("unreviewed")).otherwise(F.lit("reviewed")).alias("review_status"),
+        F.when(m == 0, F.concat(F.lit("v"), F.col("l_suppkey").cast("string"))).alias("verification_status"),
+        F.when(m == 2, F.array(F.lit("stain"))).alias("defective_categories"),
+        F.when(m == 2, F.concat(F.lit("d"), F.col("l_suppkey").cast("string"))).alias("defective_description"))
+
+
+@query("status_edits_multi", with_model("""
+, ch AS (SELECT record_id, pos + 1 AS k, l_partkey % 6 AS m, l_suppkey FROM attrs),
+f AS (
+  SELECT record_id, CAST(0 AS BIGINT) AS k, review_status AS rs, verification_status AS vs, CAST(NULL AS VARCHAR) AS d, false AS reset FROM recs
+  UNION ALL
+  SELECT f.record_id, ch.k, CASE m WHEN 0 THEN 'reviewed' WHEN 1 THEN 'incomplete' WHEN 2 THEN 'defective' WHEN 4 THEN 'unreviewed' ELSE rs END,
+    CASE m WHEN 0 THEN 'v' || l_suppkey WHEN 1 THEN NULL WHEN 4 THEN NULL ELSE vs END, CASE m WHEN 2 THEN 'd' || l_suppkey ELSE d END, reset OR m = 4
+  FROM f JOIN ch ON ch.record_id = f.record_id AND ch.k = f.k + 1),
+last AS (SELECT record_id, max(k) AS k FROM f GROUP BY record_id)
+SELECT f.record_id, rs AS review_status, vs AS verification_status, d AS defective_description,
+  (SELECT count(*) FROM attrs a WHERE a.record_id = f.record_id AND NOT (f.reset AND a.user_added)) AS n_attrs,
+  coalesce((SELECT string_agg(a.value, '|' ORDER BY a.pos) FROM attrs a WHERE a.record_id = f.record_id AND NOT (f.reset AND a.user_added)), '') AS value_seq
+FROM f JOIN last ON last.record_id = f.record_id AND last.k = f.k
+""", "recs", "attrs").replace("WITH ", "WITH RECURSIVE ", 1), ops=("M5", "M6"))
+def q_status_edits_multi(spark, sf):
+    new, _ = ED.status_edits(M.load_records(spark, sf), load_status_batches(spark, sf))
+    return new.select("record_id", "review_status", "verification_status", "defective_description", F.size("attributes").cast("bigint").alias("n_attrs"),
+                      F.array_join(F.col("attributes").getField("value"), "|").alias("value_seq"))
+
+
+@query("upsert_groups_multi", with_model("""
+, ch AS (SELECT o_custkey AS k, max_by('g' || o_orderkey, o_orderkey) FILTER (WHERE o_orderkey % 3 <> 0) AS name,
+  max_by(o_orderpriority, o_orderkey) FILTER (WHERE o_orderkey % 2 = 0) AS processor_id FROM orders GROUP BY o_custkey)
+SELECT g.record_group_id, coalesce(ch.name, g.name) AS name, coalesce(ch.processor_id, g.processor_id) AS processor_id, g.project_id
+FROM groups g LEFT JOIN ch ON CAST(ch.k AS VARCHAR) = g.record_group_id
+""", "groups"), ops=("M10",))
+def q_upsert_groups_multi(spark, sf):
+    """Many changes a group: each column takes its own last value."""
+    k = F.col("o_orderkey")
+    changes = M.table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("record_group_id"), k.alias("seq"),
+        F.when(F.pmod(k, F.lit(3)) != 0, F.concat(F.lit("g"), k.cast("string"))).alias("name"), F.when(F.pmod(k, F.lit(2)) == 0, F.col("o_orderpriority")).alias("processor_id"))
+    return ED.upsert_dimension(M.load_record_groups(spark, sf), changes, "record_group_id").select("record_group_id", "name", "processor_id", "project_id")

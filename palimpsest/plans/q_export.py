@@ -8,6 +8,7 @@ from ..functions import names as N
 from ..operators import export as X
 from ..operators import schema as SC
 from ..operators import uploads as U
+from ..session import work_folder
 from ..sources import model as M
 from .oracle_base import with_model
 from .registry import query
@@ -236,3 +237,84 @@ def q_pending_uploads(spark, sf):
 def q_pending_uploads_capped(spark, sf):
     out = U.pending_uploads(M.load_uploads(spark, sf), M.load_records(spark, sf, with_attributes=False), cap=2)
     return out.select("upload_id", "record_group_id", "upload_name")
+
+
+# ---- the export as one job, read back from its files
+
+def _export(spark, sf, **more):
+    path = work_folder(spark, "download")
+    listing = M.load_storage_listing(spark, sf)
+    manifest = X.export_job(M.load_records(spark, sf), M.load_record_groups(spark, sf), M.load_processors(spark, sf), path,
+                            "project", EXPORT_PROJECT, origin=ORIGIN, listing=listing, **more)
+    return path, manifest
+
+
+_JOB_SQL = _CELLS_SQL + """
+, typed AS (
+  SELECT s.record_id, s.filename, CASE WHEN p.processor_id IS NULL THEN 'Default Processor' ELSE p.processor_id END AS document_type
+  FROM sel s JOIN groups g ON g.record_group_id = s.record_group_id LEFT JOIN processors p ON p.processor_id = g.processor_id),
+lastv AS (SELECT a.record_id, a.key, arg_max(a.value, a.pos) AS value, arg_max(CASE WHEN a.l_linenumber = 3 THEN 2 ELSE 0 END, a.pos) AS n_subs
+  FROM attrs a JOIN sel s ON s.record_id = a.record_id GROUP BY a.record_id, a.key)
+"""
+
+
+def _job_sql(select: str, *views: str) -> str:
+    return with_model(_JOB_SQL + select, "recs", "subs", "groups", "processors", "schema", *views)
+
+
+@query("export_job_csv", _job_sql("""
+SELECT t.document_type, CAST(c.record_id AS VARCHAR) AS record_id, c.col AS column_name, max(c.val) AS value
+FROM cells c JOIN typed t ON t.record_id = c.record_id GROUP BY t.document_type, c.record_id, c.col HAVING max(c.val) <> ''
+"""), ops=("X4", "X1", "A5", "S7"))
+def q_export_job_csv(spark, sf):
+    """Every cell of the CSV files of an export, read back (a file tells no
+    empty cell from a missing one: both are null)."""
+    path, _ = _export(spark, sf, formats=("csv",))
+    wide = X.read_export(spark, path, "csv")
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value")) for c in wide.columns if c != "document_type"])
+    return wide.select("document_type", F.substring_index("URL", "/", -1).alias("record_id"), F.inline(cells)).where(F.col("value").isNotNull())
+
+
+@query("export_job_json", _job_sql("""
+SELECT t.filename AS file, l.key, l.value, CAST(l.n_subs AS INTEGER) AS n_subs FROM typed t JOIN lastv l ON l.record_id = t.record_id
+UNION ALL SELECT filename, 'file', filename, NULL FROM typed
+"""), ops=("X4", "X3", "S8"))
+def q_export_job_json(spark, sf):
+    """Every entry of the JSON objects of an export, read back."""
+    path, _ = _export(spark, sf, formats=("json",))
+    entries = X.read_export(spark, path, "json").select(F.from_json("value", "map<string,string>").alias("m"))
+    rows = entries.select(F.col("m.file").alias("file"), F.explode("m").alias("key", "v"))
+    plain = F.col("key") == "file"
+    return rows.select("file", "key", F.when(plain, F.col("v")).otherwise(F.get_json_object("v", "$.value")).alias("value"),
+                       F.when(~plain, F.coalesce(F.json_array_length(F.get_json_object("v", "$.subattributes")), F.lit(0))).alias("n_subs"))
+
+
+@query("export_job_selected", _job_sql("""
+SELECT t.filename AS file, l.key, l.value FROM typed t JOIN lastv l ON l.record_id = t.record_id WHERE l.key IN ('T', 'Field 3')
+UNION ALL SELECT filename, 'file', filename FROM typed
+"""), ops=("X4", "X3"))
+def q_export_job_selected(spark, sf):
+    """The JSON objects of an export of two chosen columns."""
+    path, _ = _export(spark, sf, formats=("csv", "json"), columns=["T", "Field 3"])
+    entries = X.read_export(spark, path, "json").select(F.from_json("value", "map<string,string>").alias("m"))
+    rows = entries.select(F.col("m.file").alias("file"), F.explode("m").alias("key", "v"))
+    return rows.select("file", "key", F.when(F.col("key") == "file", F.col("v")).otherwise(F.get_json_object("v", "$.value")).alias("value"))
+
+
+@query("export_job_manifest", with_model(IMAGES_SQL + """
+, sel AS (
+  SELECT r.record_id, CASE WHEN p.processor_id IS NULL THEN 'Default Processor' ELSE p.processor_id END AS document_type
+  FROM recs r JOIN groups g ON g.record_group_id = r.record_group_id LEFT JOIN processors p ON p.processor_id = g.processor_id WHERE g.project_id = '5'),
+img AS (SELECT i.* FROM images i JOIN sel s ON s.record_id = i.record_id)
+SELECT 'csv' AS kind, document_type, count(*) AS n FROM sel GROUP BY document_type
+UNION ALL SELECT 'json', NULL, count(*) FROM sel
+UNION ALL SELECT 'images', NULL, count(*) FROM img
+UNION ALL SELECT 'image bytes', NULL, CAST(sum(1000 + (record_id % 1000) * 10 + (p - 1)) AS BIGINT) FROM img WHERE p > 0 AND record_id % 17 <> 0
+""", "recs", "groups", "processors").replace("\n, sel AS", ",\nsel AS"), ops=("X4", "J13", "A5"))
+def q_export_job_manifest(spark, sf):
+    """The manifest of a whole export, by kind and document type, and the
+    bytes of the images that it found in storage."""
+    path, manifest = _export(spark, sf)
+    rows = manifest.groupBy("kind", "document_type").agg(F.sum("rows").alias("n"))
+    size = X.read_export(spark, path, "images").agg(F.sum("bytes").alias("n"))
+    return rows.unionByName(size.select(F.lit("image bytes").alias("kind"), F.lit(None).cast("string").alias("document_type"), "n"))

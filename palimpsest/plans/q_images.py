@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import images as I
+from ..session import work_folder
 from ..sources import model as M
 from .registry import query
 
@@ -69,3 +70,33 @@ def q_record_whitespace(spark, sf):
                       F.col("n_blank").cast("bigint").alias("n_blank"),
                       F.array_join(F.transform("image_whitespace", lambda p: p["whitespace_pct"].cast("string")), "|")
                       .alias("scores"))
+
+
+_FILE_SQL = _PIXELS.replace("FROM embeddings,", "FROM (SELECT * FROM embeddings WHERE vec_id % 29 <> 0) embeddings,")
+
+
+def _file_pages(spark, sf):
+    """Page files made of the embeddings' pixels, read by the image source; one in 29 is no image."""
+    e = M.table(spark, sf, "embeddings")
+    data = F.when(F.pmod("vec_id", F.lit(29)) == 0, F.lit("not an image").cast("binary")).otherwise(I.bitmap(I.embedding_pixels(F.col("embedding"))))
+    path = work_folder(spark, "pages")
+    I.write_pages(e.select(F.col("vec_id").alias("page"), data.alias("data")), path)
+    return I.read_pages(spark, path)
+
+
+def _file_query(mode: str):
+    sql = _FILE_SQL.format(cond=_CONDS[mode].format(t=f"{float(THRESHOLD)}")) + f"""
+SELECT e.vec_id, round(white * 100.0 / total, 4) AS whitespace_pct, total AS total_pixels, white AS white_pixels,
+  coalesce(white * 100.0 / total >= {MIN_PCT}, false) AS meets_threshold
+FROM embeddings e LEFT JOIN w ON w.vec_id = e.vec_id
+"""
+
+    @query(f"page_files_{mode}", sql, ops=("S6", "I1", "I2"))
+    def build(spark, sf):
+        s = I.image_white_share(F.col("image"), mode, THRESHOLD, MIN_PCT)
+        got = _file_pages(spark, sf).select(F.col("page").cast("long").alias("vec_id"), s.alias("s"))
+        return got.select("vec_id", *[F.col(f"s.{c}") for c in ("whitespace_pct", "total_pixels", "white_pixels", "meets_threshold")])
+
+
+for _mode in ("all", "luma"):
+    _file_query(_mode)

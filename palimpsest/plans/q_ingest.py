@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import extract as E
+from ..operators import schema as SC
 from ..sources import model as M
 from .oracle_base import with_model
 from .registry import query
@@ -82,3 +83,25 @@ def q_assemble_records(spark, sf):
     ex = E.extract_attributes(M.load_payloads(spark, sf))
     out = E.assemble_records(_new_records(spark, sf), ex)
     return out.select("record_id", "status", "error_message", F.size("attributes").cast("bigint").alias("n_attrs"))
+
+
+@query("extract_attributes_default", with_model("""
+, proc AS (SELECT r.record_id, p.processor_id IS NULL AS general FROM recs r JOIN groups g ON g.record_group_id = r.record_group_id
+           LEFT JOIN processors p ON p.processor_id = g.processor_id),
+rows AS (
+  SELECT a.record_id, a.pos AS attr_pos, a.key, a.value, a.ai_confidence FROM attrs a JOIN proc ON proc.record_id = a.record_id AND NOT general
+  UNION ALL
+  SELECT a.record_id, 0, 'Depth', CAST(CAST(a.l_extendedprice AS DECIMAL(12,2)) AS VARCHAR), round(1.0 - a.l_tax, 2)
+  FROM attrs a JOIN proc ON proc.record_id = a.record_id AND general WHERE a.pos = 0 AND a.l_linenumber = 3
+  UNION ALL
+  SELECT a.record_id, 1, 'Sec', CAST(a.l_suppkey AS VARCHAR), round(1.0 - a.l_tax, 2)
+  FROM attrs a JOIN proc ON proc.record_id = a.record_id AND general WHERE a.pos = 0 AND a.l_linenumber = 3)
+SELECT CAST(record_id AS BIGINT) AS record_id, CAST(attr_pos AS INTEGER) AS attr_pos, key, value, ai_confidence FROM rows WHERE record_id % 97 <> 0
+""", "attrs", "recs", "groups", "processors"), ops=("E1", "J7"))
+def q_extract_attributes_default(spark, sf):
+    """Records whose group has no processor of its own come from the general one."""
+    groups = SC.resolve_processor(M.load_record_groups(spark, sf), M.load_processors(spark, sf)).select("record_group_id", "has_processor")
+    recs = M.load_records(spark, sf, with_attributes=False).select("record_id", "record_group_id").join(groups, "record_group_id")
+    ex = E.extract_attributes(M.load_payloads(spark, sf).join(recs, "record_id"), default_processor=~F.col("has_processor"))
+    rows = ex.select("record_id", F.posexplode_outer("attributes").alias("attr_pos", "a")).where(F.col("a").isNotNull())
+    return rows.select("record_id", F.col("attr_pos").cast("int").alias("attr_pos"), "a.key", "a.value", "a.ai_confidence")
