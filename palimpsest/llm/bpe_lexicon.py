@@ -9,15 +9,17 @@
    ``SparkContext.addFile`` (a lost executor's successor fetches it again)
    and memory-map it.
 3. Every task splits whole texts into words as the vocabulary file says, walks
-   the distinct words of a slice through the automaton all at once, and merges
-   the words that it doesn't know exactly, by the ranks of the merge list.
+   the words that its worker doesn't hold yet through the automaton all at
+   once, and merges those that it doesn't know exactly, by the ranks of the
+   merge list.
 
 The lexicon only saves work: any word missing from it is merged to the same
 ids.  The vocabulary file's path is a parameter; the driver reads it and sends
 its text along (a file of fixed size).  Texts of plain Latin characters are
 normalised and split here; a text with any other character goes through the
 library's own normaliser and splitter, so the rules for rare scripts are the
-library's.
+library's.  A file whose normaliser, splitter or model isn't of the form written
+here (``NORMALIZER``, ``PRE_TOKENIZER``) is run by the library as a whole.
 
 Defined cases: null text counts as empty, and an empty text has no tokens;
 special tokens' strings in a text are those tokens; a word of any length is
@@ -32,6 +34,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -45,6 +48,16 @@ from .common import map_text, most_frequent, query, shared_path, stage, table, t
 LEXICON = 131_072
 VOCABULARY = "word_bpe_49k.json"
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+#: the same splitting for lower-case ASCII texts, by the quicker standard library
+ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
+#: fixed values: the normaliser and splitter of a vocabulary file that ``Bpe`` follows on its own
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: words whose ids and texts a worker keeps
+HELD = 250_000
 #: characters whose composition and lower case are the same in every Unicode version
 PLAIN = regex.compile("[\\x00-\\u024F\\u2010-\\u205E\\u20A0-\\u20BF]*")
 
@@ -56,8 +69,17 @@ class Bpe:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec)
+        self.library.no_truncation()
+        self.library.no_padding()
         spec = json.loads(spec)
         model = spec["model"]
+        self.follows = (
+            spec.get("normalizer") == NORMALIZER and spec.get("pre_tokenizer") == PRE_TOKENIZER and model["type"] == "BPE"
+            and spec.get("decoder") is None and spec.get("post_processor") is None
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges"))
+            and all(t["special"] and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in spec["added_tokens"]))
+        if not self.follows:
+            return
         self.ids: dict[str, int] = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
@@ -108,7 +130,7 @@ class Bpe:
 
     def _plain(self, text: str) -> list[str]:
         if text.isascii():
-            return self.piece.findall(text.lower())
+            return ASCII_PIECE.findall(text.lower())
         if PLAIN.fullmatch(text):
             return self.piece.findall(unicodedata.normalize("NFC", text).lower())
         text = self.library.normalizer.normalize_str(text)
@@ -251,7 +273,7 @@ def build_lexicon(docs: DataFrame, spec: str, size: int = LEXICON, text_col: str
         bpe = _bpe(sent.value)
         for rb in batches:
             # a counted word that the tokenizer would split or change is never asked for
-            words = [w for w in rb.column(0).to_pylist() if w not in bpe.special and bpe._plain(w) == [w]]
+            words = [w for w in rb.column(0).to_pylist() if bpe.follows and w not in bpe.special and bpe._plain(w) == [w]]
             yield pa.RecordBatch.from_arrays([pa.array([w.encode() for w in words], pa.binary()),
                                               pa.array([bpe.merge(w) for w in words], pa.list_(pa.int32()))], names=["word", "ids"])
 
@@ -275,42 +297,42 @@ def build_lexicon(docs: DataFrame, spec: str, size: int = LEXICON, text_col: str
 
 
 class Coder:
-    """Words of one task's texts to ids, through the lexicon first."""
+    """Words of a worker's texts to ids, through the lexicon first."""
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon):
-        self.bpe, self.lexicon, self.unseen = bpe, lexicon, {}
-
-    def table(self, words) -> dict[str, list[int]]:
-        """Ids of distinct words."""
-        words = list(words)
-        out = {}
-        found = self.lexicon.find([w.encode("utf-8", "surrogatepass") for w in words])
-        if len(self.unseen) > 200_000:
-            self.unseen.clear()
-        for w, i in zip(words, found.tolist(), strict=True):
-            if w in self.bpe.special:
-                out[w] = [self.bpe.special[w]]
-            elif i >= 0:
-                out[w] = self.lexicon.ids(i)
-            else:
-                ids = self.unseen.get(w)
-                if ids is None:
-                    ids = self.unseen[w] = self.bpe.merge(w)
-                out[w] = ids
-        return out
+        self.bpe, self.lexicon = bpe, lexicon
+        self.held: dict[str, tuple] = {}
+
+    def entries(self, words: set[str], entry) -> dict:
+        """``entry(ids)`` of every word, kept from one lot of texts to the
+        next; only words that aren't held are looked up or merged."""
+        if len(self.held) > HELD:
+            self.held.clear()
+        new = [w for w in words if w not in self.held]
+        found = self.lexicon.find([w.encode("utf-8", "surrogatepass") for w in new])
+        for w, i in zip(new, found.tolist(), strict=True):
+            special = self.bpe.special.get(w)
+            self.held[w] = entry([special] if special is not None else self.lexicon.ids(i) if i >= 0 else self.bpe.merge(w))
+        return self.held
+
+
+@functools.lru_cache(maxsize=4)
+def _coder(spec: str, lexicon: str, use: str) -> Coder:
+    """One for each use in a worker process, so that words stay from task to task."""
+    return Coder(_bpe(spec), _lexicon(lexicon))
 
 
 def encode(docs: DataFrame, spec: str, lexicon: str, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` plus ``ids`` (array of int) of every whole text."""
     sent = docs.sparkSession.sparkContext.broadcast(spec)
-    held: list[Coder] = []
 
     def run(texts):
-        if not held:
-            held.append(Coder(_bpe(sent.value), _lexicon(lexicon)))
-        parts = [held[0].bpe.pieces(t) for t in texts]
-        ids = held[0].table({w for p in parts for w in p})
-        return {"ids": [[i for w in p for i in ids[w]] for p in parts]}
+        bpe = _bpe(sent.value)
+        if not bpe.follows:
+            return {"ids": [bpe.library.encode(t, add_special_tokens=False).ids for t in texts]}
+        parts = [bpe.pieces(t) for t in texts]
+        held = _coder(sent.value, lexicon, "ids").entries(set().union(*parts), tuple)
+        return {"ids": [[i for w in p for i in held[w]] for p in parts]}
 
     return map_text(docs, keep, run, "ids array<int>", text_col, budget=2_000_000)
 
@@ -321,25 +343,35 @@ def decode_ids(bpe: Bpe, ids: list[int]) -> str:
     return " ".join([names[i] for i in ids if i in names])
 
 
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
 def round_trip(docs: DataFrame, spec: str, lexicon: str, keep: list[str], text_col: str = "text") -> DataFrame:
     """``keep`` plus n_tokens and the digests of ids and decoded text.  Ids
-    are turned to text word by word, which is the same as id by id."""
+    are turned to text word by word, which is the same as id by id; a worker
+    keeps each word's ids and decoded text as written."""
     sent = docs.sparkSession.sparkContext.broadcast(spec)
-    held: list[Coder] = []
+
+    def by_library(library, texts):
+        ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        return {"n_tokens": list(map(len, ids)), "ids_sha256": [_sha256(" ".join(map(str, i))) for i in ids],
+                "decoded_sha256": [_sha256(library.decode(i, skip_special_tokens=False)) for i in ids]}
 
     def run(texts):
-        if not held:
-            held.append(Coder(_bpe(sent.value), _lexicon(lexicon)))
-        bpe = held[0].bpe
+        bpe = _bpe(sent.value)
+        if not bpe.follows:
+            return by_library(bpe.library, texts)
         parts = [bpe.pieces(t) for t in texts]
-        ids = held[0].table({w for p in parts for w in p})
-        written = {w: " ".join(map(str, i)) for w, i in ids.items()}
-        count = {w: len(i) for w, i in ids.items()}
-        read = {w: decode_ids(bpe, i) for w, i in ids.items()}
-        sha = lambda s: hashlib.sha256(s.encode("utf-8", "surrogatepass")).hexdigest()
-        return {"n_tokens": [sum([count[w] for w in p]) for p in parts],
-                "ids_sha256": [sha(" ".join([written[w] for w in p])) for p in parts],
-                "decoded_sha256": [sha(" ".join([read[w] for w in p])) for p in parts]}
+        held = _coder(sent.value, lexicon, "texts").entries(
+            set().union(*parts), lambda ids: (" ".join(map(str, ids)), decode_ids(bpe, ids), len(ids)))
+        out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
+        for p in parts:
+            written, read, count = zip(*[held[w] for w in p], strict=True) if p else ((), (), ())
+            out["n_tokens"].append(sum(count))
+            out["ids_sha256"].append(_sha256(" ".join(written)))
+            out["decoded_sha256"].append(_sha256(" ".join(read)))
+        return out
 
     return map_text(docs, keep, run, "n_tokens long, ids_sha256 string, decoded_sha256 string", text_col, budget=2_000_000)
 

@@ -315,3 +315,30 @@ def test_empty_tables(spark, docs):
     from pyspark.sql import functions as F
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann_collision.nearest(empty, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_another_vocabulary_file_goes_through_its_library(spark, docs):
+    import json
+
+    from tokenizers import Tokenizer
+
+    spec = json.loads(bpe_lexicon.vocabulary())
+    spec["normalizer"] = None
+    spec = json.dumps(spec)
+    library = Tokenizer.from_str(spec)
+    rows = docs.select("doc_id", "text").collect()
+    got = bpe_lexicon.round_trip(docs, spec, bpe_lexicon.build_lexicon(docs, spec), ["doc_id"]).collect()
+    ids = [library.encode(r.text or "", add_special_tokens=False).ids for r in rows]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in got) == Counter(
+        (r.doc_id, len(i), sha(" ".join(map(str, i)))) for r, i in zip(rows, ids, strict=True))
+
+
+def test_ascii_words_are_split_like_all_others():
+    import random
+
+    rnd = random.Random(4)
+    bpe = bpe_lexicon.Bpe(bpe_lexicon.vocabulary())
+    for _ in range(300):
+        t = "".join(chr(rnd.randrange(128)) for _ in range(60)).lower()
+        assert bpe_lexicon.ASCII_PIECE.findall(t) == bpe.piece.findall(t)
