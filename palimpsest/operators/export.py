@@ -255,7 +255,7 @@ def export_job(records: DataFrame, record_groups: DataFrame, processors: DataFra
     if "csv" in formats:
         names = [c.replace(" ", "") for c in columns] if columns else None
         cells = export_cells(kept, F.coalesce("table_names", F.array().cast("array<string>")), names, origin, ("document_type",))
-        write_csv_export(export_wide(cells, export_columns(cells), ("document_type",)).drop("record_id"), f"{path}/csv")
+        write_csv_export(export_wide(cells, with_occurring(["file", "URL"], cells), ("document_type",)).drop("record_id"), f"{path}/csv")
     if "json" in formats:
         export_json(kept, columns).select(F.col("json").alias("value")).write.text(f"{path}/json")
     if "images" in formats:
@@ -277,7 +277,10 @@ def written_files(spark, path: str, formats: tuple[str, ...]) -> DataFrame:
         folder = f"{path}/{kind}"
         if kind == "csv":
             # rows as CSV has them: a quoted cell may hold line ends
-            lines = spark.read.option("header", True).option("multiLine", True).csv(folder).select(*meta)
+            rows = _csv(spark, folder)
+            if rows is None:
+                continue
+            lines = rows.select(*meta)
         else:
             lines = spark.read.text(folder).select(*meta)
         got = lines.groupBy("p", "bytes").agg(F.count(F.lit(1)).alias("rows"))
@@ -287,6 +290,14 @@ def written_files(spark, path: str, formats: tuple[str, ...]) -> DataFrame:
     return found
 
 
+def _csv(spark, folder: str) -> DataFrame | None:
+    """The rows of CSV files in folders by document type; None where no file was written."""
+    fs, p = hadoop_path(spark, folder)
+    if not any(x.isDirectory() for x in fs.listStatus(p)):
+        return None
+    return spark.read.option("header", True).option("multiLine", True).csv(folder)
+
+
 def read_export(spark, path: str, kind: str) -> DataFrame:
     """What an export holds: ``csv`` rows, ``json`` texts (value), ``images``
     or the ``manifest``.  An error where the export isn't complete."""
@@ -294,7 +305,8 @@ def read_export(spark, path: str, kind: str) -> DataFrame:
     if not fs.exists(mark):
         raise ValueError(f"no complete export at {path}")
     if kind == "csv":
-        return spark.read.option("header", True).option("multiLine", True).csv(f"{path}/csv")
+        rows = _csv(spark, f"{path}/csv")
+        return spark.createDataFrame([], "file string, URL string, document_type string") if rows is None else rows
     if kind == "json":
         return spark.read.text(f"{path}/json")
     return spark.read.schema(MANIFEST if kind == "manifest" else "blob_key string, arcname string, record_id long, bytes long").json(f"{path}/{kind}")
