@@ -1,15 +1,25 @@
 """Operator 8, approximate nearest neighbours by collision counting.
 
-Vectors are cut into blocks of bounded size by a hash of their id, queries
-likewise; every block of queries meets every block of vectors once.  Inside a
-pair of blocks each random projection has one sorted array.  A query's window
-around its own projection grows with the radius (virtual rehashing: the arrays
-are never hashed anew, windows only take in what lies next to them), and every
-vector counts the projections in whose window it lies.  Vectors that reach the
-collision threshold are verified by their exact cosine on the original
-vectors.  A query stops once ``k`` verified vectors lie within its radius; as
-windows end up covering whole arrays, fewer than ``k`` are returned only when
-the block holds fewer.  The ``k`` best of every block are merged by Spark.
+Each random projection of the unit vectors has one sorted array.  A query's
+window around its own projection grows with a radius (virtual rehashing: the
+arrays are never hashed anew, windows only take in what lies next to them), and
+every vector counts the projections in whose window it lies.  A vector at the
+radius collides in a known share of the projections; those that reach this
+share, less ``SLACK`` standard deviations, are verified by their exact cosine on
+the original vectors.
+
+1. A sample of at most ``SAMPLE`` vectors (those of the smallest id hashes) is
+   searched first, in tasks over the queries: radii grow until ``k`` verified
+   vectors lie within one.  A table of that size is thereby searched whole.
+2. The k-th distance in the sample bounds the k-th distance among all vectors, so
+   it is the radius at which a query's windows over all other vectors end.  The
+   vectors are dealt into blocks, each held by one task, and the queries pass by
+   with their radius; a block counts, verifies and keeps its ``k`` best of each
+   query.  Vectors that the sample gave are verified in any case, so no query
+   is left with fewer than it could have.
+3. Spark merges the best of all blocks.
+
+A vector is shuffled once, and a query once for each block of ``BLOCK`` vectors.
 
 Defined cases: vectors that are null, empty, all zero, or hold a null or
 non-finite component take no part, nor do null ids; only vectors of the
@@ -22,18 +32,21 @@ left out.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_groups, query, stage, table
+from .common import importable, query, stage, table
+from .hard_negatives import _meet
 
 K = 5
-PROJECTIONS = 64
-BLOCK, QUERIES = 4096, 512
-START, GROWTH = 0.35, 1.3  # first radius (Euclidean, unit vectors) and its growth
-WIDTH = 1.0     # half a window at radius r, in standard deviations of a projected difference of length r
-SHARE = 0.55    # collision threshold as a share of the projections
+PROJECTIONS = 192
+SAMPLE, BLOCK = 4096, 32_768
+START, GROWTH = 0.2, 1.05  # first radius (Euclidean, unit vectors) and its growth
+WIDTH = 1.5     # half a window at radius r, in standard deviations of a projected difference of length r
+SLACK = 1.8     # standard deviations by which a vector may miss its expected collisions
 SEED = 20240229
 
 
@@ -44,105 +57,144 @@ def projections(dim: int, m: int = PROJECTIONS) -> np.ndarray:
     return np.concatenate(lots, axis=1)[:, :m]
 
 
+def threshold(m: int = PROJECTIONS) -> int:
+    """Collisions that a vector at the radius reaches almost surely."""
+    p = math.erf(WIDTH / math.sqrt(2))
+    return math.ceil(m * p - SLACK * math.sqrt(m * p * (1 - p)))
+
+
+def half_window(radius, dim: int):
+    return WIDTH * radius / np.sqrt(dim)
+
+
 def cosine(vectors: np.ndarray, norms: np.ndarray, q: np.ndarray, q_norm: float) -> np.ndarray:
     # row sums, not a matrix product: equal vectors get equal scores whatever stands around them
     return (vectors * q).sum(axis=1) / (norms * q_norm)
 
 
-def search_block(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int = K):
-    """(query row, vector row, score) of each query's k best of one block."""
-    n, dim = vectors.shape
-    norms, q_norms = np.sqrt((vectors**2).sum(1)), np.sqrt((queries**2).sum(1))
-    a = projections(dim)
-    m = a.shape[1]
-    p, pq = (vectors / norms[:, None]) @ a, (queries / q_norms[:, None]) @ a
-    order = np.argsort(p, axis=0, kind="stable")
-    ranked = np.take_along_axis(p, order, axis=0)
-    least = int(np.ceil(SHARE * m))
-    nq = len(queries)
-    counts = np.zeros((nq, n), np.int16)
-    flat = counts.reshape(-1)
-    low = np.stack([np.searchsorted(ranked[:, j], pq[:, j]) for j in range(m)], axis=1)
-    high = low.copy()
-    verified = np.zeros((nq, n), bool)
-    got: list[list] = [[] for _ in range(nq)]
-    best: list[np.ndarray] = [np.zeros(0)] * nq
-    active = np.arange(nq)
-    radius = START
-    while len(active):
-        half = WIDTH * radius / np.sqrt(dim)
-        for j in range(m):
-            lo = np.searchsorted(ranked[:, j], pq[active, j] - half, "left")
-            hi = np.searchsorted(ranked[:, j], pq[active, j] + half, "right")
-            for first, stop in ((lo, low[active, j]), (high[active, j], hi)):
-                size = stop - first
-                total = int(size.sum())
-                if total:
-                    at = np.arange(total) + np.repeat(first - np.concatenate(([0], np.cumsum(size)[:-1])), size)
-                    flat[np.repeat(active * n, size) + order[at, j]] += 1
-            low[active, j], high[active, j] = lo, hi
-        ended = half >= 2.0
-        still = []
-        for q in active:
-            new = np.flatnonzero((counts[q] >= least) & ~verified[q])
-            if len(new):
-                verified[q, new] = True
-                new = new[ids[new] != query_ids[q]]
-                s = cosine(vectors[new], norms[new], queries[q], q_norms[q])
-                got[q].append((new, s))
-                best[q] = -np.sort(-np.concatenate([best[q], s]))[:k]
-            # cosine of two unit vectors at distance ``radius``
-            if not ended and not (len(best[q]) == k and best[q][-1] >= 1 - radius**2 / 2):
-                still.append(q)
-        active = np.asarray(still, np.int64)
-        radius *= GROWTH
-    rows, cols, scores = [], [], []
-    for q in range(nq):
-        if got[q]:
-            c, s = np.concatenate([x for x, _ in got[q]]), np.concatenate([x for _, x in got[q]])
-            top = np.lexsort((ids[c], -s))[:k]
-            rows.append(np.full(len(top), q))
-            cols.append(c[top])
-            scores.append(s[top])
-    if not rows:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    return np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
+class Arrays:
+    """The sorted projections of a set of vectors of one length."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+        self.ids, self.vectors = ids, vectors
+        self.norms = np.sqrt((vectors**2).sum(1))
+        self.axes = projections(vectors.shape[1])
+        p = (vectors / self.norms[:, None]) @ self.axes
+        self.order = np.ascontiguousarray(np.argsort(p, axis=0, kind="stable").T.astype(np.int32))
+        self.ranked = np.ascontiguousarray(np.take_along_axis(p.T, self.order, axis=1))
+        self.least, self.verified = threshold(), 0
+
+    def windows(self, pq: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and end positions of the queries' windows, projections x queries."""
+        low, high = (np.stack([np.searchsorted(r, pq[:, j] + sign * half, side) for j, r in enumerate(self.ranked)])
+                     for sign, side in ((-1, "left"), (1, "right")))
+        return low, high
+
+    def collisions(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """How many windows hold each vector: all but those that leave it out."""
+        out = [o[:a] for o, a in zip(self.order, low, strict=True)] + [o[b:] for o, b in zip(self.order, high, strict=True)]
+        return len(self.order) - np.bincount(np.concatenate(out), minlength=len(self.ids))
+
+    def scores(self, rows: np.ndarray, q: np.ndarray, q_norm: float) -> np.ndarray:
+        self.verified += len(rows)
+        return cosine(self.vectors[rows], self.norms[rows], q, q_norm)
+
+    def best(self, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        top = np.lexsort((self.ids[rows], -scores))[:k]
+        return self.ids[rows[top]], scores[top]
+
+    def grow(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best, by radii that grow until k verified
+        vectors lie within one."""
+        q_norm = float(np.sqrt((q**2).sum()))
+        pq = ((q / q_norm) @ self.axes)[None]
+        seen = self.ids == query_id
+        rows, scores, radius = np.zeros(0, np.int64), np.zeros(0), START
+        while True:
+            whole = radius > 2.0  # no two unit vectors are farther apart
+            if whole:
+                new = np.flatnonzero(~seen)
+            else:
+                low, high = self.windows(pq, np.array([half_window(radius, len(q))]))
+                new = np.flatnonzero((self.collisions(low[:, 0], high[:, 0]) >= self.least) & ~seen)
+            seen[new] = True
+            rows, scores = np.concatenate([rows, new]), np.concatenate([scores, self.scores(new, q, q_norm)])
+            if whole or np.count_nonzero(scores >= 1 - radius**2 / 2) >= k:
+                return self.best(rows, scores, k)
+            radius *= GROWTH
+
+    def within(self, query_id: int, q: np.ndarray, low: np.ndarray, high: np.ndarray, sure: np.ndarray, k: int):
+        """(ids, scores) of the k best whose collisions in the given windows suffice, or that are ``sure``."""
+        rows = np.flatnonzero(((self.collisions(low, high) >= self.least) | np.isin(self.ids, sure)) & (self.ids != query_id))
+        return self.best(rows, self.scores(rows, q, float(np.sqrt((q**2).sum()))), k)
+
+
+def radius_of(scores: np.ndarray, k: int) -> float:
+    """The distance of the k-th best, a little more than rounding could take from it; infinite where there are fewer."""
+    return float(np.sqrt(max(2 - 2 * scores[k - 1], 0.0) + 1e-12)) if len(scores) >= k else math.inf
 
 
 def _matrix(column) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64)
+    return column.flatten().to_numpy().reshape(len(column), -1)
+
+
+def sampled(asks: DataFrame, sample: list, k: int) -> DataFrame:
+    """``asks`` (id, x) plus near and score (arrays) of the k best of the sample, and the radius."""
+    importable(asks.sparkSession)
+    by: dict[int, tuple[list, list]] = {}
+    for r in sample:  # SAMPLE rows at most
+        ids, rows = by.setdefault(len(r.x), ([], []))
+        ids.append(r.id)
+        rows.append(r.x)
+
+    def run(batches):
+        import pyarrow as pa
+
+        arrays = {dim: Arrays(np.array(ids), np.array(rows)) for dim, (ids, rows) in by.items()}
+        for rb in batches:
+            near, score, radius = [], [], []
+            for i, x in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
+                found = arrays[len(x)].grow(i, np.array(x), k) if len(x) in arrays else (np.zeros(0, np.int64), np.zeros(0))
+                near.append(found[0])
+                score.append(found[1])
+                radius.append(radius_of(found[1], k))
+            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(near, pa.list_(pa.int64())), pa.array(score, pa.list_(pa.float64())),
+                                              pa.array(radius, pa.float64())], names=["id", "x", "near", "score", "radius"])
+
+    return asks.select("id", "x").mapInArrow(run, "id long, x array<double>, near array<long>, score array<double>, radius double")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, id, score of each query's k nearest found."""
-    v = F.col("v")
+    v = F.col("x")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("q"))
+    src = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"), is_query.alias("q"))
     src = src.where(F.col("id").isNotNull() & v.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0))
-    src = stage(src.select("id", "v", F.size(v).alias("dim"), F.coalesce("q", F.lit(False)).alias("q")), "vectors")
-    n, nq = src.agg(F.count(F.lit(1)), F.count_if("q")).first()
-    blocks, lots = -(-n // BLOCK) or 1, -(-nq // QUERIES) or 1
-    dealt = lambda of, count: F.pmod(F.xxhash64(of), F.lit(count)).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    base = src.select("dim", dealt("id", blocks).alias("block"), every(lots).alias("lot"), F.lit(False).alias("asks"), "id", "v")
-    asks = (src.where("q").dropDuplicates(["id", "v"])
-            .select("dim", every(blocks).alias("block"), dealt("id", lots).alias("lot"), F.lit(True).alias("asks"), "id", "v"))
-
-    def run(t, starts):
-        out = {"query_id": [], "id": [], "score": []}
-        ids, asked = t.column("id").to_numpy(), t.column("asks").to_numpy()
-        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), t.num_rows], strict=True):
-            x = _matrix(t.column("v").slice(lo, hi - lo))
-            is_q, own = asked[lo:hi], ids[lo:hi]
-            if is_q.any() and not is_q.all():
-                r, c, s = search_block(x[~is_q], own[~is_q], x[is_q], own[is_q], k)
-                out["query_id"].append(own[is_q][r])
-                out["id"].append(own[~is_q][c])
-                out["score"].append(s)
-        return {f: np.concatenate(x) if x else np.zeros(0, kind) for (f, x), kind in
-                zip(out.items(), (np.int64, np.int64, np.float64), strict=True)}
-
-    found = map_groups(base.union(asks), ["block", "lot", "dim"], run, "query_id long, id long, score double")
+    src = stage(src.select("id", "x", F.coalesce("q", F.lit(False)).alias("q")), "vectors")
+    asks = src.where("q").dropDuplicates(["id", "x"])
+    n = src.count()
+    sample = src.select("id", "x").orderBy(F.xxhash64("id"), "id", "x").limit(SAMPLE).collect()
+    first = sampled(asks, sample, k)
+    if n <= SAMPLE:
+        found = first.select(F.col("id").alias("query_id"), F.inline(F.arrays_zip("near", "score"))).toDF("query_id", "id", "score")
+    else:
+        held: list = []
+
+        def run(block, lot, extra):
+            if not held or held[0] is not block[0]:
+                held[:] = [block[0], Arrays(block[0], block[2])]
+            arrays = held[1]
+            who, _, x = lot
+            norms = np.sqrt((x**2).sum(1))
+            low, high = arrays.windows((x / norms[:, None]) @ arrays.axes, half_window(extra["radius"].to_numpy(), x.shape[1]))
+            got = [arrays.within(int(i), q, low[:, j], high[:, j], np.array(sure), k)
+                   for j, (i, q, sure) in enumerate(zip(who, x, extra["near"].to_pylist(), strict=True))]
+            count = [len(ids) for ids, _ in got]
+            return np.repeat(who, count), np.concatenate([ids for ids, _ in got]), np.concatenate([s for _, s in got])
+
+        blocks = max(-(-n // BLOCK), min(2 * src.sparkSession.sparkContext.defaultParallelism, -(-n // SAMPLE)))
+        found = _meet(src.select("id", F.lit(0).alias("label"), "x"), stage(first.withColumn("label", F.lit(0)), "queries"), blocks, run,
+                      "near array<long>, radius double", "query_id long, id long, score double")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
