@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import query, row_key, table, text_or_empty
+from .common import query, row_key, stage, table, text_or_empty
 
 #: the base phrases of the contract and their labels
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
@@ -141,7 +141,8 @@ def scan(docs: DataFrame, templates=None, coverage: float = COVERAGE) -> DataFra
     base_labels, labels, score and ``spans`` (array of template label, first
     and last word, coverage)."""
     templates = default_templates() if templates is None else templates
-    voted = votes(docs, templates)
+    # three parts below read the votes, so they are written once and the texts are cut into words once
+    voted = stage(votes(docs, templates), "license-votes")
     texts = voted.where("template = -1").select("row", "doc_id", F.col("diagonal").alias("n_words"), "copies")
     found = spans(voted, templates, coverage).groupBy("row", "doc_id").agg(
         F.count_if("base").alias("n_base"), F.min(F.when(F.col("base"), F.col("start"))).alias("first_word"),
@@ -173,7 +174,19 @@ s1 AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, templa
 s2 AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM s1),
 m AS (SELECT r, any_value(label) AS label, false AS base, min(low) AS start, bit_count(bit_or(mask))::DOUBLE / any_value(grams) AS coverage,
         max(high) - min(low) + 1 AS n, any_value(grams) AS grams FROM s2 GROUP BY r, template, span),
-f AS (SELECT * FROM base UNION ALL SELECT r, label, base, start, coverage FROM m WHERE coverage >= {COVERAGE} AND n <= grams * {STRETCH}),
+-- a span that is too long stands for its best run of neighbouring diagonals that isn't
+long AS (SELECT s2.* FROM s2 JOIN (SELECT r, template, span FROM s2 GROUP BY ALL HAVING max(high) - min(low) + 1 > any_value(grams) * {STRETCH}) USING (r, template, span)),
+run AS (
+  SELECT a.r, a.template, a.span, a.diagonal AS i, b.diagonal AS j, any_value(a.label) AS label, any_value(a.grams) AS grams,
+    bit_count(bit_or(c.mask)) AS bits, min(c.low) AS low, max(c.high) AS high
+  FROM long a JOIN long b ON a.r = b.r AND a.template = b.template AND a.span = b.span AND a.diagonal <= b.diagonal
+  JOIN long c ON a.r = c.r AND a.template = c.template AND a.span = c.span AND c.diagonal BETWEEN a.diagonal AND b.diagonal
+  GROUP BY a.r, a.template, a.span, a.diagonal, b.diagonal),
+part AS (
+  SELECT r, label, false AS base, low AS start, bits::DOUBLE / grams AS coverage FROM run WHERE high - low + 1 <= grams * {STRETCH}
+  QUALIFY row_number() OVER (PARTITION BY r, template, span ORDER BY bits DESC, high - low, low DESC, high DESC) = 1),
+f AS (SELECT * FROM base UNION ALL SELECT r, label, base, start, coverage FROM m WHERE coverage >= {COVERAGE} AND n <= grams * {STRETCH}
+  UNION ALL SELECT * FROM part WHERE coverage >= {COVERAGE}),
 x AS (SELECT r, count(*) FILTER (WHERE base) AS n_base, min(start) FILTER (WHERE base) AS first_word, max(start) FILTER (WHERE base) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
         max(coverage) AS score FROM f GROUP BY r)
