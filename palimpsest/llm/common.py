@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -94,6 +95,27 @@ def map_text(docs: DataFrame, keep: list[str], fn: Callable[[list[str]], dict],
     return src.mapInArrow(run, schema)
 
 
+#: columns of documents
+DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def extras_aside(fn):
+    """A pipeline stage whose documents' further columns travel in one struct,
+    so that whatever their names they can't clash with the stage's own."""
+
+    @functools.wraps(fn)
+    def run(spark, docs, sf_dir):
+        extra = [c for c in docs.columns if c not in DOCUMENT]
+        if not extra:
+            return fn(spark, docs, sf_dir)
+        cols = docs.columns
+        aside = docs.select(*[c for c in cols if c in DOCUMENT], F.struct(*[F.col(f"`{c}`") for c in extra]).alias("extra"))
+        out = fn(spark, aside, sf_dir)
+        return out.select(*[F.col("extra").getField(c).alias(c) if c in extra else F.col(c) for c in cols])
+
+    return run
+
+
 def by_shuffle(df: DataFrame) -> DataFrame:
     """Side of a join on text or binary keys whose other side holds no whole
     texts: it is shuffled and merged at every size.  A broadcast of such keys

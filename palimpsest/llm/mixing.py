@@ -39,7 +39,7 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_shuffle, query, stage, table, text_or_empty
+from .common import by_shuffle, extras_aside, query, stage, table, text_or_empty
 
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 DIMS = ("source", "lang", "topic")
@@ -207,6 +207,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("__share").alias("cell_share"), F.col("__p").alias("probability"), F.col("__kept").alias("kept"))
 
 
+@extras_aside
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the sampled documents, as they were."""
     cell = [f"__{d}" for d in DIMS]

@@ -3,9 +3,16 @@
 A text is a weighted set of word 5-shingles (weight 1 + ln(occurrences)).
 ``signature`` lets every shingle send Poisson arrivals at the rate of its
 weight, each to a random register; a register keeps its first arrival's
-shingle, and the process stops as soon as no open register could be beaten.
+shingle.  Arrivals are drawn up to a horizon by which all registers are very
+likely taken; where they are, the process ends there, as no later arrival can
+win a register, and only where one is still open the horizon doubles.
 Two registers agree with the probability Jaccard similarity of the texts.
 
+A *link* joins two texts whose probability Jaccard similarity, worked out
+exactly from the whole texts, is at least ``threshold``.  That is the one
+definition: texts of equal shingles in very different numbers are not linked
+(the plain set similarity plays no part).
+
 Spark then does the matching:
 
 1. Texts with equal word sequences are one *node* (a 128-bit content hash),
@@ -15,16 +22,18 @@ Spark then does the matching:
    blocks of bounded size, so no task ever holds a whole large bucket; of the
    pairs that look similar, only a maximum spanning forest (at most n - 1
    pairs for n members) leaves a block.
-4. Pairs are verified on the whole texts: set Jaccard or probability Jaccard
-   of at least ``threshold``.
+4. Pairs are verified on the whole texts.
 5. Verified links give components; buckets that still hold several components
    are compared once more, members outside the bucket's largest component, in
    lots of bounded size, against all of its blocks: first by signatures alone;
    then texts are sent to the (lot, block) groups for the members that are in a
    similar pair across components, and every such pair that its group hasn't
-   joined yet is verified there.  So no link between components of any size is
-   lost, no group is larger than a lot and a block, and no pairs are joined to
-   texts that a group of near copies would multiply.
+   joined yet is verified there.  So of the candidate pairs none between
+   components of any size is left out, no group is larger than a lot and a
+   block, and no pairs are joined to texts that a group of near copies would
+   multiply.  Candidates are the pairs that share a band and agree in
+   ``CUTOFF`` registers; a link at exactly 0.8 is none of them with a chance of
+   6 in 100,000, a closer one with a smaller one.
 6. The final component's smallest doc_id is the class of its documents.
 
 Defined cases: null text counts as empty; all texts without words are copies
@@ -44,7 +53,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_shuffle, map_groups, map_text, query, row_key, stage, table
+from .common import by_shuffle, extras_aside, map_groups, map_text, query, row_key, slices, stage, table
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -73,7 +82,7 @@ class _Words(dict):
     """Memo of word hashes; emptied when it has grown large."""
 
     def __missing__(self, w):
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
         return h
@@ -141,7 +150,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int = M) -> np.ndar
 
 
 def similarity(a: tuple, b: tuple) -> tuple[float, float]:
-    """(set Jaccard, probability Jaccard) of two shingle sets with counts."""
+    """(set Jaccard, probability Jaccard) of two shingle sets with counts; links go by the second."""
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     union = len(a[0]) + len(b[0]) - len(common)
     if not len(common):
@@ -171,7 +180,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         short = (signatures(sets) >> np.uint64(48)).astype("<u2")
         return {"node": node, "sig": [short[i].tobytes() if len(s) else None for i, (s, _) in enumerate(sets)]}
 
-    return map_text(docs, [c for c in docs.columns if c != "text"], run, "node binary, sig binary", budget=1_500_000)
+    return map_text(docs, [c for c in docs.columns if c != "text"], run, "node binary, sig binary", budget=750_000)
 
 
 def _band_keys(nodes: DataFrame) -> DataFrame:
@@ -288,7 +297,7 @@ def _cross_links(t, starts, threshold: float):
         for k in np.argsort(-n, kind="stable"):
             i, j = a[k], b[k]
             x, y = find(label[i]), find(label[j])
-            if x != y and max(similarity(parts(i), parts(j))) >= threshold:
+            if x != y and similarity(parts(i), parts(j))[1] >= threshold:
                 root[x] = y
                 out["a"].append(node[i])
                 out["b"].append(node[j])
@@ -303,6 +312,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         memo, seen = _Words(), {}
 
@@ -314,9 +324,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
             return seen[node]
 
         for rb in batches:
-            a, b, ta, tb = (rb.column(i).to_pylist() for i in range(4))
-            keep = [max(similarity(parts(w, x), parts(v, y))) >= threshold for w, v, x, y in zip(a, b, ta, tb, strict=True)]
-            yield rb.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            size = pc.add(pc.binary_length(rb.column(2)), pc.binary_length(rb.column(3))).to_pylist()
+            for lo, hi in slices(size, 2_000_000):  # texts become Python objects a few at a time
+                part = rb.slice(lo, hi - lo)
+                keep = [similarity(parts(w, x), parts(v, y))[1] >= threshold
+                        for w, v, x, y in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True)]
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return got.mapInArrow(run, "a binary, b binary")
 
@@ -349,7 +362,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, row (see ``row_key``), class_id, n_class
-    (documents of the class), n_links (links verified for its text) and keeper
+    (documents of the class), n_links (links of its text in the forest of verified
+    links that joins the class; 0 for a text without any) and keeper
     (the row key of the class's first document: smallest id, then row key,
     null ids last)."""
     docs = docs.select("doc_id", "text", row_key().alias("row"))
@@ -414,16 +428,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "class_id", "n_class", "n_links", (F.col("n_class") > 1).alias("is_duplicated"))
 
 
+@extras_aside
 def stage_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class the document with the smallest id stays
-    (once, where that very row repeats; null ids last, equal ids by row key)."""
+    (once, where that very row repeats; null ids last, equal ids by row key).
+    Survivors are decided on row keys; the documents are shuffled once, to meet
+    their decision, and repeated rows, which then stand together, become one."""
     cols = docs.columns
-    got = stage(near_duplicates(docs).select("row", "keeper", "n_class"), "classes")
-    gone = stage(got.where("n_class > 1 and row <> keeper").select("row").distinct(), "dropped")
-    repeated = stage(got.groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row"), "repeated")
-    kept = docs.withColumn("row", row_key()) if "row" not in cols else docs.withColumn("__row", row_key())
-    r = "row" if "row" not in cols else "__row"
-    kept = kept.join(gone.withColumnRenamed("row", r), r, "left_anti")
-    many = repeated.withColumnRenamed("row", r)
-    once = kept.join(many, r, "left_anti").unionByName(kept.join(many, r, "left_semi").dropDuplicates([r]))
-    return once.select(*cols)
+    got = near_duplicates(docs).select("row", "keeper")
+    kept = stage(got.where("row = keeper").select(F.col("row").alias("survivor")).distinct(), "survivors")
+    rows = docs.withColumn("survivor", row_key()).join(by_shuffle(kept), "survivor")
+    return rows.dropDuplicates(["survivor"]).select(*cols)

@@ -22,6 +22,7 @@ their names, are left out.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from dataclasses import dataclass
@@ -30,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_fold, map_text, query, stage, table
+from .common import crc_fold, extras_aside, map_text, query, stage, table
 
 MAX_TRAIN_ROWS = 20_000
 FOLDS, HELD_OUT = 4, 2
@@ -172,27 +173,39 @@ def document_stats(docs: DataFrame, keep: list[str], text_col: str = "text") ->
 
 def train(docs: DataFrame, labels: DataFrame, in_fold: Column | None = None,
           max_train_rows: int = MAX_TRAIN_ROWS) -> Forest:
-    """Fit on at most about ``max_train_rows`` labelled documents."""
-    spark = docs.sparkSession
+    """Fit on at most about ``max_train_rows`` labelled documents.
+
+    The sample is by id hash, and, where ids repeat, by row hash as well, equal
+    rows once; its numbers meet in one task, so the bound is that task's memory."""
     lab = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
            .groupBy("doc_id").agg(F.avg("quality").alias("__y")))
     if in_fold is not None:
         lab = lab.where(in_fold)
-    n = lab.count()
-    if n > max_train_rows:
-        lab = lab.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(max_train_rows / n * (1 << 20)))
+    share = lambda n: F.lit(int(max_train_rows / max(n, max_train_rows, 1) * (1 << 20)))
+    part = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << 20))
+    lab = lab.where(part("doc_id") < share(lab.count()))
     # at most about max_train_rows ids of 16 bytes: a bounded table, staged so that the planner sees its size
-    lab = stage(lab, "quality-labels")
-    one = F.broadcast(lab)
-    rows = document_stats(docs.select("doc_id", "text").join(one, "doc_id").select("__y", "text"), ["__y"])
-    got = rows.toArrow().combine_chunks()
-    if not got.num_rows:
-        return fit(np.zeros((0, len(STATS))), np.zeros(0))
-    stats = got.column("stats").combine_chunks()
-    x = np.asarray(stats.flatten()).reshape(-1, len(STATS))
-    y = np.asarray(got.column("__y").combine_chunks())
-    order = np.lexsort(x.T)  # the fit doesn't depend on the order of arrival
-    return fit(x[order], (y[order] >= 0.5).astype(float))
+    one = F.broadcast(stage(lab, "quality-labels"))
+    found = docs.select("doc_id").join(one, "doc_id").agg(F.count(F.lit(1)), F.countDistinct("doc_id")).first()
+    rows = docs.select("doc_id", "text").join(one, "doc_id")
+    if found[0] > found[1]:
+        rows = rows.where(part("doc_id", F.coalesce("text", F.lit("")), F.lit(1)) < share(found[0])).dropDuplicates(["doc_id", "text"])
+    stats = document_stats(rows.select("__y", "text"), ["__y"])
+
+    def run(batches):
+        import pyarrow as pa
+
+        y, x = [np.zeros(0)], [np.zeros((0, len(STATS)))]
+        for rb in batches:
+            y.append(rb.column(0).to_numpy(zero_copy_only=False))
+            x.append(rb.column(1).flatten().to_numpy().reshape(-1, len(STATS)))
+        x, y = np.concatenate(x), np.concatenate(y)
+        order = np.lexsort(x.T)  # the fit doesn't depend on the order of arrival
+        forest = fit(x[order], (y[order] >= 0.5).astype(float))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(forest)], pa.binary())], names=["forest"])
+
+    # computed by all tasks, then gathered in one, away from the driver's memory
+    return pickle.loads(stage(stats, "quality-sample").coalesce(1).mapInArrow(run, "forest binary").first()["forest"])
 
 
 def score(docs: DataFrame, forest: Forest, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -213,6 +226,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         (s >= THRESHOLD).cast("int").alias("predicted"))
 
 
+@extras_aside
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents scored under the threshold go."""
     forest = train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
