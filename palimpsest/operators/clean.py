@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import attrs as A
 from ..functions.cleaning import clean_state, error_message, run_cleaner
 from ..sources.model import SUBS_TYPE
-from .schema import schema_by_group
+from .schema import SCHEMA_ARR, with_processor
 
 
 def _prepare(x: Column, lookup_key: Column, fns: Column, only=None) -> Column:
@@ -64,15 +64,20 @@ def clean_attributes(attrs: Column, fns: Column, now: Column | None = None, only
     return F.transform(F.transform(A.safe_attrs(attrs), prep), fin)
 
 
-def schema_functions(record_groups: DataFrame, processors: DataFrame) -> DataFrame:
-    """(record_group_id, fns MAP<name, cleaning_function>) for groups with
-    a schema; the last definition of a name wins (A7)."""
-    sg = schema_by_group(record_groups, processors).where("has_processor")
-    entries = F.transform(F.col("schema"), lambda s: F.struct(s["name"].alias("k"), s["cleaning_function"].alias("v")))
+def processor_functions(processors: DataFrame) -> DataFrame:
+    """(processor_id, fns MAP<name, cleaning_function>); the last definition
+    of a name wins (A7)."""
+    entries = F.transform(F.coalesce("attributes", F.array().cast(SCHEMA_ARR)),
+                          lambda s: F.struct(s["name"].alias("k"), s["cleaning_function"].alias("v")))
     # keep the last occurrence of each name before building the map
     idx = F.transform(entries, lambda e, i: F.struct(e["k"].alias("k"), i.alias("i")))
     last = F.filter(entries, lambda e, i: ~F.exists(idx, lambda x: (x["k"] == e["k"]) & (x["i"] > i)))
-    return sg.select("record_group_id", F.map_from_entries(last).alias("fns"))
+    return processors.select("processor_id", F.map_from_entries(last).alias("fns"))
+
+
+def schema_functions(record_groups: DataFrame, processors: DataFrame) -> DataFrame:
+    """(record_group_id, fns) for groups with a schema."""
+    return with_processor(record_groups.select("record_group_id"), record_groups, processor_functions(processors), "fns").where("fns is not null")
 
 
 def clean_records(records: DataFrame, record_groups: DataFrame, processors: DataFrame,
@@ -80,8 +85,7 @@ def clean_records(records: DataFrame, record_groups: DataFrame, processors: Data
     """Every record cleaned against its group's schema, with the
     before/after (key, value) lists the history needs (``audit_before``,
     ``audit_after``).  Records of groups without schema are unchanged."""
-    fns = schema_functions(record_groups, processors)
-    j = records.join(fns, "record_group_id", "left")
+    j = with_processor(records, record_groups, processor_functions(processors), "fns")
     empty = F.create_map().cast("map<string,string>")
     new = clean_attributes(F.col("attributes"), F.coalesce(F.col("fns"), empty), now)
 
@@ -106,9 +110,9 @@ def clean_long(records: DataFrame, record_groups: DataFrame, processors: DataFra
     when rows are the answer (audits, summaries, exports)."""
     from .views import attributes_long
     now = F.current_timestamp() if now is None else now
-    fns = schema_functions(record_groups, processors)
-    long = attributes_long(records, keep=("record_group_id",), extra=("value_type", "cleaned"))
-    j = long.join(fns, "record_group_id", "left")
+    # records meet their functions before they become rows
+    j = attributes_long(with_processor(records, record_groups, processor_functions(processors), "fns"),
+                        keep=("record_group_id", "fns"), extra=("value_type", "cleaned"))
     lookup = F.when(F.col("sub_pos").isNull(), F.col("key")) \
         .otherwise(F.concat(F.col("top_level_attribute"), F.lit("::"), F.col("key")))
     fmap = F.coalesce(F.col("fns"), F.create_map().cast("map<string,string>"))

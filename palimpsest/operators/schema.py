@@ -127,6 +127,17 @@ def schema_by_group(record_groups: DataFrame, processors: DataFrame) -> DataFram
                     F.coalesce("schema", F.array().cast(SCHEMA_ARR)).alias("schema")))
 
 
+def with_processor(records: DataFrame, record_groups: DataFrame, per_processor: DataFrame, column: str) -> DataFrame:
+    """``records`` plus a column that depends on their processor only (null
+    without one).  Records meet their group for the processor's short id, and
+    the column, which may be a whole schema, once a processor: it isn't copied
+    for every group nor shuffled with them."""
+    g = record_groups.select("record_group_id", F.col("processor_id").alias("_own_processor"))
+    p = per_processor.select(F.col("processor_id").alias("_processor"), column)
+    j = records.join(g, "record_group_id", "left").join(p, F.col("_own_processor") == F.col("_processor"), "left")
+    return j.drop("_own_processor", "_processor")
+
+
 def schema_map(processors: DataFrame) -> DataFrame:
     """Per processor a map ``name`` -> definition.  ``map_from_entries``
     fails on duplicate keys, so the last definition of a name is kept
@@ -201,8 +212,7 @@ def reconcile_attributes(attrs: Column, schema: Column, mode: str = "read", keep
 def reconcile(records: DataFrame, record_groups: DataFrame, processors: DataFrame, mode: str = "read",
               keep_all: bool = False) -> DataFrame:
     """Records with reconciled ``attributes`` and ``changed``."""
-    sg = schema_by_group(record_groups, processors).select("record_group_id", "schema")
-    j = records.join(sg, "record_group_id", "left")
+    j = with_processor(records, record_groups, processors.select("processor_id", F.col("attributes").alias("schema")), "schema")
     schema = F.coalesce(F.col("schema"), F.array().cast(SCHEMA_ARR))
     new = reconcile_attributes(F.col("attributes"), schema, mode, keep_all)
     return (j.withColumn("_new", new)
