@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import schema as SC
 from ..operators import views as V
+from ..session import work_folder
 from ..sources import model as M
 from .oracle_base import with_model
 from .registry import query
@@ -162,11 +163,8 @@ def _schema_files(spark, sf, fmt: str) -> str:
     """Write each processor's schema as the upload files the reference
     accepts (CSV with the legacy headers, or a JSON list of objects) under
     the checkpoint directory, and return the folder."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
     rows = M.load_processors(spark, sf).select("processor_id", F.posexplode("attributes").alias("pos", "a"))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/schema-files/{fmt}-{uuid.uuid4().hex[:12]}"
+    path = work_folder(spark, f"schema-files-{fmt}")
     if fmt == "csv":
         out = rows.select("processor_id", F.col("a.name").alias("Name"),
                           F.col("a.data_type").alias("Google Data Type"),

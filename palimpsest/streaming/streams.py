@@ -10,23 +10,19 @@ an executor or driver loss overwrites rather than duplicates.
 
 from __future__ import annotations
 
-import uuid
-
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions import names as N
 from ..operators import clean as CL
 from ..operators import extract as E
 from ..operators import schema as SC
-from ..session import ensure_checkpoint_dir
+from ..session import hadoop_path, importable, work_folder
 from ..sources import model as M
 
 
-def _work_dir(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def _batch_sink(out_path: str):
     """foreachBatch writer: each micro-batch replaces its own partition."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -63,24 +59,69 @@ def stream_activity(spark: SparkSession, source_dir: str, glob: str = "events*.p
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     src = r.parquet(source_dir)
-    work = _work_dir(spark, "activity")
+    work = work_folder(spark, "activity")
     _run(activity_stream(src, window, delay), f"{work}/out", f"{work}/ckpt", mode="update")
     out = spark.read.parquet(f"{work}/out")
     last = out.groupBy("window_start", "action").agg(F.max_by("n", "batch_id").alias("n"))
     return last
 
 
-def dedupe_stream(uploads: DataFrame, records: DataFrame, delay: str = "36500 days") -> DataFrame:
-    """Duplicate check on (group, base name) -- within the watermark
-    a pair is emitted once; pairs already stored are dropped by a
-    stream-static anti join."""
-    cand = uploads.select("record_group_id", N.base_filename(F.col("upload_name")).alias("base_name"),
-                          F.col("ts").cast("timestamp").alias("ts"))
+DEDUPE_KEYS = ["record_group_id", "base_name"]
+
+
+def dedupe_stream(uploads: DataFrame, hold: int) -> DataFrame:
+    """T2, the part with state: (group, base name) at its first sight.  A key
+    is held for ``hold`` milliseconds after it was last seen, by a timer on
+    processing time, so the state is bounded by the keys of that time; no upload
+    is ever too late.  Keys seen again later come out again: ``dedupe_sink``
+    knows them from the tables."""
+    def first(key, _, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        if not state.exists:
+            yield pd.DataFrame([key], columns=DEDUPE_KEYS, dtype=object)
+        state.update((True,))
+        state.setTimeoutDuration(hold)
+
+    importable(uploads.sparkSession)
+    cand = uploads.select("record_group_id", N.base_filename(F.col("upload_name")).alias("base_name"))
+    return cand.groupBy(*DEDUPE_KEYS).applyInPandasWithState(
+        first, "record_group_id string, base_name string", "seen boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def dedupe_sink(out_path: str, records: DataFrame):
+    """T2, the part without: of a batch's keys those that neither a stored
+    record nor an earlier batch has are written, as the batch's own partition
+    (a batch that is run again replaces it)."""
     have = records.select("record_group_id", N.base_filename(F.col("filename")).alias("base_name"))
-    return (cand.withWatermark("ts", delay)
-                .dropDuplicatesWithinWatermark(["record_group_id", "base_name"])
-                .join(have, ["record_group_id", "base_name"], "left_anti")
-                .select("record_group_id", "base_name"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = batch.select(*DEDUPE_KEYS).join(have, DEDUPE_KEYS, "left_anti")
+        fs, p = hadoop_path(spark, out_path)
+        if fs.exists(p):
+            # the table as it was before this batch
+            out = spark.read.schema("record_group_id string, base_name string, batch_id long").parquet(out_path)
+            new = new.join(out.where(F.col("batch_id") < batch_id), DEDUPE_KEYS, "left_anti")
+        new.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+    return write
+
+
+def run_dedupe(uploads: DataFrame, records: DataFrame, out_path: str, ckpt: str, hold: int = 3_600_000) -> int:
+    """Run T2 over what the source has; returns the keys left in the state."""
+    spark, idle = uploads.sparkSession, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(idle)
+    # timers on processing time would ask for one more batch without data for ever; the query keeps what is set at its start
+    spark.conf.set(idle, "false")
+    try:
+        q = (dedupe_stream(uploads, hold).writeStream.outputMode("append").option("checkpointLocation", ckpt)
+             .foreachBatch(dedupe_sink(out_path, records)).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(idle, before)
+    q.awaitTermination()
+    done = [p for p in q.recentProgress if p["stateOperators"]]
+    return done[-1]["stateOperators"][0]["numRowsTotal"] if done else 0
 
 
 def stage(df: DataFrame, path: str, files: int | None = None) -> str:
@@ -90,14 +131,11 @@ def stage(df: DataFrame, path: str, files: int | None = None) -> str:
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
-    orders = M.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("upload_id"),
-                                                      F.col("o_orderdate").alias("ts"))
-    uploads = M.load_uploads(spark, sf_dir).join(orders, "upload_id")
-    work = _work_dir(spark, "dedupe")
+    uploads = M.load_uploads(spark, sf_dir)
+    work = work_folder(spark, "dedupe")
     src_path = stage(uploads, f"{work}/src", files)
     src = spark.readStream.schema(uploads.schema).option("maxFilesPerTrigger", 1).parquet(src_path)
-    recs = M.load_records(spark, sf_dir, with_attributes=False)
-    _run(dedupe_stream(src, recs), f"{work}/out", f"{work}/ckpt")
+    run_dedupe(src, M.load_records(spark, sf_dir, with_attributes=False), f"{work}/out", f"{work}/ckpt")
     return spark.read.parquet(f"{work}/out").drop("batch_id")
 
 
@@ -117,7 +155,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str, files: int | None = None) ->
     payloads are first re-staged into that many files, fed one per
     micro-batch (tests)."""
     payloads = M.load_payloads(spark, sf_dir)
-    work = _work_dir(spark, "ingest")
+    work = work_folder(spark, "ingest")
     if files:
         src_path = stage(payloads, f"{work}/src", files)
         r = spark.readStream.schema(payloads.schema).option("maxFilesPerTrigger", 1)

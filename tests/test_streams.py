@@ -41,3 +41,24 @@ def test_ingest_stream_equals_batch(spark, sf):
                             for r in df.collect())
     assert key(got) == key(batch)
 
+
+
+def test_dedupe_state_is_bounded_and_later_copies_are_known(spark):
+    """Two runs of one stream with a short hold: the second finds the first's
+    keys gone from the state, and its repeated uploads in the table."""
+    import time
+
+    from palimpsest.session import work_folder
+
+    work = work_folder(spark, "dedupe-test")
+    records = spark.createDataFrame([("g", "old.pdf")], "record_group_id string, filename string")
+    schema = "record_group_id string, upload_name string"
+    states = []
+    for names in (["a.pdf", "a.png", "b.tif", "old.png"], ["a.pdf", "c.pdf", "old.x"], ["b.tif", "c.png"]):
+        spark.createDataFrame([("g", x) for x in names], schema).coalesce(1).write.mode("append").parquet(f"{work}/src")
+        src = spark.readStream.schema(schema).parquet(f"{work}/src")
+        states.append(ST.run_dedupe(src, records, f"{work}/out", f"{work}/ckpt", hold=1000))
+        time.sleep(2)
+    got = sorted((r.base_name, r.batch_id) for r in spark.read.parquet(f"{work}/out").collect())
+    assert [b for b, _ in got] == ["a", "b", "c"]
+    assert states[0] == 3 and max(states) <= 4 and states[-1] <= 3
