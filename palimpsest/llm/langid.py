@@ -49,7 +49,8 @@ from .common import by_shuffle, extras_aside, importable, map_text, query, stage
 
 SUPPORT = 10       # documents that a language needs
 MOST_LANGUAGES = 64  # the most frequent ones: bounds the model's size
-OTHER = 0.5        # where, between a foreign (0) and its own text (1), the class of others stands
+OTHER = 0.4        # where, between a foreign (0) and its own text (1), the class of others stands
+OWN_SHARE = 0.2    # of a text that its declared language must explain where another one wins
 FOLDS = 4
 SLOTS = 1 << 14
 TEMPER = 0.05      # weight of one trigram's log likelihood
@@ -88,6 +89,7 @@ class TextModel:
     languages: list[str]
     log_p: np.ndarray  # folds + 1, languages, slots
     other: np.ndarray  # folds + 1: log likelihood a trigram of texts in other languages
+    fit: np.ndarray  # expected log likelihood of a trigram of one language under the model of another
 
     @property
     def classes(self) -> list[str]:
@@ -135,7 +137,7 @@ def train_text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     own = np.diagonal(fit, axis1=1, axis2=2)
     nearest = np.where(np.eye(k, dtype=bool), -np.inf, fit).max(2) if k > 1 else np.full((folds + 1, k), -np.log(SLOTS))
     other = (nearest + OTHER * (own - nearest)).mean(1) if k else np.zeros(folds + 1)
-    return TextModel(names, log_p.astype(np.float32), other)
+    return TextModel(names, log_p.astype(np.float32), other, fit[-1])
 
 
 def _fold(text: str, folds: int) -> Column:
@@ -291,8 +293,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_langid(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents go whose language stays undecided or is none
     of the known ones, and those found to be in another language than their
-    ``lang`` says.  ``lang`` is the declaration, ``source`` the host (no
-    suffix); no document is judged by a model that has seen its text."""
+    ``lang`` says: with less than ``OWN_SHARE`` of the text in it, going by how
+    well its model fits (a document in two languages stays under either).
+    ``lang`` is the declaration, ``source`` the host (no suffix); no document is
+    judged by a model that has seen its text."""
     model = train_text_model(docs)
     cols = docs.columns
     none = F.lit("")
@@ -301,8 +305,16 @@ def stage_langid(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     src = docs.select(key.alias("__key"), F.col("lang").cast("string").alias("__lang"),
                       F.col("source").cast("string").alias("__src"), "text")
     ev = text_log_likelihood(src, model, ["__key", "__lang", "__src"], "text", fold=True)
+    # a trigram's log likelihood in the declared language, and what it would be in a text of another one that holds OWN_SHARE of it
+    by_class = F.map_from_arrays(F.array(*map(F.lit, model.classes)), F.col("__ll"))
+    weight = F.least(F.col("__grams").cast("double"), F.lit(MOST / TEMPER)) * TEMPER
+    ev = ev.withColumn("__told", F.when(F.col("__grams") > 0, F.try_element_at(by_class, _code(F.col("__lang"))) / weight))
+    least = model.fit + OWN_SHARE * (np.diagonal(model.fit)[None] - model.fit)
+    pairs = [(f"{a} {b}", float(least[i, j])) for i, a in enumerate(model.languages) for j, b in enumerate(model.languages)]
+    cut = F.map_from_arrays(*(F.array(*map(F.lit, x)) for x in zip(*pairs, strict=True))) if pairs else F.create_map().cast("map<string,double>")
     got = fuse(ev, model.classes, F.col("__lang"), {"suffix": none, "domain": none, "host": F.col("__src")})
-    wrong = (F.col("language") == "und") | (F.col("declared") != F.col("language"))
+    needed = F.try_element_at(cut, F.concat_ws(" ", "language", "declared"))
+    wrong = (F.col("language") == "und") | ((F.col("declared") != F.col("language")) & F.coalesce(F.col("__told") < needed, F.lit(True)))
     rejected = stage(got.where(wrong).select("__key", F.col("__lang").alias("__was")).distinct(), "langid-rejected")
     # rows of one id and text may differ in what they declare
     rejected = rejected.withColumnRenamed("__key", "__gone")
