@@ -129,10 +129,10 @@ def train_text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                .groupBy("fold", "lang", "slot").agg(F.sum("n").alias("n"))).toArrow()
         counts[tuple(got.column(c).to_numpy() for c in ("fold", "lang", "slot"))] = got.column("n").to_numpy()
     every = counts.sum(0)
-    used = np.concatenate([every[None] - counts, every[None]]) + SMOOTH
-    p = used / used.sum(2, keepdims=True)
-    log_p = np.log(p)
-    fit = np.einsum("fls,fms->flm", p, log_p)  # a trigram of language l under the model of m
+    used = np.concatenate([every[None] - counts, every[None]])
+    log_p = np.log((used + SMOOTH) / (used + SMOOTH).sum(2, keepdims=True))
+    seen = used / np.maximum(used.sum(2, keepdims=True), 1)
+    fit = np.einsum("fls,fms->flm", seen, log_p)  # a trigram of language l under the model of m
     k = len(names)
     own = np.diagonal(fit, axis1=1, axis2=2)
     nearest = np.where(np.eye(k, dtype=bool), -np.inf, fit).max(2) if k > 1 else np.full((folds + 1, k), -np.log(SLOTS))
