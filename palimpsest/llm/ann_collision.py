@@ -110,13 +110,20 @@ class Arrays:
         pq = ((q / q_norm) @ self.axes)[None]
         seen = self.ids == query_id
         rows, scores, radius = np.zeros(0, np.int64), np.zeros(0), START
+        low, high = self.windows(pq, np.zeros(1))
+        high, counts = low, np.zeros(len(self.ids), np.int64)
         while True:
             whole = radius > 2.0  # no two unit vectors are farther apart
             if whole:
                 new = np.flatnonzero(~seen)
             else:
-                low, high = self.windows(pq, np.array([half_window(radius, len(q))]))
-                new = np.flatnonzero((self.collisions(low[:, 0], high[:, 0]) >= self.least) & ~seen)
+                # only what the wider windows take in is counted
+                first, end = self.windows(pq, np.array([half_window(radius, len(q))]))
+                taken = [o[a:b] for o, a, b in zip(self.order, first[:, 0], low[:, 0], strict=True)]
+                taken += [o[a:b] for o, a, b in zip(self.order, high[:, 0], end[:, 0], strict=True)]
+                counts += np.bincount(np.concatenate(taken), minlength=len(self.ids))
+                low, high = first, end
+                new = np.flatnonzero((counts >= self.least) & ~seen)
             seen[new] = True
             rows, scores = np.concatenate([rows, new]), np.concatenate([scores, self.scores(new, q, q_norm)])
             if whole or np.count_nonzero(scores >= 1 - radius**2 / 2) >= k:
