@@ -179,7 +179,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
     src = src.where(F.col("id").isNotNull() & v.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(v, lambda x: x != 0))
     src = stage(src.select("id", "x", F.coalesce("q", F.lit(False)).alias("q")), "vectors")
     asks = src.where("q").dropDuplicates(["id", "x"])
-    n = src.count()
+    n, cores = src.count(), src.sparkSession.sparkContext.defaultParallelism
+    # queries are few bytes but much work, so their number decides how many tasks they get
+    asks = asks.repartition(max(1, min(2 * cores, n // SAMPLE * 4), n // (4 * BLOCK)))
     sample = src.select("id", "x").orderBy(F.xxhash64("id"), "id", "x").limit(SAMPLE).collect()
     first = sampled(asks, sample, k)
     if n <= SAMPLE:
@@ -199,7 +201,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec
             count = [len(ids) for ids, _ in got]
             return np.repeat(who, count), np.concatenate([ids for ids, _ in got]), np.concatenate([s for _, s in got])
 
-        blocks = max(-(-n // BLOCK), min(2 * src.sparkSession.sparkContext.defaultParallelism, -(-n // SAMPLE)))
+        blocks = max(-(-n // BLOCK), min(2 * cores, -(-n // SAMPLE)))
         found = _meet(src.select("id", F.lit(0).alias("label"), "x"), stage(first.withColumn("label", F.lit(0)), "queries"), blocks, run,
                       "near array<long>, radius double", "query_id long, id long, score double")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
