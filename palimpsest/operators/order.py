@@ -6,9 +6,6 @@ Every order ends in the record id, so ties are never left to chance
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,9 +137,13 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
         const = lambda rows: F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for r in rows])
         fine, coarse = const(cuts), const(cuts[::step])
         upto = lambda a: F.size(F.filter(a, lambda x: x <= F.col("_pos")))
-        base = base.withColumn("_c", upto(coarse))
-        base = base.withColumn("_b", F.when(F.col("_c") == 0, 0).otherwise(
-            (F.col("_c") - 1) * step + upto(F.slice(fine, (F.col("_c") - 1) * step + 1, F.lit(step))))).drop("_c")
+        # the coarse count is bound once a row, as a lambda's variable
+        fall = lambda c: F.when(c == 0, 0).otherwise((c - 1) * step + upto(F.slice(fine, (c - 1) * step + 1, F.lit(step))))
+        bucket = F.get(F.transform(F.array(upto(coarse)), fall), 0)
+        # rows of the scopes that a boundary lies in: the scopes are constants, no bucket is worked out to find them
+        ends = spark.range(1).select(F.explode(fine).alias("x")).select(*[F.col(f"x.s{i}").alias(f"_e{i}") for i in range(len(scope))]).distinct()
+        cut = base.join(F.broadcast(ends), [F.col(c).eqNullSafe(F.col(f"_e{i}")) for i, c in enumerate(scope)], "left_semi").withColumn("_b", bucket)
+        base = base.withColumn("_b", bucket)
     else:
         base = base.withColumn("_b", F.lit(0))
     dealt = base.repartition(n, "_b") if cuts else base
@@ -158,13 +159,8 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
         return loc.select(F.col("_id").alias(id_col), *scope, F.col("_rank").alias("rank"), F.col("_prev").alias("prev_id"),
                           F.col("_next").alias("next_id"), F.col("_pfirst").alias("first_id"), F.col("_plast").alias("last_id"))
 
-    def at_cut(i):  # whether the i-th boundary lies in the row's scope
-        x = F.get(fine, i)
-        return F.coalesce((i >= 0) & (i < len(cuts)), F.lit(False)) & reduce(
-            and_, (x[f"s{j}"].eqNullSafe(F.col(c)) for j, c in enumerate(scope)))
-
     low, high = F.min_by("_id", "_pos"), F.max_by("_id", "_pos")
-    edges = (base.where(at_cut(F.col("_b") - 1) | at_cut(F.col("_b"))).groupBy("_b", *scope)
+    edges = (cut.groupBy("_b", *scope)
              .agg(F.count(F.lit(1)).alias("_cnt"), (high if desc else low).alias("_bf"), (low if desc else high).alias("_bl")))
     w = Window.partitionBy(*scope).orderBy(F.col("_b").desc() if desc else F.col("_b").asc())
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -173,7 +169,7 @@ def rank_records(df: DataFrame, scope: list[str], sort=("dateCreated", 1), secon
         F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.lag("_bl").over(w).alias("_pl"), F.lead("_bf").over(w).alias("_nf"),
         F.first("_bf").over(wall).alias("_sf"), F.last("_bl").over(wall).alias("_sl"))
-    # at most one scope a boundary, in at most two buckets more than its boundaries: broadcast is size-bounded
+    # at most one scope a boundary, in at most one bucket more than its boundaries: broadcast is size-bounded
     same = [F.col("_b") == F.col("_fb")] + [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in scope]
     j = loc.join(F.broadcast(fix), same, "left")
     return j.select(
