@@ -10,9 +10,9 @@ data directory so that the work of each query grows with the data:
 * ``users``      <- supplier, ``history`` / locks <- events
 * ``notes``      <- conversations, page pixels <- embeddings
 
-The only shuffle in building ``records`` is the ``groupBy(l_orderkey)``
-that nests line items; the join with orders then reuses that hash
-partitioning (orders is the only side exchanged again).
+``records`` are built from flat rows: one exchange by order key nests line
+items and meets orders, one more lays the rows out by group.  The wide nested
+structs are made after both, so no exchange, sort or buffer holds them.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import names as N
+from ..session import hadoop_path
 
 _S, _D, _I, _B, _TS = T.StringType(), T.DoubleType(), T.IntegerType(), T.BooleanType(), T.TimestampType()
 _POLY = T.ArrayType(T.ArrayType(_D))
@@ -94,7 +95,8 @@ def _null(dt: str) -> Column:
     return F.lit(None).cast(dt)
 
 
-def _attr_key(linenumber: Column) -> Column:
+def _attr_key(li) -> Column:
+    linenumber = li.l_linenumber
     return (F.when(linenumber == 1, F.lit("T"))
             .when(linenumber == 2, F.lit("Sec"))
             .otherwise(F.concat(F.lit("Field "), linenumber.cast("string"))))
@@ -126,10 +128,9 @@ def _sub(key: str, value: Column, parent_key: Column, ai_conf: Column, conf: Col
     ).cast(SUB_TYPE)
 
 
-def attribute_struct(li: DataFrame) -> Column:
-    """One attribute struct per line item (the fixture rules)."""
-    key = _attr_key(li.l_linenumber)
-    value = _attr_value(li)
+def attribute_struct(li: Column) -> Column:
+    """One attribute struct of a line item (the fixture rules)."""
+    key, value = li["key"], li["value"]
     conf = F.round(F.lit(1.0) - li.l_discount, 2)
     err = (F.when((li.l_returnflag == "R") & (li.l_linestatus == "F") & (li.l_linenumber == 5), F.lit(""))
            .when(li.l_returnflag == "R", F.lit("bad value")))
@@ -157,27 +158,68 @@ def attribute_struct(li: DataFrame) -> Column:
     ).cast(ATTR_TYPE)
 
 
+#: what a record takes from its order
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate"]
+
 # Position of a line item inside its record: these six columns are unique
 # per line item in the generated data.
 POSITION_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount"]
 
 
-def nested_attributes(li: DataFrame) -> DataFrame:
-    """(l_orderkey, attributes) with the array in position order.
+#: bytes of input files that a task of a nesting shuffle takes at most, so that its sort stays in memory
+BYTES_A_TASK = 16 << 20
+
+
+def tasks_for(spark: SparkSession, *paths: str) -> int:
+    """Shuffle partitions for a job over these files: the session's count, more
+    where the input is so large that a task would get over ``BYTES_A_TASK``."""
+    total = 0
+    for path in paths:
+        fs, p = hadoop_path(spark, path)
+        total += fs.getContentSummary(p).getLength()
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BYTES_A_TASK))
+
+
+def spread(df: DataFrame, tasks: int, *keys) -> DataFrame:
+    """``df`` hashed on ``keys``; the count is only fixed where it's above the
+    session's own, so that adaptive execution can merge small partitions."""
+    if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartition(tasks, *keys)
+    return df.repartition(*keys)
+
 
-    ``collect_list`` has no order of its own: we collect (sort key, attr)
-    and ``array_sort`` it, then drop the key with ``transform``.  Partial
-    aggregation does not apply to collect_list, but the group size is one
-    document (bounded by the source system's document size limit).
-    """
-    keyed = F.struct(*[li[c] for c in POSITION_ORDER], attribute_struct(li).alias("a"))
-    return (li.groupBy("l_orderkey")
-              .agg(F.array_sort(F.collect_list(keyed)).alias("_s"))
-              .select("l_orderkey", F.transform("_s", lambda s: s["a"]).alias("attributes")))
+def line_items(li: DataFrame, tasks: int | None = None) -> DataFrame:
+    """(l_orderkey, items): the line items of each order as they are.
 
+    Only the flat columns are shuffled, before any aggregate buffer; the wide
+    structs made of them come after the last exchange (``in_position``).  The
+    group size is one document (bounded by the source system's document size
+    limit)."""
+    keys = ["l_orderkey"]
+    rows = spread(li, tasks or 0, *keys)
+    return rows.groupBy(*keys).agg(F.collect_list(F.struct(*[c for c in li.columns if c not in keys])).alias("items"))
 
-def records_from(orders: DataFrame, lineitem: DataFrame | None) -> DataFrame:
+
+def in_position(items: Column, made) -> Column:
+    """``made(item)`` of each item, which has its ``key`` and ``value`` by then,
+    in position order.  ``collect_list`` has no order of its own: (sort key,
+    made) is sorted, then the key dropped."""
+    named = F.transform(items, lambda s: s.withField("key", _attr_key(s)).withField("value", _attr_value(s)))
+    keyed = F.transform(named, lambda s: F.struct(*[s[c].alias(c) for c in POSITION_ORDER], made(s).alias("a")))
+    return F.transform(F.array_sort(keyed), lambda s: s["a"])
+
+
+def records_from(orders: DataFrame, lineitem: DataFrame | None, layout=None, tasks: int | None = None) -> DataFrame:
+    """Records of ``orders`` with the attributes of ``lineitem``.  ``layout``
+    gets the joined flat rows and the expressions of (record_group_id,
+    record_id), so that whatever it shuffles is flat as well."""
     o = orders
+    if lineitem is not None:
+        nested = line_items(lineitem, tasks)
+        o = spread(orders.select(*ORDER_COLUMNS), tasks or 0, "o_orderkey")
+        o = o.join(nested, o.o_orderkey == nested.l_orderkey, "left").drop("l_orderkey")
+        if layout:
+            o = layout(o, o.o_custkey.cast("string"), o.o_orderkey)
     oid = o.o_orderkey
     name = F.when(F.pmod(oid, F.lit(5)) == 0, F.concat(F.lit("scan_"), o.o_custkey.cast("string"))) \
         .otherwise(F.concat(oid.cast("string"), F.lit("_"), o.o_custkey.cast("string")))
@@ -206,6 +248,7 @@ def records_from(orders: DataFrame, lineitem: DataFrame | None) -> DataFrame:
         F.pmod(oid, F.lit(4)).cast("int").alias("_pages"),
         (F.pmod(oid, F.lit(11)) == 0).alias("_bad_page"),
         o.o_orderdate.alias("date_created"),
+        *([o["items"]] if lineitem is not None else []),
     )
     base = base.withColumn("api_number", N.api_number(F.col("name")))
     pages = N.page_names(F.col("name"), F.col("_pages"))
@@ -214,10 +257,8 @@ def records_from(orders: DataFrame, lineitem: DataFrame | None) -> DataFrame:
     ).drop("_pages", "_bad_page")
     if lineitem is None:
         return base.withColumn("attributes", F.array().cast(ATTRS_TYPE))
-    nested = nested_attributes(lineitem)
-    return (base.join(nested, base.record_id == nested.l_orderkey, "left")
-                .drop("l_orderkey")
-                .withColumn("attributes", F.coalesce(F.col("attributes"), F.array().cast(ATTRS_TYPE))))
+    return (base.withColumn("attributes", F.coalesce(in_position(F.col("items"), attribute_struct), F.array().cast(ATTRS_TYPE)))
+                .drop("items"))
 
 
 def load_records(spark: SparkSession, sf_dir: str, with_attributes: bool = True) -> DataFrame:
@@ -232,12 +273,16 @@ def load_records(spark: SparkSession, sf_dir: str, with_attributes: bool = True)
         return build_records(spark, sf_dir)
     d = sf_dir.rstrip("/")
     return store.stored_table(spark, "records", [f"{d}/orders.parquet", f"{d}/lineitem.parquet"],
-                              lambda: build_records(spark, sf_dir), store.cluster_by_group)
+                              lambda: build_records(spark, sf_dir, store.cluster_by))
 
 
-def build_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Derive the nested records from orders and lineitem (one shuffle)."""
-    return records_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+def build_records(spark: SparkSession, sf_dir: str, layout=None) -> DataFrame:
+    """Derive the nested records from orders and lineitem: one shuffle of flat
+    rows, and one more of them for a ``layout``."""
+    d = sf_dir.rstrip("/")
+    tasks = tasks_for(spark, f"{d}/orders.parquet", f"{d}/lineitem.parquet")
+    return records_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"),
+                        layout and (lambda df, *keys: layout(df, tasks, *keys)), tasks)
 
 
 # --------------------------------------------------------------------------
@@ -475,9 +520,19 @@ def build_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     normalised text for dates, confidence, a five-vertex polygon, and two
     properties for line 3).  Even orders use the ``{"attributes_list":
     [...]}`` form; every 97th payload is not JSON at all."""
-    li = table(spark, sf_dir, "lineitem")
-    key = _attr_key(li.l_linenumber)
-    value = _attr_value(li)
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    per = line_items(table(spark, sf_dir, "lineitem"), tasks_for(spark, path))
+    ents = in_position(F.col("items"), _entity)
+    oid = F.col("l_orderkey")
+    payload = (F.when(F.pmod(oid, F.lit(97)) == 0, F.lit("not json"))
+               .when(F.pmod(oid, F.lit(2)) == 0, F.to_json(F.struct(ents.alias("attributes_list"))))
+               .otherwise(F.to_json(ents)))
+    return per.select(oid.alias("record_id"), payload.alias("payload"))
+
+
+def _entity(li) -> Column:
+    """One entity of an extraction response from a line item."""
+    key, value = li["key"], li["value"]
     is_date = F.pmod(li.l_partkey + li.l_linenumber, F.lit(5)) == 3
     conf = F.round(F.lit(1.0) - li.l_discount, 2)
     x = li.l_linenumber.cast("double") / 10.0
@@ -497,15 +552,7 @@ def build_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         prop("Depth", li.l_extendedprice.cast("decimal(12,2)").cast("string")),
         prop("Sec", li.l_suppkey.cast("string"))))
     mention = F.when(is_date, F.regexp_replace(value, "-", "/")).otherwise(value)
-    entity = F.struct(
+    return F.struct(
         key.alias("type"), mention.alias("mention_text"), F.struct(mention.alias("content")).alias("text_anchor"),
         F.struct(F.when(is_date, value).otherwise(F.lit("")).alias("text")).alias("normalized_value"),
         conf.alias("confidence"), page_anchor.alias("page_anchor"), props.alias("properties"))
-    keyed = F.struct(*[li[c] for c in POSITION_ORDER], entity.alias("e"))
-    per = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(keyed)).alias("_s"))
-    ents = F.transform("_s", lambda s: s["e"])
-    oid = F.col("l_orderkey")
-    payload = (F.when(F.pmod(oid, F.lit(97)) == 0, F.lit("not json"))
-               .when(F.pmod(oid, F.lit(2)) == 0, F.to_json(F.struct(ents.alias("attributes_list"))))
-               .otherwise(F.to_json(ents)))
-    return per.select(oid.alias("record_id"), payload.alias("payload"))

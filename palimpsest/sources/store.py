@@ -95,10 +95,8 @@ def stored_path(spark: SparkSession, name: str, inputs: list[str], build: Callab
     return final
 
 
-def cluster_by_group(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Range-partition on (record_group_id, record_id) and sort inside
-    partitions: files are clustered by group, and a group holding a large
-    share of all records is split across several partitions."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, "record_group_id", "record_id")
-              .sortWithinPartitions("record_group_id", "record_id"))
+def cluster_by(df: DataFrame, partitions: int, *keys) -> DataFrame:
+    """Range-partition on ``keys`` and sort inside partitions: files are
+    clustered by the first key, and a value of it that holds a large share of
+    all rows is split across several partitions."""
+    return df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys)

@@ -1,8 +1,82 @@
-"""What large inputs ask for: pairs of one key over many tasks."""
+"""What large inputs ask for: flat rows in exchanges, no repeated work a row, pairs of one key over many tasks."""
 
+import datetime
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
+from palimpsest.operators import order as O
 from palimpsest.operators import scope as S
+from palimpsest.sources import model as M
+from palimpsest.sources import store
+
+LINE = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")
+ORDER = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp, o_orderpriority string"
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    """Two orders, one without line items; items out of order, one twice but for its tax, one of no order, null columns."""
+    t = datetime.datetime(2020, 1, 2)
+    item = lambda o, n, tax=0.01: (o, 10 + n, 7, n, 3.0, 5.5, 0.1, tax, "R", "F", t)
+    rows = [item(1, 3), item(1, 1), item(1, 2, 0.08), item(1, 2, 0.02), (1, None, None, None, None, None, None, None, None, None, None), item(9, 1)]
+    spark.createDataFrame(rows, LINE).repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 4, "F", t, "1-URGENT"), (2, None, None, None, None)], ORDER).write.parquet(f"{tmp_path}/orders.parquet")
+    return str(tmp_path)
+
+
+def exchanges(df) -> list[str]:
+    """What goes into each exchange of the plan."""
+    plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\n]*)\]", plan)
+
+
+def test_nesting_shuffles_flat_rows(spark, folder):
+    for df in (M.build_records(spark, folder), M.build_payloads(spark, folder)):
+        of_items = [x for x in exchanges(df) if "l_orderkey" in x]
+        assert of_items and all("l_partkey" in x and "buf" not in x for x in of_items)
+
+
+def test_layout_shuffles_flat_rows(spark, folder):
+    into = exchanges(M.build_records(spark, folder, store.cluster_by))
+    assert len(into) >= 3 and not any("attributes" in x or "image_files" in x for x in into)
+
+
+def test_nested_rows_are_in_position(spark, folder):
+    got = {r["record_id"]: r for r in M.build_records(spark, folder, store.cluster_by).collect()}
+    assert set(got) == {1, 2} and got[2]["attributes"] == [] and got[2]["record_group_id"] is None
+    items = got[1]["attributes"]
+    # the null line number comes first; equal positions are settled by the attribute itself
+    assert [a["key"] for a in items] == [None, "T", "Sec", "Sec", "Field 3"]
+    assert [a["user_added"] for a in items] == [None, False, False, True, False]
+    assert [s["key"] for s in items[4]["subattributes"]] == ["Depth", "Sec"]
+    assert {r["record_id"] for r in M.build_payloads(spark, folder).collect()} == {1, 9}
+
+
+def test_tasks_grow_with_the_input(spark, folder, monkeypatch):
+    files = f"{folder}/orders.parquet", f"{folder}/lineitem.parquet"
+    here = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert M.tasks_for(spark, *files) == here
+    monkeypatch.setattr(M, "BYTES_A_TASK", 64)
+    n = M.tasks_for(spark, *files)
+    assert n > here and M.spread(spark.range(5), n, "id").rdd.getNumPartitions() == n
+    assert M.build_records(spark, folder).count() == 2
+
+
+def test_rank_makes_no_bucket_to_find_cut_scopes(spark):
+    df = spark.range(400).select(F.col("id").alias("record_id"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"),
+                                 (F.col("id") % 7).alias("date_created"))
+    out = O.rank_records(df, ["g"], partitions=4)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Filter" in x and "lambdafunction" in x]
+    rows = sorted((r["g"] or 0, r["rank"], r["record_id"]) for r in out.collect())
+    want = []
+    for g in range(3):
+        ids = sorted((i for i in range(400) if i % 3 == g), key=lambda i: (i % 7, i))
+        want += [(g, k + 1, i) for k, i in enumerate(ids)]
+    assert rows == want
 
 
 def test_pairs_of_one_team_are_spread(spark):
