@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.model import ATTRS_TYPE, SUBS_TYPE
+from ..sources.model import ATTR_TYPE, ATTRS_TYPE, SUB_TYPE, SUBS_TYPE
 
 
 
@@ -34,6 +34,18 @@ def field(attrs, name: str) -> Column:
          "cleaning_checked": "array<boolean>"}.get(name, "array<string>")))
 
 
+def with_fields_only(attrs, *names: str) -> Column:
+    """The list with NULL in every field but ``names``, of attributes and
+    sub-attributes alike: of the same type, but an exchange that carries it
+    holds little more than these fields."""
+    def some(x, st, **more):
+        kept = [more.get(f.name, x[f.name] if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name) for f in st.fields]
+        return F.when(x.isNotNull(), F.struct(*kept).cast(st))
+
+    return F.transform(col(attrs), lambda a: some(a, ATTR_TYPE, subattributes=F.transform(
+        a["subattributes"], lambda s: some(s, SUB_TYPE))))
+
+
 def all_subattributes(attrs="attributes") -> Column:
     """Every sub-attribute of every attribute, in order.
 

@@ -110,8 +110,10 @@ def clean_long(records: DataFrame, record_groups: DataFrame, processors: DataFra
     when rows are the answer (audits, summaries, exports)."""
     from .views import attributes_long
     now = F.current_timestamp() if now is None else now
-    # records meet their functions before they become rows
-    j = attributes_long(with_processor(records, record_groups, processor_functions(processors), "fns"),
+    # records meet their functions before they become rows, and bring no more than these rows show
+    slim = records.select("record_id", "record_group_id", A.with_fields_only(
+        "attributes", "key", "value", "top_level_attribute", "value_type", "cleaned", "cleaning_checked", "cleaning_error").alias("attributes"))
+    j = attributes_long(with_processor(slim, record_groups, processor_functions(processors), "fns"),
                         keep=("record_group_id", "fns"), extra=("value_type", "cleaned"))
     lookup = F.when(F.col("sub_pos").isNull(), F.col("key")) \
         .otherwise(F.concat(F.col("top_level_attribute"), F.lit("::"), F.col("key")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import attrs as A
 from ..operators import clean as CL
 from ..sources import model as M
 from .oracle_base import with_model
@@ -127,7 +128,10 @@ FROM cleaned WHERE value IS DISTINCT FROM value_before
 @query("clean_audit", CLEAN_AUDIT_SQL, ops=("C2", "H1"))
 def q_clean_audit(spark, sf):
     # the nested form (C2 on the record arrays) with its before/after lists
-    out = CL.clean_records(M.load_records(spark, sf), M.load_record_groups(spark, sf), M.load_processors(spark, sf))
+    recs = M.load_records(spark, sf)
+    # what cleaning and its lists read; records are shuffled to meet their groups
+    recs = recs.select("record_id", "record_group_id", A.with_fields_only("attributes", "key", "value", "top_level_attribute").alias("attributes"))
+    out = CL.clean_records(recs, M.load_record_groups(spark, sf), M.load_processors(spark, sf))
     z = F.arrays_zip(F.col("audit_before").alias("b"), F.col("audit_after").alias("a"))
 
     def rows(p, i):

@@ -6,6 +6,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from palimpsest.functions import attrs as A
+from palimpsest.operators import clean as CL
+from palimpsest.operators import edits as ED
+from palimpsest.operators import export as X
 from palimpsest.operators import order as O
 from palimpsest.operators import scope as S
 from palimpsest.sources import model as M
@@ -94,3 +98,60 @@ def test_pairs_of_one_team_are_spread(spark):
         spark.conf.set(key, before)
     assert len(rows) == 5 * 201 and len({(r["email"], r["record_group_id"]) for r in rows}) == 5 * 201
     assert len({r["p"] for r in rows}) > 1
+
+
+def below_first_join(df) -> str:
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return plan[plan.index("Join "):]
+
+
+def test_fields_that_nobody_reads_become_null(spark, folder):
+    recs = M.build_records(spark, folder)
+    slim = recs.select("record_id", A.with_fields_only("attributes", "key", "value").alias("attributes"))
+    assert slim.schema["attributes"].dataType.simpleString() == recs.schema["attributes"].dataType.simpleString()
+    whole, got = ({r["record_id"]: r["attributes"] for r in df.collect()} for df in (recs, slim))
+    assert [(a["key"], a["value"], a["subattributes"] and [(s["key"], s["value"]) for s in a["subattributes"]]) for a in got[1]] == \
+        [(a["key"], a["value"], a["subattributes"] and [(s["key"], s["value"]) for s in a["subattributes"]]) for a in whole[1]]
+    assert all(v is None for a in got[1] for x in (a, *(a["subattributes"] or [])) for f, v in x.asDict().items()
+               if f not in ("key", "value", "subattributes"))
+    odd = spark.sql(f"SELECT CAST(array(NULL) AS {recs.schema['attributes'].dataType.simpleString()}) AS attributes UNION ALL SELECT NULL")
+    assert sorted((r[0] for r in odd.select(A.with_fields_only("attributes", "key")).collect()), key=str) == [None, [None]]
+
+
+def test_records_meet_their_schema_without_the_fields_that_nobody_reads(spark, folder):
+    recs = M.build_records(spark, folder)
+    groups = spark.createDataFrame([("4", "p")], "record_group_id string, processor_id string")
+    procs = spark.sql("SELECT 'p' AS processor_id, array(named_struct('name', 'T', 'cleaning_function', 'string_to_int')) AS attributes") \
+        .select("processor_id", F.transform("attributes", lambda s: F.struct(*[
+            (s[f] if f in ("name", "cleaning_function") else F.lit(None).cast(M.SCHEMA_ATTR_TYPE[f].dataType)).alias(f)
+            for f in M.SCHEMA_ATTR_TYPE.fieldNames()])).alias("attributes"))
+    df = CL.clean_long(recs, groups, procs)
+    assert "raw_text, null" in below_first_join(df)
+    rows = {(r["attr_pos"], r["sub_pos"]): r for r in df.where("record_id = 1").collect()}
+    assert rows[(1, None)]["cleaning_checked"] and rows[(4, 0)]["key"] == "Depth" and rows[(4, 0)]["cleaning_checked"]
+
+
+def test_export_scope_is_met_as_records_are_read(spark, folder):
+    recs = M.build_records(spark, folder)
+    # a scope of few groups that the planner takes for a large one
+    many = spark.range(300_000).where("id < 2").crossJoin(spark.range(100))
+    groups = many.toDF("a", "b").select(F.when(F.col("a") == 0, F.lit("4")).alias("record_group_id"))
+    assert [r["record_id"] for r in X.records_of(recs, groups).collect()] == [1]
+    plan = X.records_of(recs, groups)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    before = recs.join(groups, "record_group_id", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in before[:before.index("LeftSemi")]
+
+
+def test_edit_history_takes_values_alone_to_the_edits(spark, folder):
+    recs = M.build_records(spark, folder)
+    t = datetime.datetime(2024, 1, 1)
+    edits = spark.createDataFrame([(1, 0, "replace", 4, 1, "x", "u", t), (1, 1, "delete", 1, None, None, "u", t), (1, 2, "replace", 1, None, "y", "u", t),
+                                   (1, 3, "replace", 9, None, "z", "u", t)],
+                                  "record_id bigint, seq int, op string, idx int, sub_idx int, payload string, user string, ts timestamp")
+    new, hist = ED.apply_edits(recs, edits)
+    values = {r["record_id"]: r["attributes"] for r in recs.collect()}[1]
+    assert [(r["seq"], r["previous_value"]) for r in hist.orderBy("seq").collect()] == \
+        [(0, values[4]["subattributes"][1]["value"]), (1, None), (2, values[2]["value"])]
+    assert [r["seq"] for r in ED.rejected_edits(recs, edits).collect()] == [3]
+    assert "raw_text, null" in below_first_join(hist) and "raw_text, null" not in below_first_join(new)
