@@ -163,13 +163,21 @@ def apply_edits(records: DataFrame, edits: DataFrame, clean_with: DataFrame | No
         new_records = new_records.withColumn("attributes", F.transform("attributes", lambda a: unmark(a).withField(
             "subattributes", F.transform(a["subattributes"], unmark))))
     new_records = new_records.withColumn("edited_now", F.col("_edits").isNotNull()).drop("_f", "_edits", "_fns")
-    return new_records, _outcomes(out).where(F.col("reason").isNull()).drop("reason")
+    return new_records, _outcomes(_judged(records, edits, clean_with)).where(F.col("reason").isNull()).drop("reason")
+
+
+def _judged(records: DataFrame, edits: DataFrame, clean_with: DataFrame | None = None) -> DataFrame:
+    """``_folded`` for the outcomes alone: of an attribute they hold the value,
+    or the whole element where whole attributes are put in place."""
+    if "attribute" not in edits.columns:
+        records = records.select("record_id", "record_group_id", A.with_fields_only("attributes", "value").alias("attributes"))
+    return _folded(records, edits, clean_with)[0]
 
 
 def rejected_edits(records: DataFrame, edits: DataFrame) -> DataFrame:
     """M8: (record_id, record_group_id, seq, op, idx, reason) of the edits
     that ``apply_edits`` rejects, judged in their turn."""
-    return _outcomes(_folded(records, edits)[0]).where(F.col("reason").isNotNull()).drop("previous_value")
+    return _outcomes(_judged(records, edits)).where(F.col("reason").isNotNull()).drop("previous_value")
 
 
 def _outcomes(folded: DataFrame) -> DataFrame:
