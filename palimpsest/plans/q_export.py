@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import names as N
 from ..operators import export as X
+from ..operators import extract as E
 from ..operators import schema as SC
 from ..operators import uploads as U
 from ..session import work_folder
@@ -20,8 +21,8 @@ ORIGIN = "https://example.org"
 def _export_cells(spark, sf, selected=None):
     recs = M.load_records(spark, sf)
     groups = M.load_record_groups(spark, sf)
-    scoped = recs.join(groups.where(F.col("project_id") == EXPORT_PROJECT).select("record_group_id"),
-                       "record_group_id", "left_semi")
+    scoped = X.records_of(recs, groups.where(F.col("project_id") == EXPORT_PROJECT))
+    scoped = E.project_records(scoped, ["record_group_id", "filename"], ["key", "value", "subattributes"], ["key", "value"])
     sg = SC.schema_by_group(groups, M.load_processors(spark, sf)).select(
         "record_group_id",
         F.transform(F.filter("schema", lambda s: F.lower(s["database_data_type"]) == "table"),
