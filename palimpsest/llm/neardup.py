@@ -62,6 +62,8 @@ M = ROWS * BANDS
 #: of M registers, so many must agree before a pair is verified: five standard deviations under the threshold
 CUTOFF = int(M * (THRESHOLD - 5 * (THRESHOLD * (1 - THRESHOLD) / M) ** 0.5))
 BLOCK = 512
+#: shingles that a task verifying links holds of the texts it has met
+HELD = 1_000_000
 BAND_SHIFT = 56
 
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -82,7 +84,7 @@ class _Words(dict):
     """Memo of word hashes; emptied when it has grown large."""
 
     def __missing__(self, w):
-        if len(self) > 200_000:
+        if len(self) > 50_000:
             self.clear()
         h = self[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
         return h
@@ -278,10 +280,10 @@ def _cross_links(t, starts, threshold: float):
     Links of a group are a spanning forest of the components in it, best
     estimates first, so nothing is verified between components that the group
     has joined already."""
-    node, label, text = (t.column(c).to_pylist() for c in ("node", "label", "text"))
+    node, label, text = t.column("node").to_pylist(), t.column("label").to_pylist(), t.column("text")
     memo, out = _Words(), {"a": [], "b": []}
     for a, b, n in _cross_pairs(t, starts):
-        sets: dict[bytes, tuple] = {}
+        sets, held = {}, 0  # shingles of the nodes last looked at
         root: dict[bytes, bytes] = {}
 
         def find(x, root=root):
@@ -290,8 +292,13 @@ def _cross_links(t, starts, threshold: float):
             return x
 
         def parts(i, sets=sets):
+            nonlocal held
             if node[i] not in sets:
-                sets[node[i]] = shingles(words_of(text[i]), memo)
+                if held > HELD:
+                    sets.clear()
+                    held = 0
+                got = sets[node[i]] = shingles(words_of(text[int(i)].as_py()), memo)
+                held += len(got[0])
             return sets[node[i]]
 
         for k in np.argsort(-n, kind="stable"):
