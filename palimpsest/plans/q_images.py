@@ -78,9 +78,11 @@ _FILE_SQL = _PIXELS.replace("FROM embeddings,", "FROM (SELECT * FROM embeddings
 def _file_pages(spark, sf):
     """Page files made of the embeddings' pixels, read by the image source; one in 29 is no image."""
     e = M.table(spark, sf, "embeddings")
-    data = F.when(F.pmod("vec_id", F.lit(29)) == 0, F.lit("not an image").cast("binary")).otherwise(I.bitmap(I.embedding_pixels(F.col("embedding"))))
+    # pixels are a column of their own, made once a page: the bitmap names them many times
+    px = e.select(F.col("vec_id").alias("page"), I.embedding_pixels(F.col("embedding")).alias("px"))
+    data = F.when(F.pmod("page", F.lit(29)) == 0, F.lit("not an image").cast("binary")).otherwise(I.bitmap(F.col("px")))
     path = work_folder(spark, "pages")
-    I.write_pages(e.select(F.col("vec_id").alias("page"), data.alias("data")), path)
+    I.write_pages(px.select("page", data.alias("data")), path)
     return I.read_pages(spark, path)
 
 

@@ -2,6 +2,8 @@
 
 import json
 import os
+import pathlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +137,12 @@ def test_page_files_score_like_their_pixels(spark):
         want = {r.page: r.s for r in df.select("page", I.white_share(F.col("px"), mode, 239, 50.0).alias("s")).collect()}
         got = {r.page: r.s for r in I.read_pages(spark, path).select("page", I.image_white_share(F.col("image"), mode, 239, 50.0).alias("s")).collect()}
         assert got.pop(9).total_pixels is None and got == want
+
+
+def test_page_files_are_written_by_many_tasks_one_file_a_page(spark):
+    path = work_folder(spark, "pages")
+    pages = spark.range(0, 40, 1, 1).select((F.col("id") % 20).alias("page"), F.lit(b"a page").alias("data"))
+    I.write_pages(pages.unionByName(pages), path)
+    files = [str(f) for f in pathlib.Path(path).rglob("part-*")]
+    assert len(files) == 20
+    assert len({re.search(r"part-(\d+)", f).group(1) for f in files}) > 4
