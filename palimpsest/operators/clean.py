@@ -28,13 +28,18 @@ def _prepare(x: Column, lookup_key: Column, fns: Column, only=None) -> Column:
                     run_cleaner(fn, x["value"]).alias("res"))
 
 
+def _outcome(p: Column) -> Column:
+    """Pass 2 per element: its state, worked out once, not once a field that reads it."""
+    return F.struct(p["x"].alias("x"), p["fn"].alias("fn"), p["res"].alias("res"), p["in_schema"].alias("in_schema"),
+                    F.when(p["in_schema"], clean_state(p["fn"], p["x"]["value"], p["res"])).alias("st"))
+
+
 def _apply(p: Column, now: Column) -> Column:
-    """Pass 2 per element: C1's outcome table applied to the struct."""
-    x, r, fn = p["x"], p["res"], p["fn"]
-    st = clean_state(fn, x["value"], r)
+    """Pass 3 per element: C1's outcome table applied to the struct."""
+    x, r, fn, st = p["x"], p["res"], p["fn"], p["st"]
     act = p["in_schema"] & (st != "skip")
-    ok = act & (st == "ok")
-    err = act & (st == "error")
+    ok = st == "ok"
+    err = st == "error"
     return (x.withField("value", F.when(ok, r["value"]).otherwise(x["value"]))
              .withField("value_type", F.when(ok, r["value_type"]).otherwise(x["value_type"]))
              .withField("normalized_value", F.when(ok, r["value"]).otherwise(x["normalized_value"]))
@@ -49,8 +54,9 @@ def _apply(p: Column, now: Column) -> Column:
 def clean_attributes(attrs: Column, fns: Column, now: Column | None = None, only=None) -> Column:
     """C2 over one attribute array; ``fns`` is MAP<name, cleaning_function>.
 
-    Two passes of ``transform``: the first runs each element's cleaner
-    once, the second applies the outcome, so no regex runs twice."""
+    Three passes of ``transform``: the first runs each element's cleaner
+    once, the second tells its state, the third applies the outcome, so no
+    regex runs twice and no state is worked out once a field."""
     now = F.current_timestamp() if now is None else now
 
     def prep(a):
@@ -58,10 +64,13 @@ def clean_attributes(attrs: Column, fns: Column, now: Column | None = None, only
             s, F.concat(F.coalesce(s["top_level_attribute"], a["key"]), F.lit("::"), s["key"]), fns, only))
         return F.struct(_prepare(a, a["key"], fns, only).alias("p"), subs.alias("subs"))
 
+    def state(q):
+        return F.struct(_outcome(q["p"]).alias("p"), F.transform(q["subs"], _outcome).alias("subs"))
+
     def fin(q):
         return _apply(q["p"], now).withField("subattributes", F.transform(q["subs"], lambda s: _apply(s, now)))
 
-    return F.transform(F.transform(A.safe_attrs(attrs), prep), fin)
+    return F.transform(F.transform(F.transform(A.safe_attrs(attrs), prep), state), fin)
 
 
 def processor_functions(processors: DataFrame) -> DataFrame:
@@ -85,7 +94,11 @@ def clean_records(records: DataFrame, record_groups: DataFrame, processors: Data
     """Every record cleaned against its group's schema, with the
     before/after (key, value) lists the history needs (``audit_before``,
     ``audit_after``).  Records of groups without schema are unchanged."""
-    j = with_processor(records, record_groups, processor_functions(processors), "fns")
+    return clean_by_functions(with_processor(records, record_groups, processor_functions(processors), "fns"), now)
+
+
+def clean_by_functions(j: DataFrame, now: Column | None = None) -> DataFrame:
+    """C2 on records that have their ``fns`` with them."""
     empty = F.create_map().cast("map<string,string>")
     new = clean_attributes(F.col("attributes"), F.coalesce(F.col("fns"), empty), now)
 

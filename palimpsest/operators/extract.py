@@ -154,10 +154,21 @@ def assemble_records(new: DataFrame, extracted: DataFrame, reprocessed: bool = F
     """State machine on ingest.  A payload that parses gives
     ``digitized`` (or ``reprocessed``) with its attributes; one that does
     not gives ``error`` and a message; no payload leaves ``processing``."""
-    j = new.join(extracted.select("record_id", "parse_ok", F.col("attributes")), "record_id", "left")
+    return record_states(new.join(extracted.select("record_id", "parse_ok", F.col("attributes")), "record_id", "left"), new.columns, reprocessed)
+
+
+def extract_records(new: DataFrame, payloads: DataFrame, reprocessed: bool = False) -> DataFrame:
+    """E1 and E3 in one: records meet their payloads as stored, so the
+    exchange holds texts and not the wide attributes made of them."""
+    j = new.join(payloads.select("record_id", "payload", F.lit(True).alias("_has")), "record_id", "left")
+    ex = extract_attributes(j)
+    return record_states(ex.withColumn("parse_ok", F.when(F.col("_has"), F.col("parse_ok"))), new.columns, reprocessed)
+
+
+def record_states(j: DataFrame, columns: list[str], reprocessed: bool = False) -> DataFrame:
     ok = F.lit("reprocessed" if reprocessed else "digitized")
     return j.select(
-        *[c for c in new.columns if c != "status"],
+        *[c for c in columns if c != "status"],
         F.when(F.col("parse_ok"), ok).when(F.col("parse_ok") == F.lit(False), F.lit("error"))
          .otherwise(F.lit("processing")).alias("status"),
         F.when(F.col("parse_ok") == F.lit(False), F.lit("unable to process document")).alias("error_message"),

@@ -127,15 +127,25 @@ def schema_by_group(record_groups: DataFrame, processors: DataFrame) -> DataFram
                     F.coalesce("schema", F.array().cast(SCHEMA_ARR)).alias("schema")))
 
 
+def own_processor(records: DataFrame, record_groups: DataFrame, name: str) -> DataFrame:
+    """``records`` plus the short id of their group's processor as ``name``."""
+    g = record_groups.select("record_group_id", F.col("processor_id").alias(name))
+    return records.join(g, "record_group_id", "left")
+
+
+def processor_column(records: DataFrame, per_processor: DataFrame, column: str, own: str) -> DataFrame:
+    """``records``, which have their processor's id as ``own``, plus a column of
+    that processor (null without one) in the place of the id."""
+    p = per_processor.select(F.col("processor_id").alias("_processor"), column)
+    return records.join(p, F.col(own) == F.col("_processor"), "left").drop(own, "_processor")
+
+
 def with_processor(records: DataFrame, record_groups: DataFrame, per_processor: DataFrame, column: str) -> DataFrame:
     """``records`` plus a column that depends on their processor only (null
     without one).  Records meet their group for the processor's short id, and
     the column, which may be a whole schema, once a processor: it isn't copied
     for every group nor shuffled with them."""
-    g = record_groups.select("record_group_id", F.col("processor_id").alias("_own_processor"))
-    p = per_processor.select(F.col("processor_id").alias("_processor"), column)
-    j = records.join(g, "record_group_id", "left").join(p, F.col("_own_processor") == F.col("_processor"), "left")
-    return j.drop("_own_processor", "_processor")
+    return processor_column(own_processor(records, record_groups, "_own_processor"), per_processor, column, "_own_processor")
 
 
 def schema_map(processors: DataFrame) -> DataFrame:
@@ -209,13 +219,21 @@ def reconcile_attributes(attrs: Column, schema: Column, mode: str = "read", keep
     return F.when(F.size(schema) > 0, body).otherwise(a)
 
 
+def schemas(processors: DataFrame) -> DataFrame:
+    return processors.select("processor_id", F.col("attributes").alias("schema"))
+
+
 def reconcile(records: DataFrame, record_groups: DataFrame, processors: DataFrame, mode: str = "read",
               keep_all: bool = False) -> DataFrame:
     """Records with reconciled ``attributes`` and ``changed``."""
-    j = with_processor(records, record_groups, processors.select("processor_id", F.col("attributes").alias("schema")), "schema")
+    return reconcile_by_schema(with_processor(records, record_groups, schemas(processors), "schema"), mode, keep_all)
+
+
+def reconcile_by_schema(records: DataFrame, mode: str = "read", keep_all: bool = False) -> DataFrame:
+    """J12 on records that have their ``schema`` with them."""
     schema = F.coalesce(F.col("schema"), F.array().cast(SCHEMA_ARR))
     new = reconcile_attributes(F.col("attributes"), schema, mode, keep_all)
-    return (j.withColumn("_new", new)
+    return (records.withColumn("_new", new)
              .withColumn("changed", ~F.col("_new").eqNullSafe(A.safe_attrs("attributes")))
              .withColumn("attributes", F.col("_new")).drop("_new", "schema"))
 

@@ -141,11 +141,16 @@ def stream_dedupe(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame
 
 def ingest_batch(payloads: DataFrame, base_records: DataFrame, record_groups: DataFrame,
                  processors: DataFrame) -> DataFrame:
-    """T1's per-batch work (also the batch form): E1 -> E3 -> C2 -> R1."""
-    ex = E.extract_attributes(payloads)
-    rec = E.assemble_records(base_records, ex)
-    cleaned = CL.clean_records(rec, record_groups, processors).drop("audit_before", "audit_after")
-    return SC.reconcile(cleaned, record_groups, processors, mode="ingest")
+    """T1's per-batch work (also the batch form): E1 -> E3 -> C2 -> R1.
+
+    Flat records meet their groups first, for the processor's short id, and
+    then their payloads' texts; the wide attributes are made after that and go
+    through no exchange."""
+    flat = SC.own_processor(SC.own_processor(base_records, record_groups, "_cleaner"), record_groups, "_reconciler")
+    rec = E.extract_records(flat, payloads)
+    cleaned = CL.clean_by_functions(SC.processor_column(rec, CL.processor_functions(processors), "fns", "_cleaner"))
+    return SC.reconcile_by_schema(SC.processor_column(cleaned.drop("audit_before", "audit_after"), SC.schemas(processors), "schema", "_reconciler"),
+                                  mode="ingest")
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
@@ -168,8 +173,11 @@ def stream_ingest(spark: SparkSession, sf_dir: str, files: int | None = None) ->
     groups = M.load_record_groups(spark, sf_dir)
     procs = M.load_processors(spark, sf_dir)
     out_path = f"{work}/out"
+    tasks = M.tasks_for(spark, src_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            batch = batch.repartition(tasks, "record_id")   # texts of a task stay in memory where they meet their records
         # stream-static: only this batch's records meet the static tables
         ids = batch.select("record_id")
         recs = base.join(ids, "record_id", "left_semi")

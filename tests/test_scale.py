@@ -14,6 +14,7 @@ from palimpsest.operators import order as O
 from palimpsest.operators import scope as S
 from palimpsest.sources import model as M
 from palimpsest.sources import store
+from palimpsest.streaming import streams as ST
 
 LINE = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
         "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp")
@@ -155,3 +156,31 @@ def test_edit_history_takes_values_alone_to_the_edits(spark, folder):
         [(0, values[4]["subattributes"][1]["value"]), (1, None), (2, values[2]["value"])]
     assert [r["seq"] for r in ED.rejected_edits(recs, edits).collect()] == [3]
     assert "raw_text, null" in below_first_join(hist) and "raw_text, null" not in below_first_join(new)
+
+
+def test_ingest_moves_payloads_and_no_attributes(spark):
+    """No join finds its records small; records of unknown groups, without payload and with broken or null ones; a group named twice."""
+    base = spark.createDataFrame([(1, "g", "a", "a.png", "new"), (2, None, "b", "b.png", "new"), (3, "h", "c", "c.png", "new"), (4, "g", "d", "d.png", "new")],
+                                 "record_id bigint, record_group_id string, name string, filename string, status string")
+    payloads = spark.createDataFrame([(1, '[{"type": "Sec", "mention_text": "1,5"}]'), (2, '{"attributes_list": [{"type": "Sec", "mention_text": "7"}]}'),
+                                      (3, None), (3, "broken")], "record_id bigint, payload string")
+    groups = spark.createDataFrame([("g", "P"), ("g", "Q"), ("x", "P")], "record_group_id string, processor_id string")
+    row = lambda name, fn: dict.fromkeys(M.SCHEMA_ATTR_TYPE.fieldNames()) | {"name": name, "cleaning_function": fn}
+    processors = spark.createDataFrame([("P", [row("Sec", "string_to_int"), row("T", None)])],
+                                       f"processor_id string, attributes array<{M.SCHEMA_ATTR_TYPE.simpleString()}>")
+    conf = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, "-1")
+    try:
+        # the processors are few at any size
+        out = ST.ingest_batch(payloads, base, groups, F.broadcast(processors))
+        moved = exchanges(out)
+        rows = out.collect()
+    finally:
+        spark.conf.set(conf, before)
+    assert any("payload" in x for x in moved) and not any("attributes" in x for x in moved)
+    got = sorted((r.record_id, r.status, r.error_message is None, tuple((a.key, a.value) for a in r.attributes)) for r in rows)
+    made = [(("Sec", "1,5"),), (("Sec", "1,5"), ("T", "")), (("Sec", "15"),), (("Sec", "15"), ("T", ""))]
+    blank = (("Sec", ""), ("T", ""))
+    assert got == sorted([(1, "digitized", True, m) for m in made] + [(2, "digitized", True, (("Sec", "7"),))]
+                         + 2 * [(3, "error", False, ())] + 2 * [(4, "processing", True, ()), (4, "processing", True, blank)])
