@@ -188,16 +188,26 @@ def spread(df: DataFrame, tasks: int, *keys) -> DataFrame:
     return df.repartition(*keys)
 
 
-def line_items(li: DataFrame, tasks: int | None = None) -> DataFrame:
-    """(l_orderkey, items): the line items of each order as they are.
+def even_tasks(spark: SparkSession, *paths: str) -> int:
+    """``tasks_for`` where the work after the exchange is heavy: some a core
+    (unless the files are small), as about one a core may come to two rounds."""
+    size = sum(fs.getContentSummary(p).getLength() for fs, p in (hadoop_path(spark, path) for path in paths))
+    return max(tasks_for(spark, *paths), min(3 * spark.sparkContext.defaultParallelism, -(-size // (1 << 20))))
+
+
+def line_items(li: DataFrame, tasks: int | None = None, item=None, fixed: bool = False) -> DataFrame:
+    """(l_orderkey, items): the line items of each order as they are, or
+    ``item(li)`` of each (flat columns, made by the row after the exchange).
+    ``fixed``: of ``tasks`` partitions, which adaptive execution won't merge.
 
     Only the flat columns are shuffled, before any aggregate buffer; the wide
     structs made of them come after the last exchange (``in_position``).  The
     group size is one document (bounded by the source system's document size
     limit)."""
     keys = ["l_orderkey"]
-    rows = spread(li, tasks or 0, *keys)
-    return rows.groupBy(*keys).agg(F.collect_list(F.struct(*[c for c in li.columns if c not in keys])).alias("items"))
+    rows = li.repartition(tasks, *keys) if fixed else spread(li, tasks or 0, *keys)
+    made = item(rows) if item else [F.col(c) for c in li.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.collect_list(F.struct(*made)).alias("items"))
 
 
 def in_position(items: Column, made) -> Column:
@@ -521,8 +531,9 @@ def build_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     properties for line 3).  Even orders use the ``{"attributes_list":
     [...]}`` form; every 97th payload is not JSON at all."""
     path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-    per = line_items(table(spark, sf_dir, "lineitem"), tasks_for(spark, path))
-    ents = in_position(F.col("items"), _entity)
+    per = line_items(table(spark, sf_dir, "lineitem"), even_tasks(spark, path), _entity_fields, fixed=True)
+    # the items' first fields are their order
+    ents = F.transform(F.sort_array("items"), _entity)
     oid = F.col("l_orderkey")
     payload = (F.when(F.pmod(oid, F.lit(97)) == 0, F.lit("not json"))
                .when(F.pmod(oid, F.lit(2)) == 0, F.to_json(F.struct(ents.alias("attributes_list"))))
@@ -530,13 +541,27 @@ def build_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.select(oid.alias("record_id"), payload.alias("payload"))
 
 
-def _entity(li) -> Column:
-    """One entity of an extraction response from a line item."""
-    key, value = li["key"], li["value"]
+def _entity_fields(li) -> list[Column]:
+    """What an entity takes from its line item, worked out while that is a
+    flat row (a lambda over nested items is interpreted).  Position comes
+    first, then what entities of one position can differ in."""
+    value = _attr_value(li)
     is_date = F.pmod(li.l_partkey + li.l_linenumber, F.lit(5)) == 3
-    conf = F.round(F.lit(1.0) - li.l_discount, 2)
-    x = li.l_linenumber.cast("double") / 10.0
-    verts = F.array(*[F.struct((x + dx).alias("x"), F.lit(dy).alias("y"))
+    third = li.l_linenumber == 3
+    return [
+        *[li[c] for c in POSITION_ORDER],
+        F.when(is_date, F.regexp_replace(value, "-", "/")).otherwise(value).alias("mention"),
+        F.when(third, F.round(F.lit(1.0) - li.l_tax, 2)).alias("part_conf"),
+        F.when(is_date, value).otherwise(F.lit("")).alias("norm"),
+        _attr_key(li).alias("key"), F.round(F.lit(1.0) - li.l_discount, 2).alias("conf"),
+        (li.l_linenumber.cast("double") / 10.0).alias("x"),
+        F.when(third, li.l_extendedprice.cast("decimal(12,2)").cast("string")).alias("depth"),
+    ]
+
+
+def _entity(s: Column) -> Column:
+    """One entity of an extraction response from its ``_entity_fields``."""
+    verts = F.array(*[F.struct((s["x"] + dx).alias("x"), F.lit(dy).alias("y"))
                       for dx, dy in ((0.0, 0.1), (0.05, 0.1), (0.05, 0.2), (0.0, 0.2), (0.0, 0.15))])
     page_anchor = F.struct(F.array(F.struct(F.lit(1).alias("page"),
                                             F.struct(verts.alias("normalized_vertices")).alias("bounding_poly")))
@@ -546,13 +571,10 @@ def _entity(li) -> Column:
         return F.struct(F.lit(t).alias("type"), v.alias("mention_text"),
                         F.struct(v.alias("content")).alias("text_anchor"),
                         F.struct(F.lit("").alias("text")).alias("normalized_value"),
-                        F.round(F.lit(1.0) - li.l_tax, 2).alias("confidence"), page_anchor.alias("page_anchor"))
+                        s["part_conf"].alias("confidence"), page_anchor.alias("page_anchor"))
 
-    props = F.when(li.l_linenumber == 3, F.array(
-        prop("Depth", li.l_extendedprice.cast("decimal(12,2)").cast("string")),
-        prop("Sec", li.l_suppkey.cast("string"))))
-    mention = F.when(is_date, F.regexp_replace(value, "-", "/")).otherwise(value)
+    props = F.when(s["l_linenumber"] == 3, F.array(prop("Depth", s["depth"]), prop("Sec", s["l_suppkey"].cast("string"))))
     return F.struct(
-        key.alias("type"), mention.alias("mention_text"), F.struct(mention.alias("content")).alias("text_anchor"),
-        F.struct(F.when(is_date, value).otherwise(F.lit("")).alias("text")).alias("normalized_value"),
-        conf.alias("confidence"), page_anchor.alias("page_anchor"), props.alias("properties"))
+        s["key"].alias("type"), s["mention"].alias("mention_text"), F.struct(s["mention"].alias("content")).alias("text_anchor"),
+        F.struct(s["norm"].alias("text")).alias("normalized_value"),
+        s["conf"].alias("confidence"), page_anchor.alias("page_anchor"), props.alias("properties"))

@@ -1,6 +1,7 @@
 """What large inputs ask for: flat rows in exchanges, no repeated work a row, pairs of one key over many tasks."""
 
 import datetime
+import json
 import re
 
 import pytest
@@ -184,3 +185,41 @@ def test_ingest_moves_payloads_and_no_attributes(spark):
     blank = (("Sec", ""), ("T", ""))
     assert got == sorted([(1, "digitized", True, m) for m in made] + [(2, "digitized", True, (("Sec", "7"),))]
                          + 2 * [(3, "error", False, ())] + 2 * [(4, "processing", True, ()), (4, "processing", True, blank)])
+
+
+def test_payloads_take_flat_values_to_even_tasks(spark, tmp_path):
+    """What entities hold is worked out on flat rows; entities of one position keep the order of their own fields."""
+    day = lambda d: datetime.datetime(2020, 1, d)
+    item = lambda o, n, part, tax, ship: (o, part, 7, n, 3.0, 5.5, 0.1, tax, "R", "F", ship)
+    rows = [item(1, 3, 12, 0.01, day(1)), item(1, 3, 12, 0.08, day(2)), item(1, 3, 12, None, day(1)), item(1, 3, 12, 0.01, day(1)),
+            item(1, 1, 12, 0.01, day(9)), item(1, 1, 12, 0.08, day(2)), item(1, 1, 12, 0.02, None), item(2, 1, 12, 0.02, day(3)),
+            item(97, 1, 1, 0.0, day(1)), item(3, None, None, None, None), item(None, 1, 12, 0.0, day(4))]
+    spark.createDataFrame(rows, LINE).repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = M.build_payloads(spark, str(tmp_path))
+    got = {r["record_id"]: r["payload"] for r in df.collect()}
+    assert set(got) == {1, 2, 3, 97, None} and got[97] == "not json"
+    ents = json.loads(got[1])
+    # is a date where (part + line) % 5 = 3: line 1 by its day, the null one first
+    assert [e.get("mention_text") for e in ents[:3]] == [None, "2020/01/02", "2020/01/09"]
+    assert [e["normalized_value"] for e in ents[:3]] == [{}, {"text": "2020-01-02"}, {"text": "2020-01-09"}]
+    assert [[p.get("confidence") for p in e["properties"]] for e in ents[3:]] == [[None, None], [0.92, 0.92], [0.99, 0.99], [0.99, 0.99]]
+    assert [p["mention_text"] for p in ents[3]["properties"]] == ["5.50", "7"] and "properties" not in ents[0]
+    assert list(json.loads(got[2])) == ["attributes_list"] and len(json.loads(got[2])["attributes_list"]) == 1
+    assert [e["page_anchor"]["page_refs"][0]["page"] for e in json.loads(got[3])] == [1]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_format" in plan and "date_format(lambda" not in plan and "date_format(cast(lambda" not in plan
+
+
+def test_heavy_nesting_has_some_tasks_a_core(spark, folder):
+    path = f"{folder}/lineitem.parquet"
+    assert M.even_tasks(spark, path) == M.tasks_for(spark, path)
+    spark.range(1_500_000).select(F.rand(1).alias("a")).coalesce(1).write.parquet(f"{folder}/large.parquet")
+    here = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        n = M.even_tasks(spark, f"{folder}/large.parquet")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", here)
+    assert n >= 2 * spark.sparkContext.defaultParallelism
+    li = M.table(spark, folder, "lineitem")
+    assert M.line_items(li, 24, fixed=True).rdd.getNumPartitions() == 24
