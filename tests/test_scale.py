@@ -102,6 +102,20 @@ def test_pairs_of_one_team_are_spread(spark):
     assert len({r["p"] for r in rows}) > 1
 
 
+def test_pairs_of_one_team_are_dealt_evenly_and_users_copied_by_many_tasks(spark):
+    users = spark.createDataFrame([(f"u{i % 5}", "t") for i in range(6)], "email string, default_team string")
+    teams = spark.createDataFrame([("t", ["p"])], "name string, project_list array<string>")
+    projects = spark.createDataFrame([("p",)], "project_id string")
+    groups = spark.range(0, 6000, 1, 1).select(F.lit("p").alias("project_id"), F.col("id").cast("string").alias("record_group_id"))
+    out = S.visible_groups(users, teams, projects, groups)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    copies = plan[re.search(r"Generate explode\(.*_share", plan).start():]
+    assert re.search(r"RepartitionByExpression \[email#\d+\]", copies)  # user 0 comes twice
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    tasks = 16 * spark.sparkContext.defaultParallelism
+    assert sum(sizes) == 6 * 6000 and len(sizes) > 0.9 * tasks and max(sizes) < 4 * sum(sizes) / tasks
+
+
 def below_first_join(df) -> str:
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     return plan[plan.index("Join "):]
